@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute once and keep on shared storage: a lost executor re-reads files instead of redoing the plan."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Compute a step once, as a table in the shared folder, and go on from the table.
+
+    A lost executor then re-reads files instead of redoing everything upstream, later steps read only the columns
+    they need, and the planner knows the table's real size when it chooses join strategies.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table the platform keeps (landed documents and their flattened rows): settled once per application."""
+    known = (spark.sparkContext.applicationId, key)
+    if known not in _stored:
+        _stored[known] = settled(build(), key.rsplit("/", 1)[-1])
+    return _stored[known]
