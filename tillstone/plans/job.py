@@ -6,7 +6,6 @@ and written to the shared folder (``settled_*``), which also cuts the lineage th
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
@@ -21,7 +20,7 @@ from tillstone.operators import reconcile as rc
 from tillstone.operators import staging as st
 from tillstone.operators import stock as sk
 from tillstone.plans import overlays as ov
-from tillstone.plans.session import settled, stored
+from tillstone.plans.session import settled
 from tillstone.sources import finance
 
 REFERENCE_BRANCH = 1  # its cost stands in for a missing one, and it pays its own sales tax
@@ -88,9 +87,6 @@ class Job:
     def butcher_cost(self) -> DataFrame:
         return st.stg_butcher_cost(self.s.butcher_feed)
 
-    def _kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return stored(self.s.spark, f"{self.s.folder}/{name}", build)
-
     @cached_property
     def flattened_titles(self) -> DataFrame:
         return finance.flatten_titles(self.s.title_document, keep=["seen_at"])
@@ -101,11 +97,11 @@ class Job:
 
     @cached_property
     def titles(self) -> DataFrame:
-        return self._kept("titles", lambda: self.flattened_titles)
+        return self.s.kept("titles", lambda: self.flattened_titles)
 
     @cached_property
     def cards(self) -> DataFrame:
-        return self._kept("cards", lambda: self.flattened_cards)
+        return self.s.kept("cards", lambda: self.flattened_cards)
 
     @cached_property
     def title_allocations(self) -> DataFrame:

@@ -7,12 +7,14 @@ finance title, which suppliers are branches); no table is cut to make a check ch
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstone.plans.session import stored
+from tillstone.plans.session import settled
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "conversations")
 
@@ -527,24 +529,39 @@ def needs(template: str) -> list[str]:
 
 
 class Sources:
-    """Overlays as Spark DataFrames over one data folder: ``sources.receipt`` and so on."""
+    """Tables and overlays over one data folder as DataFrames: ``sources.receipt`` and so on.
+
+    Each is a temporary view, defined on first use and kept for the session, so that a job naming an overlay
+    twenty times reads file footers and resolves its query once.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-
-    def _text(self, name: str) -> str:
-        if name in TABLES:
-            return f"parquet.`{self.folder}/{name}.parquet`"
-        return "(" + self.query(name) + ")"
+        self._prefix = "tillstone_" + hashlib.md5(folder.encode()).hexdigest()[:10]
 
     def query(self, name: str) -> str:
-        return _NAME.sub(lambda m: self._text(m[1]), OVERLAYS[name])
+        return _NAME.sub(lambda m: self._view(m[1]), OVERLAYS[name])
+
+    def _view(self, name: str) -> str:
+        view = f"{self._prefix}_{name}"
+        if not self.spark.catalog.tableExists(view):
+            if name in TABLES:
+                rows = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            else:
+                rows = self.spark.sql(self.query(name))
+                if name in LANDED:
+                    rows = settled(rows, name)
+            rows.createOrReplaceTempView(view)
+        return view
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name in LANDED:
-            return stored(self.spark, f"{self.folder}/{name}", lambda: self.spark.sql(self.query(name)))
-        if name in OVERLAYS:
-            return self.spark.sql(self.query(name))
-        raise AttributeError(name)
+        if name.startswith("_") or (name not in TABLES and name not in OVERLAYS):
+            raise AttributeError(name)
+        return self.spark.table(self._view(name))
+
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table the platform stores between jobs: settled on first use."""
+        view = f"{self._prefix}_{name}"
+        if not self.spark.catalog.tableExists(view):
+            settled(build(), name).createOrReplaceTempView(view)
+        return self.spark.table(view)

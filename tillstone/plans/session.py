@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,14 +58,3 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
-
-
-_stored: dict[tuple[str, str], DataFrame] = {}
-
-
-def stored(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A table the platform keeps (landed documents and their flattened rows): settled once per application."""
-    known = (spark.sparkContext.applicationId, key)
-    if known not in _stored:
-        _stored[known] = settled(build(), key.rsplit("/", 1)[-1])
-    return _stored[known]
