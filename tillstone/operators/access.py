@@ -154,7 +154,7 @@ def _served(field: T.StructField) -> Column:
     elif isinstance(kind, T.DateType):
         c = F.date_format(c, "yyyy-MM-dd")
     elif isinstance(kind, T.DayTimeIntervalType):
-        seconds = F.expr(f"cast(extract(epoch from timestamp'1970-01-01' + `{field.name}`) as bigint)")
+        seconds = F.unix_seconds(F.lit("1970-01-01T00:00:00Z").cast("timestamp") + c)
         pieces = (F.floor(seconds / 3600), F.floor(seconds % 3600 / 60), seconds % 60)
         c = F.format_string("%02d:%02d:%02d", *pieces)
     elif isinstance(kind, T.BinaryType):

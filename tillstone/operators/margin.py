@@ -77,7 +77,7 @@ def item_margin(allocated: DataFrame, branches: DataFrame) -> DataFrame:
         .select(
             F.concat_ws(
                 "-",
-                F.date_format("month", "yyyy-MM"),
+                F.substring(F.col("month").cast("string"), 1, 7),
                 F.col("branch_id").cast("string"),
                 F.col("product_code").cast("string"),
             ).alias("id"),

@@ -59,6 +59,11 @@ def _row_tax() -> Column:
     return F.round(reduce(lambda a, b: a + b, parts), 2).cast(MONEY)
 
 
+def _total(c: Column) -> Column:
+    """Sum back in 18 digits, which Spark keeps in a machine word.  Overflow raises; it does not wrap."""
+    return F.sum(c).cast(QUANTITY)
+
+
 def sales_by_month(sales: DataFrame, start: date, intercompany_document: str) -> DataFrame:
     """Quantity, gross and net per item and month, intercompany sales apart, plus discount and tax.
 
@@ -84,7 +89,7 @@ def sales_by_month(sales: DataFrame, start: date, intercompany_document: str) ->
 
     def part(value: str, internal: bool, name: str) -> Column:
         chosen = F.col("internal") if internal else ~F.col("internal")
-        return F.sum(F.when(chosen, F.col(value))).alias(name)
+        return _total(F.when(chosen, F.col(value))).alias(name)
 
     return valid.groupBy(*ITEM_MONTH).agg(
         part("quantity", True, "internal_quantity"),
@@ -93,8 +98,8 @@ def sales_by_month(sales: DataFrame, start: date, intercompany_document: str) ->
         part("quantity", False, "sold_quantity"),
         part("gross", False, "sold_gross"),
         part("net", False, "sold_net"),
-        F.sum("discount").alias("sales_discount"),
-        F.sum("tax").alias("sales_tax"),
+        _total(F.col("discount")).alias("sales_discount"),
+        _total(F.col("tax")).alias("sales_tax"),
     )
 
 
@@ -103,9 +108,9 @@ def purchases_by_month(purchases: DataFrame, start: date, final_status: int = 3)
         purchases.where((F.col("invoice_status") == final_status) & (F.col("issued_at") >= F.lit(start)))
         .groupBy(month_of(F.col("issued_at")).alias("month"), "branch_id", "product_code")
         .agg(
-            F.sum((F.col("quantity") * F.col("units_per_box")).cast(EXTENDED)).alias("bought_quantity"),
+            _total((F.col("quantity") * F.col("units_per_box")).cast(EXTENDED)).alias("bought_quantity"),
             F.sum("total").alias("bought_value"),
-            F.sum(_row_tax()).alias("purchase_tax"),
+            _total(_row_tax()).alias("purchase_tax"),
         )
     )
 
@@ -116,7 +121,7 @@ def transformations_by_month(transformations: DataFrame, start: date) -> DataFra
         .groupBy(
             month_of(F.col("transformed_at")).alias("month"), "branch_id", F.col("target_product").alias("product_code")
         )
-        .agg(F.sum("target_quantity").alias("transformed_quantity"))
+        .agg(_total(F.col("target_quantity")).alias("transformed_quantity"))
     )
 
 
@@ -124,7 +129,10 @@ def breakage_by_month(daily: DataFrame, start: date) -> DataFrame:
     return (
         daily.where(F.col("date") >= F.lit(start))
         .groupBy(month_of(F.col("date")).alias("month"), "branch_id", "product_code")
-        .agg(F.sum("breakage_quantity").alias("breakage_quantity"), F.sum("breakage_value").alias("breakage_value"))
+        .agg(
+            _total(F.col("breakage_quantity")).alias("breakage_quantity"),
+            _total(F.col("breakage_value")).alias("breakage_value"),
+        )
     )
 
 
@@ -152,8 +160,11 @@ def item_base(
     """One row per active (month, branch, product) with every fact, zeros where a fact is missing.
 
     The six facts are unique per key, so instead of a distinct key set and six joins they are stacked and
-    grouped once: one shuffle on the key, with fixed-width buffers so it stays a hash aggregate.  ``active`` reproduces the key rule: a fact activates its key always,
-    a stock row only with a quantity other than zero.
+    grouped once, with fixed-width buffers so that it stays a hash aggregate.  ``active`` reproduces the key rule:
+    a fact activates its key always, a stock row only with a quantity other than zero.
+
+    The stacked rows are shuffled once, by (month, product): grouping by (month, branch, product) and the two
+    joins on (month, product) all run on that partitioning.  A (month, product) holds at most six rows per branch.
     """
     stacked = [f.withColumn("active", F.lit(True)) for f in (sales, purchases, transformations, breakage)]
     stacked.append(
@@ -178,7 +189,8 @@ def item_base(
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
     carried = [c for c in facts.columns if c not in (*ITEM_MONTH, "active")]
     grouped = (
-        facts.groupBy(*ITEM_MONTH)
+        facts.repartition("month", "product_code")
+        .groupBy(*ITEM_MONTH)
         .agg(F.bool_or("active").alias("active"), *[F.max(c).alias(c) for c in carried])
         .where(F.col("active"))
         .drop("active")
@@ -189,14 +201,14 @@ def item_base(
         F.col("unit_cost").alias("butcher_cost"),
     )
     joined = (
-        grouped.join(products, "product_code", "left")
+        grouped.join(reference_cost, ["month", "product_code"], "left")
+        .join(butcher, ["month", "product_code"], "left")
+        .join(products, "product_code", "left")
         .join(
             prices.select("branch_id", "product_code", "entry_tax", "exit_tax", "sale_price"),
             ["branch_id", "product_code"],
             "left",
         )
-        .join(butcher, ["month", "product_code"], "left")
-        .join(reference_cost, ["month", "product_code"], "left")
     )
 
     def cost(own: str, reference: str) -> Column:

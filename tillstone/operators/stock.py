@@ -138,27 +138,37 @@ def opening_stock(
 ) -> DataFrame:
     """Opening stock per month: the early inventory if there is one, else the position before the month.
 
-    The cost comes from the side that won, even when it is NULL there.  Both sides are unique per item and
-    month, so the full join has no hot key.  Each side's cost already is the one in force on its stock date, so
-    ``effective_cost`` needs no second as-of join.
+    The cost comes from the side that won, even when it is NULL there.  Both sides are unique per item and month,
+    so the full join is written as a stack grouped once (a hash aggregate, no sort of either side).  Each side's
+    cost already is the one in force on its stock date, so ``effective_cost`` needs no second as-of join.
     """
     counted = asof_cost(
         first_inventory_of_month(inventory, start, last_day), "reference_date", validity, probes_unique=True
-    ).withColumn("was_counted", F.lit(True)).alias("i")
-    before = position_before_month(validity, start, as_of).alias("p")
-    won = F.col("i.was_counted").isNotNull()
-    joined = counted.join(before, ITEM_MONTH, "full").select(
+    ).select(
         *ITEM_MONTH,
-        F.when(won, F.lit("inventory")).otherwise(F.lit("position")).alias("origin"),
-        F.when(won, F.col("i.reference_date")).otherwise(F.date_sub("month", 1)).alias("stock_date"),
-        F.coalesce("i.counted_quantity", "p.quantity").alias("quantity"),
-        F.when(won, F.col("i.cost")).otherwise(F.col("p.cost")).alias("cost"),
-        F.when(won, F.col("i.positive_cost")).otherwise(F.col("p.positive_cost")).alias("positive_cost"),
-        F.col("i.inventory_id").alias("inventory_id"),
-        F.col("p.quantity").alias("position_quantity"),
-        F.col("p.position_date").alias("position_date"),
+        F.lit(True).alias("won"),
+        "inventory_id",
+        "reference_date",
+        "counted_quantity",
+        F.col("cost").alias("counted_cost"),
+        F.col("positive_cost").alias("counted_positive"),
     )
-    return joined.withColumn("effective_cost", _effective_cost())
+    before = position_before_month(validity, start, as_of)
+    stacked = before.unionByName(counted, allowMissingColumns=True)
+    sides = [c for c in stacked.columns if c not in ITEM_MONTH]
+    joined = stacked.groupBy(*ITEM_MONTH).agg(*[F.max(c).alias(c) for c in sides])
+    won = F.col("won").isNotNull()
+    return joined.select(
+        *ITEM_MONTH,
+        F.when(won, F.lit("inventory")).otherwise(F.lit("position")).alias("origin"),
+        F.when(won, F.col("reference_date")).otherwise(F.date_sub("month", 1)).alias("stock_date"),
+        F.coalesce("counted_quantity", "quantity").alias("quantity"),
+        F.when(won, F.col("counted_cost")).otherwise(F.col("cost")).alias("cost"),
+        F.when(won, F.col("counted_positive")).otherwise(F.col("positive_cost")).alias("positive_cost"),
+        "inventory_id",
+        F.col("quantity").alias("position_quantity"),
+        "position_date",
+    ).withColumn("effective_cost", _effective_cost())
 
 
 def reference_branch_cost(validity: DataFrame, branch_id: int, start: date, as_of: date) -> DataFrame:

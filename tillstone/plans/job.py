@@ -168,6 +168,15 @@ class Job:
         ]
         return pf.product_reclass(self.catalog.select(*wanted), self.s.reclass_rule, self.s.section_register)
 
+    @cached_property
+    def settled_products(self) -> DataFrame:
+        """A published table, like the prices below: joins against them are planned on their real sizes."""
+        return settled(self.products, "products")
+
+    @cached_property
+    def settled_prices(self) -> DataFrame:
+        return settled(self.prices, "prices")
+
     @cached_property
     def monthly_sales(self) -> DataFrame:
         return pf.sales_by_month(self.sales, self.start, ov.INTERCOMPANY)
@@ -197,7 +206,7 @@ class Job:
     @cached_property
     def base(self) -> DataFrame:
         return pf.item_base(
-            self.products, self.prices, self.butcher_cost, self.reference_cost, self.settled_sales,
+            self.settled_products, self.settled_prices, self.butcher_cost, self.reference_cost, self.settled_sales,
             self.monthly_purchases, self.monthly_transformations, self.monthly_breakage, self.opening,
             self.closing_from_settled,
             BUTCHER_DEPARTMENT,
@@ -294,7 +303,7 @@ class Job:
         What happens to a row follows from its number, so the SQL check can repeat it.
         """
         rows = self.purchase_queue.unionByName(self.slip_queue)
-        n = F.regexp_replace("title_number", r"\D", "").cast("bigint")
+        n = F.regexp_replace("title_number", r"\D", "").try_cast("bigint")
         last = n % 10
         return rows.withColumns(
             {
@@ -313,7 +322,7 @@ class Job:
     def finance_after(self) -> DataFrame:
         """Live and cancelled titles as read after some queue rows were entered in finance by hand."""
         queued = self.purchase_queue.unionByName(self.slip_queue)
-        n = F.regexp_replace("title_number", r"\D", "").cast("bigint")
+        n = F.regexp_replace("title_number", r"\D", "").try_cast("bigint")
         entered = queued.where(n % 4 < 2).select(
             F.when(F.col("kind") == qu.PAYABLE, "Despesa").otherwise("Receita").alias("type"),
             F.concat(F.lit("00"), "title_number", F.lit("X")).alias("number"),

@@ -232,7 +232,8 @@ OVERLAYS = {
                CASE WHEN l_orderkey % 4 = 1 THEN '  ' WHEN l_orderkey % 4 = 2 THEN 'L' || document END AS payment_line,
                CASE WHEN l_orderkey % 3 = 0 THEN 'B' || document END AS barcode,
                CASE WHEN l_orderkey % 23 = 0 THEN issued_at END AS cancelled_at
-        FROM {{purchase_header}} JOIN (SELECT 1 AS n UNION ALL SELECT 2) parts ON l_orderkey % 3 <> 1""",
+        FROM (SELECT *, 1 AS n FROM {{purchase_header}} UNION ALL SELECT *, 2 AS n FROM {{purchase_header}}) x
+        WHERE l_orderkey % 3 <> 1""",
     # -- stock -------------------------------------------------------------------------------------------------
     "daily_stock_source": f"""
         SELECT CAST(l_shipdate AS DATE) AS moved_at, {_ITEM_BRANCH} AS branch_code, l_partkey AS product_code,
@@ -334,9 +335,11 @@ OVERLAYS = {
                CASE WHEN l_orderkey % 31 = 0 THEN true END AS cancelled, 'list' AS lines, 'Despesa' AS first_type,
                'Despesa' AS second_type, 'BUILDING ' AS first_centre, 'GENERAL' AS second_centre,
                'Compra de Mercadorias' AS first_plan, '1-URGENT' AS second_plan
-        FROM {{posted_invoice}} p JOIN {{branch}} b ON b.branch_code = p.branch_code
-             JOIN (SELECT 1 AS n UNION ALL SELECT 2) parts ON n = 1 OR l_orderkey % 2 = 0
-             JOIN (SELECT 1 AS copy UNION ALL SELECT 2) copies ON copy = 1 OR l_orderkey % 13 = 0""",
+        FROM (SELECT *, 1 AS n, 1 AS copy FROM {{posted_invoice}}
+              UNION ALL SELECT *, 2, 1 FROM {{posted_invoice}} WHERE l_orderkey % 2 = 0
+              UNION ALL SELECT *, 1, 2 FROM {{posted_invoice}} WHERE l_orderkey % 13 = 0
+              UNION ALL SELECT *, 2, 2 FROM {{posted_invoice}} WHERE l_orderkey % 26 = 0) p
+             JOIN {{branch}} b ON b.branch_code = p.branch_code""",
     "posted_invoice": f"""
         SELECT branch_code, supplier_code, document, l_orderkey, l_suppkey, issued_at, total
         FROM {{purchase_header}} WHERE l_orderkey % 5 <> 0
@@ -498,7 +501,8 @@ OVERLAYS = {
         SELECT CASE WHEN o_orderkey % 101 <> 0 THEN o_orderkey END AS title, o_custkey AS customer,
                CAST({_money("o_totalprice")} + n AS DECIMAL(18,2)) AS value, CAST(o_orderdate AS DATE) AS due,
                n AS delivery
-        FROM {{orders}} JOIN (SELECT 1 AS n UNION ALL SELECT 2) twice ON n = 1 OR o_orderkey % 10 = 0
+        FROM (SELECT *, 1 AS n FROM {{orders}}
+              UNION ALL SELECT *, 2 AS n FROM {{orders}} WHERE o_orderkey % 10 = 0) x
         WHERE o_orderkey % 3 <> 1""",
     "old_customer": """
         SELECT c_custkey AS code, CASE WHEN c_custkey % 5 = 0 THEN c_name || ' old' ELSE c_name END AS name,

@@ -35,7 +35,7 @@ def _spark_column(name: str, kind: str) -> Column:
         "i": lambda: c.cast("bigint"),
         "s": lambda: c.cast("string"),
         "b": lambda: c.cast("boolean"),
-        "d": lambda: F.date_format(c, "yyyy-MM-dd"),
+        "d": lambda: c.cast("date").cast("string"),
         "t": lambda: F.date_format(c.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"),
         "n": lambda: F.round(c, 4).cast("double"),
         "m": lambda: F.floor(c.cast("double") * scale + 0.5) / scale,
@@ -263,7 +263,7 @@ def _payload(j: Job) -> DataFrame:
 def _enqueued(j: Job) -> DataFrame:
     """New rows on top of a queue that already holds the invoices with an even number, some of them discarded."""
     rows = j.purchase_queue
-    number = F.col("title_number").cast("bigint")
+    number = F.col("title_number").try_cast("bigint")
     queued = rows.where(number % 2 == 0).withColumn("status", F.when(number % 4 == 0, "discarded").otherwise("pending"))
     return _parts_summary(qu.enqueue(queued, rows))
 
