@@ -132,7 +132,7 @@ def test_weights_and_expenses_meet_on_a_null_department(spark):
         "month date, branch_id int, product_code bigint, department string, total_sales decimal(18,2), cogs decimal(18,2), "
         "sales_tax_due double, purchase_tax_credit decimal(18,2)",
     )
-    weighted = mg.item_weight(measures)
+    weighted = mg.item_weight(measures, ex.department_sales(measures))
     assert {r.product_code: r.item_share for r in weighted.collect()} == {1: 0.75, 2: 0.25, 3: 0.0}
     mart = spark.createDataFrame(
         [(MONTH, 1, None, "PESSOAS", D(100)), (MONTH, 1, "A", "OCUPACAO", D(50)), (MONTH, 1, None, "NOT SHOWN", D(9))],

@@ -95,16 +95,20 @@ def expenses(
     )
 
 
-def department_weights(measures: DataFrame) -> DataFrame:
-    """Share of each department in the sales of its branch and month, to 8 places; 0 when the total is not positive.
+def department_sales(measures: DataFrame) -> DataFrame:
+    """Sales per month, branch and department: what both the department and the item shares divide by.
 
-    Totals are a second aggregation over the department rows joined back, not a window over item rows, so a
-    branch and month holding a third of the items is combined map-side.
+    An aggregation combined map-side, so a department holding a third of the items sends one row per task.  It
+    reads four columns of the measures; the plan beneath is pruned to them.
     """
+    return measures.groupBy("month", "branch_id", "department").agg(F.sum("total_sales").alias("department_sales"))
+
+
+def department_weights(by_department: DataFrame) -> DataFrame:
+    """Share of each department in the sales of its branch and month, to 8 places; 0 when the total is not positive."""
     key = ["month", "branch_id"]
-    by_department = measures.groupBy(*key, "department").agg(F.sum("total_sales").alias("sales"))
-    totals = by_department.groupBy(*key).agg(F.sum("sales").alias("branch_sales"))
-    weight = share(F.col("sales"), F.col("branch_sales"))
+    totals = by_department.groupBy(*key).agg(F.sum("department_sales").alias("branch_sales"))
+    weight = share(F.col("department_sales"), F.col("branch_sales"))
     return by_department.join(totals, key).select(
         *key, "department", F.round(weight, 8).cast("decimal(18,8)").alias("department_share")
     )

@@ -30,14 +30,12 @@ def _null_safe(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
     return on
 
 
-def item_weight(measures: DataFrame) -> DataFrame:
+def item_weight(measures: DataFrame, by_department: DataFrame) -> DataFrame:
     """Share of each item in the sales of its month, branch and department (NULL is a department too).
 
-    Department totals come from an aggregation joined back: a window would put every item of a large
-    department into one task.
+    The department totals are joined: a window would put every item of a large department into one task.
     """
-    i = measures
-    totals = i.groupBy(*DEPARTMENT_KEY).agg(F.sum("total_sales").alias("department_sales"))
+    i, totals = measures, by_department
     return i.join(totals, _null_safe(i, totals, DEPARTMENT_KEY), "left").select(
         i["*"],
         (F.col("total_sales") - F.col("cogs")).alias("gross_margin"),

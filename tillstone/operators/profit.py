@@ -281,8 +281,8 @@ def item_measures(base: DataFrame, rates: DataFrame, own_tax_branch: int, simple
     COGS and restated breakage use the closing cost.  Sales tax: the branch's own for one branch, external
     sales × rate for the other, 0 elsewhere.
     """
-    sold_quantity = F.col("internal_quantity") + F.col("sold_quantity")
-    sold_value = F.col("internal_net") + F.col("sold_net")
+    sold_quantity = (F.col("internal_quantity") + F.col("sold_quantity")).cast(QUANTITY)
+    sold_value = (F.col("internal_net") + F.col("sold_net")).cast(QUANTITY)
     in_branch = F.col("branch_id")
     return base.join(rates, "month").select(
         *base.columns,

@@ -223,8 +223,13 @@ class Job:
         return pf.item_measures(self.base, self.rates, REFERENCE_BRANCH, SIMPLES_BRANCH)
 
     @cached_property
-    def settled_measures(self) -> DataFrame:
-        return settled(self.measures, "measures")
+    def department_sales(self) -> DataFrame:
+        """A few rows that the expense marts and the item shares both need, computed before either.
+
+        Settling these instead of the measures themselves costs a second, narrow pass (four columns, one join less)
+        and saves writing and reading back the widest table of the job.
+        """
+        return settled(ex.department_sales(self.measures), "department-sales")
 
     # -- marts -------------------------------------------------------------------------------------------------
 
@@ -236,7 +241,7 @@ class Job:
 
     @cached_property
     def weights(self) -> DataFrame:
-        return ex.department_weights(self.settled_measures)
+        return ex.department_weights(self.department_sales)
 
     @cached_property
     def allocated_expenses(self) -> DataFrame:
@@ -252,7 +257,7 @@ class Job:
 
     @cached_property
     def weighted_items(self) -> DataFrame:
-        return mg.item_weight(self.settled_measures)
+        return mg.item_weight(self.measures, self.department_sales)
 
     @cached_property
     def items_with_expenses(self) -> DataFrame:

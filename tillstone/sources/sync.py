@@ -68,16 +68,16 @@ def insert_absent(
     else:
         whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
         candidates, free = new.where(whole), new.where(~whole)
-    once = dedup_latest(candidates, keys, order).alias("n")
-    present = target.select(*keys).distinct().alias("t")
-    same = reduce(
-        lambda a, b: a & b,
-        [
-            F.col(f"n.{k}").eqNullSafe(F.col(f"t.{k}")) if nulls_equal else F.col(f"n.{k}") == F.col(f"t.{k}")
-            for k in keys
-        ],
-    )
-    added = once.join(present, same, "left_anti")
+    once = dedup_latest(candidates, keys, order)
+
+    def same(left: str, right: str) -> Column:
+        pairs = [(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys]
+        return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if nulls_equal else a == b for a, b in pairs])
+
+    # The target is cut to the new keys first: a small batch is broadcast and the target is not shuffled.
+    wanted = once.select(*keys)
+    present = target.select(*keys).alias("t").join(wanted.alias("w"), same("t", "w"), "left_semi")
+    added = once.alias("n").join(present.alias("p"), same("n", "p"), "left_anti")
     if free is not None:
         added = added.unionByName(free)
     return target.unionByName(added, allowMissingColumns=True)
