@@ -281,6 +281,15 @@ class Job:
     def invoices(self) -> DataFrame:
         return rc.purchase_reconciliation(self.s.purchase_header, self.titles, self.s.branch, self.as_of)
 
+    @cached_property
+    def published_invoices(self) -> DataFrame:
+        """The reconciliations are published tables; the queue starts from those."""
+        return settled(self.invoices, "invoices")
+
+    @cached_property
+    def published_slips(self) -> DataFrame:
+        return settled(self.slips, "slips")
+
     @cached_property
     def card_days(self) -> DataFrame:
         return rc.card_reconciliation(
@@ -291,23 +300,27 @@ class Job:
     @cached_property
     def purchase_queue(self) -> DataFrame:
         return qu.queue_from_purchases(
-            self.invoices, self.s.payable, self.titles, self.s.branch, ov.COMPANY_TAX_ID, ov.BANK_ACCOUNT
+            self.published_invoices, self.s.payable, self.titles, self.s.branch, ov.COMPANY_TAX_ID, ov.BANK_ACCOUNT
         )
 
     @cached_property
     def slip_queue(self) -> DataFrame:
         return qu.queue_from_slips(
-            self.slips, self.s.slip, self.s.customer_register, self.as_of, ov.COMPANY_TAX_ID, ov.BANK_ACCOUNT,
+            self.published_slips, self.s.slip, self.s.customer_register, self.as_of, ov.COMPANY_TAX_ID, ov.BANK_ACCOUNT,
             ov.COST_CENTRE,
         )
 
+    @cached_property
+    def queued(self) -> DataFrame:
+        return settled(self.purchase_queue.unionByName(self.slip_queue), "queue")
+
     @cached_property
     def reviewed_queue(self) -> DataFrame:
         """Both queues as people left them: some rows edited badly, some approved, some already sent.
 
         What happens to a row follows from its number, so the SQL check can repeat it.
         """
-        rows = self.purchase_queue.unionByName(self.slip_queue)
+        rows = self.queued
         n = F.regexp_replace("title_number", r"\D", "").try_cast("bigint")
         last = n % 10
         return rows.withColumns(
@@ -326,9 +339,8 @@ class Job:
     @cached_property
     def finance_after(self) -> DataFrame:
         """Live and cancelled titles as read after some queue rows were entered in finance by hand."""
-        queued = self.purchase_queue.unionByName(self.slip_queue)
         n = F.regexp_replace("title_number", r"\D", "").try_cast("bigint")
-        entered = queued.where(n % 4 < 2).select(
+        entered = self.queued.where(n % 4 < 2).select(
             F.when(F.col("kind") == qu.PAYABLE, "Despesa").otherwise("Receita").alias("type"),
             F.concat(F.lit("00"), "title_number", F.lit("X")).alias("number"),
             F.concat(F.col("party_document"), F.lit("-")).alias("party_document"),

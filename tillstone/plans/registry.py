@@ -22,7 +22,7 @@ from tillstone.operators import stock as sk
 from tillstone.plans import overlays as ov
 from tillstone.plans.job import Job
 from tillstone.plans.oracles import oracle
-from tillstone.plans.session import shared_folder
+from tillstone.plans.session import settled, shared_folder
 from tillstone.sources import landing, publish, sync
 
 # -- serving -----------------------------------------------------------------------------------------------------
@@ -229,7 +229,7 @@ def _parts_summary(rows: DataFrame) -> DataFrame:
 
 
 def _installments(j: Job) -> DataFrame:
-    pending = j.invoices.where("outcome like 'only in ERP%'").join(
+    pending = j.published_invoices.where("outcome like 'only in ERP%'").join(
         j.s.branch.select(F.col("tax_id").alias("supplier_document")), "supplier_document", "left_anti"
     )
     arrays = qu.installment_array(
@@ -262,7 +262,7 @@ def _payload(j: Job) -> DataFrame:
 
 def _enqueued(j: Job) -> DataFrame:
     """New rows on top of a queue that already holds the invoices with an even number, some of them discarded."""
-    rows = j.purchase_queue
+    rows = settled(j.purchase_queue, "purchase-queue")
     number = F.col("title_number").try_cast("bigint")
     queued = rows.where(number % 2 == 0).withColumn("status", F.when(number % 4 == 0, "discarded").otherwise("pending"))
     return _parts_summary(qu.enqueue(queued, rows))
