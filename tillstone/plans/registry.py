@@ -1,7 +1,7 @@
 """Every query of the driver contract: the Spark job, the columns it serves, and the SQL step that checks it.
 
-Columns are given as ``name:kind`` and encoded the same way on both sides (dates and times as text, exact numbers
-as doubles), so results compare by value:
+Columns are given as ``name:kind`` and encoded the same way on both sides (dates, times and booleans as text, exact
+numbers as doubles), so results compare by value:
 i integer, s text, b boolean, d date, t date-time, n exact number, m computed amount (cents), r ratio (6 places).
 """
 
@@ -34,7 +34,7 @@ def _spark_column(name: str, kind: str) -> Column:
     encoded = {
         "i": lambda: c.cast("bigint"),
         "s": lambda: c.cast("string"),
-        "b": lambda: c.cast("boolean"),
+        "b": lambda: c.cast("boolean").cast("string"),
         "d": lambda: c.cast("date").cast("string"),
         "t": lambda: F.date_format(c.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"),
         "n": lambda: F.round(c, 4).cast("double"),
@@ -48,7 +48,7 @@ def _duck_column(name: str, kind: str) -> str:
     encoded = {
         "i": f"CAST({name} AS BIGINT)",
         "s": f"CAST({name} AS VARCHAR)",
-        "b": f"CAST({name} AS BOOLEAN)",
+        "b": f"CAST(CAST({name} AS BOOLEAN) AS VARCHAR)",
         "d": f"strftime(CAST({name} AS DATE), '%Y-%m-%d')",
         "t": f"strftime(CAST({name} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')",
         "n": f"CAST(round({name}, 4) AS DOUBLE)",
