@@ -22,7 +22,7 @@ from tillstone.operators import stock as sk
 from tillstone.plans import overlays as ov
 from tillstone.plans.job import Job
 from tillstone.plans.oracles import oracle
-from tillstone.plans.session import settled, shared_folder
+from tillstone.plans.session import run_folder, settled
 from tillstone.sources import landing, publish, sync
 
 # -- serving -----------------------------------------------------------------------------------------------------
@@ -107,7 +107,7 @@ def _narrow_parts(j: Job) -> DataFrame:
 def _publish(j: Job) -> DataFrame:
     """Publish orders three times: new table, same columns, one more column."""
     spark = j.s.spark
-    folder = f"{shared_folder(spark)}/published"
+    folder = f"{run_folder(spark)}/published"
     table = f"served_orders_{spark.sparkContext.applicationId.replace('-', '_')}_{id(j)}"
     rows = j.s.orders.select(F.col("o_orderkey").alias("id"), "o_custkey")
     versions = [rows, rows, rows.withColumn("extra", F.lit(1))]
@@ -132,7 +132,7 @@ def _pages(j: Job) -> DataFrame:
 
 
 def _land_and_explode(j: Job) -> DataFrame:
-    location = f"{shared_folder(j.s.spark)}/pages-{id(j)}"
+    location = f"{run_folder(j.s.spark)}/pages-{id(j)}"
     landing.land_pages(_pages(j), location)
     landed = j.s.spark.read.parquet(location)
     return landing.explode_pages(

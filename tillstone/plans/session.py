@@ -21,14 +21,39 @@ CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: The folder for settled steps, for sessions whose cluster names none in spark.checkpoint.dir.  Unlike that setting,
+#: it can be set on a running session.
+FOLDER_SETTING = "tillstone.settled.dir"
 
-def local_session(cpus: str = "*", app: str = "tillstone", partitions: int = 8) -> SparkSession:
+
+def _settled_in(builder: SparkSession.Builder, folder: str | None) -> SparkSession.Builder:
+    return builder.config(FOLDER_SETTING, folder) if folder else builder
+
+
+def cluster_session(app: str = "tillstone", folder: str | None = None) -> SparkSession:
+    """Session of a cluster job: ``CLUSTER_SETTINGS``, master and resources as submitted.
+
+    ``folder`` is for settled steps and must be shared by all executors; where the cluster names one in
+    spark.checkpoint.dir, that one is used.
+    """
+    builder = SparkSession.builder.appName(app)
+    for name, value in CLUSTER_SETTINGS.items():
+        builder = builder.config(name, value)
+    spark = _settled_in(builder, folder).getOrCreate()
+    shared_folder(spark)  # better now than at the first settled step
+    return spark
+
+
+def local_session(
+    cpus: str = "*", app: str = "tillstone", partitions: int = 8, folder: str | None = None
+) -> SparkSession:
     """Session for tests and the benchmark: same settings, partitions sized for one machine, no web page."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for name, value in CLUSTER_SETTINGS.items():
         builder = builder.config(name, value)
     return (
-        builder.config("spark.sql.shuffle.partitions", str(partitions))
+        _settled_in(builder, folder)
+        .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.files.maxPartitionBytes", "16m")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
@@ -37,15 +62,23 @@ def local_session(cpus: str = "*", app: str = "tillstone", partitions: int = 8)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, as the cluster names it; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor sees: spark.checkpoint.dir as the cluster sets it, else ``FOLDER_SETTING``.
+
+    Without either, a local session (one machine, so any folder is shared) uses the system's temporary folder;
+    any other session is refused.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER_SETTING, None)
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tillstone-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return f"{tempfile.gettempdir()}/tillstone"
+    raise RuntimeError(f"set spark.checkpoint.dir or {FOLDER_SETTING} to a folder shared by all executors")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This run's part of the shared folder."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +87,13 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     A lost executor then re-reads files instead of redoing everything upstream, later steps read only the columns
     they need, and the planner knows the table's real size when it chooses join strategies.
     """
-    spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def discard_settled(spark: SparkSession) -> None:
+    """Remove this run's settled steps.  For the end of a job: frames built on them can't be read afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
