@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import decontaminate, simhash, substrings
+from tillstone.llm import decontaminate, mixing, quality, simhash, substrings
 from tillstone.plans.session import settled
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a rule rejects go."""
+    return quality.judged(docs).where("quality_kept").select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
     return simhash.one_of_each(docs, simhash.near_duplicates(docs))
@@ -30,14 +35,23 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return clean.withColumn("n_chars", _n_chars(docs, clean)).select(docs.columns)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes words of, in the order of their first position, with size, source_size, target,
+    taken and positions. Those it takes none of go."""
+    taken = mixing.by_position(mixing.mixed(docs).where("mix_taken > 0"))
+    return taken.withColumnsRenamed({name: name.removeprefix("mix_") for name in mixing.RESULT})
+
+
 def _n_chars(docs: DataFrame, now: DataFrame):
     return F.length("text").cast(docs.schema["n_chars"].dataType)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("substring_dedup", substring_dedup),
     ("decontamination", decontamination),
+    ("mix", mix),
 ]
 
 #: SimHash and XXH64 have no counterpart in SQL; the stages are tested against brute force.

@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import decontaminate, simhash, substrings
+from tillstone.llm import decontaminate, extraction, language, mixing, quality, scoring, simhash, substrings, urls, warc
+from tillstone.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extracted(table(spark, folder, "pages"))
+
+
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[F.col(c).alias("n_" + c[8:] if c != "quality_word_chars" else "word_chars") for c in quality.STATISTICS],
+                        F.col("quality_base_failed").alias("base_failed"), F.col("quality_kept").alias("kept"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.verdict(decontaminate.matches(docs, table(spark, folder, "benchmark")))
@@ -32,6 +45,30 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("print").alias("fingerprint"), "component_id")
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    names = ["mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_positions"]
+    light = mixing.by_position(mix.select("doc_id", *names))
+    first = F.round(F.get("mix_positions", F.lit(0)), 6).alias("position")
+    return light.select("doc_id", *[F.col(c).alias(c[4:]) for c in names[:-1]], first)
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    place = warc.new_folder(spark)
+    found = warc.read(warc.write(table(spark, folder, "pages"), place), place)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.where(~language.is_held_out()))
+    return language.identified(docs, model, language.is_held_out())
+
+
+def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filtered(table(spark, folder, "pages"))
+
+
 def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return substrings.without_repeats(docs).select(
@@ -42,10 +79,22 @@ def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.scored(table(spark, folder, "documents"), scoring.is_held_out())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_decontaminate": op3_decontaminate,
-    "op4_simhash": op4_simhash,
-    "op9_substrings": op9_substrings,
+    query.__name__: query
+    for query in (
+        op1_extraction,
+        op2_quality,
+        op3_decontaminate,
+        op4_simhash,
+        op5_mixing,
+        op6_warc,
+        op7_language,
+        op8_urls,
+        op9_substrings,
+        op10_scoring,
+    )
 }
-
-SQL: dict[str, str] = {}
