@@ -151,10 +151,10 @@ def _contexts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
         keys = batch.column(0).to_pylist()
         for low, high, raw, offsets in slices(batch.column(1)):
             words = Words.of(raw, offsets)
+            whole = windows(words.hashes(), n)
             for row in range(low, high):
                 first, last = words.first[row - low : row - low + 2]
                 part = [bytes(raw[s:e]) for s, e in zip(words.start[first:last].tolist(), words.end[first:last].tolist(), strict=True)]
-                whole = None
                 for run in batch.column(2)[row].as_py():
                     start, size = run["place"] >> _RUN_BITS, run["place"] & (1 << _RUN_BITS) - 1
                     if start + size + n - 1 > len(part):
@@ -162,8 +162,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
                     if not run["crowded"]:
                         pieces = [(run["anchor"], start, start + size + n - 1)]
                     else:
-                        whole = windows(words.hashes()[first:last], n) if whole is None else whole
-                        pieces = [(int(whole[i].view(np.int64)), i, i + n) for i in range(start, start + size)]
+                        named = whole[first + start : first + start + size].view(np.int64).tolist()
+                        pieces = [(name, i, i + n) for i, name in enumerate(named, start)]
                     for shard, begin, end in pieces:
                         for column, value in zip(out, (shard, keys[row], begin, b" ".join(part[begin:end])), strict=True):
                             column.append(value)
