@@ -100,3 +100,8 @@ def test_query_gives_the_articles(spark):
         blocks = [" ".join(unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1|br)>", article)]
         want = "\n".join(b for b in blocks if b)
         assert got[row["page_id"]] == want, SequenceMatcher(None, got[row["page_id"]], want).ratio()
+
+
+def test_classes_say_what_an_element_is():
+    assert plain("<div class='site-header'>top</div><article class='post comments-open'><div class='header'>Title</div><p>a</article>") == ["Title", "a"]
+    assert plain("<article>x</article><div id='c'><article class='comment'>no</article></div>") == ["x"]

@@ -71,7 +71,10 @@ def _beside(tag: str, rest: str, inside: bool) -> bool:
         return True
     if not rest or "=" not in rest or tag in ("body", "html", "main"):
         return False
-    return any(word in BESIDE for found in _NAMES.findall(rest) for word in _WORD.findall("".join(found).lower()))
+    words = {word for found in _NAMES.findall(rest) for word in _WORD.findall("".join(found).lower())}
+    if tag == "article":  # says in its class what it has (comments-open), so only what it is counts
+        return bool(words & {"comment", "reply"})
+    return bool(words & BESIDE) or ("header" in words and not inside)
 
 
 def lines(html: str) -> list[Line]:
