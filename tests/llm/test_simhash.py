@@ -78,3 +78,28 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400), (450, 500)], "a long, b long")
     rows = {r.node: r.root for r in simhash.components(edges).collect()}
     assert rows == {i: 0 for i in range(201)} | {400: 400, 450: 400, 500: 400}
+
+
+@pytest.mark.parametrize("crowded", [0, 5])
+def test_crowded_blocks_are_dealt_anew(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 12, dtype=np.uint64) * np.uint64(2)
+    flips = np.uint64(1) << rng.integers(0, 64, (500, 5)).astype(np.uint64)
+    kept = rng.random((500, 5)) < 0.5
+    values = np.unique(base[rng.integers(0, 12, 500)] ^ np.bitwise_xor.reduce(np.where(kept, flips, 0).astype(np.uint64), axis=1))
+    prints = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "print long")
+    got = {(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(prints).collect()}
+    assert all(0 < (a ^ b).bit_count() <= 4 for a, b in got)
+    want = linked({int(v): int(v) for v in values})
+    root = {int(v): int(v) for v in values}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in got:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    assert {v: find(v) for v in root} == want

@@ -6,7 +6,9 @@ Fingerprints
 
 Links
     Fingerprints that differ in at most ``distance`` bits. Of ``distance + 1`` blocks of bits, two such fingerprints share
-    one, so every fingerprint is dealt out once per block, turned so that the block leads; equal blocks meet in a task.
+    one, so every fingerprint is dealt out once per block, turned so that the block leads; equal blocks meet in a task. A
+    block shared by more than ``CROWDED`` fingerprints is dealt anew by the blocks of the remaining bits, of which such a
+    pair shares one too, so no pair is lost.
     There the sorted fingerprints are a binary trie whose nodes are ranges. The join walks pairs of nodes from the top,
     adds a differing bit where the two take different branches, and drops the pair once the budget is spent. Node pairs
     whose leaves are all linked to each other already are dropped too, so that a dense group of copies costs about its
@@ -42,6 +44,8 @@ FRONTIER = 1 << 17
 LEAVES = 64
 #: Fingerprints joined in one go (or one block's, if more).
 GATHER = 1 << 16
+#: Fingerprints that share a block, at most, before they are dealt anew by a block of their remaining bits.
+CROWDED = 1 << 18
 
 
 def _fingerprint(text: bytes, k: int) -> int:
@@ -81,9 +85,9 @@ def as_hex(print_column: str) -> Column:
     return F.lower(F.lpad(F.hex(print_column), 16, "0"))
 
 
-def blocks(distance: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of distance + 1 blocks that make up 64 bits."""
-    edges = [round(64 * i / (distance + 1)) for i in range(distance + 2)]
+def blocks(distance: int, width: int = 64) -> list[tuple[int, int]]:
+    """(first bit, bits) of distance + 1 blocks that make up ``width`` bits."""
+    edges = [round(width * i / (distance + 1)) for i in range(distance + 2)]
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
@@ -175,40 +179,54 @@ def _leaves(turned: np.ndarray, pairs: np.ndarray, distance: int) -> tuple[np.nd
     return x[near], y[near]
 
 
-def _turn(values: np.ndarray, first: int) -> np.ndarray:
-    """The bits turned left by first, so that a block beginning there leads; turning by 64 - first undoes it."""
-    first %= 64
-    return values if first == 0 else (values << np.uint64(first)) | (values >> np.uint64(64 - first))
+def _turn(values: np.ndarray, first: int, width: int = 64) -> np.ndarray:
+    """The lowest ``width`` bits turned left by first, so that a block beginning there leads them; turning by width - first
+    undoes it."""
+    if first % width == 0:
+        return values
+    mask = np.uint64((1 << width) - 1)
+    low = values & mask
+    return (values & ~mask) | (((low << np.uint64(first)) | (low >> np.uint64(width - first))) & mask)
+
+
+def _layouts(distance: int) -> list[tuple[int, int, int, int]]:
+    """(first bit, bits, first bit and bits of a block of the rest) by code. Codes that are multiples of distance + 2 have
+    no second block, those after them the blocks of the rest."""
+    out = []
+    for first, bits in blocks(distance):
+        out += [(first, bits, 0, 0), *((first, bits, *part) for part in blocks(distance, 64 - bits))]
+    return out
 
 
 def _join(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (block, turned): joins whole groups of equal leading bits, ``GATHER`` fingerprints at a time."""
-    layout, held_block, held_turned = blocks(distance), np.empty(0, np.int64), np.empty(0, np.uint64)
-
-    def joined(block: np.ndarray, turned: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for number in np.unique(block).tolist():
-            first, bits = layout[number]
-            own = turned[block == number]
-            lead = own >> np.uint64(64 - bits)
+    """Rows sorted by (code, turned): joins whole groups of equal leading bits, ``GATHER`` fingerprints at a time."""
+    layouts, held_code, held_turned = _layouts(distance), np.empty(0, np.int64), np.empty(0, np.uint64)
+    leading = np.array([bits + more for _, bits, _, more in layouts], np.uint64)
+
+    def joined(code: np.ndarray, turned: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for number in np.unique(code).tolist():
+            first, bits, second, more = layouts[number]
+            own = turned[code == number]
+            lead = own >> np.uint64(64 - bits - more)
             groups = np.concatenate([[0], np.flatnonzero(lead[1:] != lead[:-1]) + 1, [len(own)]])
-            x, y = trie_join(own, groups, 64 - bits, distance)
-            ends = [pa.array(_turn(own[i], 64 - first).view(np.int64)) for i in (x, y)]
-            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+            x, y = trie_join(own, groups, 64 - bits - more, distance)
+            width = 64 - bits
+            ends = [_turn(_turn(own[i], width - second, width), 64 - first) for i in (x, y)]
+            yield pa.RecordBatch.from_arrays([pa.array(e.view(np.int64)) for e in ends], ["a", "b"])
 
     for batch in batches:
-        block = np.concatenate([held_block, batch.column(0).to_numpy().astype(np.int64)])
+        code = np.concatenate([held_code, batch.column(0).to_numpy().astype(np.int64)])
         # sorted as signed numbers; with the leading bit flipped that is the order of the unsigned ones
         turned = np.concatenate([held_turned, batch.column(1).to_numpy().view(np.uint64) ^ np.uint64(1 << 63)])
-        held_block, held_turned = block, turned
-        if len(block) >= GATHER:
-            bits = np.array([b for _, b in layout], np.uint64)[block]
-            lead = turned >> (np.uint64(64) - bits)
-            cuts = np.flatnonzero((lead[1:] != lead[:-1]) | (block[1:] != block[:-1])) + 1
+        held_code, held_turned = code, turned
+        if len(code) >= GATHER:
+            lead = turned >> (np.uint64(64) - leading[code])
+            cuts = np.flatnonzero((lead[1:] != lead[:-1]) | (code[1:] != code[:-1])) + 1
             if len(cuts):
-                yield from joined(block[: cuts[-1]], turned[: cuts[-1]])
-                held_block, held_turned = block[cuts[-1] :], turned[cuts[-1] :]
-    if len(held_block):
-        yield from joined(held_block, held_turned)
+                yield from joined(code[: cuts[-1]], turned[: cuts[-1]])
+                held_code, held_turned = code[cuts[-1] :], turned[cuts[-1] :]
+    if len(held_code):
+        yield from joined(held_code, held_turned)
 
 
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -218,15 +236,29 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         value = F.col("print")
         if first:
             value = F.shiftleft(value, first).bitwiseOR(F.shiftrightunsigned(value, 64 - first))
-        parts.append(
-            F.struct(
-                F.lit(number).alias("block"),
-                value.bitwiseXOR(F.lit(-(1 << 63))).alias("turned"),
-                F.shiftrightunsigned(value, 64 - bits).alias("lead"),
-            )
-        )
+        code = F.lit(number * (distance + 2)).alias("code")
+        parts.append(F.struct(code, value.alias("turned"), F.shiftrightunsigned(value, 64 - bits).alias("lead")))
     turned = prints.select(F.explode(F.array(*parts)).alias("x")).select("x.*")
-    dealt = turned.repartition("block", "lead").sortWithinPartitions("block", "turned").select("block", "turned")
+    crowded = turned.groupBy("code", "lead").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).drop("n")
+    marked = turned.join(crowded.withColumn("crowded", F.lit(True)), ["code", "lead"], "left")
+
+    def again(code: int, first: int, bits: int, second: int, more: int) -> Column:
+        """A row of a crowded block, dealt by a block of its remaining bits."""
+        width, value = 64 - bits, F.col("turned")
+        low = value.bitwiseAND((1 << width) - 1)
+        if second:
+            low = F.shiftleft(low, second).bitwiseOR(F.shiftrightunsigned(low, width - second)).bitwiseAND((1 << width) - 1)
+        whole = F.shiftleft(F.shiftrightunsigned(value, width), width).bitwiseOR(low)
+        return F.struct(F.lit(code).alias("code"), whole.alias("turned"), F.shiftrightunsigned(whole, width - more).alias("lead"))
+
+    own = F.array(F.struct("code", "turned", "lead"))
+    layouts = _layouts(distance)
+    for code in range(0, len(layouts), distance + 2):
+        dealt = F.array(*[again(i, *layouts[i]) for i in range(code + 1, code + distance + 2)])
+        own = F.when(F.col("crowded") & (F.col("code") == code), dealt).otherwise(own)
+    spread = marked.select(F.explode(own).alias("x")).select("x.*")
+    sorted_ = spread.select("code", "lead", F.col("turned").bitwiseXOR(F.lit(-(1 << 63))).alias("turned"))
+    dealt = sorted_.repartition("code", "lead").sortWithinPartitions("code", "turned").select("code", "turned")
     return dealt.mapInArrow(lambda batches: _join(batches, distance), "a long, b long").distinct()
 
 
