@@ -5,6 +5,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstone.operators import queue as qu
 
@@ -13,15 +14,19 @@ SCHEMA = (
     "document_type string, issue_date date, value decimal(14,2), installments string, bank_account string, payment_means string, "
     "account_plan string, cost_centre string, competence string, note string, status string, sent_at date, error string"
 )
+OWNER = "12.312.312/0001-55"  # invented
+PLAIN = "12312312000155"
+#: Three installments: due at a time of day, numbered zero, not numbered.
 PARTS = [
-    {"numeroParcela": 1, "vencimento": "2026-10-05", "valor": 30333.20, "codigoDeBarras": "123"},
-    {"numeroParcela": None, "vencimento": "2026-10-19T00:00:00", "valor": 30333.20, "codigoDeBarras": None},
+    {"numeroParcela": 4, "vencimento": "2001-03-10T08:30:00", "valor": 70.05, "codigoDeBarras": None},
+    {"numeroParcela": 0, "vencimento": "2001-04-10", "valor": 20, "codigoDeBarras": "0777"},
+    {"numeroParcela": None, "vencimento": "2001-05-10", "valor": 9.95, "codigoDeBarras": ""},
 ]
 ROW = dict(
-    queue_key="k", kind="pagar", company_tax_id="38", party_name="AGRO LTDA", party_document="44.865.458/0001-89", title_number="38336",
-    document_type="nota fiscal", issue_date=date(2026, 9, 21), value=D("60666.40"), installments=json.dumps(PARTS), bank_account="MAIN",
-    payment_means="boleto", account_plan="Plan", cost_centre="Centre ", competence="09-2026", note="n", status="approved", sent_at=None,
-    error=None,
+    queue_key="k", kind="pagar", company_tax_id="55", party_name="Pottery Ltd", party_document=OWNER, title_number="7001",
+    document_type="duplicata", issue_date=date(2001, 2, 8), value=D("100.00"), installments=json.dumps(PARTS), bank_account="B2",
+    payment_means="dda", account_plan="Clay", cost_centre="Kiln", competence="02-2001", note="two crates", status="approved",
+    sent_at=None, error=None,
 )
 
 
@@ -44,38 +49,74 @@ def titles(spark):
     return build
 
 
-def test_payload(queue):
-    (row,) = qu.queue_payload(queue({})).collect()
-    (title,) = json.loads(row.payload)["titulos"]
-    assert row.problem is None
-    assert title["clienteFornecedor"] == "44865458000189"
-    assert title["detalhesClienteFornecedor"] == {"nome": "AGRO LTDA", "cpfCnpj": "44865458000189"}
-    assert [p["numeroParcela"] for p in title["parcelas"]] == [1, 2]
-    assert title["parcelas"][0] == {"vencimento": "2026-10-05", "valor": 30333.2, "numeroParcela": 1, "liquidacao": None, "codigoDeBarras": "123"}
-    assert title["parcelas"][1]["vencimento"] == "2026-10-19" and title["parcelas"][1]["codigoDeBarras"] is None
-    assert [line["valor"] for line in title["rateio"]] == [30333.2, 30333.2]
-    assert title["rateio"][0]["centroDeCusto"] == "Centre " and title["valor"] == 60666.4
-
-
-def test_payload_without_document_or_centre(queue):
-    changed = queue(dict(party_document=None, cost_centre=None), dict(party_document="123", party_name=None))
-    first, second = [json.loads(r.payload)["titulos"][0] for r in qu.queue_payload(changed).orderBy("queue_key").collect()]
-    assert first["clienteFornecedor"] == "AGRO LTDA" and "detalhesClienteFornecedor" not in first
-    assert "centroDeCusto" not in first["rateio"][0]
-    assert second["clienteFornecedor"] == ""
-
-
-def test_payload_problems(queue):
-    rows = queue(
-        dict(account_plan=None, competence=""), dict(payment_means="pix"), dict(document_type="recibo"), dict(installments="[]"),
-        dict(value=D(60000)), dict(value=D("60666.41")), dict(document_type=None), dict(installments=None),
-    )
-    found = [r.problem for r in qu.queue_payload(rows).orderBy("queue_key").collect()]
-    assert found == [
-        "missing fields: account_plan, competence", "payment means not accepted: pix", "document type not accepted: recibo",
-        "no installments", "installments sum to 60666.40, title value is 60000.00", None, "document type not accepted: null",
-        "no installments",
-    ]
+def outgoing(rows) -> list[dict]:
+    found = qu.queue_payload(rows).orderBy("queue_key").collect()
+    assert [r.problem for r in found] == [None] * len(found)
+    return [json.loads(r.payload)["titulos"][0] for r in found]
+
+
+def test_whole_document(queue):
+    (title,) = outgoing(queue({}))
+    numbers, days, values = (4, 2, 3), ("2001-03-10", "2001-04-10", "2001-05-10"), (70.05, 20.0, 9.95)
+    assert title == {
+        "cnpj": "55", "tipoTitulo": "pagar", "numeroTitulo": "7001", "clienteFornecedor": PLAIN, "emissao": "2001-02-08", "valor": 100.0,
+        "tipoDocumento": "duplicata", "contaBancaria": "B2", "meioPagamento": "dda", "historico": "two crates",
+        "detalhesClienteFornecedor": {"nome": "Pottery Ltd", "cpfCnpj": PLAIN},
+        "parcelas": [
+            {"vencimento": d, "valor": v, "numeroParcela": n, "liquidacao": None, "codigoDeBarras": c}
+            for n, d, v, c in zip(numbers, days, values, (None, "0777", ""), strict=True)
+        ],
+        "rateio": [
+            {"competencia": "02-2001", "planoDeContas": "Clay", "numeroParcela": n, "valor": v, "centroDeCusto": "Kiln"}
+            for n, v in zip(numbers, values, strict=True)
+        ],
+    }
+
+
+@pytest.mark.parametrize(
+    "change,party,detailed,centre",
+    [
+        ({"cost_centre": None}, PLAIN, True, False),
+        ({"cost_centre": ""}, PLAIN, True, False),
+        ({"party_document": "none"}, "Pottery Ltd", False, True),
+        ({"party_document": "123.123.123-55", "party_name": ""}, "12312312355", False, True),
+        ({"party_document": None, "party_name": None, "cost_centre": None}, "", False, False),
+    ],
+)
+def test_what_a_document_leaves_out(queue, change, party, detailed, centre):
+    (title,) = outgoing(queue(change))
+    assert title["clienteFornecedor"] == party
+    assert ("detalhesClienteFornecedor" in title, "centroDeCusto" in title["rateio"][0]) == (detailed, centre)
+
+
+def changed(at: int, **fields) -> str:
+    return json.dumps([part | fields if i == at else part for i, part in enumerate(PARTS)])
+
+
+@pytest.mark.parametrize(
+    "change,problem",
+    [
+        ({"bank_account": None, "competence": ""}, "missing fields: bank_account, competence"),
+        ({"payment_means": "barter"}, "payment means not accepted: barter"),
+        ({"document_type": "letter"}, "document type not accepted: letter"),
+        ({"document_type": None}, "document type not accepted: null"),
+        ({"installments": "[]"}, "no installments"),
+        ({"installments": None}, "no installments"),
+        ({"value": None}, "no title value"),
+        ({"installments": changed(1, valor=None)}, "an installment has no value"),
+        ({"installments": changed(2, vencimento=None)}, "an installment has no due date"),
+        ({"installments": changed(0, vencimento="")}, "an installment has no due date"),
+        ({"value": D("99.98")}, "installments sum to 100.00, title value is 99.98"),
+        ({"value": D("99.99")}, None),
+        ({"value": D("100.01")}, None),
+    ],
+)
+def test_what_is_not_sent(queue, titles, change, problem):
+    rows = queue(change)
+    (row,) = qu.queue_payload(rows).collect()
+    assert (row.problem, row.payload is None) == (problem, problem is not None)
+    (dispatched,) = qu.queue_dispatch(rows, titles(("Receita", "1", "1", False))).collect()
+    assert (dispatched.status, dispatched.error) == (("error", problem) if problem else ("ready", None))
 
 
 def test_presence_by_number_and_document(queue, titles):
@@ -84,7 +125,7 @@ def test_presence_by_number_and_document(queue, titles):
         dict(title_number="abc", party_document=None), dict(title_number="77"), dict(title_number="38", kind="receber"),
     )
     t = titles(
-        ("Despesa", "38-X", "44865458000189", None), ("Despesa", "xyz", "1", False), ("Despesa", "77", "44865458000189", True),
+        ("Despesa", "38-X", PLAIN, None), ("Despesa", "xyz", "1", False), ("Despesa", "77", PLAIN, True),
         ("Despesa", "38", "5", False),
     )
     found = [r.present for r in qu.already_present(rows, t).orderBy("queue_key").collect()]
@@ -93,7 +134,7 @@ def test_presence_by_number_and_document(queue, titles):
 
 def test_dispatch(queue, titles):
     rows = queue({}, dict(title_number="1"), dict(title_number="2", account_plan=None), dict(status="pending", title_number="1"))
-    found = [(r.status, r.error, r.payload is None) for r in qu.queue_dispatch(rows, titles(("Despesa", "1", "44865458000189", None))).orderBy("queue_key").collect()]
+    found = [(r.status, r.error, r.payload is None) for r in qu.queue_dispatch(rows, titles(("Despesa", "1", PLAIN, None))).orderBy("queue_key").collect()]
     assert found == [
         ("ready", None, False), ("confirmed", "already in finance, not sent", True), ("error", "missing fields: account_plan", True),
         ("pending", None, True),
@@ -106,7 +147,7 @@ def test_confirm(queue, titles):
         dict(status="sent", title_number="1", sent_at=as_of), dict(status="sent", sent_at=date(2001, 8, 28)),
         dict(status="sent", sent_at=date(2001, 8, 29)), dict(status="approved", sent_at=date(2001, 1, 1)),
     )
-    done = qu.queue_confirm(rows, titles(("Despesa", "1", "44865458000189", None)), as_of)
+    done = qu.queue_confirm(rows, titles(("Despesa", "1", PLAIN, None)), as_of)
     found = [(r.status, r.result) for r in done.orderBy("queue_key").collect()]
     assert found == [("confirmed", "confirmed"), ("error", "no sign"), ("sent", "no sign"), ("approved", None)]
     assert {r.result: r.rows for r in qu.count_results(done).collect()} == {"confirmed": 1, "no sign": 2, None: 1}
@@ -157,6 +198,24 @@ def test_queue_from_purchases(spark, unknown_branch):
     assert found["pagar:11:5"].competence == "08-2001"
 
 
+def test_times_of_sending_and_confirming(queue, titles):
+    """ready → sent gets sent_at, found in finance gets confirmed_at; other rows keep what they had."""
+    now = F.lit("2001-06-01 10:00:00")
+    rows = queue({}, dict(title_number="1"), dict(status="sent", title_number="1"), dict(status="sent")).drop("sent_at")
+    known = titles(("Despesa", "1", PLAIN, None))
+    dispatched = qu.queue_dispatch(rows, known, now)
+    found = [(r.status, str(r.confirmed_at)) for r in dispatched.orderBy("queue_key").collect()]
+    assert found == [("ready", "None"), ("confirmed", "2001-06-01 10:00:00"), ("sent", "None"), ("sent", "None")]
+    sent = qu.mark_sent(dispatched, rows.select("queue_key"), F.lit("2001-06-01 11:00:00"))
+    found = [(r.status, str(r.sent_at)) for r in sent.orderBy("queue_key").collect()]
+    assert found == [("sent", "2001-06-01 11:00:00"), ("confirmed", "None"), ("sent", "None"), ("sent", "None")]
+    done = qu.queue_confirm(sent, known, date(2001, 6, 2), now=F.lit("2001-06-02 09:00:00"))
+    found = [(r.status, str(r.confirmed_at)) for r in done.orderBy("queue_key").collect()]
+    assert found == [
+        ("sent", "None"), ("confirmed", "2001-06-01 10:00:00"), ("confirmed", "2001-06-02 09:00:00"), ("sent", "None"),
+    ]
+
+
 def test_enqueue_leaves_known_keys_alone(spark):
     queued = spark.createDataFrame([("a", "1", "discarded")], "queue_key string, title_number string, status string")
     new = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3")], "queue_key string, title_number string")

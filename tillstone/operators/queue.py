@@ -39,7 +39,6 @@ DOCUMENT_TYPES = (
     "previsão",
 )
 SALES_PLAN = "Vendas de Mercadorias"
-
 INSTALLMENTS = "array<struct<numeroParcela:int, vencimento:string, valor:decimal(18,2), codigoDeBarras:string>>"
 
 QUEUE_COLUMNS = [
@@ -50,6 +49,7 @@ QUEUE_COLUMNS = [
 
 
 def _one_installment(due: Column, value: Column) -> Column:
+    # Field names of an installment.
     one = F.struct(
         F.lit(1).alias("numeroParcela"),
         due.cast("string").alias("vencimento"),
@@ -106,15 +106,19 @@ def installment_array(
     )
 
 
-def history_mode(titles: DataFrame) -> DataFrame:
-    """Most frequent (plan, centre) in each supplier's past expense lines; ties by plan, then centre."""
+def history_mode(titles: DataFrame, suppliers: DataFrame | None = None) -> DataFrame:
+    """Most frequent (plan, centre) in each supplier's past expense lines; ties by plan, then centre.
+
+    ``suppliers`` (supplier_document): those asked for.  Documents of others are neither parsed nor shuffled.
+    """
     line = "Rateio array<struct<PlanoDeContas:string, CentroDeCusto:string>>"
+    spent = titles.where(F.col("type") == EXPENSE).select(
+        digits(F.col("party_document")).alias("supplier_document"), "payload"
+    )
+    if suppliers is not None:
+        spent = spent.join(suppliers.select("supplier_document").distinct(), "supplier_document", "left_semi")
     counted = (
-        titles.where(F.col("type") == EXPENSE)
-        .select(
-            digits(F.col("party_document")).alias("supplier_document"),
-            F.explode(F.from_json("payload", line)["Rateio"]).alias("line"),
-        )
+        spent.select("supplier_document", F.explode(F.from_json("payload", line)["Rateio"]).alias("line"))
         .groupBy(
             "supplier_document",
             F.col("line.PlanoDeContas").alias("account_plan"),
@@ -152,7 +156,7 @@ def queue_from_purchases(
     )
     return (
         installment_array(pending, payables)
-        .join(history_mode(titles), "supplier_document", "left")
+        .join(history_mode(titles, pending), "supplier_document", "left")
         .select(
             F.concat(F.lit(f"{PAYABLE}:"), "supplier_document", F.lit(":"), "invoice").alias("queue_key"),
             F.lit("purchase without title").alias("origin"),
@@ -201,6 +205,7 @@ def queue_from_slips(
         F.lit(company_tax_id).alias("company_tax_id"),
         F.coalesce(
             F.nullif(F.trim("trade_name"), F.lit("")),
+            # Fixed value: how a customer without a name is called.
             F.concat(F.lit("Cliente "), F.col("customer_number").cast("string")),
         ).alias("party_name"),
         F.nullif(digits(F.coalesce(F.col("customer_code").cast("string"), F.lit(""))), F.lit("")).alias(
@@ -232,11 +237,16 @@ def enqueue(queue: DataFrame, *new: DataFrame) -> DataFrame:
 
 
 def queue_payload(queue: DataFrame) -> DataFrame:
-    """Add ``payload`` (outgoing JSON) or ``problem`` (why there is none) to each row."""
+    """Add ``payload`` (outgoing JSON) or ``problem`` (why there is none) to each row.
+
+    No payload leaves an amount or a due date open: a missing one is a problem of its own, before sums are compared.
+    """
     required = ("account_plan", "bank_account", "payment_means", "competence")
     empty = {c: F.coalesce(F.col(c) == "", F.lit(True)) for c in required}
     missing = F.concat_ws(", ", *[F.when(empty[c], F.lit(c)) for c in required])
     parts = F.from_json("installments", INSTALLMENTS)
+    no_amount = F.exists("parts", lambda p: p["valor"].isNull())
+    no_date = F.exists("parts", lambda p: F.coalesce(p["vencimento"], F.lit("")) == "")
     total = F.round(F.aggregate("parts", F.lit(0).cast("decimal(28,2)"), lambda a, p: (a + p["valor"]).cast("decimal(28,2)")), 2)
     value = F.round(F.col("value"), 2).cast("decimal(18,2)")
 
@@ -248,6 +258,9 @@ def queue_payload(queue: DataFrame) -> DataFrame:
             F.concat(F.lit("document type not accepted: "), F.coalesce("document_type", F.lit("null"))),
         )
         .when(F.coalesce(F.size("parts") < 1, F.lit(True)), F.lit("no installments"))
+        .when(value.isNull(), F.lit("no title value"))
+        .when(F.coalesce(no_amount, F.lit(True)), F.lit("an installment has no value"))
+        .when(F.coalesce(no_date, F.lit(True)), F.lit("an installment has no due date"))
         .when(
             F.abs(total - value) > F.lit(Decimal("0.01")),
             F.concat(
@@ -328,8 +341,13 @@ def already_present(queue: DataFrame, titles: DataFrame) -> DataFrame:
 
     Numbers compare by their digits without leading zeros, so two all-letter numbers match each other.  The live
     titles are reduced to distinct (type, number, document), and "any document" is a second distinct set: two
-    joins with unique right sides, where one residual join would test every pair sharing the empty number.
+    joins with unique right sides, where one residual join would test every pair sharing the empty number.  Titles
+    are cut to the numbers the queue asks for first; a queue under the broadcast threshold costs them no shuffle.
     """
+    asked = queue.select(
+        F.when(F.col("kind") == PAYABLE, EXPENSE).otherwise(INCOME).alias("_type"),
+        document_number(F.col("title_number")).alias("_number"),
+    ).distinct()
     live = (
         titles.where(~F.coalesce("cancelled", F.lit(False)))
         .select(
@@ -337,6 +355,7 @@ def already_present(queue: DataFrame, titles: DataFrame) -> DataFrame:
             document_number(F.coalesce("number", F.lit(""))).alias("_number"),
             digits(F.coalesce("party_document", F.lit(""))).alias("_document"),
         )
+        .join(asked, ["_type", "_number"], "left_semi")
         .distinct()
     )
     any_document = live.select("_type", "_number").distinct().withColumn("_any", F.lit(True))
@@ -356,12 +375,18 @@ def already_present(queue: DataFrame, titles: DataFrame) -> DataFrame:
     )
 
 
-def queue_dispatch(queue: DataFrame, titles: DataFrame) -> DataFrame:
-    """Approved rows become confirmed (already in finance), error (with the reason) or ready; others stay."""
+def queue_dispatch(queue: DataFrame, titles: DataFrame, now: Column | None = None) -> DataFrame:
+    """Approved rows become confirmed (already in finance), error (with the reason) or ready; others stay.
+
+    With ``now``, rows confirmed here get it as ``confirmed_at``; ``mark_sent`` stamps the ready ones once sent.
+    """
     approved = F.col("status") == "approved"
     checked = queue_payload(already_present(queue, titles))
+    if now is not None:
+        checked = _stamp(checked, "confirmed_at", approved & F.col("present"), now)
     return checked.select(
-        *[c for c in queue.columns if c not in ("status", "error")],
+        *[c for c in queue.columns if c not in ("status", "error", *_stamped(now))],
+        *_stamped(now),
         F.when(~approved, F.col("status"))
         .when(F.col("present"), "confirmed")
         .when(F.col("problem").isNotNull(), "error")
@@ -375,14 +400,39 @@ def queue_dispatch(queue: DataFrame, titles: DataFrame) -> DataFrame:
     )
 
 
-def queue_confirm(queue: DataFrame, titles: DataFrame, as_of: date, wait_days: int = 2) -> DataFrame:
-    """Sent rows become confirmed when the title shows up, error when it has not after ``wait_days``."""
+def _stamp(rows: DataFrame, name: str, where: Column, now: Column) -> DataFrame:
+    before = F.col(name) if name in rows.columns else F.lit(None).cast("timestamp_ntz")
+    return rows.withColumn(name, F.when(where, now.cast("timestamp_ntz")).otherwise(before))
+
+
+def _stamped(now: Column | None) -> list[str]:
+    return [] if now is None else ["confirmed_at"]
+
+
+def mark_sent(queue: DataFrame, keys: DataFrame, now: Column) -> DataFrame:
+    """Ready rows whose key was taken by finance become sent, with the time; what else ``keys`` names stays."""
+    taken = keys.select("queue_key").distinct().withColumn("_taken", F.lit(True))
+    sent = (F.col("status") == "ready") & F.coalesce("_taken", F.lit(False))
+    rows = _stamp(queue.join(taken, "queue_key", "left"), "sent_at", sent, now)
+    return rows.withColumn("status", F.when(sent, "sent").otherwise(F.col("status"))).drop("_taken")
+
+
+def queue_confirm(
+    queue: DataFrame, titles: DataFrame, as_of: date, wait_days: int = 2, now: Column | None = None
+) -> DataFrame:
+    """Sent rows become confirmed when the title shows up, error when it has not after ``wait_days``.
+
+    With ``now``, rows confirmed here get it as ``confirmed_at``.
+    """
     sent = F.col("status") == "sent"
     late = F.col("sent_at") < F.lit(as_of - timedelta(days=wait_days))
     checked = already_present(queue, titles)
     lost = sent & ~F.col("present") & F.coalesce(late, F.lit(False))
+    if now is not None:
+        checked = _stamp(checked, "confirmed_at", sent & F.col("present"), now)
     return checked.select(
-        *[c for c in queue.columns if c not in ("status", "error")],
+        *[c for c in queue.columns if c not in ("status", "error", *_stamped(now))],
+        *_stamped(now),
         F.when(sent & F.col("present"), "confirmed").when(lost, "error").otherwise(F.col("status")).alias("status"),
         F.when(lost, f"not in finance after {wait_days} days").otherwise(F.col("error")).alias("error"),
         F.when(sent, F.when(F.col("present"), "confirmed").otherwise("no sign")).alias("result"),
