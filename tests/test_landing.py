@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -36,34 +37,79 @@ def test_jdbc_options_split_a_query():
         landing.jdbc_options("jdbc:x")
 
 
-def test_title_document(spark):
-    item = {
-        "ParcelaId": "p1", "Tipo": "Despesa", "Vencimento": "2026-10-05T00:00:00", "Liquidacao": "",
-        "ValorBruto": 30333.20, "Numero": "38336 \t ",
-        "DadosDoTitulo": {"NumeroDoTitulo": "9", "ClienteFornecedor": {"Nome": "ACME", "Inscricao": "1"}},
+def documents(spark, *items):
+    return spark.createDataFrame([(x if isinstance(x, str) else json.dumps(x),) for x in items], "payload string")
+
+
+TITLE = {"ParcelaId": "t-1", "Tipo": "Receita", "Vencimento": "2001-07-04"}
+
+
+def test_title_documents(spark):
+    full = TITLE | {
+        "Liquidacao": "2001-07-05T23:59:00", "Status": "Liquidado", "ValorBruto": 0.07, "Numero": " A-5\n", "Conta": "till", "Cancelada": True,
+        "MeioDePagamento": "cheque",
+        "DadosDoTitulo": {"NumeroDoTitulo": "never", "Empresa": {"Nome": "We", "Inscricao": "77"}, "ClienteFornecedor": {"Nome": "They"}},
     }
-    other = dict(item, Numero="", ParcelaId="p2")
-    df = spark.createDataFrame([(json.dumps(item),), (json.dumps(other),)], "payload string")
-    first, second = finance.flatten_titles(df).orderBy("installment_id").collect()
-    assert len(first) == 15
-    assert (first.number, second.number) == ("38336", "9")
-    assert first.settled_date is None and first.due_date == date(2026, 10, 5) and str(first.value) == "30333.20"
-    assert first.party_name == "ACME" and first.company is None and json.loads(first.payload)["ParcelaId"] == "p1"
-
-
-def test_card_document(spark):
-    item = {
-        "ParcelaId": "c1", "Vencimento": "2026-10-05", "ValorBruto": 10.0, "ValorLiquido": 9.7, "Taxa": 0.3, "Numero": 2,
-        "DadosDoCartao": {"CartaoId": "k", "Cancelado": "false", "ConciliadoComPDV": "FALSE", "TotalDeParcelas": "x",
-                          "Vendas": [{"NSU": 123, "DataDaVenda": "2026-09-05T10:00:00"}, {"NSU": 9}]},
+    numbered = TITLE | {"ParcelaId": "t-2", "Numero": "", "Liquidacao": "", "DadosDoTitulo": {"NumeroDoTitulo": "B6 \t"}, "Vencimento": ""}
+    first, second = finance.flatten_titles(documents(spark, full, numbered)).orderBy("installment_id").collect()
+    assert first[:-1] == (
+        "t-1", "Receita", date(2001, 7, 4), date(2001, 7, 5), "Liquidado", Decimal("0.07"), "A-5", "They", None, "We", "77", "till",
+        "cheque", True,
+    )
+    assert (second.number, second.due_date, second.settled_date, second.value) == ("B6", None, None, None)
+    assert json.loads(second.payload) == numbered
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        json.dumps(TITLE)[:-9],
+        "no document",
+        None,
+        TITLE | {"ValorBruto": 1234567890123.5},
+        TITLE | {"ValorBruto": "much"},
+        {k: v for k, v in TITLE.items() if k != "ParcelaId"},
+        TITLE | {"Tipo": None},
+        {k: v for k, v in TITLE.items() if k != "Vencimento"},
+    ],
+)
+def test_a_bad_title_document_stops_the_load(spark, bad):
+    rows = documents(spark, TITLE).union(spark.createDataFrame([(bad if isinstance(bad, str | None) else json.dumps(bad),)], "payload string"))
+    with pytest.raises(Exception, match="(?i)malformed|document without"):
+        finance.flatten_titles(rows).select("value", "number").collect()
+
+
+def test_card_documents(spark):
+    sale = {"NSU": 55, "DataDaVenda": "2001-06-01T18:00:00", "HoraDaVenda": "18:00"}
+    full = {
+        "ParcelaId": "k-1", "Vencimento": "2001-07-01", "ValorBruto": 50, "ValorLiquido": 48.5, "Taxa": 1.5, "Numero": "2", "Modalidade": "Debit",
+        "DadosDoCartao": {"CartaoId": "k", "Cancelado": "FALSE", "ConciliadoComPDV": "True", "TotalDeParcelas": "six", "Vendas": [sale, {}]},
     }
-    bare = {"ParcelaId": "c2", "Cancelada": True, "DadosDoCartao": {"Vendas": [], "ConciliadoComPDV": "maybe"}}
-    df = spark.createDataFrame([(json.dumps(item),), (json.dumps(bare),)], "payload string")
-    first, second = finance.flatten_cards(df).orderBy("installment_id").collect()
-    assert len(first) == 22
-    assert (first.nsu, first.installment, first.installments) == ("123", 2, None)
-    assert first.cancelled is False and first.reconciled is False and first.sale_date == date(2026, 9, 5)
-    assert second.cancelled is True and second.reconciled is None and second.nsu is None
+    bare = {"ParcelaId": "k-2", "Cancelada": True, "DadosDoCartao": {"Vendas": [], "ConciliadoComPDV": "perhaps", "Hora": "07:00"}}
+    first, second = finance.flatten_cards(documents(spark, full, bare)).orderBy("installment_id").collect()
+    assert (first.sale_date, first.sale_time, first.nsu, first.installment, first.installments) == (date(2001, 6, 1), "18:00", "55", 2, None)
+    assert (first.cancelled, first.reconciled, second.cancelled, second.reconciled) == (False, True, True, None)
+    assert (second.sale_date, second.sale_time, second.nsu) == (None, "07:00", None)
+    with pytest.raises(Exception, match="document without ParcelaId"):
+        finance.flatten_cards(documents(spark, {"Numero": "1"})).select("fee").collect()
+
+
+@pytest.mark.parametrize("payload", ['{"other": []}', '{"rows": [{"id": 1', '{"rows": null}', "[]", None])
+def test_a_page_without_its_list_stops_the_load(spark, payload):
+    pages = spark.createDataFrame([(1, '{"rows": []}'), (2, payload)], "page int, payload string")
+    with pytest.raises(Exception, match="page without the list 'rows'"):
+        landing.explode_pages(pages, "rows", "struct<id:bigint>", keep=["page"]).collect()
+
+
+def test_pages_with_lists_and_the_gate(spark):
+    pages = spark.createDataFrame([(1, '{"rows": []}'), (2, '{"rows": [{"id": 5}, {"id": 6}]}')], "page int, payload string")
+    rows = landing.explode_pages(pages, "rows", "struct<id:bigint>", keep=["page"])
+    assert sorted(tuple(r) for r in rows.collect()) == [(2, 5), (2, 6)]
+    announced = spark.createDataFrame([(2, 3)], "page int, total int")
+    wrong = landing.completeness_by_window(rows, announced, ["page"])
+    with pytest.raises(landing.IncompleteRead, match="rows: .*'landed': 2, 'announced': 3"):
+        landing.require_complete(wrong, "rows")
+    landing.require_complete(wrong.where("announced < 0"), "rows")
 
 
 def test_windows_are_contiguous(spark):
@@ -201,3 +247,45 @@ def test_stream_applies_window_sync_per_batch(spark, tmp_path, rows):
     microbatch.apply_batches(changes, step, str(tmp_path / "mark")).awaitTermination(60)
     assert rows(state["df"], "id", "v", "seen_at") == [("new", 5, 1)]
     assert datetime.now()  # the stream has stopped by itself
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    place = str(tmp_path / "state")
+    schema = "id int, value int, month string"
+    state = spark.createDataFrame([(1, 1, "a"), (2, 2, "a"), (3, 3, "b"), (4, 4, "c"), (5, 5, "d")], schema)
+    state.write.partitionBy("month").parquet(place)
+    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "state" / "month=a").glob("*.parquet")}
+    batch = spark.createDataFrame([(3, 30, "e"), (6, 60, "c"), (None, 0, "a")], schema)
+    scope = F.col("month") == "d"
+    touched = sync.touched_partitions(state, batch, "id", scope, "month")
+    after = sync.window_sync(state.withColumn("seen_at", F.lit(0)), batch, "id", scope, F.lit(1), [F.col("value").desc()])
+    assert sorted(sync.replace_partitions(after.drop("seen_at"), touched, place, "month")) == ["b", "c", "d", "e"]
+    found = sorted(tuple(r) for r in spark.read.parquet(place).select("id", "value", "month").collect())
+    assert found == [(1, 1, "a"), (2, 2, "a"), (3, 30, "e"), (4, 4, "c"), (6, 60, "c")]
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "state" / "month=a").glob("*.parquet")} == kept
+    counts = sync.sync_counts(state, batch, "id", scope).first()
+    assert tuple(counts) == (1, 1, 1)
+
+
+def test_additions_alone(spark):
+    target = spark.createDataFrame([(1, "x")], "k int, v string")
+    new = spark.createDataFrame([(1, "y"), (2, "z"), (2, "a")], "k int, v string")
+    added = sync.insert_absent(target, new, ["k"], [F.col("v").asc()], additions_only=True)
+    assert [tuple(r) for r in added.collect()] == [(2, "a")]
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    place = str(tmp_path / "published")
+    for n in range(4):
+        publish.publish_replace(spark.range(n + 1), "versioned", place)
+    assert len(publish.prune_versions(spark, "versioned", place, keep=2)) == 2
+    assert spark.table("versioned").count() == 4
+    with pytest.raises(RuntimeError):
+        publish.publish_replace(spark.range(2).union(spark.range(2)), "versioned", place, key="id")
+    assert len(list((tmp_path / "published" / "versioned").iterdir())) == 2
+
+
+def test_audit_names_the_source_version(spark, tmp_path):
+    place = str(tmp_path / "audit")
+    publish.run_loads(spark, {"a": lambda: 1, "b": lambda: 2}, place, versions={"a": "v7"})
+    assert {r.table_name: r.source_version for r in spark.read.parquet(place).collect()} == {"a": "v7", "b": None}

@@ -37,9 +37,20 @@ def _flag(c: Column) -> Column:
     return F.when(word.isin("true", "false"), word == "true")
 
 
+def _parsed(documents: DataFrame, schema: str, required: Sequence[str]) -> DataFrame:
+    """The documents as column ``d``.  One that is cut short, holds a value that its column can't, or lacks a required
+    field fails the task that meets it: half a document would land as if the rest were empty."""
+    d = documents.withColumn("d", F.from_json("payload", schema, {"mode": "FAILFAST"}))
+    for name in required:
+        message = F.concat(F.lit(f"document without {name}: "), F.coalesce(F.substring("payload", 1, 200), F.lit("null")))
+        # On the whole struct, not on the field: whatever column is read, the check is made.
+        d = d.withColumn("d", F.when(F.col(f"d.{name}").isNotNull(), F.col("d")).otherwise(F.raise_error(message)))
+    return d
+
+
 def flatten_titles(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Title installments from their JSON documents (column ``payload``, kept, as are the columns in ``keep``)."""
-    d = documents.withColumn("d", F.from_json("payload", TITLE_DOCUMENT))
+    d = _parsed(documents, TITLE_DOCUMENT, ("ParcelaId", "Tipo", "Vencimento"))
     title = F.col("d.DadosDoTitulo")
     return d.select(
         F.col("d.ParcelaId").alias("installment_id"),
@@ -63,7 +74,7 @@ def flatten_titles(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def flatten_cards(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Card installments from their JSON documents (column ``payload``, kept, as are the columns in ``keep``)."""
-    d = documents.withColumn("d", F.from_json("payload", CARD_DOCUMENT))
+    d = _parsed(documents, CARD_DOCUMENT, ("ParcelaId",))
     card = F.col("d.DadosDoCartao")
     sale = F.get(card["Vendas"], 0)
 

@@ -94,9 +94,16 @@ def land_pages(pages: DataFrame, location: str) -> None:
 
 
 def explode_pages(pages: DataFrame, list_key: str, item_schema: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Items of the list under ``list_key`` in each page's payload; a page without the list gives none."""
-    listed = F.from_json(F.get_json_object("payload", f"$.{list_key}"), f"array<{item_schema}>")
-    return pages.select(*keep, F.explode(listed).alias("item")).select(*keep, "item.*")
+    """Items of the list under ``list_key`` in each page's payload.
+
+    A page without the list (another shape, or cut short) fails the task that meets it: it holds rows that would
+    otherwise be missing without a trace.  An empty list gives none.
+    """
+    kind = f"array<{item_schema}>"
+    listed = F.from_json(F.get_json_object("payload", f"$.{list_key}"), kind, {"mode": "FAILFAST"})
+    message = F.concat(F.lit(f"page without the list '{list_key}': "), F.coalesce(F.substring("payload", 1, 200), F.lit("null")))
+    items = F.coalesce(listed, F.raise_error(message).cast(kind))
+    return pages.select(*keep, F.explode(items).alias("item")).select(*keep, "item.*")
 
 
 def first_list(payload: Column) -> Column:
@@ -146,6 +153,17 @@ def ids_to_refresh(
 # -- completeness ----------------------------------------------------------------------------------------------
 
 
+class IncompleteRead(RuntimeError):
+    """What landed is not what the source announced."""
+
+
+def require_complete(mismatches: DataFrame, what: str, shown: int = 20) -> None:
+    """Stop the load if one of the checks below found a mismatch.  Brings ``shown`` of its rows to the driver."""
+    found = mismatches.limit(shown).collect()
+    if found:
+        raise IncompleteRead(f"{what}: " + "; ".join(str(row.asDict()) for row in found))
+
+
 def completeness_by_window(landed: DataFrame, announced: DataFrame, window: Sequence[str]) -> DataFrame:
     """Windows whose landed row count differs from the announced ``total`` (no total announced: not checked)."""
     counted = landed.groupBy(*window).agg(F.count(F.lit(1)).alias("landed"))

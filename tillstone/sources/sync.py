@@ -1,6 +1,7 @@
 """Synchronising a stored table with what a source delivered.
 
-Plain files have no MERGE, so each operator computes the whole next state; publish it with ``publish_replace``.
+Plain files have no MERGE, so each operator computes the next state.  Publish it whole with ``publish_replace``, or only
+the partitions it changes with ``replace_partitions``.
 """
 
 from __future__ import annotations
@@ -51,15 +52,78 @@ def window_sync(
     return unread.join(fresh.select(key), key, "left_anti").select(*state.columns).unionByName(fresh)
 
 
+Read = tuple[DataFrame, Column]  # what a read of the source delivered, and the scope that it covered
+
+
+def sync_reads(
+    state: DataFrame, reads: Sequence[Read], key: str, seen_at: Column, batch_order: Sequence[Column]
+) -> DataFrame:
+    """Next state after several reads, each of a scope of its own, applied in order.
+
+    The order counts where scopes meet: a row that one read brought and a later read of its scope did not is deleted.
+    """
+    for batch, scope in reads:
+        state = window_sync(state, batch, key, scope, seen_at, batch_order)
+    return state
+
+
+def sync_counts(state: DataFrame, batch: DataFrame, key: str, scope: Column) -> DataFrame:
+    """What ``window_sync`` does to a state, as one row: inserted, replaced, deleted."""
+    delivered = batch.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_new", F.lit(True))
+    both = state.select(key, F.coalesce(scope, F.lit(False)).alias("_scope"), F.lit(True).alias("_old")).join(
+        delivered, key, "full"
+    )
+
+    def rows(where: Column) -> Column:
+        return F.count(F.when(where, 1))
+
+    old, new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    return both.agg(
+        rows(new & ~old).alias("inserted"),
+        rows(new & old).alias("replaced"),
+        rows(old & ~new & F.col("_scope")).alias("deleted"),
+    )
+
+
+def touched_partitions(state: DataFrame, batch: DataFrame, key: str, scope: Column, partition: str) -> DataFrame:
+    """Partitions (one column, as named) that a sync changes: those of the scope, of the rows delivered, and those that
+    rows of the same keys stood in before."""
+    keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
+    before = state.join(keys.withColumn("_new", F.lit(True)), key, "left")
+    left = before.where(F.coalesce(scope, F.lit(False)) | F.col("_new").isNotNull()).select(partition)
+    return left.union(batch.where(F.col(key).isNotNull()).select(partition)).distinct()
+
+
+def replace_partitions(state: DataFrame, touched: DataFrame, location: str, partition: str) -> list:
+    """Write the touched partitions of the next state over those at ``location``; the others' files stay as they are.
+
+    Partitions that have no rows any more are removed.  The list of touched partitions (months of a scope, say) goes to
+    the driver.  ``state`` must not read from ``location``: settle the touched part before.
+    """
+    spark = state.sparkSession
+    rows = state.join(touched, state[partition].eqNullSafe(touched[partition]), "left_semi")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(location)
+    wanted = [r[0] for r in touched.collect()]
+    kept = {r[0] for r in rows.select(partition).distinct().collect()}
+    for value in set(wanted) - kept:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/{partition}={name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return wanted
+
+
 def insert_absent(
     target: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     nulls_equal: bool = False,
+    additions_only: bool = False,
 ) -> DataFrame:
     """Add rows whose key is not there yet; existing rows are never changed.
 
+    With ``additions_only`` the result is the rows to append, so that a small batch need not rewrite the target.
+
     With ``nulls_equal`` NULL key parts equal each other.  Without it a row with a NULL key part conflicts with
     nothing, so all such rows enter; they bypass the de-duplication and cannot pile up in one group.
     """
@@ -80,7 +144,7 @@ def insert_absent(
     added = once.alias("n").join(present.alias("p"), same("n", "p"), "left_anti")
     if free is not None:
         added = added.unionByName(free)
-    return target.unionByName(added, allowMissingColumns=True)
+    return added if additions_only else target.unionByName(added, allowMissingColumns=True)
 
 
 def dim_sync(
