@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from conftest import SMALL
+from conftest import MIDDLE, SMALL
 from tillstone.functions.relational import dedup_latest
 from tillstone.plans.overlays import Sources
 
@@ -70,3 +70,53 @@ def test_tolerance_match_groups_are_bounded(spark):
     """The only windows run over (value, due date) rows already reduced to one per value and day."""
     plan = physical(contract.queries()["slip_tolerance_match"](spark, SMALL))
     assert plan.count("Window [") == 2 and "Join" in plan
+
+
+@pytest.fixture
+def small_limit(spark):
+    """Plan as if only settled lists and marts were small: 256 KB, far below the facts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def exchanges(plan: str) -> list[str]:
+    return re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+
+
+def test_small_dimensions_cost_the_facts_no_shuffle(spark, small_limit):
+    sources = Sources(spark, MIDDLE)
+    sources.title_document, sources.card_document  # noqa: B018 - landed before
+    for name in ("expenses", "title_rollup"):
+        keys = " ".join(exchanges(physical(contract.queries()[name](spark, MIDDLE))))
+        assert not re.search("account_plan|cost_centre|company_tax_id|company_digits", keys), (name, keys)
+
+
+def test_items_are_not_shuffled_by_department(spark, small_limit):
+    plan = physical(contract.queries()["allocate_to_items"](spark, SMALL))
+    assert not any("department" in keys for keys in exchanges(plan)), exchanges(plan)
+
+
+def test_opening_stock_joins_the_base_without_a_shuffle_of_its_own(spark, large):
+    """Above the stack of facts there is one exchange by month and product, for all of them."""
+    plan = physical(contract.queries()["item_base"](spark, SMALL))
+    above = exchanges(plan[: plan.index("Union")])
+    assert sum("month" in keys and "product_code" in keys for keys in above) == 1, above
+    # the positions, by far the larger side of the opening, reach the stack without any
+    positions = plan[plan.index("Union") :].split("position_date", 1)[1]
+    assert "Exchange" not in positions[: positions.index("Scan")]
+
+
+def test_card_history_is_cut_before_the_group(spark, large):
+    plan = physical(contract.queries()["card_reconciliation"](spark, SMALL))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(sale_date", plan)
+
+
+def test_a_queue_asks_for_its_titles_only(spark):
+    sources = Sources(spark, SMALL)
+    sources.title_document, sources.card_document  # noqa: B018 - landed before
+    for name in ("already_present", "queue_dispatch"):
+        plan = physical(contract.queries()[name](spark, SMALL))
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "party_document" in line and "titles" in line]
+        assert "LeftSemi" in plan and scans

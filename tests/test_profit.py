@@ -56,8 +56,10 @@ def _facts(spark):
     month = f"date'{MONTH}' as month, 1 as branch_id"
     none = spark.sql(f"select {month}, 1L as product_code where false")
     opening = spark.sql(
-        f"""select {month}, product_code, cast(q as decimal(18,4)) quantity, cast(c as decimal(18,4)) effective_cost,
-            month as stock_date, 'position' as origin
+        f"""select {month}, product_code, cast(q as decimal(18,4)) position_quantity, cast(c as decimal(18,4)) position_cost,
+            cast(null as decimal(18,4)) position_positive, month - interval 3 days as position_date, cast(null as boolean) won,
+            cast(null as bigint) inventory_id, cast(null as date) reference_date, cast(null as decimal(18,4)) counted_quantity,
+            cast(null as decimal(18,4)) counted_cost, cast(null as decimal(18,4)) counted_positive
             from (select date'{MONTH}' as month, 1 as branch_id, * from values (1L, 5, 0), (2L, 0, 3), (3L, 4, null), (4L, 1, 9) as t(product_code, q, c))"""
     )
     closing = opening.select(

@@ -24,6 +24,7 @@ COMPARISONS = {
     "le": operator.le,
 }
 PAGE_SIZE = 20_000
+MAX_SKIP = 1_000_000  # rows before a page, at most
 PREVIEW_MAX = 2_000
 
 
@@ -98,7 +99,12 @@ def page_by_offset(
     skip: int = 0,
     page_size: int = PAGE_SIZE,
 ) -> DataFrame:
-    """Rows ``skip`` … of an ordered result.  NULLs sort as in the served database; ``id`` settles ties."""
+    """Rows ``skip`` … of an ordered result.  NULLs sort as in the served database; ``id`` settles ties.
+
+    The rows up to the end of the page meet in one task, so ``skip`` has a limit; go further with ``page_by_key``.
+    """
+    if not 0 <= skip <= MAX_SKIP:
+        raise InvalidRequest(f"skip must be 0 to {MAX_SKIP}: page by key instead")
     keys = []
     for name, direction in order:
         if direction.lower() not in ("asc", "desc"):

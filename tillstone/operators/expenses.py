@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.functions.columns import MONEY, month_of, share, zero
+from tillstone.functions.columns import MONEY, QUANTITY, month_of, share, zero
 
 # Installment states that are not an expense, and the marker of income lines.
 DROPPED_TITLE_STATUS = ("Baixado", "Renegociados")
@@ -104,6 +106,23 @@ def department_sales(measures: DataFrame) -> DataFrame:
     return measures.groupBy("month", "branch_id", "department").agg(F.sum("total_sales").alias("department_sales"))
 
 
+def department_sales_of(
+    sales: DataFrame, present: Sequence[DataFrame], products: DataFrame, start: date, as_of: date
+) -> DataFrame:
+    """The same from the monthly sales alone: ``present`` are the (month, branch, product) that have an item, repeats
+    allowed, which adds the departments without sales.  Nothing of the item base is computed for it."""
+    key = ["month", "branch_id", "product_code"]
+    sold = sales.select(*key, (zero(F.col("internal_net"), "int") + zero(F.col("sold_net"), "int")).cast(QUANTITY).alias("total"))
+    kind = sold.schema["total"].dataType
+    rows = reduce(DataFrame.union, [sold, *[p.select(*key, F.lit(0).cast(kind).alias("total")) for p in present]])
+    return (
+        rows.where(F.col("month").between(F.lit(start), month_of(F.lit(as_of))))
+        .join(products.select("product_code", "department"), "product_code", "left")
+        .groupBy("month", "branch_id", "department")
+        .agg(F.sum("total").alias("department_sales"))
+    )
+
+
 def department_weights(by_department: DataFrame) -> DataFrame:
     """Share of each department in the sales of its branch and month, to 8 places; 0 when the total is not positive."""
     key = ["month", "branch_id"]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.functions.columns import MONEY, QUANTITY, month_of, zero
+from tillstone.operators.stock import opening_columns
 from tillstone.operators.stock import ITEM_MONTH
 
 EXTENDED = "decimal(24,4)"
@@ -153,13 +154,14 @@ def item_base(
     purchases: DataFrame,
     transformations: DataFrame,
     breakage: DataFrame,
-    opening: DataFrame,
+    openings: DataFrame,
     closing: DataFrame,
     butcher_department: str,
 ) -> DataFrame:
     """One row per active (month, branch, product) with every fact, zeros where a fact is missing.
 
-    The six facts are unique per key, so instead of a distinct key set and six joins they are stacked and
+    ``openings`` are the two sides of the opening stock (``opening_sides``): which one counts is settled in the same
+    grouping as everything else, so the stock is not shuffled for that first.  The facts are unique per key, so instead of a distinct key set and six joins they are stacked and
     grouped once, with fixed-width buffers so that it stays a hash aggregate.  ``active`` reproduces the key rule:
     a fact activates its key always, a stock row only with a quantity other than zero.
 
@@ -167,16 +169,8 @@ def item_base(
     joins on (month, product) all run on that partitioning.  A (month, product) holds at most six rows per branch.
     """
     stacked = [f.withColumn("active", F.lit(True)) for f in (sales, purchases, transformations, breakage)]
-    stacked.append(
-        opening.select(
-            *ITEM_MONTH,
-            F.col("quantity").alias("opening_quantity"),
-            F.col("effective_cost").alias("opening_stock_cost"),
-            F.col("stock_date").alias("opening_date"),
-            (F.col("origin") == "inventory").alias("opening_counted"),
-            (F.col("quantity") != 0).alias("active"),
-        )
-    )
+    sides = [c for c in openings.columns if c not in (*ITEM_MONTH, "inventory_id")]
+    stacked.append(openings.select(*ITEM_MONTH, *sides, F.lit(False).alias("active")))
     stacked.append(
         closing.select(
             *ITEM_MONTH,
@@ -192,8 +186,19 @@ def item_base(
         facts.repartition("month", "product_code")
         .groupBy(*ITEM_MONTH)
         .agg(F.bool_or("active").alias("active"), *[F.max(c).alias(c) for c in carried])
-        .where(F.col("active"))
-        .drop("active")
+    )
+    opening = opening_columns()
+    grouped = (
+        grouped.withColumns(
+            {
+                "opening_quantity": opening["quantity"],
+                "opening_stock_cost": opening["effective_cost"],
+                "opening_date": opening["stock_date"],
+                "opening_counted": opening["origin"] == "inventory",
+            }
+        )
+        .where(F.col("active") | (F.coalesce("opening_quantity", F.lit(0)) != 0))
+        .drop("active", *sides)
     )
     butcher = butcher_cost.where(F.col("unit_cost") > 0).select(
         F.make_date("year", "month_number", F.lit(1)).alias("month"),

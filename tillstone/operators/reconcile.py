@@ -342,9 +342,9 @@ def slip_reconciliation(
         F.col("value").alias("title_value"),
         F.col("party_name").alias("customer"),
     )
-    near = slip_tolerance_match(slips, titles, tolerance, match_days).select(
-        "slip_number", F.lit(True).alias("near")
-    )
+    # One row per number, however many slips carry it: a slip is never multiplied by its namesakes.
+    matched = slip_tolerance_match(slips, titles, tolerance, match_days).select("slip_number").distinct()
+    near = matched.withColumn("near", F.lit(True))
     joined = (
         slips.join(by_number, F.trim("slip_number") == F.col("number"), "left").join(near, "slip_number", "left")
     )
@@ -379,12 +379,32 @@ def slip_reconciliation(
 # -- purchases × titles ----------------------------------------------------------------------------------------
 
 
+def posting_companies(invoices: DataFrame, branches: DataFrame, as_of: date, posting_days: int = 30) -> DataFrame:
+    """Companies (company_digits) with an invoice entered lately: a row per company, so small by nature.
+
+    Settle it before use and the planner knows; from the query alone it would guess the size of all invoices.
+    """
+    return (
+        invoices.where(F.col("entered_at") >= days_before(as_of, posting_days))
+        .select("branch_code")
+        .distinct()
+        .join(branches, "branch_code")
+        .select(digits(F.col("tax_id")).alias("company_digits"))
+        .distinct()
+    )
+
+
 def title_rollup(
-    titles: DataFrame, invoices: DataFrame, branches: DataFrame, as_of: date, posting_days: int = 30
+    titles: DataFrame,
+    invoices: DataFrame,
+    branches: DataFrame,
+    as_of: date,
+    posting_days: int = 30,
+    posting: DataFrame | None = None,
 ) -> DataFrame:
     """Expense titles from their installments, then per (supplier, invoice) of the companies that post invoices.
 
-    Only the used JSON fields are parsed.  All aggregates combine map-side, so the group of titles without an id
+    ``posting``: the settled ``posting_companies``, if there is one.  Only the used JSON fields are parsed.  All aggregates combine map-side, so the group of titles without an id
     may be arbitrarily large.
     """
     parsed = titles.where((F.col("type") == EXPENSE) & ~F.coalesce("cancelled", F.lit(False))).withColumn(
@@ -419,13 +439,8 @@ def title_rollup(
             "supplier", "company", "value", "paid", "next_due", "merchandise",
         )
     )
-    posting = (
-        invoices.where(F.col("entered_at") >= days_before(as_of, posting_days))
-        .select("branch_code")
-        .distinct()
-        .join(branches, "branch_code")
-        .select(digits(F.col("tax_id")).alias("company_digits"))
-    )
+    if posting is None:
+        posting = posting_companies(invoices, branches, as_of, posting_days)
     return (
         per_title.where(F.col("invoice") != "")
         .join(posting, "company_digits", "left_semi")
@@ -452,6 +467,7 @@ def purchase_reconciliation(
     grace_days: int = 3,
     posting_days: int = 30,
     tolerance: Decimal = Decimal("1.00"),
+    posting: DataFrame | None = None,
 ) -> DataFrame:
     """Purchase invoices × payable titles per (supplier, invoice), classified.
 
@@ -473,7 +489,7 @@ def purchase_reconciliation(
         )
         .alias("l")
     )
-    booked = title_rollup(titles, invoices, branches, as_of, posting_days).alias("f")
+    booked = title_rollup(titles, invoices, branches, as_of, posting_days, posting).alias("f")
     names = (
         dedup_latest(
             titles.where((F.col("type") == EXPENSE) & F.col("party_document").isNotNull()).select(
@@ -564,7 +580,8 @@ def card_reconciliation(
     is_transfer = F.col("modality").ilike("%pix%")
     reported = (
         cards.where(
-            ~F.coalesce("cancelled", F.lit(False))
+            (F.col("sale_date") >= since)  # a group key, so cutting before the group-by changes no group that is kept
+            & ~F.coalesce("cancelled", F.lit(False))
             & (F.coalesce(F.get_json_object("payload", "$.Tipo"), F.lit(INCOME)) == INCOME)
         )
         .groupBy(F.col("sale_date").alias("date"), digits(F.col("company_tax_id")).alias("company"))

@@ -133,14 +133,13 @@ def _effective_cost() -> Column:
     return F.coalesce(F.when(F.col("cost") != 0, F.col("cost")), F.col("positive_cost"))
 
 
-def opening_stock(
+def opening_sides(
     inventory: DataFrame, validity: DataFrame, start: date, as_of: date, last_day: int = 5
 ) -> DataFrame:
-    """Opening stock per month: the early inventory if there is one, else the position before the month.
+    """Early inventories and positions before the month, stacked: at most one row of each per item and month.
 
-    The cost comes from the side that won, even when it is NULL there.  Both sides are unique per item and month,
-    so the full join is written as a stack grouped once (a hash aggregate, no sort of either side).  Each side's
-    cost already is the one in force on its stock date, so ``effective_cost`` needs no second as-of join.
+    Whoever groups the stack by item and month (``opening_stock``, or the item base together with its other facts)
+    then reads the opening off with ``opening_columns``.
     """
     counted = asof_cost(
         first_inventory_of_month(inventory, start, last_day), "reference_date", validity, probes_unique=True
@@ -153,22 +152,65 @@ def opening_stock(
         F.col("cost").alias("counted_cost"),
         F.col("positive_cost").alias("counted_positive"),
     )
-    before = position_before_month(validity, start, as_of)
-    stacked = before.unionByName(counted, allowMissingColumns=True)
+    before = position_before_month(validity, start, as_of).withColumnsRenamed(
+        {"quantity": "position_quantity", "cost": "position_cost", "positive_cost": "position_positive"}
+    )
+    return before.unionByName(counted, allowMissingColumns=True)
+
+
+def opening_columns() -> dict[str, Column]:
+    """The opening stock in terms of a grouped stack of ``opening_sides``.
+
+    The cost comes from the side that won, even when it is NULL there.  Each side's cost already is the one in force on
+    its stock date, so ``effective_cost`` needs no second as-of join.
+    """
+    won = F.col("won").isNotNull()
+    cost = F.when(won, F.col("counted_cost")).otherwise(F.col("position_cost"))
+    positive = F.when(won, F.col("counted_positive")).otherwise(F.col("position_positive"))
+    return {
+        "origin": F.when(won, "inventory").when(F.col("position_date").isNotNull(), "position"),
+        "stock_date": F.when(won, F.col("reference_date")).when(F.col("position_date").isNotNull(), F.date_sub("month", 1)),
+        "quantity": F.coalesce("counted_quantity", "position_quantity"),
+        "cost": cost,
+        "positive_cost": positive,
+        "effective_cost": F.coalesce(F.when(cost != 0, cost), positive),
+    }
+
+
+def opening_stock(
+    inventory: DataFrame, validity: DataFrame, start: date, as_of: date, last_day: int = 5
+) -> DataFrame:
+    """Opening stock per month: the early inventory if there is one, else the position before the month.
+
+    Both sides are unique per item and month, so the full join is written as a stack grouped once (a hash aggregate,
+    no sort of either side).
+    """
+    stacked = opening_sides(inventory, validity, start, as_of, last_day)
     sides = [c for c in stacked.columns if c not in ITEM_MONTH]
     joined = stacked.groupBy(*ITEM_MONTH).agg(*[F.max(c).alias(c) for c in sides])
-    won = F.col("won").isNotNull()
     return joined.select(
         *ITEM_MONTH,
-        F.when(won, F.lit("inventory")).otherwise(F.lit("position")).alias("origin"),
-        F.when(won, F.col("reference_date")).otherwise(F.date_sub("month", 1)).alias("stock_date"),
-        F.coalesce("counted_quantity", "quantity").alias("quantity"),
-        F.when(won, F.col("counted_cost")).otherwise(F.col("cost")).alias("cost"),
-        F.when(won, F.col("counted_positive")).otherwise(F.col("positive_cost")).alias("positive_cost"),
+        *[c.alias(name) for name, c in opening_columns().items()],
         "inventory_id",
-        F.col("quantity").alias("position_quantity"),
+        "position_quantity",
         "position_date",
-    ).withColumn("effective_cost", _effective_cost())
+    )
+
+
+def stocked_items(
+    inventory: DataFrame, validity: DataFrame, start: date, as_of: date, last_day: int = 5
+) -> DataFrame:
+    """(month, branch, product) with an opening or closing stock other than zero; may repeat.
+
+    Costs play no part, so no as-of join: positions give way to the few early inventories of the same item and month.
+    """
+    counted = first_inventory_of_month(inventory, start, last_day)
+    before = position_before_month(validity, start, as_of).where(F.col("quantity") != 0).select(*ITEM_MONTH)
+    return (
+        before.join(counted.select(*ITEM_MONTH), ITEM_MONTH, "left_anti")
+        .union(counted.where(F.col("counted_quantity") != 0).select(*ITEM_MONTH))
+        .union(closing_stock(validity, start, as_of).where(F.col("quantity") != 0).select(*ITEM_MONTH))
+    )
 
 
 def reference_branch_cost(validity: DataFrame, branch_id: int, start: date, as_of: date) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.operators import expenses as ex
@@ -20,6 +20,7 @@ from tillstone.operators import reconcile as rc
 from tillstone.operators import staging as st
 from tillstone.operators import stock as sk
 from tillstone.plans import overlays as ov
+from tillstone.operators.quality import dq_unique_combo, require
 from tillstone.plans.session import settled
 from tillstone.sources import finance
 
@@ -119,6 +120,8 @@ class Job:
 
     @cached_property
     def validity(self) -> DataFrame:
+        """The window over an item's days is bounded only if no day comes twice: checked before it is used."""
+        require(dq_unique_combo(self.daily, ["date", "branch_id", "product_code"]))
         return sk.stock_validity(self.daily)
 
     @cached_property
@@ -146,6 +149,14 @@ class Job:
     def opening(self) -> DataFrame:
         return sk.opening_stock(self.inventory, self.settled_validity, self.start, self.as_of)
 
+    @cached_property
+    def opening_sides(self) -> DataFrame:
+        return sk.opening_sides(self.inventory, self.settled_validity, self.start, self.as_of)
+
+    @cached_property
+    def stocked(self) -> DataFrame:
+        return sk.stocked_items(self.inventory, self.settled_validity, self.start, self.as_of)
+
     @cached_property
     def reference_cost(self) -> DataFrame:
         return sk.reference_branch_cost(self.settled_validity, REFERENCE_BRANCH, self.start, self.as_of)
@@ -207,7 +218,7 @@ class Job:
     def base(self) -> DataFrame:
         return pf.item_base(
             self.settled_products, self.settled_prices, self.butcher_cost, self.reference_cost, self.settled_sales,
-            self.monthly_purchases, self.monthly_transformations, self.monthly_breakage, self.opening,
+            self.monthly_purchases, self.monthly_transformations, self.monthly_breakage, self.opening_sides,
             self.closing_from_settled,
             BUTCHER_DEPARTMENT,
         )
@@ -224,20 +235,39 @@ class Job:
 
     @cached_property
     def department_sales(self) -> DataFrame:
-        """A few rows that the expense marts and the item shares both need, computed before either.
-
-        Settling these instead of the measures themselves costs a second, narrow pass (four columns, one join less)
-        and saves writing and reading back the widest table of the job.
-        """
-        return settled(ex.department_sales(self.measures), "department-sales")
+        """A few rows that the expense marts and the item shares both need, computed before either: from the monthly
+        sales and the keys of what else makes an item, without the item base."""
+        present = [self.monthly_purchases, self.monthly_transformations, self.monthly_breakage, self.stocked]
+        return settled(
+            ex.department_sales_of(self.settled_sales, present, self.settled_products, self.start, self.as_of),
+            "department-sales",
+        )
 
     # -- marts -------------------------------------------------------------------------------------------------
 
+    # Small by nature, but made from large tables, whose size the planner would take for theirs.
+    @cached_property
+    def settled_plan_group(self) -> DataFrame:
+        return settled(self.s.plan_group, "plan-group")
+
+    @cached_property
+    def settled_centre_department(self) -> DataFrame:
+        return settled(self.s.centre_department, "centre-department")
+
+    @cached_property
+    def settled_branches(self) -> DataFrame:
+        return settled(self.branches, "branches")
+
+    @cached_property
+    def settled_posting(self) -> DataFrame:
+        return settled(rc.posting_companies(self.s.purchase_header, self.s.branch, self.as_of), "posting")
+
     @cached_property
     def expenses(self) -> DataFrame:
         return ex.expenses(
-            self.title_allocations, self.card_allocations, self.s.plan_group, self.s.centre_department, self.branches
-        )
+            self.title_allocations, self.card_allocations, self.settled_plan_group, self.settled_centre_department,
+            self.settled_branches,
+        )
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -255,13 +285,18 @@ class Job:
     def expense_pivot(self) -> DataFrame:
         return ex.expense_pivot(self.expense_mart)
 
+    @cached_property
+    def settled_pivot(self) -> DataFrame:
+        """A row per month, branch and department.  Settled, it can be broadcast instead of shuffling the items."""
+        return settled(self.expense_pivot, "expense-pivot")
+
     @cached_property
     def weighted_items(self) -> DataFrame:
         return mg.item_weight(self.measures, self.department_sales)
 
     @cached_property
     def items_with_expenses(self) -> DataFrame:
-        return mg.allocate_to_items(self.weighted_items, self.expense_pivot)
+        return mg.allocate_to_items(self.weighted_items, self.settled_pivot)
 
     @cached_property
     def item_margin(self) -> DataFrame:
@@ -275,11 +310,15 @@ class Job:
 
     @cached_property
     def title_rollup(self) -> DataFrame:
-        return rc.title_rollup(self.titles, self.s.purchase_header, self.s.branch, self.as_of)
+        return rc.title_rollup(
+            self.titles, self.s.purchase_header, self.s.branch, self.as_of, posting=self.settled_posting
+        )
 
     @cached_property
     def invoices(self) -> DataFrame:
-        return rc.purchase_reconciliation(self.s.purchase_header, self.titles, self.s.branch, self.as_of)
+        return rc.purchase_reconciliation(
+            self.s.purchase_header, self.titles, self.s.branch, self.as_of, posting=self.settled_posting
+        )
 
     @cached_property
     def published_invoices(self) -> DataFrame:
@@ -321,6 +360,13 @@ class Job:
         What happens to a row follows from its number, so the SQL check can repeat it.
         """
         rows = self.queued
+
+        def without_first(field: str) -> Column:
+            """The installments, the first one lacking a field."""
+            parts = F.from_json("installments", qu.INSTALLMENTS)
+            cut = F.transform(parts, lambda p, i: p.withField(field, F.when(i > 0, p[field])))
+            return F.to_json(cut, {"ignoreNullFields": "false"})
+
         n = F.regexp_replace("title_number", r"\D", "").try_cast("bigint")
         last = n % 10
         return rows.withColumns(
@@ -328,8 +374,11 @@ class Job:
                 "account_plan": F.when(n % 9 != 0, F.col("account_plan")),
                 "payment_means": F.when(n % 8 == 0, F.lit("pix")).otherwise(F.col("payment_means")),
                 "document_type": F.when(n % 7 == 0, F.lit("recibo")).otherwise(F.col("document_type")),
-                "value": F.when(n % 5 == 0, F.col("value") + 1).otherwise(F.col("value")).cast("decimal(18,2)"),
-                "installments": F.when(n % 6 == 0, F.lit("[]")).otherwise(F.col("installments")),
+                "value": F.when(n % 17 != 0, F.when(n % 5 == 0, F.col("value") + 1).otherwise(F.col("value"))).cast("decimal(18,2)"),
+                "installments": F.when(n % 6 == 0, F.lit("[]"))
+                .when(n % 11 == 0, without_first("valor"))
+                .when(n % 13 == 0, without_first("vencimento"))
+                .otherwise(F.col("installments")),
                 "status": F.when(last < 5, "approved").when(last < 8, "sent").otherwise("pending"),
                 "sent_at": F.when((last >= 5) & (last < 8), F.date_sub(F.lit(self.as_of), (n % 4).cast("int"))),
                 "error": F.lit(None).cast("string"),

@@ -37,6 +37,7 @@ _CHAIN = """
     LEFT JOIN {product_section} c ON c.section_code = g.section_code"""
 
 _GROUPS = ("PESSOAS", "ADMINISTRATIVAS", "EMBALAGEM", "FINANCEIRA", "INTERVENIENCIA", "MANUTENCAO", "MARKETING", "OCUPACAO")
+_CASCADE = "occupancy people administrative packaging maintenance marketing intermediation".split()
 _AMOUNTS = (
     "bought_quantity bought_value purchase_tax internal_quantity internal_gross internal_net sold_quantity sold_gross "
     "sold_net sales_discount sales_tax transformed_quantity breakage_quantity breakage_value"
@@ -206,19 +207,26 @@ STEPS = {
         FROM (SELECT *, CAST(date_trunc('month', reference_date) AS DATE) AS month FROM {{o_inventory}}) x
         WHERE processed AND day(reference_date) <= 5 AND (counted OR zeroes_uncounted) AND reference_date >= {S}
         ORDER BY month, branch_id, product_code, reference_date, inventory_id""",
-    "o_opening": f"""
-        SELECT coalesce(i.month, p.month) AS month, coalesce(i.branch_id, p.branch_id) AS branch_id,
-               coalesce(i.product_code, p.product_code) AS product_code,
-               CASE WHEN i.product_code IS NULL THEN 'position' ELSE 'inventory' END AS origin,
-               CASE WHEN i.product_code IS NULL THEN p.month - 1 ELSE i.reference_date END AS stock_date,
-               coalesce(i.counted_quantity, p.quantity) AS quantity,
-               CASE WHEN i.product_code IS NULL THEN p.cost ELSE i.cost END AS cost, i.inventory_id,
-               p.quantity AS position_quantity, p.position_date
-        FROM (SELECT f.*, v.cost FROM {{o_first_inventory}} f LEFT JOIN {{o_validity}} v
-              ON v.branch_id = f.branch_id AND v.product_code = f.product_code AND v.date <= f.reference_date
-                 AND (v.next_date IS NULL OR v.next_date > f.reference_date)) i
-             FULL JOIN {{o_before_month}} p
-             ON p.month = i.month AND p.branch_id = i.branch_id AND p.product_code = i.product_code""",
+    "o_opening": """
+        WITH counted AS (
+            SELECT f.month, f.branch_id, f.product_code, 'inventory' AS origin, f.reference_date AS stock_date,
+                   f.counted_quantity AS quantity, f.inventory_id,
+                   (SELECT v.cost FROM {o_validity} v
+                    WHERE v.branch_id = f.branch_id AND v.product_code = f.product_code
+                          AND f.reference_date BETWEEN v.date AND coalesce(v.next_date - 1, DATE '9999-01-01')) AS cost
+            FROM {o_first_inventory} f
+        ), offered AS (
+            FROM counted
+            UNION ALL BY NAME
+            SELECT month, branch_id, product_code, 'position' AS origin, month - 1 AS stock_date, quantity, cost,
+                   quantity AS position_quantity, position_date
+            FROM {o_before_month}
+        )
+        SELECT month, branch_id, product_code, origin, stock_date, quantity, cost, inventory_id,
+               max(position_quantity) OVER same AS position_quantity, max(position_date) OVER same AS position_date
+        FROM offered
+        WINDOW same AS (PARTITION BY month, branch_id, product_code)
+        QUALIFY row_number() OVER (PARTITION BY month, branch_id, product_code ORDER BY origin) = 1""",
     "o_opening_cost": f"""
         SELECT o.*, {_best("o.cost", "v.positive_cost")} AS effective_cost
         FROM {{o_opening}} o LEFT JOIN {{o_validity}} v
@@ -231,12 +239,10 @@ STEPS = {
              ON v.branch_id = c.branch_id AND v.product_code = c.product_code AND v.date <= c.issued_at
                 AND (v.next_date IS NULL OR v.next_date > c.issued_at)""",
     "o_reference_cost": """
-        SELECT month, product_code,
-               max(positive_cost) FILTER (WHERE date <= month - 1 AND (next_date IS NULL OR next_date > month - 1))
-                   AS start_cost,
-               max(positive_cost) FILTER (WHERE next_date IS NULL OR next_date > month_end) AS end_cost
-        FROM {o_calendar} JOIN (SELECT * FROM {o_validity} WHERE branch_id = 1) v ON date <= month_end
-        GROUP BY month, product_code""",
+        SELECT month, product_code, arg_max(positive_cost, date) FILTER (WHERE date < month) AS start_cost,
+               arg_max(positive_cost, date) AS end_cost
+        FROM {o_validity} JOIN {o_calendar} ON date <= month_end
+        WHERE branch_id = 1 GROUP BY ALL""",
     # -- profitability -----------------------------------------------------------------------------------------
     "o_current_product": f"""
         SELECT x.product_code, p.internal_code, m.default_code, p.short_name, m.full_name, p.package,
@@ -282,19 +288,24 @@ STEPS = {
                       AND (r.source_section_id IS NULL
                            OR (r.rule_section = p.section AND r.rule_department = p.department))) x
         WHERE place = 1""",
-    "o_monthly_sales": f"""
-        SELECT CAST(date_trunc('month', issued_at) AS DATE) AS month, branch_id, product_code,
-               sum(quantity) FILTER (WHERE internal) AS internal_quantity,
-               sum(total) FILTER (WHERE internal) AS internal_gross, sum(net) FILTER (WHERE internal) AS internal_net,
-               sum(quantity) FILTER (WHERE NOT internal) AS sold_quantity,
-               sum(total) FILTER (WHERE NOT internal) AS sold_gross, sum(net) FILTER (WHERE NOT internal) AS sold_net,
-               sum(total - net) AS sales_discount, sum(tax) AS sales_tax
-        FROM (SELECT *, coalesce(customer_document, '') = '{ov.INTERCOMPANY}' AS internal,
-                     total - coalesce(item_discount, 0) - coalesce(payment_discount, 0) AS net,
-                     {_tax("icms", "pis", "cofins", "fcp")} AS tax
-              FROM {{o_sales}}
-              WHERE NOT sale_cancelled AND NOT item_cancelled AND invoice_status = 1 AND issued_at >= {S}) x
-        GROUP BY 1, 2, 3""",
+    "o_sold_lines": f"""
+        SELECT CAST(issued_at AS DATE) AS day, branch_id, product_code, quantity, total,
+               CASE WHEN customer_document = '{ov.INTERCOMPANY}' THEN 'in' ELSE 'out' END AS way,
+               coalesce(item_discount, 0) + coalesce(payment_discount, 0) AS off,
+               {_tax("icms", "pis", "cofins", "fcp")} AS tax
+        FROM {{o_sales}}
+        WHERE issued_at >= {S} AND invoice_status = 1 AND NOT (sale_cancelled OR item_cancelled)""",
+    "o_sold_days": """
+        SELECT day, branch_id, product_code, way, sum(quantity) AS quantity, sum(total) AS gross, sum(off) AS off,
+               sum(tax) AS tax
+        FROM {o_sold_lines} GROUP BY ALL""",
+    "o_monthly_sales": """
+        SELECT last_day(day) - (day(last_day(day)) - 1)::INT AS month, branch_id, product_code,
+               sum(if(way = 'in', quantity, NULL)) AS internal_quantity, sum(if(way = 'in', gross, NULL)) AS internal_gross,
+               sum(if(way = 'in', gross - off, NULL)) AS internal_net, sum(if(way = 'out', quantity, NULL)) AS sold_quantity,
+               sum(if(way = 'out', gross, NULL)) AS sold_gross, sum(if(way = 'out', gross - off, NULL)) AS sold_net,
+               sum(off) AS sales_discount, sum(tax) AS sales_tax
+        FROM {o_sold_days} GROUP BY ALL""",
     "o_monthly_purchases": f"""
         SELECT CAST(date_trunc('month', issued_at) AS DATE) AS month, branch_id, product_code,
                sum(CAST(quantity * units_per_box AS DECIMAL(24,4))) AS bought_quantity, sum(total) AS bought_value,
@@ -315,36 +326,37 @@ STEPS = {
         UNION SELECT month, branch_id, product_code FROM {o_monthly_breakage}
         UNION SELECT month, branch_id, product_code FROM {o_opening} WHERE quantity <> 0
         UNION SELECT month, branch_id, product_code FROM {o_closing} WHERE quantity <> 0""",
-    "o_base": f"""
-        SELECT k.month, k.branch_id, k.product_code, p.department, p.section, p.original_department, p.group_name,
-               p.subgroup_name, p.description, p.full_description, p.unit, p.active, r.entry_tax, r.exit_tax,
-               r.sale_price, coalesce(o.quantity, 0) AS opening_quantity,
-               CAST(coalesce(CASE WHEN p.department = 'LARGE' THEN a.unit_cost END, nullif(o.effective_cost, 0),
-                             x.start_cost, 0) AS DECIMAL(18,4)) AS opening_cost,
-               coalesce(o.stock_date, k.month) AS opening_date, o.origin AS opening_origin,
-               coalesce(f.quantity, 0) AS closing_quantity,
-               CAST(coalesce(CASE WHEN p.department = 'LARGE' THEN a.unit_cost END,
-                             nullif({_best("f.cost", "f.positive_cost")}, 0), x.end_cost, 0) AS DECIMAL(18,4))
-                   AS closing_cost,
-               f.position_date AS closing_date, {", ".join(f"coalesce({c}, 0) AS {c}" for c in _AMOUNTS)}
-        FROM {{o_keys}} k
-             LEFT JOIN {{o_products}} p ON p.product_code = k.product_code
-             LEFT JOIN {{o_prices}} r ON r.branch_id = k.branch_id AND r.product_code = k.product_code
-             LEFT JOIN (SELECT make_date(year, month_number, 1) AS month, product_code, unit_cost FROM {{o_butcher}}
-                        WHERE unit_cost > 0) a ON a.month = k.month AND a.product_code = k.product_code
-             LEFT JOIN {{o_reference_cost}} x ON x.month = k.month AND x.product_code = k.product_code
-             LEFT JOIN {{o_opening_cost}} o
-                  ON o.month = k.month AND o.branch_id = k.branch_id AND o.product_code = k.product_code
-             LEFT JOIN {{o_closing}} f
-                  ON f.month = k.month AND f.branch_id = k.branch_id AND f.product_code = k.product_code
-             LEFT JOIN {{o_monthly_purchases}} c
-                  ON c.month = k.month AND c.branch_id = k.branch_id AND c.product_code = k.product_code
-             LEFT JOIN {{o_monthly_sales}} v
-                  ON v.month = k.month AND v.branch_id = k.branch_id AND v.product_code = k.product_code
-             LEFT JOIN {{o_monthly_transformations}} t
-                  ON t.month = k.month AND t.branch_id = k.branch_id AND t.product_code = k.product_code
-             LEFT JOIN {{o_monthly_breakage}} q
-                  ON q.month = k.month AND q.branch_id = k.branch_id AND q.product_code = k.product_code""",
+    "o_item_facts": f"""
+        SELECT *, true AS moved FROM {{o_monthly_sales}}
+        UNION ALL BY NAME SELECT *, true AS moved FROM {{o_monthly_purchases}}
+        UNION ALL BY NAME SELECT *, true AS moved FROM {{o_monthly_transformations}}
+        UNION ALL BY NAME SELECT *, true AS moved FROM {{o_monthly_breakage}}
+        UNION ALL BY NAME
+        SELECT month, branch_id, product_code, quantity AS opening_quantity, effective_cost AS opening_best,
+               stock_date AS opening_date, origin AS opening_origin, quantity <> 0 AS moved FROM {{o_opening_cost}}
+        UNION ALL BY NAME
+        SELECT month, branch_id, product_code, quantity AS closing_quantity,
+               {_best("cost", "positive_cost")} AS closing_best, position_date AS closing_date, quantity <> 0 AS moved
+        FROM {{o_closing}}""",
+    "o_item_months": f"""
+        SELECT month, branch_id, product_code, {", ".join(f"coalesce(max({c}), 0) AS {c}" for c in _AMOUNTS)},
+               coalesce(max(opening_quantity), 0) AS opening_quantity, coalesce(max(closing_quantity), 0) AS closing_quantity,
+               nullif(max(opening_best), 0) AS opening_best, nullif(max(closing_best), 0) AS closing_best,
+               coalesce(max(opening_date), month) AS opening_date, max(closing_date) AS closing_date,
+               max(opening_origin) AS opening_origin
+        FROM {{o_item_facts}} GROUP BY month, branch_id, product_code HAVING bool_or(moved)""",
+    "o_base": """
+        SELECT i.* EXCLUDE (opening_best, closing_best), p.* EXCLUDE (product_code, section, department), p.section,
+               p.department, r.entry_tax, r.exit_tax, r.sale_price,
+               CAST(coalesce(meat.unit_cost, opening_best, own.start_cost, 0) AS DECIMAL(18,4)) AS opening_cost,
+               CAST(coalesce(meat.unit_cost, closing_best, own.end_cost, 0) AS DECIMAL(18,4)) AS closing_cost
+        FROM {o_item_months} i
+             LEFT JOIN {o_products} p USING (product_code)
+             LEFT JOIN {o_prices} r USING (branch_id, product_code)
+             LEFT JOIN {o_reference_cost} own USING (month, product_code)
+             LEFT JOIN {o_butcher} meat
+                  ON p.department = 'LARGE' AND meat.unit_cost > 0 AND meat.product_code = i.product_code
+                     AND meat.year = year(i.month) AND meat.month_number = month(i.month)""",
     "o_rates": """
         SELECT month,
                coalesce(CAST((SELECT sum(value) FROM {o_title_allocations} t
@@ -365,22 +377,27 @@ STEPS = {
                CAST(breakage_quantity AS DECIMAL(18,4)) * closing_cost AS restated_breakage
         FROM {o_base} b JOIN {o_rates} r ON r.month = b.month""",
     # -- marts -------------------------------------------------------------------------------------------------
+    "o_spent_lines": """
+        SELECT 'title' AS source, installment_id, company_tax_id, issue_date AS date, cost_centre, account_plan, party,
+               if(line_type = 'Receita', -1, 1) * value AS value
+        FROM {o_title_allocations}
+        WHERE installment_type = 'Despesa' AND status NOT IN ('Baixado', 'Renegociados')
+              AND account_plan IN (SELECT account_plan FROM {plan_group})
+        UNION ALL
+        SELECT 'card', installment_id, company_tax_id, sale_date, cost_centre, account_plan,
+               acquirer || ' [' || brand || ']', value
+        FROM {o_card_allocations} WHERE line_type = 'Despesa' AND status <> 'Baixados'""",
     "o_expenses": """
-        SELECT x.source, x.installment_id, b.branch_id, x.company_tax_id, x.date, year(x.date) AS year,
-               month(x.date) AS month_number, x.expense_group, x.account_plan, x.party, x.cost_centre, d.department,
-               d.department IS NOT NULL AS direct, coalesce(x.value, 0) AS value
-        FROM (SELECT 'title' AS source, t.installment_id, t.company_tax_id, t.issue_date AS date, t.cost_centre,
-                     t.account_plan, t.party, CASE WHEN t.line_type = 'Receita' THEN -t.value ELSE t.value END AS value,
-                     g.expense_group
-              FROM {o_title_allocations} t JOIN {plan_group} g ON g.account_plan = t.account_plan
-              WHERE t.installment_type = 'Despesa' AND t.status NOT IN ('Baixado', 'Renegociados')
-              UNION ALL
-              SELECT 'card', c.installment_id, c.company_tax_id, c.sale_date, c.cost_centre, c.account_plan,
-                     c.acquirer || ' [' || c.brand || ']', c.value, g.expense_group
-              FROM {o_card_allocations} c LEFT JOIN {plan_group} g ON g.account_plan = c.account_plan
-              WHERE c.line_type = 'Despesa' AND c.status <> 'Baixados') x
-             LEFT JOIN {o_branch} b ON b.tax_id_formatted = x.company_tax_id
-             LEFT JOIN {centre_department} d ON d.cost_centre = x.cost_centre""",
+        WITH maps AS (
+            SELECT (SELECT map_from_entries(list((account_plan, expense_group))) FROM {plan_group}) AS groups,
+                   (SELECT map_from_entries(list((cost_centre, department))) FROM {centre_department}) AS departments,
+                   (SELECT map_from_entries(list((tax_id_formatted, branch_id))) FROM {o_branch}) AS branches
+        )
+        SELECT source, installment_id, branches[company_tax_id] AS branch_id, company_tax_id, date, year(date) AS year,
+               month(date) AS month_number, groups[account_plan] AS expense_group, account_plan, party, cost_centre,
+               departments[cost_centre] AS department, departments[cost_centre] IS NOT NULL AS direct,
+               coalesce(value, 0) AS value
+        FROM {o_spent_lines}, maps""",
     "o_weights": """
         SELECT month, branch_id, department,
                CAST(CASE WHEN total > 0 THEN round(CAST(sales AS DOUBLE) / CAST(total AS DOUBLE), 8) ELSE 0 END
@@ -417,32 +434,23 @@ STEPS = {
     + ", ".join(f"coalesce(CAST({g.lower()} AS DOUBLE), 0) * item_share AS cost_{g.lower()}" for g in _GROUPS)
     + " FROM {o_weighted} w LEFT JOIN {o_expense_pivot} d ON d.month = w.month AND d.branch_id = w.branch_id"
     + " AND d.department IS NOT DISTINCT FROM w.department",
-    "o_item_margin": """
-        SELECT strftime(month, '%Y-%m') || '-' || branch_id || '-' || product_code AS id, year(month) AS year,
-               month(month) AS month_number, b.branch_name, x.*,
-               CASE WHEN total_sales <> 0 THEN CAST(gross_margin AS DOUBLE) / CAST(total_sales AS DOUBLE) ELSE 0 END
-                   AS gross_margin_pct,
-               CASE WHEN total_sales <> 0 THEN margin_after_tax / CAST(total_sales AS DOUBLE) ELSE 0 END
-                   AS margin_after_tax_pct,
-               CASE WHEN total_sales <> 0 THEN margin_after_breakage / CAST(total_sales AS DOUBLE) ELSE 0 END
-                   AS margin_after_breakage_pct,
-               margin_after_breakage - cost_ocupacao AS margin_occupancy,
-               margin_after_breakage - cost_ocupacao - cost_pessoas AS margin_people,
-               margin_after_breakage - cost_ocupacao - cost_pessoas - cost_administrativas AS margin_administrative,
-               margin_after_breakage - cost_ocupacao - cost_pessoas - cost_administrativas - cost_embalagem
-                   AS margin_packaging,
-               margin_after_breakage - cost_ocupacao - cost_pessoas - cost_administrativas - cost_embalagem
-                   - cost_manutencao AS margin_maintenance,
-               margin_after_breakage - cost_ocupacao - cost_pessoas - cost_administrativas - cost_embalagem
-                   - cost_manutencao - cost_marketing AS margin_marketing,
-               margin_after_breakage - cost_ocupacao - cost_pessoas - cost_administrativas - cost_embalagem
-                   - cost_manutencao - cost_marketing - cost_interveniencia AS margin_intermediation,
+    # the cascade: after breakage, one cost after the other comes off, in this order
+    "o_margin_steps": """
+        SELECT *, [cost_ocupacao, cost_pessoas, cost_administrativas, cost_embalagem, cost_manutencao, cost_marketing,
+                   cost_interveniencia] AS steps,
+               margin_after_tax - CAST(restated_breakage AS DOUBLE) AS margin_after_breakage,
+               list_reduce([cost_pessoas, cost_administrativas, cost_embalagem, cost_financeira, cost_interveniencia,
+                            cost_manutencao, cost_marketing, cost_ocupacao], lambda a, b: a + b) AS cost_total
+        FROM {o_items_with_expenses}""",
+    "o_item_margin": f"""
+        SELECT strftime(x.month, '%Y-%m') || '-' || x.branch_id || '-' || x.product_code AS id, year(x.month) AS year,
+               month(x.month) AS month_number, b.branch_name, x.* EXCLUDE (steps),
+               {", ".join(f"coalesce(CAST({m} AS DOUBLE) / nullif(CAST(total_sales AS DOUBLE), 0), 0) AS {m}_pct"
+                          for m in ("gross_margin", "margin_after_tax", "margin_after_breakage"))},
+               {", ".join(f"list_reduce([margin_after_breakage] || steps[:{k}], lambda a, b: a - b) AS margin_{name}"
+                          for k, name in enumerate(_CASCADE, 1))},
                margin_after_breakage - cost_total AS margin_final
-        FROM (SELECT *, margin_after_tax - CAST(restated_breakage AS DOUBLE) AS margin_after_breakage,
-                     cost_pessoas + cost_administrativas + cost_embalagem + cost_financeira + cost_interveniencia
-                         + cost_manutencao + cost_marketing + cost_ocupacao AS cost_total
-              FROM {o_items_with_expenses}) x
-             LEFT JOIN (SELECT branch_id AS b_id, branch_name FROM {o_branch}) b ON b_id = x.branch_id""",
+        FROM {{o_margin_steps}} x LEFT JOIN {{o_branch}} b USING (branch_id)""",
     # -- served views and reconciliations ----------------------------------------------------------------------
     "o_stock_position": f"""
         SELECT CAST(x.branch_code AS BIGINT) * 1000000000 + x.product_code AS id,
@@ -499,30 +507,34 @@ STEPS = {
              LEFT JOIN (SELECT DISTINCT ON (number) * FROM {{o_titles}} WHERE type = 'Receita'
                         ORDER BY number, cancelled NULLS LAST, seen_at DESC NULLS FIRST, installment_id) f
              ON f.number = trim(b.slip_number)
-             LEFT JOIN {{o_tolerance}} s ON s.slip_number = b.slip_number""",
+             LEFT JOIN (SELECT DISTINCT slip_number FROM {{o_tolerance}}) s ON s.slip_number = b.slip_number""",
     "o_title": """
-        SELECT payload->>'$.DadosDoTitulo.TituloId' AS title_id,
-               regexp_replace(max(party_document), '[^0-9]', '', 'g') AS supplier_digits,
-               ltrim(regexp_replace(max(coalesce(payload->>'$.DadosDoTitulo.NumeroDoTitulo', number)), '[^0-9]', '',
-                                    'g'), '0') AS invoice,
-               max(party_name) AS supplier, max(company) AS company,
-               regexp_replace(max(company_tax_id), '[^0-9]', '', 'g') AS company_digits,
-               CAST(left(max(payload->>'$.DadosDoTitulo.Emissao'), 10) AS DATE) AS issue_date,
-               max(CAST(payload->>'$.DadosDoTitulo.Valor' AS DECIMAL(18,2))) AS value,
-               bool_and(settled_date IS NOT NULL) AS paid,
-               min(due_date) FILTER (WHERE settled_date IS NULL) AS next_due,
-               bool_or(len(list_filter(coalesce(CAST(json_extract(payload, '$.Rateio[*].PlanoDeContas') AS VARCHAR[]), []),
-                                       lambda p : p ILIKE '%Compra de Mercadorias%')) > 0) AS merchandise
-        FROM {o_titles} WHERE type = 'Despesa' AND NOT coalesce(cancelled, false) GROUP BY 1""",
+        WITH documents AS (
+            SELECT t.*, json_transform(payload, '{"DadosDoTitulo": {"TituloId": "VARCHAR", "NumeroDoTitulo": "VARCHAR",
+                                                   "Emissao": "VARCHAR", "Valor": "DECIMAL(18,2)"}}').DadosDoTitulo AS d
+            FROM {o_titles} t WHERE type = 'Despesa' AND cancelled IS DISTINCT FROM true
+        ), goods AS (
+            SELECT DISTINCT installment_id FROM {o_title_lines}
+            WHERE contains(lower(line->>'$.PlanoDeContas'), 'compra de mercadorias')
+        )
+        SELECT d.TituloId AS title_id, max(party_document) AS supplier_document,
+               max(coalesce(d.NumeroDoTitulo, number)) AS number, max(party_name) AS supplier, max(company) AS company,
+               max(company_tax_id) AS company_tax_id, max(d.Emissao)[:10]::DATE AS issue_date, max(d.Valor) AS value,
+               count(*) = count(settled_date) AS paid, min(if(settled_date IS NULL, due_date, NULL)) AS next_due,
+               bool_or(g.installment_id IS NOT NULL) AS merchandise
+        FROM documents t LEFT JOIN goods g USING (installment_id) GROUP BY d.TituloId""",
     "o_title_rollup": f"""
+        WITH posting AS (
+            FROM {{branch}} SEMI JOIN (FROM {{purchase_header}} WHERE entered_at >= {A} - 30) USING (branch_code)
+        ), booked AS (
+            SELECT *, {_digits("supplier_document")} AS supplier_digits, {_digits("company_tax_id")} AS tax_id,
+                   ltrim({_digits("number")}, '0') AS invoice
+            FROM {{o_title}}
+        )
         SELECT supplier_digits, invoice, max(supplier) AS supplier, max(company) AS company,
                min(issue_date) AS issue_date, sum(value) AS value, count(*) AS titles, bool_and(paid) AS paid,
                min(next_due) AS next_due, bool_or(merchandise) AS merchandise
-        FROM {{o_title}}
-        WHERE invoice <> '' AND company_digits IN
-              (SELECT b.tax_id FROM {{purchase_header}} h JOIN {{branch}} b ON b.branch_code = h.branch_code
-               WHERE h.entered_at >= {A} - 30)
-        GROUP BY 1, 2""",
+        FROM booked SEMI JOIN posting USING (tax_id) WHERE invoice > '' GROUP BY supplier_digits, invoice""",
     "o_invoices": f"""
         SELECT coalesce(l.doc, f.supplier_digits) || '-' || coalesce(l.nf, f.invoice) AS id,
                coalesce(f.supplier, n.party_name) AS supplier, coalesce(l.doc, f.supplier_digits) AS supplier_document,
@@ -546,33 +558,35 @@ STEPS = {
                         ORDER BY doc, seen_at DESC NULLS FIRST, installment_id) n
              ON n.doc = coalesce(l.doc, f.supplier_digits)
         WHERE l.doc IS NOT NULL OR (f.merchandise AND f.issue_date >= {A} - 120)""",
+    "o_card_facts": f"""
+        SELECT CAST(r.issued_at AS DATE) AS date, b.tax_id AS company, b.trade_name AS store, 'till' AS side,
+               CASE WHEN form_code = 90 THEN 'transfer' WHEN form_code BETWEEN 20 AND 79 THEN 'card' END AS way,
+               amount - coalesce(change, 0) AS amount, NULL AS fee, NULL AS card_id, NULL AS open
+        FROM {{till_payment}} JOIN {{till_receipt}} r USING (receipt_id) LEFT JOIN {{branch}} b USING (branch_code)
+        WHERE r.cancelled = 0
+        UNION ALL
+        SELECT sale_date, {_digits("company_tax_id")}, NULL, 'acquirer',
+               CASE WHEN contains(lower(modality), 'pix') THEN 'transfer' WHEN modality IS NOT NULL THEN 'card' END,
+               gross_value, fee, card_id, reconciled IS DISTINCT FROM true
+        FROM {{o_cards}} WHERE NOT cancelled AND coalesce(payload->>'$.Tipo', 'Receita') = 'Receita'""",
+    "o_card_sums": f"""
+        SELECT date, company, max(store) AS store, count(*) FILTER (side = 'acquirer') AS reported,
+               coalesce(sum(amount) FILTER (side = 'till' AND way = 'card'), 0) AS erp_card,
+               coalesce(sum(amount) FILTER (side = 'till' AND way = 'transfer'), 0) AS erp_transfer,
+               coalesce(sum(amount) FILTER (side = 'acquirer' AND way = 'card'), 0) AS finance_card,
+               coalesce(sum(amount) FILTER (side = 'acquirer' AND way = 'transfer'), 0) AS finance_transfer,
+               sum(fee) AS fees, nullif(count(DISTINCT card_id), 0) AS card_sales, count(*) FILTER (open) AS unreconciled
+        FROM {{o_card_facts}} WHERE date >= {K} - 45 GROUP BY date, company""",
     "o_card_days": f"""
-        SELECT CAST(coalesce(l.date, f.date) AS VARCHAR) || '-' || coalesce(l.company, f.company) AS id,
-               coalesce(l.date, f.date) AS date, coalesce(l.store, l.company, f.company) AS store,
-               coalesce(l.card, 0) AS erp_card, coalesce(f.card, 0) AS finance_card,
-               coalesce(f.card, 0) - coalesce(l.card, 0) AS card_difference,
-               coalesce(l.transfer, 0) AS erp_transfer, coalesce(f.transfer, 0) AS finance_transfer, f.fees,
-               f.card_sales, f.unreconciled,
-               CASE WHEN coalesce(l.date, f.date) >= {K} - 1 THEN 'waiting for acquirer'
-                    WHEN f.date IS NULL AND coalesce(l.card, 0) > 0 THEN 'no acquirer file'
-                    WHEN abs(coalesce(f.card, 0) - coalesce(l.card, 0)) <= 1 THEN 'ok'
-                    WHEN coalesce(f.card, 0) < coalesce(l.card, 0) THEN 'finance below ERP'
-                    ELSE 'finance above ERP' END AS outcome
-        FROM (SELECT CAST(r.issued_at AS DATE) AS date, b.tax_id AS company, max(b.trade_name) AS store,
-                     sum(p.amount - coalesce(p.change, 0)) FILTER (WHERE p.form_code BETWEEN 20 AND 79) AS card,
-                     sum(p.amount - coalesce(p.change, 0)) FILTER (WHERE p.form_code = 90) AS transfer
-              FROM {{till_payment}} p JOIN {{till_receipt}} r ON r.receipt_id = p.receipt_id
-                   LEFT JOIN {{branch}} b ON b.branch_code = r.branch_code
-              WHERE r.cancelled = 0 AND r.issued_at >= {K} - 45 GROUP BY 1, 2) l
-             FULL JOIN
-             (SELECT sale_date AS date, {_digits("company_tax_id")} AS company,
-                     sum(gross_value) FILTER (WHERE modality NOT ILIKE '%pix%') AS card,
-                     sum(gross_value) FILTER (WHERE modality ILIKE '%pix%') AS transfer, sum(fee) AS fees,
-                     count(DISTINCT card_id) AS card_sales,
-                     count(*) FILTER (WHERE NOT coalesce(reconciled, false)) AS unreconciled
-              FROM {{o_cards}} WHERE NOT cancelled AND coalesce(payload->>'$.Tipo', 'Receita') = 'Receita'
-              GROUP BY 1, 2) f ON f.date = l.date AND f.company = l.company
-        WHERE coalesce(l.date, f.date) >= {K} - 45""",
+        SELECT date || '-' || company AS id, date, coalesce(store, company) AS store, erp_card, finance_card,
+               finance_card - erp_card AS card_difference, erp_transfer, finance_transfer, fees,
+               if(reported > 0, coalesce(card_sales, 0), NULL) AS card_sales,
+               if(reported > 0, unreconciled, NULL) AS unreconciled,
+               CASE WHEN date >= {K} - 1 THEN 'waiting for acquirer'
+                    WHEN reported = 0 AND erp_card > 0 THEN 'no acquirer file'
+                    ELSE CASE WHEN abs(finance_card - erp_card) <= 1 THEN 'ok'
+                              ELSE 'finance ' || if(finance_card < erp_card, 'below', 'above') || ' ERP' END END AS outcome
+        FROM {{o_card_sums}}""",
     "o_latest_order": """
         SELECT c.c_custkey AS customer, l.o_orderkey AS title, CAST(l.o_orderdate AS DATE) AS ordered_on
         FROM {customer} c JOIN LATERAL (SELECT o_orderkey, o_orderdate FROM {orders} o WHERE o.o_custkey = c.c_custkey
@@ -606,11 +620,13 @@ STEPS = {
         SELECT 'pagar:' || i.supplier_document || ':' || i.invoice AS queue_key, 'purchase without title' AS origin,
                i.outcome AS reason, 'pagar' AS kind, '{ov.COMPANY_TAX_ID}' AS company_tax_id, i.supplier AS party_name,
                i.supplier_document AS party_document, i.invoice AS title_number, 'nota fiscal' AS document_type,
-               i.issue_date, i.value, p.parts, p.parts_total, p.last_due, '{ov.BANK_ACCOUNT}' AS bank_account,
+               i.issue_date, i.value, p.parts, p.parts_total, p.last_due, p.part_list, '{ov.BANK_ACCOUNT}' AS bank_account,
                'boleto' AS payment_means, h.account_plan, h.cost_centre, strftime(i.issue_date, '%m-%Y') AS competence,
                'Purchase invoice ' || i.invoice || ' without a title in finance' AS note
         FROM {{o_pending_invoices}} i
-             JOIN (SELECT supplier_document, invoice, count(*) AS parts, sum(value) AS parts_total, max(due) AS last_due
+             JOIN (SELECT supplier_document, invoice, count(*) AS parts, sum(value) AS parts_total, max(due) AS last_due,
+                          list({{'n': n, 'due': CAST(due AS DATE), 'value': CAST(value AS DECIMAL(18,2)), 'code': barcode}}
+                               ORDER BY n) AS part_list
                    FROM {{o_installments}} GROUP BY 1, 2) p USING (supplier_document, invoice)
              LEFT JOIN {{o_history}} h ON h.supplier_document = i.supplier_document""",
     "o_slip_queue": f"""
@@ -620,7 +636,9 @@ STEPS = {
                     ELSE trim(c.trade_name) END AS party_name,
                nullif({_digits("coalesce(c.customer_code, '')")}, '') AS party_document, b.id AS title_number,
                'boleto' AS document_type, b.issue_date, b.value, 1 AS parts, b.value AS parts_total,
-               b.due_date AS last_due, '{ov.BANK_ACCOUNT}' AS bank_account, 'boleto' AS payment_means,
+               b.due_date AS last_due,
+               [{{'n': 1, 'due': b.due_date, 'value': CAST(b.value AS DECIMAL(18,2)), 'code': NULL}}] AS part_list,
+               '{ov.BANK_ACCOUNT}' AS bank_account, 'boleto' AS payment_means,
                'Vendas de Mercadorias' AS account_plan, '{ov.COST_CENTRE}' AS cost_centre,
                strftime(b.issue_date, '%m-%Y') AS competence,
                'Slip ' || b.id || ' (bank number ' || b.bank_number || ') without a title in finance' AS note
@@ -632,24 +650,28 @@ STEPS = {
         SELECT * REPLACE (CASE WHEN n % 9 <> 0 THEN account_plan END AS account_plan,
                           CASE WHEN n % 8 = 0 THEN 'pix' ELSE payment_means END AS payment_means,
                           CASE WHEN n % 7 = 0 THEN 'recibo' ELSE document_type END AS document_type,
-                          CAST(CASE WHEN n % 5 = 0 THEN value + 1 ELSE value END AS DECIMAL(18,2)) AS value,
+                          CAST(CASE WHEN n % 17 = 0 THEN NULL WHEN n % 5 = 0 THEN value + 1 ELSE value END AS DECIMAL(18,2))
+                              AS value,
                           CASE WHEN n % 6 = 0 THEN 0 ELSE parts END AS parts),
+               n % 11 = 0 AS no_amount, n % 13 = 0 AND n % 11 <> 0 AS no_date,
                CASE WHEN n % 10 < 5 THEN 'approved' WHEN n % 10 < 8 THEN 'sent' ELSE 'pending' END AS status,
                CASE WHEN n % 10 BETWEEN 5 AND 7 THEN {A} - CAST(n % 4 AS INT) END AS sent_at
         FROM (SELECT *, CAST(title_number AS BIGINT) AS n FROM {{o_queue}}) x""",
     "o_payload": """
-        SELECT queue_key, kind, title_number, party_document, n, status, sent_at, value, parts, parts_total, last_due,
-               CASE WHEN account_plan IS NULL THEN 'missing fields: account_plan'
+        SELECT *, CASE WHEN account_plan IS NULL THEN 'missing fields: account_plan'
                     WHEN payment_means <> 'boleto' THEN 'payment means not accepted: ' || payment_means
                     WHEN document_type NOT IN ('nota fiscal', 'boleto')
                          THEN 'document type not accepted: ' || document_type
                     WHEN parts = 0 THEN 'no installments'
+                    WHEN value IS NULL THEN 'no title value'
+                    WHEN no_amount THEN 'an installment has no value'
+                    WHEN no_date THEN 'an installment has no due date'
                     WHEN abs(parts_total - value) > 0.01
                          THEN 'installments sum to ' || CAST(parts_total AS DECIMAL(18,2)) || ', title value is ' || value
                     END AS problem,
                CASE WHEN length(party_document) IN (11, 14) THEN party_document ELSE coalesce(party_name, '') END
                    AS party,
-               length(party_document) IN (11, 14) AND party_name IS NOT NULL AS has_details
+               CASE WHEN length(party_document) IN (11, 14) THEN party_name || '/' || party_document END AS details
         FROM {o_reviewed}""",
     "o_finance_after": """
         SELECT type, number, party_document, cancelled FROM {o_titles}
@@ -756,19 +778,64 @@ def _repeated(table: str, *names: str) -> str:
     return f"SELECT count(*) FROM (SELECT 1 FROM {table}{kept} GROUP BY {key} HAVING count(*) > 1) c"
 
 
+# Reads of the finance system applied one after the other: kind, read, and the scope the read covered.
+_READS = [
+    ("income", "due", f"due BETWEEN {A} - 180 AND {A} + 120"),
+    ("expense", "due", f"due BETWEEN {A} - 180 AND {A} + 120"),
+    ("expense", "issue", f"issued BETWEEN {A} - 120 AND {A}"),
+    ("card", "sale", f"issued BETWEEN {A} - 45 AND {A}"),
+]
+STEPS |= {"o_sync_before": "SELECT id, kind, issued, due, value, seen_at FROM {finance_state}"}
+_STEP_NAMES = ["before", "first", "second", "third", "last"]
+for _was, _now, (_kind, _read, _scope) in zip(_STEP_NAMES, _STEP_NAMES[1:], _READS, strict=False):
+    STEPS[f"o_read_{_now}"] = f"""
+        SELECT id, kind, issued, due, value, {A} AS seen_at FROM {{finance_read}}
+        WHERE read = '{_read}' AND kind = '{_kind}' AND id IS NOT NULL
+        QUALIFY delivery = max(delivery) OVER (PARTITION BY id)"""
+    STEPS[f"o_sync_{_now}"] = f"""
+        SELECT * FROM {{o_sync_{_was}}} o ANTI JOIN {{o_read_{_now}}} n USING (id) WHERE NOT (kind = '{_kind}' AND {_scope})
+        UNION ALL SELECT * FROM {{o_read_{_now}}}"""
+    STEPS[f"o_count_{_now}"] = f"""
+        SELECT {_STEP_NAMES.index(_now)} AS step, inserted, replaced, before + inserted - after AS deleted
+        FROM (SELECT count(*) AS inserted FROM {{o_read_{_now}}} ANTI JOIN {{o_sync_{_was}}} USING (id)),
+             (SELECT count(*) AS replaced FROM {{o_read_{_now}}} SEMI JOIN {{o_sync_{_was}}} USING (id)),
+             (SELECT count(*) AS before FROM {{o_sync_{_was}}}), (SELECT count(*) AS after FROM {{o_sync_{_now}}})"""
+STEPS |= {
+    "o_sync_counts": " UNION ALL ".join(f"SELECT * FROM {{o_count_{name}}}" for name in _STEP_NAMES[1:]),
+    "o_touched": f"""
+        SELECT DISTINCT strftime(issued, '%Y-%m') AS month FROM (
+            SELECT issued FROM {{o_read_third}}
+            UNION ALL SELECT issued FROM {{finance_state}}
+            WHERE id IN (SELECT id FROM {{o_read_third}}) OR (kind = 'expense' AND {_READS[2][2]})) x""",
+    "o_register": f"""
+        SELECT c_custkey AS code, c_name AS name,
+               if(o.code IS NOT NULL AND o.name = c_name, o.touched_at, {A}) AS touched_at
+        FROM {{customer}} LEFT JOIN {{old_customer}} o ON o.code = c_custkey""",
+}
+
 # Steps that belong to one query each.
 STEPS |= {
     "o_payload_columns": """
-        SELECT queue_key, problem, CASE WHEN problem IS NULL THEN party END AS party,
-               CASE WHEN problem IS NULL THEN value END AS value,
-               CASE WHEN problem IS NULL THEN 1 END AS first_number,
-               coalesce(problem IS NULL AND has_details, false) AS has_details,
-               CASE WHEN problem IS NULL THEN parts END AS lines
-        FROM {o_payload}""",
+        SELECT queue_key, NULL AS problem, company_tax_id, kind, title_number, party, details,
+               CAST(issue_date AS VARCHAR) AS issued, value, document_type, bank_account, payment_means,
+               left(note, 500) AS history,
+               list_aggregate(list_transform(part_list, lambda p: p.n || '|' || p.due || '|' || p.value || '|' || coalesce(p.code, '')),
+                              'string_agg', ';') AS parts,
+               list_aggregate(list_transform(part_list, lambda p: competence || '|' || account_plan || '|' || p.n || '|'
+                                             || p.value || '|' || coalesce(cost_centre, '')), 'string_agg', ';') AS lines
+        FROM {o_payload} WHERE problem IS NULL
+        UNION ALL BY NAME SELECT queue_key, problem FROM {o_payload} WHERE problem IS NOT NULL""",
     "o_confirm_counts": "SELECT result, count(*) AS rows FROM {o_confirm} WHERE result IS NOT NULL GROUP BY 1",
+    # what was queued before stays as it was, under whatever status; the rest is added once, as pending
     "o_enqueued": """
-        SELECT *, CASE WHEN CAST(title_number AS BIGINT) % 4 = 0 THEN 'discarded' ELSE 'pending' END AS status
-        FROM {o_purchase_queue}""",
+        WITH before AS (
+            SELECT *, if(CAST(title_number AS BIGINT) % 4 = 0, 'discarded', 'pending') AS status
+            FROM {o_purchase_queue} WHERE CAST(title_number AS BIGINT) % 2 = 0
+        ), added AS (
+            SELECT DISTINCT ON (queue_key) *, 'pending' AS status FROM {o_purchase_queue} q
+            WHERE NOT EXISTS (SELECT 1 FROM before b WHERE b.queue_key = q.queue_key) ORDER BY queue_key, title_number
+        )
+        FROM before UNION ALL FROM added""",
     "o_filter_compare": """
         SELECT * FROM {o_served}
         WHERE value >= 100000 AND value < 400000.5 AND (settled IS NULL OR status = 'O') AND customer > 10""",

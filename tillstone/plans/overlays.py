@@ -249,7 +249,7 @@ OVERLAYS = {
                CASE WHEN l_tax >= 0.03 THEN CAST(l_quantity AS DECIMAL(18,4)) END AS store_quantity,
                CASE WHEN l_tax >= 0.02 AND l_linenumber % 2 = 0 THEN CAST(1 AS DECIMAL(18,4)) END AS deposit_quantity,
                {_GROSS} AS cost
-        FROM {{lineitem}} WHERE day(l_shipdate) <= 8 AND {_RATE.format("discount")} >= 0.09""",
+        FROM {{lineitem}}""",
     "inventory_header": """
         SELECT branch_code, inventory, min(l_shipdate) AS updated_at,
                min(CASE WHEN l_returnflag <> 'N' THEN l_shipdate END) AS processed_at,
@@ -261,7 +261,7 @@ OVERLAYS = {
         SELECT {_ITEM_BRANCH} AS branch_code, l_orderkey AS number, l_partkey AS product_code,
                CAST(l_quantity AS DECIMAL(18,4)) AS product_quantity, l_partkey + 1 AS output_code,
                CAST(l_quantity AS DECIMAL(18,4)) AS output_quantity, l_shipdate
-        FROM {{lineitem}} WHERE {_RATE.format("discount")} = 0.05""",
+        FROM {{lineitem}}""",
     "transformation_header": """
         SELECT branch_code, number, min(l_shipdate) AS transformed_at, max(l_shipdate) AS processed_at
         FROM {transformation_line} GROUP BY branch_code, number""",
@@ -365,6 +365,7 @@ OVERLAYS = {
             "ValorBruto": _plain("value"),
             "Numero": _quoted("number"),
             "Conta": "'\"MAIN\"'",
+            "MeioDePagamento": _quoted("CASE WHEN issue_date > due_date - 40 THEN 'boleto' ELSE 'dda' END"),
             "Cancelada": _plain("cancelled"),
             "DadosDoTitulo": _json(
                 TituloId=_quoted("title_id"),
@@ -504,6 +505,20 @@ OVERLAYS = {
         FROM (SELECT *, 1 AS n FROM {{orders}}
               UNION ALL SELECT *, 2 AS n FROM {{orders}} WHERE o_orderkey % 10 = 0) x
         WHERE o_orderkey % 3 <> 1""",
+    "finance_state": f"""
+        SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN 'income' WHEN 1 THEN 'expense' ELSE 'card' END AS kind,
+               CAST(o_orderdate AS DATE) AS issued, CAST(o_orderdate AS DATE) + 25 AS due,
+               {_money("o_totalprice")} AS value, DATE '2001-08-30' AS seen_at
+        FROM {{orders}} WHERE o_orderkey % 4 <> 1""",
+    "finance_read": f"""
+        SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey END AS id, read,
+               CASE o_orderkey % 3 WHEN 0 THEN 'income' WHEN 1 THEN 'expense' ELSE 'card' END AS kind,
+               CAST(o_orderdate AS DATE) AS issued, CAST(o_orderdate AS DATE) + 25 AS due,
+               CAST({_money("o_totalprice")} + n AS DECIMAL(18,2)) AS value, n AS delivery
+        FROM (SELECT *, 'due' AS read, 1 AS n FROM {{orders}} WHERE o_orderkey % 3 <> 2 AND o_orderkey % 4 <> 2
+              UNION ALL SELECT *, 'due', 2 FROM {{orders}} WHERE o_orderkey % 3 <> 2 AND o_orderkey % 20 = 0
+              UNION ALL SELECT *, 'issue', 3 FROM {{orders}} WHERE o_orderkey % 3 = 1 AND o_orderkey % 5 <> 2
+              UNION ALL SELECT *, 'sale', 4 FROM {{orders}} WHERE o_orderkey % 3 = 2 AND o_orderkey % 4 <> 3) x""",
     "old_customer": """
         SELECT c_custkey AS code, CASE WHEN c_custkey % 5 = 0 THEN c_name || ' old' ELSE c_name END AS name,
                c_mktsegment AS segment, DATE '2001-01-01' AS touched_at

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,6 +178,47 @@ def _window_sync(j: Job) -> DataFrame:
     )
 
 
+def _finance_reads(j: Job) -> list[sync.Read]:
+    """Titles by due date, type by type, then expenses by issue date, then cards by sale date."""
+    rows, kind = j.s.finance_read, F.col("kind")
+    due, issued = sync.between_days("due", j.as_of, 180, 120), sync.between_days("issued", j.as_of, 120)
+    sold = sync.between_days("issued", j.as_of, 45)
+    return [
+        (rows.where((F.col("read") == "due") & (kind == "income")), (kind == "income") & due),
+        (rows.where((F.col("read") == "due") & (kind == "expense")), (kind == "expense") & due),
+        (rows.where(F.col("read") == "issue"), (kind == "expense") & issued),
+        (rows.where(F.col("read") == "sale"), (kind == "card") & sold),
+    ]
+
+
+def _sync_reads(j: Job) -> DataFrame:
+    return sync.sync_reads(j.s.finance_state, _finance_reads(j), "id", F.lit(j.as_of), [F.col("delivery").desc()])
+
+
+def _sync_counts(j: Job) -> DataFrame:
+    state, counts = j.s.finance_state, []
+    for step, (batch, scope) in enumerate(_finance_reads(j), 1):
+        counts.append(sync.sync_counts(state, batch, "id", scope).withColumn("step", F.lit(step)))
+        state = sync.window_sync(state, batch, "id", scope, F.lit(j.as_of), [F.col("delivery").desc()])
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _touched(j: Job) -> DataFrame:
+    batch, scope = _finance_reads(j)[2]
+    month = F.date_format("issued", "yyyy-MM").alias("month")
+    return sync.touched_partitions(j.s.finance_state.select("*", month), batch.select("*", month), "id", scope, "month")
+
+
+def _first_lists(j: Job) -> DataFrame:
+    """Registers delivered as a list, or as an object whose first list counts: names upserted."""
+    name = F.to_json(F.array(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))))
+    wrapped = F.concat(F.lit('{"total":1,"items":'), name, F.lit(',"errors":[]}'))
+    pages = j.s.customer.select(F.when(F.col("c_custkey") % 2 == 0, name).otherwise(wrapped).alias("payload"))
+    rows = F.from_json(landing.first_list(F.col("payload")), "array<struct<id:bigint, name:string>>")
+    source = pages.select(F.explode(rows).alias("row")).select(F.col("row.id").alias("code"), "row.name")
+    return sync.dim_sync(j.s.old_customer.select("code", "name", "touched_at"), source, "code", "name", ["name"], F.lit(j.as_of))
+
+
 def _refresh(j: Job) -> DataFrame:
     events = j.s.events.select(F.col("event_id").alias("id"), "event_type")
     return landing.ids_to_refresh(
@@ -249,14 +291,33 @@ def _installments(j: Job) -> DataFrame:
 def _payload(j: Job) -> DataFrame:
     """Payload read back as columns: its JSON text is not compared, its content is."""
     title = F.get_json_object("payload", "$.titulos[0]")
+
+    def field(name: str) -> Column:
+        return F.get_json_object(title, f"$.{name}")
+
+    def rows(name: str, *fields: str) -> Column:
+        """A list's rows as text, fields between bars."""
+        kinds = ", ".join(f"{f}:{'decimal(18,2)' if f == 'valor' else 'string'}" for f in fields)
+        listed = F.from_json(field(name), f"array<struct<{kinds}>>")
+        line = lambda r: F.concat_ws("|", *[F.coalesce(r[f].cast("string"), F.lit("")) for f in fields])
+        return F.when(listed.isNotNull(), F.array_join(F.transform(listed, line), ";"))
+
     return qu.queue_payload(j.reviewed_queue).select(
         "queue_key",
         "problem",
-        F.get_json_object(title, "$.clienteFornecedor").alias("party"),
-        F.get_json_object(title, "$.valor").cast("decimal(18,2)").alias("value"),
-        F.get_json_object(title, "$.parcelas[0].numeroParcela").cast("int").alias("first_number"),
-        F.get_json_object(title, "$.detalhesClienteFornecedor.cpfCnpj").isNotNull().alias("has_details"),
-        F.size(F.from_json(F.get_json_object(title, "$.rateio"), "array<struct<valor:decimal(18,2)>>")).alias("lines"),
+        field("cnpj").alias("company_tax_id"),
+        field("tipoTitulo").alias("kind"),
+        field("numeroTitulo").alias("title_number"),
+        field("clienteFornecedor").alias("party"),
+        F.concat(field("detalhesClienteFornecedor.nome"), F.lit("/"), field("detalhesClienteFornecedor.cpfCnpj")).alias("details"),
+        field("emissao").alias("issued"),
+        field("valor").cast("decimal(18,2)").alias("value"),
+        field("tipoDocumento").alias("document_type"),
+        field("contaBancaria").alias("bank_account"),
+        field("meioPagamento").alias("payment_means"),
+        field("historico").alias("history"),
+        rows("parcelas", "numeroParcela", "vencimento", "valor", "codigoDeBarras").alias("parts"),
+        rows("rateio", "competencia", "planoDeContas", "numeroParcela", "valor", "centroDeCusto").alias("lines"),
     )
 
 
@@ -394,6 +455,10 @@ QUERIES: dict[str, Query] = {
     "completeness_check": Query(_incomplete_pages, "page:i landed:i announced:i", "o_incomplete_pages"),
     "completeness_check_ids": Query(_incomplete_ids, "event_type:s distinct_ids:i announced:i", "o_incomplete_ids"),
     "window_sync": Query(_window_sync, "title:i customer:i value:n due:d seen_at:d", "o_window_sync"),
+    "sync_reads": Query(_sync_reads, "id:i kind:s issued:d due:d value:n seen_at:d", "o_sync_last"),
+    "sync_counts": Query(_sync_counts, "step:i inserted:i replaced:i deleted:i", "o_sync_counts"),
+    "touched_partitions": Query(_touched, "month:s", "o_touched"),
+    "register_upsert": Query(_first_lists, "code:i name:s touched_at:d", "o_register"),
     "land_pages": Query(
         _land_and_explode,
         "page:i id:i user_id:i event_type:s k:i",
@@ -654,7 +719,10 @@ QUERIES: dict[str, Query] = {
     ),
     "queue_from_slips": Query(lambda j: _parts_summary(j.slip_queue), _QUEUE, "o_slip_queue"),
     "queue_payload": Query(
-        _payload, "queue_key:s problem:s party:s value:n first_number:i has_details:b lines:i", "o_payload_columns"
+        _payload,
+        "queue_key:s problem:s company_tax_id:s kind:s title_number:s party:s details:s issued:s value:n document_type:s "
+        "bank_account:s payment_means:s history:s parts:s lines:s",
+        "o_payload_columns",
     ),
     "already_present": Query(
         lambda j: qu.already_present(j.reviewed_queue, j.finance_after), "queue_key:s kind:s present:b", "o_present"
