@@ -16,7 +16,7 @@ from pathlib import Path
 from tillstone.plans.job import Job
 from tillstone.plans.overlays import Sources
 from tillstone.plans.registry import QUERIES
-from tillstone.plans.session import local_session
+from tillstone.plans.session import discard_settled, local_session
 
 HEADLINE = [
     "window_sync",
@@ -58,6 +58,7 @@ def main() -> None:
         QUERIES[name].spark(spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 2)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    discard_settled(spark)
     print(
         json.dumps(
             {

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tillstone.plans.session import local_session  # noqa: E402
+from tillstone.plans.session import discard_settled, local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 MIDDLE = "/root/testdata/sf0.01"
@@ -17,7 +17,8 @@ MIDDLE = "/root/testdata/sf0.01"
 def spark():
     session = local_session("8", "tests")
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    discard_settled(session)
 
 
 @pytest.fixture(scope="session")
