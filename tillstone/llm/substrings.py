@@ -6,7 +6,8 @@ earlier: in a document with a smaller id, or earlier in the same document. Windo
 How the work is dealt out
     Every window names an anchor: the run of ``ANCHOR`` words in it with the smallest hash (the leftmost of equals), so
     equal windows name equal anchors. Consecutive windows that name the same anchor form a run; one row per run (about
-    one per seven words) goes to the shard of its anchor. A sorted pass over each shard drops anchors met once. Runs
+    one per seven words) goes to the shard of its anchor, but of equal runs that a task sees close together only the
+    first does: the others are known to be repeats, and a passage met a million times doesn't fill its shard. A sorted pass over each shard drops anchors met once. Runs
     equal word for word need no more: all but the first are repeats. Where one anchor stands in different runs, at the
     rims of shared passages, the runs' words are the shard's reference: a suffix automaton takes the runs in document
     order, gives the matching length at every word, marks windows that reach ``n``, and then learns the run.
@@ -72,19 +73,28 @@ def _runs(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
             start = inside[at]
             content = mix64(whole[start] + mix64(whole[start + size - 1] + size.astype(np.uint64)))
             place = (start - words.first[document[start]] << _RUN_BITS) + size
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(grams[anchor[start]].view(np.int64)),
-                    pa.array(content.view(np.int64)),
-                    pa.array(ids[low + document[start]].astype(np.int64)),
-                    pa.array(place.astype(np.int64)),
-                ],
-                ["anchor", "content", "key", "place"],
-            )
+            key = ids[low + document[start]].astype(np.int64)
+            yield _told(grams[anchor[start]].view(np.int64), content.view(np.int64), key, place.astype(np.int64))
+
+
+def _told(anchor: np.ndarray, content: np.ndarray, key: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """The rows of a slice. Of equal runs only the first may be first of all, so only it goes to the anchor's shard; the
+    others are repeats whatever the shard holds. They are dealt out by a hash of their place, marked by a negative one."""
+    order = np.lexsort((place, key, content, anchor))
+    anchor, content, key, place = (x[order] for x in (anchor, content, key, place))
+    same = np.zeros(len(anchor), bool)
+    same[1:] = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(anchor))))
+    again = same & ((key != key[first]) | (place != place[first]))
+    anchor[again] = mix64(key[again].view(np.uint64) ^ mix64(place[again].view(np.uint64))).view(np.int64)
+    place[again] = -place[again]
+    kept = ~same | again
+    return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (anchor, content, key, place)], ["anchor", "content", "key", "place"])
 
 
 def runs(docs: DataFrame, n: int) -> DataFrame:
-    """(anchor, content, key, place): one row per run; place holds its first word and its number of windows."""
+    """(anchor, content, key, place): one row per run; place holds its first word and its number of windows, and is
+    negative if the run is known to repeat an earlier one."""
     return docs.mapInArrow(lambda batches: _runs(batches, n), "anchor long, content long, key long, place long")
 
 
@@ -95,6 +105,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     different = 0  # contents of the present anchor so far
     for batch in batches:
         anchor, content, key, place = (c.to_numpy() for c in batch.columns)
+        told = place < 0
+        if told.any():
+            yield _verdicts(REPEAT, anchor[told], key[told], -place[told])
+            anchor, content, key, place = (x[~told] for x in (anchor, content, key, place))
         if not len(anchor):
             continue
         same_anchor = np.empty(len(anchor), bool)
