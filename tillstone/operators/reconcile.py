@@ -404,8 +404,8 @@ def title_rollup(
 ) -> DataFrame:
     """Expense titles from their installments, then per (supplier, invoice) of the companies that post invoices.
 
-    ``posting``: the settled ``posting_companies``, if there is one.  Only the used JSON fields are parsed.  All aggregates combine map-side, so the group of titles without an id
-    may be arbitrarily large.
+    ``posting``: the settled ``posting_companies``, if there is one.  Only the used JSON fields are parsed.  All aggregates combine map-side (sorted first, because the largest
+    of texts is no hash aggregate), so the group of titles without an id may be arbitrarily large.
     """
     parsed = titles.where((F.col("type") == EXPENSE) & ~F.coalesce("cancelled", F.lit(False))).withColumn(
         "doc",
