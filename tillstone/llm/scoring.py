@@ -52,7 +52,7 @@ END = b""  # no word is empty
 
 #: Distinct tokens a task holds before it hands on its counts; tokens scored at once.
 HELD = 400_000
-SLICE = 1 << 18
+SLICE = 1 << 20
 _FIXED = 1 << 24  # weights are summed as whole numbers, so that the order of sums doesn't matter
 
 
