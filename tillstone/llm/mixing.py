@@ -100,6 +100,7 @@ def mixed(
         F.col(source_column).alias("_source"),
         digest.alias("_digest"),
         F.substring(digest, 1, 3).alias("_bucket"),
+        F.xxhash64(F.col(text_column)).alias("_tie"),  # here, so that the order doesn't need the text
         n_words(F.col(text_column)).alias("mix_size"),
     )
     sums = settled(keyed.groupBy("_source", "_bucket").agg(F.sum("mix_size").alias("words")), "mix-sizes")
@@ -111,7 +112,7 @@ def mixed(
         F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), "_before", "source_size", "cycle", "target"
     )
     joined = keyed.join(offsets, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
-    row = W.partitionBy("_source", "_bucket").orderBy("_digest", F.xxhash64(own[text_column]))
+    row = W.partitionBy("_source", "_bucket").orderBy("_digest", "_tie")
     begin = F.col("_before") + F.sum("mix_size").over(row.rowsBetween(W.unboundedPreceding, 0)) - F.col("mix_size")
     placed = joined.withColumn("_begin", begin).withColumn("_due", F.round("target").cast("long"))
     whole = F.when(F.col("source_size") > 0, F.expr("_due div source_size")).otherwise(F.lit(0).cast("long"))
