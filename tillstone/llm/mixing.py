@@ -141,7 +141,10 @@ def mixed(
 
 
 def by_position(mix: DataFrame) -> DataFrame:
-    """Rows of a mix, range-sorted by the time of their first copy; documents that aren't taken come last."""
+    """Rows of a mix, range-sorted by the time of their first copy, equal ones by a hash of the row, so that many of them
+    (documents that aren't taken, which come last) are still dealt out to many partitions."""
     first = F.coalesce(F.get("mix_positions", F.lit(0)), F.lit(2.0))
-    stored = settled(mix.withColumn("_first", first), "mix")  # range bounds are sampled: don't make the mix for that
-    return stored.repartitionByRange("_first").sortWithinPartitions("_first").drop("_first")
+    tie = F.xxhash64(*[F.col(f"`{name}`") for name, kind in mix.dtypes if "map<" not in kind])
+    # range bounds are sampled from a stored table: the mix isn't made twice for that
+    stored = settled(mix.withColumns({"_first": first, "_tie": tie}), "mix")
+    return stored.repartitionByRange("_first", "_tie").sortWithinPartitions("_first", "_tie").drop("_first", "_tie")
