@@ -148,6 +148,12 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(head + [(bytes(row.token), row.n) for row in first], {k: tuple(v) for k, v in rest.items()}, total, distinct)
 
 
+def _summed(rows: np.ndarray, vectors: np.ndarray, size: int) -> np.ndarray:
+    """The vectors added up by the row that each belongs to."""
+    cells = rows[:, None] * DIMENSIONS + np.arange(DIMENSIONS)
+    return np.bincount(cells.ravel(), vectors.ravel(), size * DIMENSIONS).reshape(size, DIMENSIONS)
+
+
 class Network:
     """Vectors of the classes as context and as output, weights of the two contexts, biases."""
 
@@ -184,13 +190,11 @@ class Network:
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
         down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
         slope = Network(np.zeros_like(self.weights), len(noise))
-        np.add.at(slope.out, classes, up[:, None] * vectors)
-        np.add.at(slope.out, drawn, down.T @ vectors)
-        np.add.at(slope.bias, classes, up)
-        np.add.at(slope.bias, drawn, down.sum(0))
+        slope.out[:] = _summed(classes, up[:, None] * vectors, len(noise)) + _summed(drawn, down.T @ vectors, len(noise))
+        slope.bias[:] = np.bincount(classes, up, len(noise)) + np.bincount(drawn, down.sum(0), len(noise))
         back = up[:, None] * self.out[classes] + down @ self.out[drawn]
         for i in range(CONTEXT):
-            np.add.at(slope.into, before[:, i], back * self.place[i])
+            slope.into[:] += _summed(before[:, i], back * self.place[i], len(noise))
             slope.place[i] = (back * self.into[before[:, i]]).sum(0)
         slope.weights /= len(classes)
         squares += slope.weights**2
