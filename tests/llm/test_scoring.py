@@ -75,3 +75,11 @@ def test_training_learns_what_follows_what():
             network.learn(before[low : low + 100], classes[low : low + 100], vocabulary.noise, squares, rng)
     chances = np.exp(network.log_probabilities(np.array([[1, 3], [2, 1], [3, 2]])))
     assert (chances[[0, 1, 2], [2, 3, 1]] > 0.9).all()
+
+
+def test_every_document_trains_the_network(spark):
+    """What follows what is learnt from any document, whatever its id hashes to."""
+    texts = [(i, " ".join("abc"[(i + k) % 3] for k in range(300))) for i in range(700)]
+    some = frame(spark, texts).where("pmod(xxhash64(doc_id), 1000) >= 100")
+    unseen = [r for r in scoring.scored(some, scoring.is_held_out()).collect() if r.held_out]
+    assert unseen and all(r.score > 0.8 * r.base_score for r in unseen)

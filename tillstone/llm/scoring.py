@@ -10,8 +10,8 @@ Counts
 Network
     The two tokens before predict a vector, the weighted sum of their classes' vectors; its product with a class's output
     vector, plus a bias, is the class's log-score. Training tells real next classes from noise drawn by frequency. It
-    runs where the data is, on ``SHARE`` of the documents (by hash of the id, so it grows with the corpus): each task
-    trains from the same start, and the tasks' weights are averaged by their tokens, ``PASSES`` times.
+    runs where the data is, on every document once: the documents are dealt into ``ROUNDS`` rounds by hash of the text;
+    in a round each task trains from the same start, and the tasks' weights are averaged by their tokens.
 
 Scoring
     Documents stream by. Each different context of a slice takes part in one matrix product over all classes, whose
@@ -41,8 +41,7 @@ from tillstone.plans.session import settled
 WORDS = 448
 ENDINGS = 63
 HEAD = 200_000
-SHARE = 0.1
-PASSES = 2
+ROUNDS = 2
 DIMENSIONS = 16
 NOISE = 64
 BATCH = 512
@@ -243,13 +242,14 @@ def _train(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: n
         )
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, text_column: str = "text", passes: int = PASSES) -> np.ndarray:
-    """The network's weights, trained on all given texts."""
+def train(texts: DataFrame, vocabulary: Vocabulary, text_column: str = "text", rounds: int = ROUNDS) -> np.ndarray:
+    """The network's weights, trained on all given texts, each in one round."""
     weights = Network.start(vocabulary.noise).weights
     context = texts.sparkSession.sparkContext
-    for _ in range(passes):
+    dealt = F.pmod(F.xxhash64(text_column), F.lit(rounds))
+    for i in range(rounds):
         sent = context.broadcast(cloudpickle.dumps((vocabulary, weights)))
-        parts = texts.select(text_column).mapInArrow(
+        parts = texts.where(dealt == i).select(text_column).mapInArrow(
             lambda batches, sent=sent: _train(batches, *cloudpickle.loads(sent.value)), "i long, moved long, seen long"
         )
         whole = F.col("moved").cast("decimal(38,0)")
@@ -323,8 +323,7 @@ def scored(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_co
     learnt = rows.where(~F.col("held_out"))
     counted = counts(learnt)
     words = vocabulary(counted)
-    some = learnt.where(F.pmod(F.xxhash64("doc_id"), F.lit(1000)) < int(SHARE * 1000))
-    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps((words, train(some, words))))
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps((words, train(learnt, words))))
     every = rows.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
     first = settled(every.mapInArrow(lambda batches: _score(batches, *cloudpickle.loads(sent.value)), SCORED), "token-scores")
     rare = first.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.times")
