@@ -105,3 +105,18 @@ def test_query_gives_the_articles(spark):
 def test_classes_say_what_an_element_is():
     assert plain("<div class='site-header'>top</div><article class='post comments-open'><div class='header'>Title</div><p>a</article>") == ["Title", "a"]
     assert plain("<article>x</article><div id='c'><article class='comment'>no</article></div>") == ["x"]
+
+
+def test_a_run_of_copies_loses_the_sites_lines(spark):
+    for first in (True, False):  # the run is the host's first, or its last
+        names = ["two"] * 4 + ["one"] if first else ["one"] + ["two"] * 4
+        got = texts(spark, [(i, f"http://a.b/x/{i}", page(name)) for i, name in enumerate(names)])
+        assert got == {i: f"{name} is told here at length, in words of its own" for i, name in enumerate(names)}
+    alone = texts(spark, [(i, f"http://a.b/x/{i}", page("two")) for i in range(3)])
+    assert set(alone.values()) == {"Site name\ntwo is told here at length, in words of its own\nAll rights"}
+
+
+def test_a_site_of_mostly_shared_lines(spark):
+    menu = "".join(f"<div>Place number {k} of a long menu</div>" for k in range(12))
+    got = texts(spark, [(i, f"http://a.b/x/{i}", page(f"Tale {i}", menu)) for i in range(4)])
+    assert got == {i: f"Tale {i} is told here at length, in words of its own" for i in range(4)}

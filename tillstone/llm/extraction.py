@@ -8,15 +8,17 @@ Lines
 
 Differencing
     Pages are range-sorted by host, path and id, so that neighbours in a partition are the nearest by URL; no group of a
-    host's pages is gathered. A page's lines are aligned with those of the page before it on the host (or after it, for
-    the first) by longest common subsequence, and shared lines are deleted: they come from the site. Two pages that share
-    most of their text are copies, and tell nothing about the site; then the page on the other side is taken.
+    host's pages is gathered. A page's lines that don't stand beside the text are aligned with those of a page before it
+    on the host by longest common subsequence, and shared lines are deleted: they come from the site. Two pages are copies,
+    and tell nothing about the site, if what they don't share is at most ``REST`` of either's text. Copies in a row are a
+    run; its pages are aligned with the first page of the run before, or, in a host's first run, of the run after.
     What stands inside an article is not deleted for being shared: licence lines and quoted passages recur there.
     If a page has an article, its text is the article's, else that of all lines left.
 
 Defined results
     A null or empty html gives an empty text. A null url has empty host and path and is paired among its like. A page that
-    is alone with its host in its partition keeps its lines. Tags left open end with the element around them; the
+    is alone with its host in its partition, or among copies of it only, keeps its lines. Pages without such lines are
+    nobody's neighbours. Tags left open end with the element around them; the
     first article of a page, if it opens inside an unclosed element beside the text, ends that one. Repeated rows give repeated rows.
 """
 
@@ -50,8 +52,8 @@ BLOCKS = set(
     " thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-#: Of two pages' text, this much shared makes them copies of each other.
-COPY_SHARE = 0.6
+#: Two pages that don't share at most this much of their texts are copies of each other.
+REST = 0.02
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -156,38 +158,65 @@ def shared(mine: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def difference(page: list[Line], neighbours: list[list[Line] | None]) -> list[str]:
-    """The lines of a page that are its own."""
-    mine = [line[0] for line in page]
-    site: set[int] = set()
-    for other in neighbours:
-        if not other:
+def _copies(mine: list[Line], other: list[Line], common: set[int]) -> bool:
+    size = sum(len(mine[i][0]) for i in common)
+    return size >= (1 - REST) * max(sum(len(line[0]) for line in page) for page in (mine, other))
+
+
+def _site(mine: list[Line], other: list[Line]) -> set[int] | None:
+    """Places of the lines that a page shares with another; None if they are copies."""
+    if mine == other:
+        return None
+    common = shared([line[0] for line in mine], [line[0] for line in other])
+    return None if _copies(mine, other, common) else common
+
+
+def own(page: list[Line], site: set[int]) -> str:
+    """The lines of a page that are its own. page: those that don't stand beside the text."""
+    left = [line for i, line in enumerate(page) if line[2] or i not in site]
+    if any(line[2] for line in left):
+        left = [line for line in left if line[2]]
+    return "\n".join(line[0] for line in left)
+
+
+def _told(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(page_id, url, text) of pages sorted by host and path. Only a host's first run waits, for the run after; its equal
+    lines are held once."""
+    host, before, head = object(), None, None  # first pages of the run before and of the present one
+    waiting: list[tuple] = []
+    held: dict[Line, Line] = {}
+    for page_id, url, its_host, _, html in rows:
+        page = [line for line in lines(html or "") if not line[1]]
+        if its_host != host:
+            yield from ((i, u, own(p, set())) for i, u, p in waiting)
+            host, before, head, waiting, held = its_host, None, None, [], {}
+        if not page:
+            yield page_id, url, ""
             continue
-        common = shared(mine, [line[0] for line in other])
-        size = sum(len(mine[i]) for i in common)
-        if size < COPY_SHARE * sum(map(len, mine)) or size < COPY_SHARE * sum(len(line[0]) for line in other):
-            site = common
-            break
-    own = [line for i, line in enumerate(page) if not line[1] and (line[2] or i not in site)]
-    if any(line[2] for line in own):
-        own = [line for line in own if line[2]]
-    return [line[0] for line in own]
+        site = None if head is None else _site(page, head)
+        if site is not None:  # the run ends
+            yield from ((i, u, own(p, _site(p, page) or set())) for i, u, p in waiting)
+            before, head, waiting, held = head, page, [], {}
+        elif head is None:
+            head = page
+        elif before is not None:
+            site = _site(page, before)
+        if site is None:
+            waiting.append((page_id, url, head if page == head else [held.setdefault(line, line) for line in page]))
+        else:
+            yield page_id, url, own(page, site)
+    yield from ((i, u, own(p, set())) for i, u, p in waiting)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by host and path: three pages at a time, each between its neighbours."""
-    rows = ((*row[:4], lines(row[4] or "")) for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    """Sorted by host and path."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
     out: list[tuple] = []
-    before, now = None, next(rows, None)
-    while now is not None:
-        after = next(rows, None)
-        neighbours = [other[4] for other in (before, after) if other is not None and other[2] == now[2]]
-        text = "\n".join(difference(now[4], neighbours))
-        out.append((now[0], now[1], text, len(text)))
+    for page_id, url, text in _told(rows):
+        out.append((page_id, url, text, len(text)))
         if len(out) == 1024:
             yield _batch(out)
             out = []
-        before, now = now, after
     if out:
         yield _batch(out)
 
