@@ -62,3 +62,16 @@ def test_expectation_maximisation_never_lowers_the_likelihood():
     start = np.full((3, 4), 0.25, np.float32)
     fits = [language._mixture(likelihood, first, start, rounds)[1] for rounds in range(8)]
     assert all((b >= a - 1e-3).all() for a, b in zip(fits, fits[1:], strict=False))
+
+
+def test_every_language_is_learnt(spark):
+    """Two hundred languages, each of four letters of its own; the last of them has one document only."""
+    rng = random.Random(6)
+    letters = [[chr(0x4E00 + 4 * i + k) for k in range(4)] for i in range(200)]
+    make = lambda i: " ".join("".join(rng.choice(letters[i]) for _ in range(4)) for _ in range(60))
+    learnt_from = [(i, make(i), f"l{i:03}", "s") for i in range(200)] + [(200 + i, make(i), f"l{i:03}", "s") for i in range(199)]
+    model = language.learn(frame(spark, learnt_from))
+    assert len(model.languages) == 200
+    docs = frame(spark, [(i, make(i), None, "s") for i in range(200)])
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs, model, language.is_held_out()).collect()}
+    assert got == {i: f"l{i:03}" for i in range(200)}

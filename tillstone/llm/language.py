@@ -11,7 +11,8 @@ Inference
     likelihood less ``PENALTY`` times the logarithm of the number of words, per language beyond the first, is the
     document's. The prediction is the language with the largest proportion in it, the score that proportion.
 
-The broadcast table has 2^16 numbers for each of at most ``LANGUAGES`` languages (the most frequent, ties by name).
+Every language is learnt. The model holds only the trigrams that occur in it: at most 2^16 numbers a language, and one for
+the others. Its rows are filled in for ``BLOCK`` languages at a time.
 
 Defined results
     Null texts, and texts without a letter, are ``und`` with score 0; so is everything when there is nothing to learn
@@ -27,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.words import Words, slices
+from tillstone.llm.words import SLICE_BYTES, Words, slices
 
 BITS = 16
-LANGUAGES = 128
+#: Languages whose rows of 2^BITS numbers are held at once.
+BLOCK = 128
 SMOOTHING = 0.5
 ROUNDS = 12
 LARGEST_SET = 3
@@ -56,34 +58,61 @@ def trigrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return (code * np.uint32(2654435761)) >> np.uint32(32 - BITS), at
 
 
-def _count(batches: Iterator[pa.RecordBatch], languages: int) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(languages << BITS, np.int64)
+def _count(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """Cells (language number << BITS | bucket) that occur, with their counts; holds the counts of BLOCK languages."""
+    held: dict[int, np.ndarray] = {}
+
+    def told() -> Iterator[pa.RecordBatch]:
+        for language, total in held.items():
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(seen | (language << BITS)), pa.array(total[seen])], ["cell", "n"])
+        held.clear()
+
     for batch in batches:
-        language = batch.column(0).to_numpy()
+        language = np.array([number[name] for name in batch.column(0).to_pylist()], np.int64)
         for low, high, raw, offsets in slices(batch.column(1)):
             words = Words.of(_LETTERS[raw], offsets)
             if not len(words.start):
                 continue
             grams, at = trigrams(words)
-            owner = np.repeat(language[low:high], np.diff(words.first))
-            span = np.diff(at, append=len(grams))
-            total += np.bincount((np.repeat(owner, span).astype(np.int64) << BITS) | grams, minlength=len(total))
-    seen = np.flatnonzero(total)
-    for i in range(0, len(seen), 1 << 16):
-        part = seen[i : i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["cell", "n"])
+            owner = np.repeat(np.repeat(language[low:high], np.diff(words.first)), np.diff(at, append=len(grams)))
+            present = np.unique(language[low:high])
+            for i in range(0, len(present), BLOCK):
+                block = present[i : i + BLOCK]
+                mine = slice(None) if len(present) <= BLOCK else (owner >= block[0]) & (owner <= block[-1])
+                cells = (np.searchsorted(block, owner[mine]) << BITS) | grams[mine]
+                totals = np.bincount(cells, minlength=len(block) << BITS).reshape(len(block), -1)
+                if len(held.keys() | set(block.tolist())) > BLOCK:
+                    yield from told()
+                for name, total in zip(block.tolist(), totals, strict=True):
+                    if name in held:
+                        held[name] += total
+                    else:
+                        held[name] = total.copy()
+    yield from told()
 
 
 class Model:
-    """Logarithms of trigram probabilities: one row per language."""
+    """Logarithms of trigram probabilities: per language those of the buckets seen, and one for all others."""
+
+    def __init__(self, languages: list[str], cells: np.ndarray, logs: np.ndarray, unseen: np.ndarray) -> None:
+        self.languages, self.cells, self.logs, self.unseen = languages, cells, logs, unseen
+        self._block: tuple[int, np.ndarray] | None = None
 
-    def __init__(self, languages: list[str], table: np.ndarray) -> None:
-        self.languages, self.table = languages, table
+    def table(self, low: int) -> np.ndarray:
+        """One row per language of the block that begins at low."""
+        if self._block is None or self._block[0] != low:
+            rows = np.repeat(self.unseen[low : low + BLOCK, None], 1 << BITS, 1)
+            a, b = np.searchsorted(self.cells, [low << BITS, (low + len(rows)) << BITS])
+            rows.reshape(-1)[self.cells[a:b] - (low << BITS)] = self.logs[a:b]
+            self._block = (low, rows)
+        return self._block[1]
 
     def words(self, words: Words) -> np.ndarray:
         """Log-likelihood of each word (rows) in each language (columns)."""
         grams, at = trigrams(words)
-        return np.stack([np.add.reduceat(row[grams], at) for row in self.table], 1)
+        blocks = range(0, len(self.languages), BLOCK)
+        return np.stack([np.add.reduceat(row[grams], at) for low in blocks for row in self.table(low)], 1)
 
 
 def learn(docs: DataFrame, language_column: str = "lang", text_column: str = "text") -> Model:
@@ -91,17 +120,18 @@ def learn(docs: DataFrame, language_column: str = "lang", text_column: str = "te
     known = docs.select(F.col(language_column).cast("string").alias("lang"), F.col(text_column).alias("text")).where(
         "lang is not null and text is not null"
     )
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(row.lang for row in most)
-    table = np.zeros((len(languages), 1 << BITS))
+    languages = sorted(row.lang for row in known.select("lang").distinct().collect())
+    number = {name: i for i, name in enumerate(languages)}
+    cells, n = np.empty(0, np.int64), np.empty(0)
     if languages:
-        numbered = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")).cast("int") - 1
-        rows = known.select(numbered.alias("number"), "text").where("number >= 0")
-        cells = rows.mapInArrow(lambda batches: _count(batches, len(languages)), "cell long, n long")
-        found = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 2^16 cells a language
-        table.reshape(-1)[found["cell"].to_numpy()] = found["n"].to_numpy()
-    smooth = table + SMOOTHING
-    return Model(languages, np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32))
+        counted = known.mapInArrow(lambda batches: _count(batches, number), "cell long, n long")
+        found = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 2^16 cells a language
+        order = np.argsort(found["cell"].to_numpy())
+        cells, n = found["cell"].to_numpy()[order], found["n"].to_numpy()[order].astype(np.float64)
+    owner = cells >> BITS
+    total = np.bincount(owner, n, len(languages)) + SMOOTHING * (1 << BITS)
+    logs = (np.log(n + SMOOTHING) - np.log(total)[owner]).astype(np.float32)
+    return Model(languages, cells, logs, (np.log(SMOOTHING) - np.log(total)).astype(np.float32))
 
 
 def _mixture(likelihood: np.ndarray, first: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,9 +177,10 @@ def _has_letter(text: bytes) -> bool:
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    size = SLICE_BYTES * BLOCK // max(BLOCK, len(model.languages))  # a slice has a number per word and language
     for batch in batches:
         names, scores = [], []
-        for low, high, raw, offsets in slices(batch.column(2)):
+        for low, high, raw, offsets in slices(batch.column(2), size):
             normal = _LETTERS[raw]
             words = Words.of(normal, offsets)
             name, score = np.full(high - low, -1), np.zeros(high - low)
@@ -178,8 +209,8 @@ def identified(
     docs: DataFrame, model: Model, held_out: Column, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per row of docs."""
-    table = docs.sparkSession.sparkContext.broadcast((model.languages, model.table))
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.cells, model.logs, model.unseen))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text_column).alias("text"))
     return rows.mapInArrow(
-        lambda batches: _predict(batches, Model(*table.value)), "doc_id long, held_out boolean, lang_pred string, score double"
+        lambda batches: _predict(batches, Model(*sent.value)), "doc_id long, held_out boolean, lang_pred string, score double"
     )

@@ -37,7 +37,7 @@ def multipliers(n: int) -> np.ndarray:
 _MULTIPLIERS = multipliers(4096)
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets of the rows in them) of a text column; nulls are empty texts."""
     column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -46,7 +46,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     at = 0
     while at < len(column):
-        end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
         end = min(max(end, at + 1), len(column))
         yield at, end, raw[offsets[at] : offsets[end]], (offsets[at : end + 1] - offsets[at]).astype(np.int64)
         at = end
