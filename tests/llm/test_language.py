@@ -75,3 +75,13 @@ def test_every_language_is_learnt(spark):
     docs = frame(spark, [(i, make(i), None, "s") for i in range(200)])
     got = {r.doc_id: r.lang_pred for r in language.identified(docs, model, language.is_held_out()).collect()}
     assert got == {i: f"l{i:03}" for i in range(200)}
+
+
+def test_a_mixture_of_five_languages(spark):
+    rng = random.Random(8)
+    letters = {"aa": "abcd", "bb": "efgh", "cc": "ijkl", "dd": "mnop", "ee": "qrst", "ff": "uvwx"}
+    make = lambda name, n: ["".join(rng.choice(letters[name]) for _ in range(5)) for _ in range(n)]
+    model = language.learn(frame(spark, [(i, " ".join(make(name, 400)), name, "s") for i, name in enumerate(letters)]))
+    mixed = make("cc", 120) + [word for name in ("aa", "bb", "dd", "ee") for word in make(name, 70)]
+    got = language.identified(frame(spark, [(1, " ".join(mixed), None, "s")]), model, language.is_held_out()).first()
+    assert got.lang_pred == "cc" and got.score == pytest.approx(0.3, abs=0.02)

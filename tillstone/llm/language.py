@@ -7,7 +7,7 @@ Model
 
 Inference
     Expectation-maximisation finds the proportions of languages that make the document's words likeliest. The languages
-    are then taken in the order of their proportions; of the sets of the first one, two, three ... the one with the best
+    are then taken in the order of their proportions; of the sets of the first one, two, three ..., as long as that helps, the one with the best
     likelihood less ``PENALTY`` times the logarithm of the number of words, per language beyond the first, is the
     document's. The prediction is the language with the largest proportion in it, the score that proportion.
 
@@ -35,7 +35,8 @@ BITS = 16
 BLOCK = 128
 SMOOTHING = 0.5
 ROUNDS = 12
-LARGEST_SET = 3
+#: Sets of up to so many languages are weighed for every document, larger ones while the last one was better.
+ALWAYS_WEIGHED = 3
 PENALTY = 2.0
 UNKNOWN = "und"
 
@@ -161,14 +162,22 @@ def mixtures(model: Model, words: Words) -> tuple[np.ndarray, np.ndarray]:
     single = np.add.reduceat(logs - best[:, None], first[:-1])[np.arange(len(count)), order[:, 0]]
     chosen, value = order[:, 0].copy(), np.ones(len(count))
     top = single.astype(np.float64)
-    for size in range(2, min(LARGEST_SET, languages) + 1):
-        start = np.where(rank < size, np.maximum(share, 1e-3), 0).astype(np.float32)
-        fitted, fit = _mixture(likelihood, first, start / start.sum(1, keepdims=True), ROUNDS // 3)
-        fit = fit - PENALTY * (size - 1) * np.log(count)
-        better = fit > top
-        top[better] = fit[better]
-        chosen[better] = fitted.argmax(1)[better]
-        value[better] = fitted.max(1)[better]
+    rising = np.arange(len(count))  # documents that a larger set may still suit better
+    for size in range(2, languages + 1):
+        mine = slice(None) if len(rising) == len(count) else np.repeat(np.isin(np.arange(len(count)), rising), count)
+        start = np.where(rank[rising] < size, np.maximum(share[rising], 1e-3), 0).astype(np.float32)
+        edges = np.concatenate([[0], np.cumsum(count[rising])])
+        fitted, fit = _mixture(likelihood[mine], edges, start / start.sum(1, keepdims=True), ROUNDS // 3)
+        fit = fit - PENALTY * (size - 1) * np.log(count[rising])
+        better = fit > top[rising]
+        these = rising[better]
+        top[these] = fit[better]
+        chosen[these] = fitted.argmax(1)[better]
+        value[these] = fitted.max(1)[better]
+        if size >= ALWAYS_WEIGHED:
+            rising = these
+        if not len(rising):
+            break
     return chosen, value
 
 
