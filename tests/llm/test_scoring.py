@@ -83,3 +83,29 @@ def test_every_document_trains_the_network(spark):
     some = frame(spark, texts).where("pmod(xxhash64(doc_id), 1000) >= 100")
     unseen = [r for r in scoring.scored(some, scoring.is_held_out()).collect() if r.held_out]
     assert unseen and all(r.score > 0.8 * r.base_score for r in unseen)
+
+
+def test_words_in_groups_have_probabilities_of_their_own(spark, monkeypatch):
+    """The vocabulary grows with the corpus; both levels sum to one; words that end alike are told apart."""
+    head = [(f"w{i}".encode(), 2000 - i) for i in range(900)] + [(scoring.END, 10)]
+    total = sum(n for _, n in head) + 1000
+    words_ = scoring.Vocabulary(head, {3: (1000, 500)}, total, 1401)
+    covered = sum(n for t, n in head if words_.known[t][0] >= words_.classes or words_.known[t][0] <= scoring.WORDS)
+    assert covered >= scoring.COVERED * total and len(words_.noise) - words_.classes > 200
+    network = scoring.Network(scoring.Network.start(words_.noise).weights, words_.classes)
+    before = np.array([[0, 0], [len(words_.noise) - 1, 2]])
+    chances = np.exp(network.log_probabilities(before))
+    assert chances.sum(1) == pytest.approx(1, abs=1e-4)
+    low, sums = words_.classes, 0
+    while low < network.rows:
+        high = min(low + network.size, network.rows)
+        assert (network.class_of(np.arange(low, high)) == network.first + sums).all()
+        assert np.exp(network.log_probabilities(before, low, high)).sum(1) == pytest.approx(1, abs=1e-4)
+        low, sums = high, sums + 1
+    assert network.first + sums == network.classes
+
+    monkeypatch.setattr(scoring, "WORDS", 2)
+    cycle = [f"{c}zz" for c in "abcdefghijkl"]
+    texts = [(i, " ".join(cycle[(i + k) % 12] for k in range(400))) for i in range(1500)]
+    unseen = [r for r in scoring.scored(frame(spark, texts), scoring.is_held_out()).collect() if r.held_out]
+    assert unseen and sum(r.score for r in unseen) > 0.6 * sum(r.base_score for r in unseen)

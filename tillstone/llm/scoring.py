@@ -3,19 +3,23 @@
 Tokens are the lower-cased (A-Z) words of a text and one end.
 
 Counts
-    Every token of every text to learn from is counted (a shuffle whose size follows the corpus). The ``WORDS`` most
-    frequent tokens and the end are classes of the network by themselves; all others share ``ENDINGS`` classes by their
-    last two bytes, and within a class a token has the probability (count + 1) / (tokens + distinct tokens + 1).
+    Every token of every text to learn from is counted (a shuffle whose size follows the corpus). The most
+    frequent ones that make up ``COVERED`` of the corpus are the network's words, so their number grows with it. The
+    first ``WORDS`` of them and the end are classes by themselves; the others are dealt by frequency into groups of equal
+    size, as many as a group has words, and a group is a class. Tokens outside share ``ENDINGS`` classes by their last two
+    bytes; within such a class a token has the probability (count + 1) / (tokens + distinct tokens + 1).
 
 Network
-    The two tokens before predict a vector, the weighted sum of their classes' vectors; its product with a class's output
-    vector, plus a bias, is the class's log-score. Training tells real next classes from noise drawn by frequency. It
+    The two tokens before predict a vector, the weighted sum of their vectors (a word has its own, other tokens their
+    class's); its product with an output vector, plus a bias, is a log-score. Classes have output vectors, and so have the
+    words in groups. Training tells real next classes from noise drawn by frequency, and real next words likewise. It
     runs where the data is, on every document once: the documents are dealt into ``ROUNDS`` rounds by hash of the text;
-    in a round each task trains from the same start, and the tasks' weights are averaged by their tokens.
+    in a round each task trains from the same start, and the tasks' weights are averaged by their tokens, the vectors of a
+    class or word over the tasks that met it.
 
 Scoring
-    Documents stream by. Each different context of a slice takes part in one matrix product over all classes, whose
-    log-sum normalises exactly. Counts of the ``HEAD`` most frequent tokens are broadcast (a fixed number); rarer tokens
+    Documents stream by. Each different context of a slice takes part in one matrix product over all classes, and for the
+    words of a group in one over the group; their log-sums normalise both levels exactly. Counts of the ``HEAD`` most frequent tokens are broadcast (or of the words, if they are more); rarer tokens
     are joined to the counts by a shuffle, since only their count is missing.
 
 Defined results
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 from tillstone.plans.session import settled
 
 WORDS = 448
+COVERED = 0.8
 ENDINGS = 63
 HEAD = 200_000
 ROUNDS = 2
@@ -51,7 +56,7 @@ END = b""  # no word is empty
 
 #: Distinct tokens a task holds before it hands on its counts; tokens scored at once.
 HELD = 400_000
-SLICE = 1 << 20
+SLICE = 1 << 18
 _FIXED = 1 << 24  # weights are summed as whole numbers, so that the order of sums doesn't matter
 
 
@@ -84,28 +89,44 @@ def counts(texts: DataFrame, text_column: str = "text") -> DataFrame:
     return settled(parts.groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
 
 
+def _own(counts: np.ndarray, times: np.ndarray, total: int) -> int:
+    """How many of the most frequent words make up COVERED of all tokens; counts: in descending order, each so many times."""
+    before = np.cumsum(counts * times) - counts * times
+    left = COVERED * total - before
+    return int(np.clip(np.ceil(left / counts), 0, times).sum())
+
+
 class Vocabulary:
-    """Frequent tokens with their counts, and the classes of all tokens."""
+    """Frequent tokens with their counts, and the numbers of all tokens: classes first, then the words in groups."""
 
     def __init__(self, head: list[tuple[bytes, int]], rest: dict[int, tuple[int, int]], total: int, distinct: int) -> None:
-        own = [END, *[token for token, _ in head if token != END][:WORDS]]
+        ranked = [(token, n) for token, n in head if token != END]
+        heard = np.array([n for _, n in ranked], np.float64)
+        words = max(_own(heard, np.ones(len(heard)), total), min(WORDS, len(ranked)))
+        own = [END, *[token for token, _ in ranked[:WORDS]]]
+        grouped = heard[WORDS:words]
+        self.endings, self.size = 1 + WORDS, math.isqrt(max(len(grouped) - 1, 0)) + 1
+        first = self.endings + ENDINGS
+        self.classes = first + -(-len(grouped) // self.size)
         number = {token: i for i, token in enumerate(own)}
-        #: class and log10(count + 1) of the tokens in the head
-        self.known = {token: (number.get(token, -1), n) for token, n in head}
-        self.known = {t: (self.ending(t) if c < 0 else c, math.log10(n + 1)) for t, (c, n) in self.known.items()}
+        number |= {token: self.classes + i for i, (token, _) in enumerate(ranked[WORDS:words])}
+        #: number and log10(count + 1) of the tokens in the head
+        self.known = {t: (number[t] if t in number else self.ending(t), math.log10(n + 1)) for t, n in head}
         self.counted = END in self.known
         self.known.setdefault(END, (0, 0.0))
-        self.classes = 1 + WORDS + ENDINGS
-        #: log10 of a token's share of its class, without log10(count + 1); classes of one token have no such share
+        #: log10 of a token's share of its class, without log10(count + 1)
         self.inside = np.zeros(self.classes)
         weight = np.full(self.classes, 0.5)
         counts = dict(head)
         weight[: len(own)] += [counts.get(token, 0) for token in own]
         for i in range(ENDINGS):
             n, different = rest.get(i, (0, 0))
-            self.inside[1 + WORDS + i] = -math.log10(n + different + 1)
-            weight[1 + WORDS + i] += n
-        self.noise = weight / weight.sum()
+            self.inside[self.endings + i] = -math.log10(n + different + 1)
+            weight[self.endings + i] += n
+        if len(grouped):
+            weight[first:] += np.add.reduceat(grouped, np.arange(0, len(grouped), self.size))
+        #: shares of the classes, and of the words in groups among themselves
+        self.noise = np.concatenate([weight / weight.sum(), grouped / max(grouped.sum(), 1)])
         self.base = -math.log10(total + distinct + 1)
         self.total = total
 
@@ -114,94 +135,150 @@ class Vocabulary:
         return 1 + WORDS + zlib.crc32(token[-2:]) % ENDINGS
 
     def of(self, sequence: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Class of each token, log10(count + 1) of each (nan if it isn't in the head), and the tokens that aren't."""
-        classes, logs, rare = [], [], []
+        """Number of each token, log10(count + 1) of each (nan if it isn't in the head), and the tokens that aren't."""
+        numbers, logs, rare = [], [], []
         known, ending = self.known, self.ending
         for token in sequence:
             if (found := known.get(token)) is not None:
-                classes.append(found[0])
+                numbers.append(found[0])
                 logs.append(found[1])
             else:
-                classes.append(ending(token))
+                numbers.append(ending(token))
                 logs.append(math.nan)
                 rare.append(token)
-        return np.array(classes), np.array(logs), rare
+        return np.array(numbers), np.array(logs), rare
 
 
 def vocabulary(counted: DataFrame) -> Vocabulary:
-    """counted: (token, n). The head and the sums per class go to the driver, both of a fixed size."""
+    """counted: (token, n). The head, how many tokens have each count, and the sums per class go to the driver."""
     first = counted.where(F.col("token") == F.lit(END)).collect()
-    best = counted.where(F.col("token") != F.lit(END)).orderBy(F.desc("n"), "token").limit(HEAD)
-    best = best.toArrow()
-    head = list(zip(best["token"].to_pylist(), best["n"].to_pylist(), strict=True))
-    own = {token for token, _ in head[:WORDS]} | {END}
     ending = (F.crc32(F.expr("substring(token, -2, 2)")) % ENDINGS).cast("int")
     sums = counted.groupBy(ending.alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("different")).collect()
     rest = {row.ending: [row.n, row.different] for row in sums}
     total, distinct = sum(n for n, _ in rest.values()), sum(d for _, d in rest.values())
-    for token, n in [*head[:WORDS], *[(bytes(row.token), row.n) for row in first]]:
+    worded = counted.where(F.col("token") != F.lit(END))
+    times = worded.groupBy("n").agg(F.count("*").alias("times")).orderBy(F.desc("n")).toArrow()
+    words = max(_own(times["n"].to_numpy().astype(float), times["times"].to_numpy(), total), WORDS)
+    best = worded.orderBy(F.desc("n"), "token").limit(max(HEAD, words)).toArrow()
+    head = list(zip(best["token"].to_pylist(), best["n"].to_pylist(), strict=True))
+    for token, n in [*head[:words], *[(bytes(row.token), row.n) for row in first]]:
         mine = rest[zlib.crc32(token[-2:]) % ENDINGS]
         mine[0] -= n
         mine[1] -= 1
-    assert all(t in own for t, _ in head[:WORDS])
     return Vocabulary(head + [(bytes(row.token), row.n) for row in first], {k: tuple(v) for k, v in rest.items()}, total, distinct)
 
 
 def _summed(rows: np.ndarray, vectors: np.ndarray, size: int) -> np.ndarray:
     """The vectors added up by the row that each belongs to."""
-    cells = rows[:, None] * DIMENSIONS + np.arange(DIMENSIONS)
-    return np.bincount(cells.ravel(), vectors.ravel(), size * DIMENSIONS).reshape(size, DIMENSIONS)
+    wide = vectors.shape[1]
+    cells = rows[:, None] * wide + np.arange(wide)
+    return np.bincount(cells.ravel(), vectors.ravel(), size * wide).reshape(size, wide)
+
+
+def _step(weights: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], slopes: list[np.ndarray], count: int) -> None:
+    """One step on the rows that have slopes."""
+    met, which = np.unique(np.concatenate(rows), return_inverse=True)
+    slope = _summed(which, np.concatenate(slopes), len(met)) / count
+    more = squares[met] + slope**2
+    squares[met] = more
+    weights[met] += RATE * slope / np.sqrt(more + 1e-6)
 
 
 class Network:
-    """Vectors of the classes as context and as output, weights of the two contexts, biases."""
+    """Vectors of the classes and of the words in groups, as context and as output, weights of the two contexts, biases."""
 
     def __init__(self, weights: np.ndarray, classes: int) -> None:
-        self.weights, n = weights, classes * DIMENSIONS
-        self.into = weights[:n].reshape(classes, DIMENSIONS)
-        self.out = weights[n : 2 * n].reshape(classes, DIMENSIONS)
-        self.place = weights[2 * n : 2 * n + CONTEXT * DIMENSIONS].reshape(CONTEXT, DIMENSIONS)
-        self.bias = weights[2 * n + CONTEXT * DIMENSIONS :]
+        rows = (len(weights) - CONTEXT * DIMENSIONS) // (2 * DIMENSIONS + 1)
+        self.weights, self.classes, self.rows = weights, classes, rows
+        #: per row: vector as context, vector as output, bias
+        self.table = weights[: rows * (2 * DIMENSIONS + 1)].reshape(rows, -1)
+        self.into, self.output = self.table[:, :DIMENSIONS], self.table[:, DIMENSIONS:]
+        self.out, self.bias = self.output[:, :DIMENSIONS], self.output[:, DIMENSIONS]
+        self.place = weights[rows * (2 * DIMENSIONS + 1) :].reshape(CONTEXT, DIMENSIONS)
+        self.size = math.isqrt(max(rows - classes - 1, 0)) + 1
+        self.first = classes - -(-(rows - classes) // self.size)  # the first group's class
+        self._noise = None
 
     @classmethod
     def start(cls, noise: np.ndarray) -> Network:
-        rng, n = np.random.default_rng(5), len(noise) * DIMENSIONS
-        parts = [rng.normal(0, 0.1, 2 * n), np.full(CONTEXT * DIMENSIONS, 1 / CONTEXT), np.log(noise)]
-        return cls(np.concatenate(parts).astype(np.float32), len(noise))
+        rng, n = np.random.default_rng(5), len(noise)
+        table = np.concatenate([rng.normal(0, 0.1, (n, 2 * DIMENSIONS)), np.log(noise)[:, None]], 1)
+        parts = [table.ravel(), np.full(CONTEXT * DIMENSIONS, 1 / CONTEXT)]
+        return cls(np.concatenate(parts).astype(np.float32), n)
+
+    def class_of(self, numbers: np.ndarray) -> np.ndarray:
+        return np.where(numbers < self.classes, numbers, self.first + (numbers - self.classes) // self.size)
 
     def context(self, before: np.ndarray) -> np.ndarray:
-        """One vector per row of before, the classes of the tokens before (the nearest first)."""
+        """One vector per row of before, the numbers of the tokens before (the nearest first)."""
         return sum(self.into[before[:, i]] * self.place[i] for i in range(CONTEXT))
 
-    def log_probabilities(self, before: np.ndarray) -> np.ndarray:
-        """Natural logarithms of all classes' probabilities, normalised, one row per context."""
-        scores = self.context(before) @ self.out.T + self.bias
+    def log_probabilities(self, before: np.ndarray, low: int = 0, high: int | None = None) -> np.ndarray:
+        """Natural logarithms of the probabilities of all classes (or of rows low to high - 1 among themselves),
+        normalised, one row per context."""
+        high = self.classes if high is None else high
+        scores = self.context(before) @ self.out[low:high].T + self.bias[low:high]
         scores -= scores.max(1, keepdims=True)
         return scores - np.log(np.exp(scores).sum(1, keepdims=True))
 
-    def learn(self, before: np.ndarray, classes: np.ndarray, noise: np.ndarray, squares: np.ndarray, rng) -> None:
-        """One step on a batch: real next classes against NOISE classes drawn for the batch, each as if drawn for all."""
-        drawn = rng.choice(len(noise), NOISE, p=noise)
-        log_noise = np.log(noise * NOISE).astype(np.float32)
-        vectors = self.context(before)
-        real = (vectors * self.out[classes]).sum(1) + self.bias[classes] - log_noise[classes]
-        false = vectors @ self.out[drawn].T + self.bias[drawn] - log_noise[drawn]
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        slope = Network(np.zeros_like(self.weights), len(noise))
-        slope.out[:] = _summed(classes, up[:, None] * vectors, len(noise)) + _summed(drawn, down.T @ vectors, len(noise))
-        slope.bias[:] = np.bincount(classes, up, len(noise)) + np.bincount(drawn, down.sum(0), len(noise))
-        back = up[:, None] * self.out[classes] + down @ self.out[drawn]
-        for i in range(CONTEXT):
-            slope.into[:] += _summed(before[:, i], back * self.place[i], len(noise))
-            slope.place[i] = (back * self.into[before[:, i]]).sum(0)
-        slope.weights /= len(classes)
-        squares += slope.weights**2
-        self.weights += RATE * slope.weights / np.sqrt(squares + 1e-6)
+    def of_contexts(self, before: np.ndarray, which: np.ndarray, chosen: np.ndarray, low: int, high: int) -> np.ndarray:
+        """The logarithm for each token: which says its row in before, chosen its number from low to high - 1."""
+        out, vectors = np.empty(len(which)), self.context(before)
+        facing, bias = np.ascontiguousarray(self.out[low:high].T), self.bias[low:high]
+        length = lambda rows: np.sqrt((rows**2).sum(1).max())
+        small = length(vectors) * length(facing.T) + np.abs(bias).max() < 60  # no score overflows
+        order = np.argsort(which, kind="stable")
+        edges = np.searchsorted(which[order], np.arange(0, len(before) + 2048, 2048))
+        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            if a == b:
+                continue
+            scores = vectors[i * 2048 : (i + 1) * 2048] @ facing
+            scores += bias
+            if not small:
+                scores -= scores.max(1, keepdims=True)
+            these, mine = order[a:b], which[order[a:b]] - i * 2048
+            own = scores[mine, chosen[these] - low]
+            np.exp(scores, out=scores)
+            out[these] = own - np.log(scores.sum(1))[mine]
+        return out
+
+    def learn(self, before: np.ndarray, numbers: np.ndarray, noise: np.ndarray, squares: np.ndarray, rng) -> None:
+        """One step on a batch: real next classes against NOISE classes drawn for the batch, each as if drawn for all; and
+        so the real next words in groups against words."""
+        if self._noise is not noise:
+            self._noise, c = noise, self.classes
+            self._drawn = [np.cumsum(noise[:c]), np.cumsum(noise[c:])]
+            self._log = np.log(noise * NOISE).astype(np.float32)
+        vectors, back = self.context(before), np.zeros((len(before), DIMENSIONS), np.float32)
+        rows, slopes = [], []
+        grouped = np.flatnonzero(numbers >= self.classes)
+        for level, (mine, real) in enumerate(((slice(None), self.class_of(numbers)), (grouped, numbers[grouped]))):
+            if not len(real):
+                continue
+            sums = self._drawn[level]
+            drawn = np.minimum(sums.searchsorted(rng.random(NOISE) * sums[-1], "right"), len(sums) - 1) + level * self.classes
+            these = vectors[mine]
+            out, false_out = self.out[real], self.out[drawn]
+            up = (these * out).sum(1) + self.bias[real] - self._log[real]
+            down = these @ false_out.T + (self.bias[drawn] - self._log[drawn])
+            up = 1 / (1 + np.exp(np.clip(up, -30, 30)))
+            down = -1 / (1 + np.exp(-np.clip(down, -30, 30)))
+            rows += [real, drawn]
+            slopes += [np.concatenate([up[:, None] * these, up[:, None]], 1)]
+            slopes += [np.concatenate([down.T @ these, down.sum(0)[:, None]], 1)]
+            back[mine] += up[:, None] * out + down @ false_out
+        held = Network(squares, self.classes)
+        contexts = [before[:, i] for i in range(CONTEXT)]
+        slope = np.stack([(back * self.into[rows_]).sum(0) for rows_ in contexts]) / len(numbers)
+        into = [back * self.place[i] for i in range(CONTEXT)]
+        _step(self.output, held.output, rows, slopes, len(numbers))
+        _step(self.into, held.into, contexts, into, len(numbers))
+        held.place[:] += slope**2
+        self.place[:] += RATE * slope / np.sqrt(held.place + 1e-6)
 
 
 def _contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Classes of the tokens before each token of some texts; before a text's first token stands an end (class 0)."""
+    """Numbers of the tokens before each token of some texts; before a text's first token stands an end (class 0)."""
     place = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
     out = np.zeros((len(classes), CONTEXT), np.int64)
     for i in range(CONTEXT):
@@ -228,18 +305,25 @@ def _train(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: n
     network, seen = Network(weights.copy(), vocabulary.classes), 0
     squares, rng = np.zeros_like(weights), np.random.default_rng(11)
     for _, _, texts in _texts(batches, 0):
-        classes, _, _ = vocabulary.of([token for text in texts for token in text])
-        before = _contexts(classes, np.cumsum([0, *map(len, texts)]))
-        order = rng.permutation(len(classes))
+        numbers, _, _ = vocabulary.of([token for text in texts for token in text])
+        before = _contexts(numbers, np.cumsum([0, *map(len, texts)]))
+        order = rng.permutation(len(numbers))
         for low in range(0, len(order), BATCH):
             some = order[low : low + BATCH]
-            network.learn(before[some], classes[some], vocabulary.noise, squares, rng)
-        seen += len(classes)
+            network.learn(before[some], numbers[some], vocabulary.noise, squares, rng)
+        seen += len(numbers)
     if seen:
-        moved = np.rint(network.weights.astype(np.float64) * _FIXED).astype(np.int64) * seen
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(weights))), pa.array(moved), pa.array(np.full(len(weights), seen))], ["i", "moved", "seen"]
-        )
+        met = np.flatnonzero((Network(squares, vocabulary.classes).table != 0).any(1))
+        place = np.append(network.place.ravel(), 0)
+        moved = np.concatenate([network.table[met], place[None]]).astype(np.float64) * _FIXED
+        times = -(-seen >> 10)  # in thousands, so that the sums of very large corpora fit
+        moved = np.rint(moved).astype(np.int64) * times
+        columns = [np.append(met, network.rows), np.full(len(met) + 1, times), *moved.T]
+        for low in range(0, len(met) + 1, 1 << 14):
+            yield pa.RecordBatch.from_arrays([pa.array(c[low : low + (1 << 14)]) for c in columns], ["i", "seen", *MOVED])
+
+
+MOVED = [f"v{i}" for i in range(2 * DIMENSIONS + 1)]  # also holds the weights of the contexts, in a row of their own
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary, text_column: str = "text", rounds: int = ROUNDS) -> np.ndarray:
@@ -250,12 +334,16 @@ def train(texts: DataFrame, vocabulary: Vocabulary, text_column: str = "text", r
     for i in range(rounds):
         sent = context.broadcast(cloudpickle.dumps((vocabulary, weights)))
         parts = texts.where(dealt == i).select(text_column).mapInArrow(
-            lambda batches, sent=sent: _train(batches, *cloudpickle.loads(sent.value)), "i long, moved long, seen long"
+            lambda batches, sent=sent: _train(batches, *cloudpickle.loads(sent.value)), ", ".join(f"{c} long" for c in ("i", "seen", *MOVED))
         )
-        whole = F.col("moved").cast("decimal(38,0)")
-        summed = parts.groupBy("i").agg((F.sum(whole) / F.sum("seen")).cast("double").alias("w")).orderBy("i").toArrow()
+        summed = parts.groupBy("i").agg(*[(F.sum(c) / F.sum("seen")).alias(c) for c in MOVED]).toArrow()
         if summed.num_rows:
-            weights = (summed["w"].to_numpy() / _FIXED).astype(np.float32)
+            rows, mean = summed["i"].to_numpy(), np.stack([summed[c].to_numpy() for c in MOVED], 1) / _FIXED
+            network = Network(weights.copy(), vocabulary.classes)
+            last = rows == network.rows
+            network.table[rows[~last]] = mean[~last]
+            network.place[:] = mean[last][0, :-1].reshape(CONTEXT, DIMENSIONS)
+            weights = network.weights
         sent.unpersist()
     return weights
 
@@ -267,20 +355,20 @@ def _score(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: n
     for batch, low, texts in _texts(batches, 2):
         flat = [token for text in texts for token in text]
         first = np.cumsum([0, *map(len, texts)])
-        classes, logs, rare = vocabulary.of(flat)
-        before = _contexts(classes, first)
-        code = before[:, 0] * vocabulary.classes + before[:, 1]
-        contexts, which = np.unique(code, return_inverse=True)
-        chosen = np.empty(len(classes))
-        order = np.argsort(which, kind="stable")
-        edges = np.searchsorted(which[order], np.arange(0, len(contexts) + 8192, 8192))
-        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            part = contexts[i * 8192 : (i + 1) * 8192]
-            table = network.log_probabilities(np.stack([part // vocabulary.classes, part % vocabulary.classes], 1))
-            chosen[order[a:b]] = table[which[order[a:b]] - i * 8192, classes[order[a:b]]]
+        numbers, logs, rare = vocabulary.of(flat)
+        before, classes = _contexts(numbers, first), network.class_of(numbers)
+        contexts, which = np.unique(before[:, 0] * network.rows + before[:, 1], return_inverse=True)
+        pairs = np.stack([contexts // network.rows, contexts % network.rows], 1)
+        chosen = network.of_contexts(pairs, which, classes, 0, network.classes)
+        grouped = np.flatnonzero(numbers >= network.classes)
+        grouped = grouped[np.argsort(classes[grouped], kind="stable")]
+        for mine in np.split(grouped, np.flatnonzero(np.diff(classes[grouped])) + 1) if len(grouped) else ():
+            group = network.classes + (int(classes[mine[0]]) - network.first) * network.size
+            end = min(group + network.size, network.rows)
+            chosen[mine] += network.of_contexts(before[mine], np.arange(len(mine)), numbers[mine], group, end)
         missing = np.isnan(logs)
         logs[missing] = 0
-        single = classes <= WORDS
+        single = (classes < vocabulary.endings) | (classes >= network.first)
         score = chosen / math.log(10) + np.where(single, 0, logs + vocabulary.inside[classes])
         unknown_ends = 0 if vocabulary.counted else 1
         gone = np.add.reduceat(missing, first[:-1])
