@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import decontaminate, extraction, language, mixing, quality, scoring, simhash, substrings, urls, warc
+from tillstone.llm import decontaminate, extraction, language, mixing, periods, quality, scoring, simhash, substrings, urls, warc
 from tillstone.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -83,6 +83,19 @@ def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.scored(table(spark, folder, "documents"), scoring.is_held_out())
 
 
+def op11_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.periodic_runs(periods.with_planted_runs(table(spark, folder, "documents").select("doc_id", "text")))
+    top = periods.longest_run()
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[top[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * top["length"] / top["period"]).cast("long").alias("exponent_milli"),
+        periods.runs_digest().alias("runs_sha256"),
+        F.sha2("run_text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -96,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_urls,
         op9_substrings,
         op10_scoring,
+        op11_periods,
     )
 }
