@@ -152,7 +152,7 @@ def periodic_runs(docs: DataFrame, text_column: str = "text", shortest: int = SH
         raise ValueError("a run must have at least four periods and two words")
     own = [c for c in docs.columns if c not in ("run_words", "runs", "run_text")]
     plain = docs.select([F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(own)])
-    schema = T.StructType(plain.schema.fields)
+    schema = T.StructType(list(plain.schema.fields))
     for i, field in enumerate(T._parse_datatype_string(RESULT).fields):
         schema = schema.add(str(len(own) + i), field.dataType)
     at = own.index(text_column)
