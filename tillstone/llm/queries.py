@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import decontaminate, extraction, language, mixing, periods, quality, scoring, simhash, substrings, urls, warc
+from tillstone.llm import decontaminate, extraction, language, mixing, periods, quality, scoring, simhash, substrings, tokens, urls, warc
 from tillstone.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
 
+CONTEXT = 512  # tokens
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -96,6 +98,18 @@ def op11_periods(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    found = tokens.token_counts(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select(
+        "doc_id",
+        F.col("token_bytes").alias("n_bytes"),
+        F.col("token_count").alias("n_tokens"),
+        (F.col("token_count") > CONTEXT).alias("over_limit"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -110,5 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substrings,
         op10_scoring,
         op11_periods,
+        op12_tokens,
     )
 }
