@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import decontaminate, extraction, language, mixing, periods, quality, scoring, simhash, substrings, tokens, urls, warc
+from tillstone.llm import codes, decontaminate, extraction, language, mixing, periods, quality, scoring, simhash, substrings, tokens, urls, warc
 from tillstone.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -110,6 +110,18 @@ def op12_tokens(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = codes.compressed(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+    found = codes.with_label_error(coded)
+    return found.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        F.col("code_error").alias("error"),
+        "label_error",
+        F.lit(codes.books_digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -125,5 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_scoring,
         op11_periods,
         op12_tokens,
+        op13_codes,
     )
 }

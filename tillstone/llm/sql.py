@@ -78,4 +78,47 @@ SELECT doc_id, size, source_size, target, (whole * size + cut)::BIGINT AS taken,
 FROM f
 """
 
-SQL: dict[str, str] = {"op2_quality": _QUALITY, "op5_mixing": _MIXING}
+
+
+def _codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """All pairs of a part and an entry; doubles hold the integers exactly."""
+
+    def nearest(number: int) -> str:
+        """The parts with their nearest entry of the round's codebooks."""
+        return f"""n{number} AS MATERIALIZED (
+  SELECT row, part, any_value(x) AS x, min({{'far': list_inner_product(c, c) - 2 * list_inner_product(x, c), 'entry': entry}}) AS least
+  FROM pieces JOIN book{number} USING (part) GROUP BY row, part
+)"""
+
+    def moved(number: int) -> str:
+        return f"""book{number + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.c, b.c) AS c FROM book{number} b LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY position) AS c FROM (
+      SELECT part, least.entry AS entry, position, floor(sum(x[position]) / count(*)) AS mean
+      FROM n{number}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM pieces) + 1)) AS position) GROUP BY ALL
+    ) GROUP BY part, entry
+  ) m USING (part, entry)
+)"""
+
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS row FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  )
+), pieces AS MATERIALIZED (
+  SELECT row, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS x FROM kept, (SELECT unnest(range({parts})) AS part)
+), book0 AS MATERIALIZED (
+  SELECT part, row - 1 AS entry, x AS c FROM pieces WHERE row <= {entries}
+), {", ".join(nearest(i) + ", " + moved(i) for i in range(rounds))}, {nearest(rounds)}, coded AS (
+  SELECT row, string_agg(printf('%02x', least.entry), '' ORDER BY part) AS code,
+    sum(least.far + list_inner_product(x, x))::BIGINT AS error
+  FROM n{rounds} GROUP BY row
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (row)
+"""
+
+
+SQL: dict[str, str] = {"op2_quality": _QUALITY, "op5_mixing": _MIXING, "op13_codes": _codes()}
