@@ -181,6 +181,35 @@ def test_balance_shapes(spark, rows):
         landing.balance_pairs(bad).collect()
 
 
+@pytest.mark.parametrize(
+    "payload",
+    [
+        '[{"stock":1,"item":2},{"stock":3,"it',
+        '{"results":[{"stock":1,"item":2}',
+        '"text"',
+        "17",
+        '{"results":{"a":1}}',
+        '{"results":null}',
+        '{"lines":[]}',
+        '[{"stock":1,"item":null}]',
+        "[[1,2]]",
+        "",
+        None,
+    ],
+)
+def test_a_balance_of_another_shape_stops_the_load(spark, payload):
+    pages = spark.createDataFrame([(1, '[{"stock":1,"item":2}]'), (2, payload)], "page int, payload string")
+    with pytest.raises(Exception, match="(?i)unexpected format|malformed"):
+        landing.balance_pairs(pages).collect()
+
+
+@pytest.mark.parametrize("payload", ['{"items":[{"id":1}', '[{"id":1}', '[{"id":1},', '"text"', "17", None])
+def test_a_cut_response_has_no_first_list(spark, payload):
+    df = spark.createDataFrame([('{"items":[]}',), (payload,)], "p string")
+    with pytest.raises(Exception, match="(?i)malformed|without a payload"):
+        df.select(landing.first_list(F.col("p"))).collect()
+
+
 def test_first_list_of_a_response(spark):
     df = spark.createDataFrame([("[1]",), ('{"Total":3,"Itens":[{"a":1}],"Outros":[2]}',), ('{"a":1}',)], "p string")
     found = [r[0] for r in df.select(landing.first_list(F.col("p"))).collect()]

@@ -214,7 +214,7 @@ def _first_lists(j: Job) -> DataFrame:
     name = F.to_json(F.array(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))))
     wrapped = F.concat(F.lit('{"total":1,"items":'), name, F.lit(',"errors":[]}'))
     pages = j.s.customer.select(F.when(F.col("c_custkey") % 2 == 0, name).otherwise(wrapped).alias("payload"))
-    rows = F.from_json(landing.first_list(F.col("payload")), "array<struct<id:bigint, name:string>>")
+    rows = F.from_json(landing.first_list(F.col("payload")), "array<struct<id:bigint, name:string>>", {"mode": "FAILFAST"})
     source = pages.select(F.explode(rows).alias("row")).select(F.col("row.id").alias("code"), "row.name")
     return sync.dim_sync(j.s.old_customer.select("code", "name", "touched_at"), source, "code", "name", ["name"], F.lit(j.as_of))
 

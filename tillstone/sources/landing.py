@@ -107,22 +107,34 @@ def explode_pages(pages: DataFrame, list_key: str, item_schema: str, keep: Seque
 
 
 def first_list(payload: Column) -> Column:
-    """JSON text of a response's list: the response itself if it is one, else its first field that is one."""
-    fields = F.map_entries(F.from_json(payload, "map<string,string>"))
+    """JSON text of a response's list: the response itself if it is one, else its first field that is one.
+
+    NULL means a whole object without a list. A response that is missing, cut short or neither list nor object fails the
+    task that meets it.
+    """
+    strict = {"mode": "FAILFAST"}
+    fields = F.map_entries(F.from_json(payload, "map<string,string>", strict))
     lists = F.filter(fields, lambda f: F.ltrim(f["value"]).startswith("["))
-    return F.when(F.ltrim(payload).startswith("["), payload).otherwise(F.get(lists, 0)["value"])
+    whole = F.from_json(payload, "array<string>", strict)  # parsed only to see that it is whole
+    return (
+        F.when(payload.isNull(), F.raise_error(F.lit("response without a payload")))
+        .when(F.ltrim(payload).startswith("["), F.when(F.size(whole) >= 0, payload))
+        .otherwise(F.get(lists, 0)["value"])
+    )
 
 
 def balance_pairs(pages: DataFrame, first: str = "stock", second: str = "item") -> DataFrame:
     """The two ids of each balance line.  The payload is a list, or an object with ``results``.
 
-    A line lacking either id means the format changed: the job fails rather than landing half a balance.
+    A payload that is missing, cut short or of another shape, and a line lacking either id, mean that the format changed: the
+    job fails rather than landing half a balance.
     """
-    line = f"array<struct<{first}:bigint, {second}:bigint>>"
-    is_list = F.ltrim("payload").startswith("[")
-    lines = F.when(is_list, F.from_json("payload", line)).otherwise(
-        F.from_json("payload", f"results {line}")["results"]
+    line, strict = f"array<struct<{first}:bigint, {second}:bigint>>", {"mode": "FAILFAST"}
+    listed = F.when(F.ltrim("payload").startswith("["), F.from_json("payload", line, strict)).otherwise(
+        F.from_json("payload", f"results {line}", strict)["results"]
     )
+    shown = F.coalesce(F.substring("payload", 1, 200), F.lit("null"))
+    lines = F.coalesce(listed, F.raise_error(F.concat(F.lit("balance in an unexpected format: "), shown)).cast(line))
     both = F.col(f"line.{first}").isNotNull() & F.col(f"line.{second}").isNotNull()
 
     def checked(name: str) -> Column:
