@@ -58,12 +58,33 @@ def test_columns_and_filters_reach_the_scan(spark):
     assert "text:string" not in narrow
 
 
-def test_item_facts_are_shuffled_once_by_month_and_product(spark):
+def above(plan: str, at: int) -> str:
+    """The operators between the root of a plan and the line at ``at``: its ancestors only."""
+    lines = plan[:at].splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)"))
+    now, path = depth(plan[plan.rindex("\n", 0, at) + 1 : plan.index("\n", at)]), []
+    for line in reversed(lines[:-1] if plan[at - 1] != "\n" else lines):
+        if depth(line) < now:
+            path.append(line)
+            now = depth(line)
+    return "\n".join(path)
+
+
+def test_stock_laid_out_by_product_is_not_shuffled(spark, large):
+    """From the stored validity up, neither the as-of join, nor the stack of facts, nor the joins above it shuffle."""
+    for name, scans in (("opening_stock", 2), ("reference_branch_cost", 2), ("item_base", 5)):
+        plan = physical(contract.queries()[name](spark, SMALL))
+        found = [m.start() for m in re.finditer("FileScan parquet spark_catalog.default.laid_out", plan)]
+        assert len(found) == scans, (name, len(found))
+        for at in found:
+            assert "Exchange" not in above(plan, at), above(plan, at)
+
+
+def test_facts_are_shuffled_once_more_after_their_month(spark, large):
     plan = physical(contract.queries()["item_base"](spark, SMALL))
-    above = plan[: plan.index("Union")]
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)", above)
-    on_facts = [e for e in exchanges if "month" in e and "product_code" in e and "branch_id" not in e]
-    assert on_facts and not any("month" in e and "branch_id" in e for e in exchanges), exchanges
+    dealt = re.findall(r"Exchange hashpartitioning\((product_code#\d+L), \d+\), REPARTITION_BY_NUM", plan)
+    assert len(dealt) == 5  # four facts and the inventories
+    assert not any("month" in keys and "branch_id" in keys for keys in exchanges(plan[: plan.index("Union")]))
 
 
 def test_tolerance_match_groups_are_bounded(spark):
@@ -98,16 +119,6 @@ def test_items_are_not_shuffled_by_department(spark, small_limit):
     assert not any("department" in keys for keys in exchanges(plan)), exchanges(plan)
 
 
-def test_opening_stock_joins_the_base_without_a_shuffle_of_its_own(spark, large):
-    """Above the stack of facts there is one exchange by month and product, for all of them."""
-    plan = physical(contract.queries()["item_base"](spark, SMALL))
-    above = exchanges(plan[: plan.index("Union")])
-    assert sum("month" in keys and "product_code" in keys for keys in above) == 1, above
-    # the positions, by far the larger side of the opening, reach the stack without any
-    positions = plan[plan.index("Union") :].split("position_date", 1)[1]
-    assert "Exchange" not in positions[: positions.index("Scan")]
-
-
 def test_card_history_is_cut_before_the_group(spark, large):
     plan = physical(contract.queries()["card_reconciliation"](spark, SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(sale_date", plan)

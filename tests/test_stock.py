@@ -41,6 +41,19 @@ def test_last_positive_cost_is_null_before_the_first(daily):
     assert found[0][1] is None and [int(f[1]) for f in found[1:]] == [7, 7, 7]
 
 
+def test_a_day_delivered_twice_stops_every_reader(daily):
+    v = sk.stock_validity(daily((1, 1, date(2001, 1, 5), 1, 0), (1, 1, date(2001, 1, 5), 2, 7), (1, 2, date(2001, 1, 5), 2, 7)))
+    for reader in (sk.position_before_month(v, START, AS_OF), sk.closing_stock(v, START, AS_OF), v.select("positive_cost", "date")):
+        with pytest.raises(Exception, match="day delivered twice: 1 1 2001-01-05"):
+            reader.collect()
+
+
+def test_what_is_known_before_the_first_row_counts(spark, daily):
+    known = daily((1, 1, date(2001, 1, 5), 1, 0), (1, 1, date(2001, 2, 5), 1, None), (1, 1, date(2001, 3, 5), 1, 2))
+    known = known.withColumn("positive_cost", F.when(F.col("date") == "2001-01-05", F.lit(9).cast("decimal(18,4)")))
+    assert [int(r.positive_cost) for r in sk.stock_validity(known).orderBy("date").collect()] == [9, 9, 2]
+
+
 def test_month_boundaries(daily, rows):
     """A row dated on the 1st opens the next month only; a row whose next date is the 1st still opens that month."""
     v = sk.stock_validity(daily((1, 1, date(2001, 1, 31), 10, 1), (1, 1, date(2001, 2, 1), 20, 1), (1, 1, date(2001, 2, 28), 30, 1)))

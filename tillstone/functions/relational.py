@@ -42,7 +42,7 @@ def asof_last(
         return probes.join(found, same, "left").select(probes["*"], *[found[v] for v in values])
 
     state = F.struct(*[F.col(v) for v in values])
-    probe = F.struct(*[F.col(f"`{c}`") for c in probes.columns])
+    probe = F.struct(*[F.col(f"`{c}`") for c in probes.columns if c not in keys])
     stacked = states.where(F.col(state_date).isNotNull()).select(
         *keys, F.col(state_date).alias("_at"), F.lit(0).alias("_side"), state.alias("_state")
     ).unionByName(
@@ -55,5 +55,9 @@ def asof_last(
     return (
         stacked.withColumn("_state", F.last("_state", ignorenulls=True).over(so_far))
         .where(F.col("_side") == 1)
-        .select("_probe.*", *[F.col(f"_state.{v}").alias(v) for v in values])
+        # The keys themselves, not copies of them: what is partitioned by them stays so.
+        .select(
+            *[F.col(f"`{c}`") if c in keys else F.col(f"_probe.`{c}`") for c in probes.columns],
+            *[F.col(f"_state.{v}").alias(v) for v in values],
+        )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
@@ -9,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.functions.columns import MONEY, QUANTITY, month_of, zero
-from tillstone.operators.stock import opening_columns
-from tillstone.operators.stock import ITEM_MONTH
+from tillstone.operators.stock import ITEM_MONTH, opening_columns
 
 EXTENDED = "decimal(24,4)"
 DEFAULT_SIMPLES_RATE = 0.04
@@ -145,68 +145,80 @@ def active_keys(facts: list[DataFrame], stocks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, present).distinct()
 
 
-def item_base(
-    products: DataFrame,
-    prices: DataFrame,
-    butcher_cost: DataFrame,
-    reference_cost: DataFrame,
+def item_facts(
     sales: DataFrame,
     purchases: DataFrame,
     transformations: DataFrame,
     breakage: DataFrame,
     openings: DataFrame,
     closing: DataFrame,
-    butcher_department: str,
+    deal: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """One row per active (month, branch, product) with every fact, zeros where a fact is missing.
+    """One row per (month, branch, product) that any fact or stock knows, with all of them side by side.
 
     ``openings`` are the two sides of the opening stock (``opening_sides``): which one counts is settled in the same
-    grouping as everything else, so the stock is not shuffled for that first.  The facts are unique per key, so instead of a distinct key set and six joins they are stacked and
-    grouped once, with fixed-width buffers so that it stays a hash aggregate.  ``active`` reproduces the key rule:
-    a fact activates its key always, a stock row only with a quantity other than zero.
+    grouping as everything else, so the stock is not shuffled for that first.  The facts are unique per key, so instead of
+    a distinct key set and six joins they are stacked and grouped once, with fixed-width buffers so that it stays a hash
+    aggregate.  ``moved`` says whether a fact, or a closing stock other than zero, makes the key one of the month's.
 
-    The stacked rows are shuffled once, by (month, product): grouping by (month, branch, product) and the two
-    joins on (month, product) all run on that partitioning.  A (month, product) holds at most six rows per branch.
+    Over a validity laid out by product neither stock is shuffled: ``deal`` shuffles the facts as it lies, and the
+    grouping runs on that.  A product holds at most six rows per month and branch.
     """
-    stacked = [f.withColumn("active", F.lit(True)) for f in (sales, purchases, transformations, breakage)]
-    sides = [c for c in openings.columns if c not in (*ITEM_MONTH, "inventory_id")]
-    stacked.append(openings.select(*ITEM_MONTH, *sides, F.lit(False).alias("active")))
+    stacked = [deal(f).withColumn("moved", F.lit(True)) for f in (sales, purchases, transformations, breakage)]
+    sides = [c for c in openings.columns if c not in ITEM_MONTH]
+    stacked.append(openings.select(*ITEM_MONTH, *sides, F.lit(False).alias("moved")))
     stacked.append(
         closing.select(
             *ITEM_MONTH,
             F.col("quantity").alias("closing_quantity"),
-            F.coalesce(F.when(F.col("cost") != 0, F.col("cost")), F.col("positive_cost")).alias("closing_stock_cost"),
+            F.col("cost").alias("closing_stock_cost"),
+            F.col("positive_cost").alias("closing_positive"),
             F.col("position_date").alias("closing_date"),
-            (F.col("quantity") != 0).alias("active"),
+            (F.col("quantity") != 0).alias("moved"),
         )
     )
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    carried = [c for c in facts.columns if c not in (*ITEM_MONTH, "active")]
-    grouped = (
-        facts.repartition("month", "product_code")
-        .groupBy(*ITEM_MONTH)
-        .agg(F.bool_or("active").alias("active"), *[F.max(c).alias(c) for c in carried])
+    carried = [c for c in facts.columns if c not in (*ITEM_MONTH, "moved")]
+    return facts.groupBy(*ITEM_MONTH).agg(F.bool_or("moved").alias("moved"), *[F.max(c).alias(c) for c in carried])
+
+
+def reference_cost_of(facts: DataFrame, branch_id: int) -> DataFrame:
+    """Cost of one branch per month and product (C9), read off the facts of its items."""
+    return facts.where(F.col("branch_id") == branch_id).select(
+        "month", "product_code", F.col("position_positive").alias("start_cost"), F.col("closing_positive").alias("end_cost")
     )
+
+
+def item_base(
+    products: DataFrame,
+    prices: DataFrame,
+    butcher_cost: DataFrame,
+    reference_cost: DataFrame,
+    facts: DataFrame,
+    butcher_department: str,
+) -> DataFrame:
+    """One row per active (month, branch, product) with every fact, zeros where a fact is missing.
+
+    A fact activates its key always, a stock row only with a quantity other than zero.  Attributes of the products come
+    last, onto narrow rows.
+    """
     opening = opening_columns()
-    grouped = (
-        grouped.withColumns(
-            {
-                "opening_quantity": opening["quantity"],
-                "opening_stock_cost": opening["effective_cost"],
-                "opening_date": opening["stock_date"],
-                "opening_counted": opening["origin"] == "inventory",
-            }
-        )
-        .where(F.col("active") | (F.coalesce("opening_quantity", F.lit(0)) != 0))
-        .drop("active", *sides)
-    )
+    known = facts.withColumns(
+        {
+            "opening_quantity": opening["quantity"],
+            "opening_stock_cost": opening["effective_cost"],
+            "opening_date": opening["stock_date"],
+            "opening_counted": opening["origin"] == "inventory",
+            "closing_best": F.coalesce(F.when(F.col("closing_stock_cost") != 0, F.col("closing_stock_cost")), "closing_positive"),
+        }
+    ).where(F.col("moved") | (F.coalesce("opening_quantity", F.lit(0)) != 0))
     butcher = butcher_cost.where(F.col("unit_cost") > 0).select(
         F.make_date("year", "month_number", F.lit(1)).alias("month"),
         F.col("product_code").cast("bigint").alias("product_code"),
         F.col("unit_cost").alias("butcher_cost"),
     )
     joined = (
-        grouped.join(reference_cost, ["month", "product_code"], "left")
+        known.join(reference_cost, ["month", "product_code"], "left")
         .join(butcher, ["month", "product_code"], "left")
         .join(products, "product_code", "left")
         .join(
@@ -243,7 +255,7 @@ def item_base(
         .when(~F.col("opening_counted"), "position")
         .alias("opening_origin"),
         zero(F.col("closing_quantity"), QUANTITY).alias("closing_quantity"),
-        cost("closing_stock_cost", "end_cost").alias("closing_cost"),
+        cost("closing_best", "end_cost").alias("closing_cost"),
         "closing_date",
         *[zero(F.col(a), "int").alias(a) for a in amounts],
     )

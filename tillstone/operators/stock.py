@@ -1,11 +1,12 @@
 """Stock from sparse daily positions: a row is valid until the day before the next row of its branch and product.
 
-The daily table is unique per (branch, product, date) (checked by ``dq_unique_combo`` before use), so a window
-group never holds more rows than the calendar has days, however large the table is.
+The daily table is unique per (branch, product, date), which the window over an item's days checks as it goes, so a
+window group never holds more rows than the calendar has days, however large the table is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,16 +44,26 @@ def months_since(df: DataFrame, first: str, as_of: date) -> DataFrame:
 
 
 def stock_validity(daily: DataFrame) -> DataFrame:
-    """Daily rows with ``next_date`` (next row of the item) and ``positive_cost`` (last cost > 0 up to the row)."""
+    """Daily rows with ``next_date`` (next row of the item) and ``positive_cost`` (last cost > 0 up to the row).
+
+    Rows may bring a ``positive_cost`` of their own: what is known from before the first of them.  A day that comes twice
+    fails the task that meets it: which of its rows is in force would be left to chance.
+    """
     by_date = Window.partitionBy(*ITEM).orderBy("date")
     so_far = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    positive = F.when(F.col("cost") > 0, F.col("cost"))
+    if "positive_cost" in daily.columns:
+        positive = F.coalesce(positive, "positive_cost")
+    next_date = F.lead("date").over(by_date)
+    twice = F.concat_ws(" ", F.lit("day delivered twice:"), *[F.col(c).cast("string") for c in (*ITEM, "date")])
+    # On the date itself, which every reader uses: the check can't be pruned away.
     return daily.select(
         *ITEM,
-        "date",
-        F.lead("date").over(by_date).alias("next_date"),
+        F.when(next_date == F.col("date"), F.raise_error(twice).cast("date")).otherwise(F.col("date")).alias("date"),
+        next_date.alias("next_date"),
         "quantity",
         "cost",
-        F.last(F.when(F.col("cost") > 0, F.col("cost")), ignorenulls=True).over(so_far).alias("positive_cost"),
+        F.last(positive, ignorenulls=True).over(so_far).alias("positive_cost"),
     )
 
 
@@ -134,15 +145,20 @@ def _effective_cost() -> Column:
 
 
 def opening_sides(
-    inventory: DataFrame, validity: DataFrame, start: date, as_of: date, last_day: int = 5
+    inventory: DataFrame,
+    validity: DataFrame,
+    start: date,
+    as_of: date,
+    last_day: int = 5,
+    deal: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Early inventories and positions before the month, stacked: at most one row of each per item and month.
 
-    Whoever groups the stack by item and month (``opening_stock``, or the item base together with its other facts)
+    ``deal`` shuffles the inventories as the validity lies, if that is laid out.  Whoever groups the stack by item and month (``opening_stock``, or the item base together with its other facts)
     then reads the opening off with ``opening_columns``.
     """
     counted = asof_cost(
-        first_inventory_of_month(inventory, start, last_day), "reference_date", validity, probes_unique=True
+        deal(first_inventory_of_month(inventory, start, last_day)), "reference_date", validity, probes_unique=True
     ).select(
         *ITEM_MONTH,
         F.lit(True).alias("won"),
@@ -178,14 +194,19 @@ def opening_columns() -> dict[str, Column]:
 
 
 def opening_stock(
-    inventory: DataFrame, validity: DataFrame, start: date, as_of: date, last_day: int = 5
+    inventory: DataFrame,
+    validity: DataFrame,
+    start: date,
+    as_of: date,
+    last_day: int = 5,
+    deal: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Opening stock per month: the early inventory if there is one, else the position before the month.
 
     Both sides are unique per item and month, so the full join is written as a stack grouped once (a hash aggregate,
     no sort of either side).
     """
-    stacked = opening_sides(inventory, validity, start, as_of, last_day)
+    stacked = opening_sides(inventory, validity, start, as_of, last_day, deal)
     sides = [c for c in stacked.columns if c not in ITEM_MONTH]
     joined = stacked.groupBy(*ITEM_MONTH).agg(*[F.max(c).alias(c) for c in sides])
     return joined.select(

@@ -20,8 +20,7 @@ from tillstone.operators import reconcile as rc
 from tillstone.operators import staging as st
 from tillstone.operators import stock as sk
 from tillstone.plans import overlays as ov
-from tillstone.operators.quality import dq_unique_combo, require
-from tillstone.plans.session import settled
+from tillstone.plans.session import dealt, laid_out, settled
 from tillstone.sources import finance
 
 REFERENCE_BRANCH = 1  # its cost stands in for a missing one, and it pays its own sales tax
@@ -120,14 +119,16 @@ class Job:
 
     @cached_property
     def validity(self) -> DataFrame:
-        """The window over an item's days is bounded only if no day comes twice: checked before it is used."""
-        require(dq_unique_combo(self.daily, ["date", "branch_id", "product_code"]))
         return sk.stock_validity(self.daily)
 
     @cached_property
-    def settled_validity(self) -> DataFrame:
-        """Five steps of the margin job read it: opening (twice), closing and the reference branch (twice)."""
-        return settled(self.validity, "validity")
+    def laid_validity(self) -> DataFrame:
+        """Opening (twice), closing and the reference branch (twice) read it as it lies, by product: a product has at most a
+        row per branch and day."""
+        return laid_out(sk.stock_validity(self.by_product(self.daily)), "validity", "product_code")
+
+    def by_product(self, df: DataFrame) -> DataFrame:
+        return dealt(df, "product_code")
 
     @cached_property
     def before_month(self) -> DataFrame:
@@ -138,8 +139,8 @@ class Job:
         return sk.closing_stock(self.validity, self.start, self.as_of)
 
     @cached_property
-    def closing_from_settled(self) -> DataFrame:
-        return sk.closing_stock(self.settled_validity, self.start, self.as_of)
+    def laid_closing(self) -> DataFrame:
+        return sk.closing_stock(self.laid_validity, self.start, self.as_of)
 
     @cached_property
     def first_inventory(self) -> DataFrame:
@@ -147,19 +148,19 @@ class Job:
 
     @cached_property
     def opening(self) -> DataFrame:
-        return sk.opening_stock(self.inventory, self.settled_validity, self.start, self.as_of)
+        return sk.opening_stock(self.inventory, self.laid_validity, self.start, self.as_of, deal=self.by_product)
 
     @cached_property
     def opening_sides(self) -> DataFrame:
-        return sk.opening_sides(self.inventory, self.settled_validity, self.start, self.as_of)
+        return sk.opening_sides(self.inventory, self.laid_validity, self.start, self.as_of, deal=self.by_product)
 
     @cached_property
     def stocked(self) -> DataFrame:
-        return sk.stocked_items(self.inventory, self.settled_validity, self.start, self.as_of)
+        return sk.stocked_items(self.inventory, self.laid_validity, self.start, self.as_of)
 
     @cached_property
     def reference_cost(self) -> DataFrame:
-        return sk.reference_branch_cost(self.settled_validity, REFERENCE_BRANCH, self.start, self.as_of)
+        return sk.reference_branch_cost(self.laid_validity, REFERENCE_BRANCH, self.start, self.as_of)
 
     # -- profitability -----------------------------------------------------------------------------------------
 
@@ -212,14 +213,19 @@ class Job:
     @cached_property
     def active_keys(self) -> DataFrame:
         facts = [self.monthly_sales, self.monthly_purchases, self.monthly_transformations, self.monthly_breakage]
-        return pf.active_keys(facts, [self.opening, self.closing_from_settled])
+        return pf.active_keys(facts, [self.opening, self.laid_closing])
+
+    @cached_property
+    def item_facts(self) -> DataFrame:
+        return pf.item_facts(
+            self.settled_sales, self.monthly_purchases, self.monthly_transformations, self.monthly_breakage,
+            self.opening_sides, self.laid_closing, deal=self.by_product,
+        )
 
     @cached_property
     def base(self) -> DataFrame:
         return pf.item_base(
-            self.settled_products, self.settled_prices, self.butcher_cost, self.reference_cost, self.settled_sales,
-            self.monthly_purchases, self.monthly_transformations, self.monthly_breakage, self.opening_sides,
-            self.closing_from_settled,
+            self.settled_products, self.settled_prices, self.butcher_cost, self.reference_cost, self.item_facts,
             BUTCHER_DEPARTMENT,
         )
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # What the jobs want on a cluster.  Shuffle partitions start high and are coalesced at run time; a join side is
 # broadcast only when its measured size is under the threshold; skewed shuffle partitions are split.
@@ -16,6 +18,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Tables laid out by product also serve joins on (branch, product) and (month, product) as they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
@@ -56,6 +60,7 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.files.maxPartitionBytes", "16m")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
@@ -92,8 +97,34 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Shuffle a table as ``laid_out`` tables of the same key lie, so that both meet without another exchange."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _prefix(spark: SparkSession) -> str:
+    return "laid_out_" + re.sub(r"\W", "_", spark.sparkContext.applicationId)
+
+
+def laid_out(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``settled``, with the table's files dealt by ``key``: one bucket per shuffle partition.
+
+    Whatever groups, windows or joins by the key, or by more columns than it, reads the table as it lies.  The key must
+    be one that no value of holds a large part of the rows.
+    """
+    spark, table = df.sparkSession, f"{_prefix(df.sparkSession)}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = f"{run_folder(spark)}/{name}-{table[-12:]}"
+    dealt(df, key).write.bucketBy(buckets, key).option("path", folder).saveAsTable(table)
+    # Columns of their own instead of the catalog table's: a union compares columns with their qualifiers, and would not see
+    # that its sides lie alike.  The metadata keeps the renaming from being optimised away.
+    return spark.table(table).select(*[F.col(f"`{c}`").alias(c, metadata={"laid_out": name}) for c in df.columns])
+
+
 def discard_settled(spark: SparkSession) -> None:
     """Remove this run's settled steps.  For the end of a job: frames built on them can't be read afterwards."""
+    for row in spark.sql(f"SHOW TABLES LIKE '{_prefix(spark)}_*'").collect():
+        spark.sql(f"DROP TABLE IF EXISTS `{row.tableName}`")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
