@@ -188,13 +188,15 @@ STEPS = {
         FROM (SELECT c_custkey AS segment, min(o_orderdate) AS first FROM {{orders}} JOIN {{customer}}
               ON c_custkey = o_custkey GROUP BY 1) x,
              generate_series(date_trunc('month', first), date_trunc('month', {A}), INTERVAL 1 MONTH) t(m)""",
+    # the row after, and the last row with a cost above zero, each looked up by date
     "o_validity": """
-        SELECT branch_id, product_code, date, next_date, quantity, cost,
-               max(CASE WHEN cost > 0 THEN cost END) OVER (PARTITION BY branch_id, product_code, run) AS positive_cost
-        FROM (SELECT *, lead(date) OVER (PARTITION BY branch_id, product_code ORDER BY date) AS next_date,
-                     count(CASE WHEN cost > 0 THEN 1 END) OVER (PARTITION BY branch_id, product_code ORDER BY date
-                         ROWS UNBOUNDED PRECEDING) AS run
-              FROM {o_daily}) x""",
+        SELECT d.branch_id, d.product_code, d.date, later.date AS next_date, d.quantity, d.cost,
+               paid.cost AS positive_cost
+        FROM {o_daily} d
+             ASOF LEFT JOIN {o_daily} later
+                  ON later.branch_id = d.branch_id AND later.product_code = d.product_code AND later.date > d.date
+             ASOF LEFT JOIN (FROM {o_daily} WHERE cost > 0) paid
+                  ON paid.branch_id = d.branch_id AND paid.product_code = d.product_code AND paid.date <= d.date""",
     "o_before_month": """
         SELECT month, branch_id, product_code, date AS position_date, quantity, cost, positive_cost
         FROM {o_calendar} JOIN {o_validity} ON date < month AND (next_date IS NULL OR next_date >= month)""",
@@ -358,13 +360,16 @@ STEPS = {
                   ON p.department = 'LARGE' AND meat.unit_cost > 0 AND meat.product_code = i.product_code
                      AND meat.year = year(i.month) AND meat.month_number = month(i.month)""",
     "o_rates": """
-        SELECT month,
-               coalesce(CAST((SELECT sum(value) FROM {o_title_allocations} t
-                              WHERE t.company_tax_id = '00.000.000/0000-01' AND upper(t.account_plan) = '2-HIGH'
-                                    AND t.competence = strftime(c.month, '%Y-%m')) AS DOUBLE)
-                        / CAST(nullif((SELECT sum(sold_net) FROM {o_base} b
-                                       WHERE b.month = c.month AND b.branch_id = 2), 0) AS DOUBLE), 0.04) AS rate
-        FROM {o_calendar} c""",
+        WITH due AS (
+            SELECT competence, sum(value) AS tax FROM {o_title_allocations}
+            WHERE company_tax_id = '00.000.000/0000-01' AND account_plan ILIKE '2-high' GROUP BY competence
+        ), sold AS (
+            SELECT strftime(month, '%Y-%m') AS competence, sum(sold_net) AS net FROM {o_monthly_sales}
+            WHERE branch_id = 2 GROUP BY ALL HAVING net <> 0
+        )
+        SELECT month, if(tax IS NULL OR net IS NULL, 0.04, tax::DOUBLE / net::DOUBLE) AS rate
+        FROM (SELECT month, strftime(month, '%Y-%m') AS competence FROM {o_calendar})
+             NATURAL LEFT JOIN due NATURAL LEFT JOIN sold""",
     "o_measures": """
         SELECT b.*, opening_quantity + bought_quantity AS stock_and_purchases_quantity,
                CAST(opening_quantity AS DECIMAL(18,4)) * opening_cost + CAST(bought_value AS DECIMAL(30,6))
@@ -399,22 +404,27 @@ STEPS = {
                coalesce(value, 0) AS value
         FROM {o_spent_lines}, maps""",
     "o_weights": """
-        SELECT month, branch_id, department,
-               CAST(CASE WHEN total > 0 THEN round(CAST(sales AS DOUBLE) / CAST(total AS DOUBLE), 8) ELSE 0 END
-                    AS DECIMAL(18,8)) AS department_share
-        FROM (SELECT *, sum(sales) OVER (PARTITION BY month, branch_id) AS total
-              FROM (SELECT month, branch_id, department, sum(total_sales) AS sales FROM {o_measures}
-                    GROUP BY 1, 2, 3) y) x""",
+        WITH sums AS (
+            SELECT month, branch_id, department, grouping(department) AS whole, sum(total_sales)::DOUBLE AS sales
+            FROM {o_measures} GROUP BY GROUPING SETS ((month, branch_id, department), (month, branch_id))
+        )
+        SELECT part.month, part.branch_id, part.department,
+               if(total.sales > 0, round(part.sales / total.sales, 8), 0)::DECIMAL(18,8) AS department_share
+        FROM sums part JOIN sums total USING (month, branch_id) WHERE part.whole = 0 AND total.whole = 1""",
+    # every expense with the departments that bear it and their parts: its own with all of it, or those of its branch
     "o_allocated": f"""
-        SELECT month, branch_id, expense_group, account_plan, department, party, CAST(value AS DECIMAL(22,4)) AS allocated
-        FROM (SELECT *, CAST(date_trunc('month', date) AS DATE) AS month FROM {{o_expenses}}) e
-        WHERE direct AND month BETWEEN {S} AND {A}
-        UNION ALL
-        SELECT e.month, e.branch_id, e.expense_group, e.account_plan, w.department, e.party,
-               CAST(round(e.value * w.department_share, 4) AS DECIMAL(22,4))
-        FROM (SELECT *, CAST(date_trunc('month', date) AS DATE) AS month FROM {{o_expenses}}) e
-             JOIN {{o_weights}} w ON w.month = e.month AND w.branch_id = e.branch_id
-        WHERE NOT e.direct AND e.month BETWEEN {S} AND {A}""",
+        WITH bearers AS (
+            SELECT month, branch_id, list({{'department': department, 'part': department_share}}) AS shares
+            FROM {{o_weights}} GROUP BY month, branch_id
+        ), dated AS (
+            SELECT *, date - (day(date) - 1)::INT AS month FROM {{o_expenses}}
+        ), borne AS (
+            SELECT dated.*, unnest(if(direct, [{{'department': department, 'part': 1::DECIMAL(18,8)}}], shares)) AS bearer
+            FROM dated LEFT JOIN bearers USING (month, branch_id)
+        )
+        SELECT month, branch_id, expense_group, account_plan, bearer.department AS department, party,
+               if(direct, value, round(value * bearer.part, 4))::DECIMAL(22,4) AS allocated
+        FROM borne WHERE month >= {S} AND month <= {A}""",
     "o_expense_mart": """
         SELECT md5(concat_ws('|', CAST(month AS VARCHAR), CAST(branch_id AS VARCHAR), expense_group, account_plan,
                              department, party)) AS id,
@@ -481,33 +491,47 @@ STEPS = {
              JOIN {legacy_branch} b ON b.branch_key = r.branch_key JOIN {legacy_goods} g ON g.goods_id = i.goods_id
              LEFT JOIN {legacy_unit} u ON u.unit_id = g.unit_id LEFT JOIN {legacy_class} c ON c.class_id = i.class_id
         WHERE NOT r.receipt_reversed AND NOT i.item_reversed""",
+    # titles a cent less, as much and a cent more, of each slip the least by days and id
     "o_tolerance": """
-        SELECT DISTINCT ON (s.slip_number) s.slip_number, t.installment_id AS title_installment,
-               t.due_date AS title_due_date, t.status AS title_status,
-               CAST(abs(t.due_date - s.due_at) AS INT) AS days_apart
-        FROM {slip} s JOIN (SELECT * FROM {o_titles} WHERE type = 'Receita' AND coalesce(number, '') = '') t
-             ON abs(t.value - s.value) <= 0.01 AND abs(t.due_date - s.due_at) <= 60
-        ORDER BY s.slip_number, abs(t.due_date - s.due_at), t.installment_id""",
+        WITH nearest AS (
+            SELECT slip_number, min({'days': abs(due_date - due_at)::INT, 'id': installment_id, 'due': due_date,
+                                     'status': status}) AS title
+            FROM (SELECT slip_number, due_at, value + unnest([-0.01, 0, 0.01])::DECIMAL(4,2) AS value FROM {slip})
+                 JOIN (FROM {o_titles} WHERE type = 'Receita' AND length(coalesce(number, '')) = 0) USING (value)
+            WHERE due_date >= due_at - 60 AND due_date <= due_at + 60 GROUP BY slip_number
+        )
+        SELECT slip_number, title.id AS title_installment, title.due AS title_due_date, title.status AS title_status,
+               title.days AS days_apart
+        FROM nearest""",
+    # the title of each number, and then the first rule that holds
     "o_slips": f"""
-        SELECT trim(b.slip_number) AS id, b.bank_number, CAST(b.issued_at AS DATE) AS issue_date, b.due_at AS due_date,
-               b.value, b.cancelled_at IS NOT NULL AS cancelled, f.party_name AS customer, f.status AS title_status,
-               f.settled_date AS title_settled, f.value AS title_value,
-               CASE WHEN b.value < 2000 THEN 'test slip'
-                    WHEN b.cancelled_at IS NOT NULL THEN
-                         CASE WHEN f.number IS NOT NULL AND f.settled_date IS NULL
-                              THEN 'cancelled in ERP, open in finance' ELSE 'ok' END
-                    WHEN f.number IS NULL THEN
-                         CASE WHEN s.slip_number IS NOT NULL THEN 'in finance without the slip number'
-                              WHEN b.due_at >= {A} - 180 THEN 'no title in finance'
-                              ELSE 'outside the window read from finance' END
-                    WHEN abs(f.value - b.value) > 0.01 THEN 'value differs'
-                    WHEN f.settled_date IS NULL AND b.due_at < {A} THEN 'overdue and open in finance'
-                    ELSE 'ok' END AS outcome
-        FROM {{slip}} b
-             LEFT JOIN (SELECT DISTINCT ON (number) * FROM {{o_titles}} WHERE type = 'Receita'
-                        ORDER BY number, cancelled NULLS LAST, seen_at DESC NULLS FIRST, installment_id) f
-             ON f.number = trim(b.slip_number)
-             LEFT JOIN (SELECT DISTINCT slip_number FROM {{o_tolerance}}) s ON s.slip_number = b.slip_number""",
+        WITH numbered AS (
+            SELECT number, arg_min({{'customer': party_name, 'status': status, 'settled': settled_date, 'value': value}},
+                       {{'live': coalesce(cancelled::INT, 2), 'age': coalesce(-epoch_us(seen_at::TIMESTAMP), -9e18::BIGINT),
+                         'id': installment_id}}) AS title
+            FROM {{o_titles}} WHERE type = 'Receita' GROUP BY number
+        ), faced AS (
+            SELECT trim(slip_number) AS id, bank_number, issued_at::DATE AS issue_date, due_at AS due_date, s.value,
+                   cancelled_at IS NOT NULL AS cancelled, title, title IS NOT NULL AS numbered,
+                   title IS NOT NULL AND title.settled IS NULL AS open,
+                   slip_number IN (SELECT slip_number FROM {{o_tolerance}}) AS near
+            FROM {{slip}} s LEFT JOIN numbered ON number = trim(slip_number)
+        ), ruled AS (
+            SELECT *, [
+                {{'says': 'test slip', 'holds': value < 2000}},
+                {{'says': 'cancelled in ERP, open in finance', 'holds': cancelled AND open}},
+                {{'says': 'ok', 'holds': cancelled}},
+                {{'says': 'in finance without the slip number', 'holds': NOT numbered AND near}},
+                {{'says': 'no title in finance', 'holds': NOT numbered AND due_date >= {A} - 180}},
+                {{'says': 'outside the window read from finance', 'holds': NOT numbered}},
+                {{'says': 'value differs', 'holds': title.value NOT BETWEEN value - 0.01 AND value + 0.01}},
+                {{'says': 'overdue and open in finance', 'holds': open AND due_date < {A}}},
+                {{'says': 'ok', 'holds': true}}] AS rules
+            FROM faced
+        )
+        SELECT * EXCLUDE (title, rules), title.customer AS customer, title.status AS title_status,
+               title.settled AS title_settled, title.value AS title_value, list_filter(rules, lambda r: r.holds)[1].says AS outcome
+        FROM ruled""",
     "o_title": """
         WITH documents AS (
             SELECT t.*, json_transform(payload, '{"DadosDoTitulo": {"TituloId": "VARCHAR", "NumeroDoTitulo": "VARCHAR",
@@ -535,29 +559,43 @@ STEPS = {
                min(issue_date) AS issue_date, sum(value) AS value, count(*) AS titles, bool_and(paid) AS paid,
                min(next_due) AS next_due, bool_or(merchandise) AS merchandise
         FROM booked SEMI JOIN posting USING (tax_id) WHERE invoice > '' GROUP BY supplier_digits, invoice""",
+    # what either system says of a supplier's invoice, stacked and grouped once; then the first rule that holds
     "o_invoices": f"""
-        SELECT coalesce(l.doc, f.supplier_digits) || '-' || coalesce(l.nf, f.invoice) AS id,
-               coalesce(f.supplier, n.party_name) AS supplier, coalesce(l.doc, f.supplier_digits) AS supplier_document,
-               coalesce(l.nf, f.invoice) AS invoice, coalesce(l.issue_date, f.issue_date) AS issue_date, l.entry_date,
-               l.value AS erp_value, f.value AS finance_value, f.company, f.titles, f.paid, f.next_due,
-               CASE WHEN l.doc IS NULL THEN
-                         CASE WHEN f.issue_date > {A} - 3 THEN 'recent, waiting for ERP' ELSE 'only in finance' END
-                    WHEN f.supplier_digits IS NULL THEN
-                         CASE WHEN l.entry_date > {A} - 3 THEN 'recent, waiting for finance' ELSE 'only in ERP' END
-                    WHEN f.titles > 1 AND abs(l.value * f.titles - f.value) <= 1 THEN 'duplicate title in finance'
-                    WHEN abs(l.value - f.value) > 1 THEN 'value differs' ELSE 'ok' END AS outcome
-        FROM (SELECT {_digits("supplier_code")} AS doc, ltrim(document, '0') AS nf, min(issued_at) AS issue_date,
-                     min(entered_at) AS entry_date, sum(total) AS value
-              FROM {{purchase_header}}
-              WHERE cancelled_at IS NULL AND entered_at >= {A} - 120 AND coalesce(bonus_flag, '0') <> '1'
-              GROUP BY 1, 2) l
-             FULL JOIN {{o_title_rollup}} f ON f.supplier_digits = l.doc AND f.invoice = l.nf
-             LEFT JOIN (SELECT DISTINCT ON (doc) doc, party_name
-                        FROM (SELECT *, {_digits("party_document")} AS doc FROM {{o_titles}}
-                              WHERE type = 'Despesa' AND party_document IS NOT NULL) y
-                        ORDER BY doc, seen_at DESC NULLS FIRST, installment_id) n
-             ON n.doc = coalesce(l.doc, f.supplier_digits)
-        WHERE l.doc IS NOT NULL OR (f.merchandise AND f.issue_date >= {A} - 120)""",
+        WITH said AS (
+            SELECT {_digits("supplier_code")} AS supplier_document, ltrim(document, '0') AS invoice, issued_at AS booked_on,
+                   entered_at AS entry_date, total AS erp_value, true AS in_erp
+            FROM {{purchase_header}}
+            WHERE entered_at >= {A} - 120 AND cancelled_at IS NULL AND bonus_flag IS DISTINCT FROM '1'
+            UNION ALL BY NAME
+            SELECT * RENAME (supplier_digits AS supplier_document, value AS finance_value), true AS in_finance
+            FROM {{o_title_rollup}}
+        ), met AS (
+            SELECT supplier_document, invoice, coalesce(bool_or(in_erp), false) AS in_erp,
+                   coalesce(bool_or(in_finance), false) AS in_finance, min(booked_on) AS booked_on,
+                   min(issue_date) AS titled_on, min(entry_date) AS entry_date, sum(erp_value) AS erp_value,
+                   max(finance_value) AS finance_value, max(supplier) AS titled, max(company) AS company,
+                   max(titles) AS titles, bool_and(paid) AS paid, min(next_due) AS next_due, bool_or(merchandise) AS goods
+            FROM said GROUP BY supplier_document, invoice
+        ), named AS (
+            SELECT {_digits("party_document")} AS supplier_document,
+                   arg_min({{'name': party_name}}, {{'age': coalesce(-epoch_us(seen_at::TIMESTAMP), -9e18::BIGINT),
+                                                     'id': installment_id}}).name AS known
+            FROM {{o_titles}} WHERE type = 'Despesa' AND party_document IS NOT NULL GROUP BY ALL
+        ), ruled AS (
+            SELECT *, abs(erp_value - finance_value) > 1 AS apart, [
+                {{'says': 'recent, waiting for ERP', 'holds': NOT in_erp AND titled_on > {A} - 3}},
+                {{'says': 'only in finance', 'holds': NOT in_erp}},
+                {{'says': 'recent, waiting for finance', 'holds': NOT in_finance AND entry_date > {A} - 3}},
+                {{'says': 'only in ERP', 'holds': NOT in_finance}},
+                {{'says': 'duplicate title in finance', 'holds': titles > 1 AND abs(titles * erp_value - finance_value) <= 1}},
+                {{'says': 'value differs', 'holds': apart}},
+                {{'says': 'ok', 'holds': true}}] AS rules
+            FROM met NATURAL LEFT JOIN named
+        )
+        SELECT supplier_document || '-' || invoice AS id, coalesce(titled, known) AS supplier, supplier_document, invoice,
+               coalesce(booked_on, titled_on) AS issue_date, entry_date, erp_value, finance_value, company, titles, paid,
+               next_due, list_filter(rules, lambda r: r.holds)[1].says AS outcome
+        FROM ruled WHERE in_erp OR (goods AND titled_on >= {A} - 120)""",
     "o_card_facts": f"""
         SELECT CAST(r.issued_at AS DATE) AS date, b.tax_id AS company, b.trade_name AS store, 'till' AS side,
                CASE WHEN form_code = 90 THEN 'transfer' WHEN form_code BETWEEN 20 AND 79 THEN 'card' END AS way,
