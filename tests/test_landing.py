@@ -278,24 +278,6 @@ def test_stream_applies_window_sync_per_batch(spark, tmp_path, rows):
     assert datetime.now()  # the stream has stopped by itself
 
 
-def test_only_touched_partitions_are_written(spark, tmp_path):
-    place = str(tmp_path / "state")
-    schema = "id int, value int, month string"
-    state = spark.createDataFrame([(1, 1, "a"), (2, 2, "a"), (3, 3, "b"), (4, 4, "c"), (5, 5, "d")], schema)
-    state.write.partitionBy("month").parquet(place)
-    kept = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "state" / "month=a").glob("*.parquet")}
-    batch = spark.createDataFrame([(3, 30, "e"), (6, 60, "c"), (None, 0, "a")], schema)
-    scope = F.col("month") == "d"
-    touched = sync.touched_partitions(state, batch, "id", scope, "month")
-    after = sync.window_sync(state.withColumn("seen_at", F.lit(0)), batch, "id", scope, F.lit(1), [F.col("value").desc()])
-    assert sorted(sync.replace_partitions(after.drop("seen_at"), touched, place, "month")) == ["b", "c", "d", "e"]
-    found = sorted(tuple(r) for r in spark.read.parquet(place).select("id", "value", "month").collect())
-    assert found == [(1, 1, "a"), (2, 2, "a"), (3, 30, "e"), (4, 4, "c"), (6, 60, "c")]
-    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "state" / "month=a").glob("*.parquet")} == kept
-    counts = sync.sync_counts(state, batch, "id", scope).first()
-    assert tuple(counts) == (1, 1, 1)
-
-
 def test_additions_alone(spark):
     target = spark.createDataFrame([(1, "x")], "k int, v string")
     new = spark.createDataFrame([(1, "y"), (2, "z"), (2, "a")], "k int, v string")

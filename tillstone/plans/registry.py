@@ -7,6 +7,7 @@ i integer, s text, b boolean, d date, t date-time, n exact number, m computed am
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -25,6 +26,7 @@ from tillstone.plans.job import Job
 from tillstone.plans.oracles import oracle
 from tillstone.plans.session import run_folder, settled
 from tillstone.sources import landing, publish, sync
+from tillstone.sources.partitions import PartitionedTable, apply_read
 
 # -- serving -----------------------------------------------------------------------------------------------------
 
@@ -195,6 +197,19 @@ def _sync_reads(j: Job) -> DataFrame:
     return sync.sync_reads(j.s.finance_state, _finance_reads(j), "id", F.lit(j.as_of), [F.col("delivery").desc()])
 
 
+def _sync_partitions(j: Job) -> DataFrame:
+    """The same reads on a table kept by month of issue: each replaces the months it touches, the last one twice."""
+    spark, month = j.s.spark, F.date_format("issued", "yyyy-MM").alias("month")
+    table = PartitionedTable(spark, f"{run_folder(spark)}/finance-{uuid.uuid4().hex[:12]}", "month")
+    state = j.s.finance_state.select("*", month)
+    table.replace(state, [r[0] for r in state.select("month").distinct().collect()], "first load")
+    reads = [(batch.select("*", month), scope) for batch, scope in _finance_reads(j)]
+    for step, (batch, scope) in enumerate([*reads, reads[-1]]):
+        name = f"read {min(step, len(reads) - 1)}"
+        apply_read(table, batch, "id", scope, F.lit(j.as_of), [F.col("delivery").desc()], name)
+    return table.read()
+
+
 def _sync_counts(j: Job) -> DataFrame:
     state, counts = j.s.finance_state, []
     for step, (batch, scope) in enumerate(_finance_reads(j), 1):
@@ -456,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "completeness_check_ids": Query(_incomplete_ids, "event_type:s distinct_ids:i announced:i", "o_incomplete_ids"),
     "window_sync": Query(_window_sync, "title:i customer:i value:n due:d seen_at:d", "o_window_sync"),
     "sync_reads": Query(_sync_reads, "id:i kind:s issued:d due:d value:n seen_at:d", "o_sync_last"),
+    "sync_partitions": Query(_sync_partitions, "id:i kind:s issued:d due:d value:n seen_at:d", "o_sync_last"),
     "sync_counts": Query(_sync_counts, "step:i inserted:i replaced:i deleted:i", "o_sync_counts"),
     "touched_partitions": Query(_touched, "month:s", "o_touched"),
     "register_upsert": Query(_first_lists, "code:i name:s touched_at:d", "o_register"),

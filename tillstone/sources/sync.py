@@ -1,7 +1,7 @@
 """Synchronising a stored table with what a source delivered.
 
 Plain files have no MERGE, so each operator computes the next state.  Publish it whole with ``publish_replace``, or only
-the partitions it changes with ``replace_partitions``.
+the partitions it changes with ``partitions.apply_read``.
 """
 
 from __future__ import annotations
@@ -94,24 +94,6 @@ def touched_partitions(state: DataFrame, batch: DataFrame, key: str, scope: Colu
     return left.union(batch.where(F.col(key).isNotNull()).select(partition)).distinct()
 
 
-def replace_partitions(state: DataFrame, touched: DataFrame, location: str, partition: str) -> list:
-    """Write the touched partitions of the next state over those at ``location``; the others' files stay as they are.
-
-    Partitions that have no rows any more are removed.  The list of touched partitions (months of a scope, say) goes to
-    the driver.  ``state`` must not read from ``location``: settle the touched part before.
-    """
-    spark = state.sparkSession
-    rows = state.join(touched, state[partition].eqNullSafe(touched[partition]), "left_semi")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(location)
-    wanted = [r[0] for r in touched.collect()]
-    kept = {r[0] for r in rows.select(partition).distinct().collect()}
-    for value in set(wanted) - kept:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/{partition}={name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return wanted
-
-
 def insert_absent(
     target: DataFrame,
     new: DataFrame,
