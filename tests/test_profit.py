@@ -86,7 +86,8 @@ def test_item_cost_falls_back_and_zero_stock_is_not_active(spark):
     prices = spark.createDataFrame([], "branch_id int, product_code bigint, entry_tax double, exit_tax double, sale_price double")
     butcher = spark.createDataFrame([(2001, 1, 4, D(2)), (2001, 1, 1, D(7))], "year int, month_number int, product_code bigint, unit_cost decimal(18,4)")
     reference = spark.createDataFrame([(MONTH, 1, D(6), D(5))], "month date, product_code bigint, start_cost decimal(18,4), end_cost decimal(18,4)")
-    base = pf.item_base(products, prices, butcher, reference, pf.item_facts(*_facts(spark)), "MEAT")
+    *flows, opening, closing = _facts(spark)
+    base = pf.item_base(products, prices, butcher, reference, pf.item_facts(flows, pf.stock_facts(opening, closing)), "MEAT")
     found = {r.product_code: r for r in base.collect()}
     assert set(found) == {1, 3, 4}  # product 2: stock of zero and no movement
     assert int(found[1].opening_cost) == 6 and int(found[1].closing_cost) == 5  # zero, so the reference branch's

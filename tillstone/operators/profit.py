@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -145,29 +145,10 @@ def active_keys(facts: list[DataFrame], stocks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, present).distinct()
 
 
-def item_facts(
-    sales: DataFrame,
-    purchases: DataFrame,
-    transformations: DataFrame,
-    breakage: DataFrame,
-    openings: DataFrame,
-    closing: DataFrame,
-    deal: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> DataFrame:
-    """One row per (month, branch, product) that any fact or stock knows, with all of them side by side.
-
-    ``openings`` are the two sides of the opening stock (``opening_sides``): which one counts is settled in the same
-    grouping as everything else, so the stock is not shuffled for that first.  The facts are unique per key, so instead of
-    a distinct key set and six joins they are stacked and grouped once, with fixed-width buffers so that it stays a hash
-    aggregate.  ``moved`` says whether a fact, or a closing stock other than zero, makes the key one of the month's.
-
-    Over a validity laid out by product neither stock is shuffled: ``deal`` shuffles the facts as it lies, and the
-    grouping runs on that.  A product holds at most six rows per month and branch.
-    """
-    stacked = [deal(f).withColumn("moved", F.lit(True)) for f in (sales, purchases, transformations, breakage)]
+def stock_facts(openings: DataFrame, closing: DataFrame) -> DataFrame:
+    """Both sides of the opening stock (``opening_sides``) and the closing stock, stacked for ``item_facts``."""
     sides = [c for c in openings.columns if c not in ITEM_MONTH]
-    stacked.append(openings.select(*ITEM_MONTH, *sides, F.lit(False).alias("moved")))
-    stacked.append(
+    return openings.select(*ITEM_MONTH, *sides, F.lit(False).alias("moved")).unionByName(
         closing.select(
             *ITEM_MONTH,
             F.col("quantity").alias("closing_quantity"),
@@ -175,11 +156,31 @@ def item_facts(
             F.col("positive_cost").alias("closing_positive"),
             F.col("position_date").alias("closing_date"),
             (F.col("quantity") != 0).alias("moved"),
-        )
+        ),
+        allowMissingColumns=True,
     )
-    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    carried = [c for c in facts.columns if c not in (*ITEM_MONTH, "moved")]
-    return facts.groupBy(*ITEM_MONTH).agg(F.bool_or("moved").alias("moved"), *[F.max(c).alias(c) for c in carried])
+
+
+def by_item_month(stacked: DataFrame) -> DataFrame:
+    """The facts stacked for an item and month side by side.  Each is there once, so the greatest value is the only one; the
+    buffers have a fixed width, so it stays a hash aggregate."""
+    carried = [c for c in stacked.columns if c not in (*ITEM_MONTH, "moved")]
+    return stacked.groupBy(*ITEM_MONTH).agg(F.bool_or("moved").alias("moved"), *[F.max(c).alias(c) for c in carried])
+
+
+def item_facts(flows: Sequence[DataFrame], stock: DataFrame, deal: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """One row per (month, branch, product) that any fact or stock knows, with all of them side by side.
+
+    ``flows`` are the monthly sales, purchases, transformations and breakage, ``stock`` is what ``stock_facts`` stacks: which side
+    of the opening counts is settled in the same grouping as everything else, so the stock is not shuffled for that
+    first.  Instead of a distinct key set and six joins, all are stacked and grouped once.  ``moved`` says whether a
+    flow, or a closing stock other than zero, makes the key one of the month's.
+
+    Over a validity laid out by product neither stock is shuffled: ``deal`` shuffles the flows as it lies, and the
+    grouping runs on that.  A product holds at most six rows per month and branch.
+    """
+    stacked = [deal(f).withColumn("moved", F.lit(True)) for f in flows]
+    return by_item_month(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*stacked, stock]))
 
 
 def reference_cost_of(facts: DataFrame, branch_id: int) -> DataFrame:

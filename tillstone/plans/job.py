@@ -217,10 +217,8 @@ class Job:
 
     @cached_property
     def item_facts(self) -> DataFrame:
-        return pf.item_facts(
-            self.settled_sales, self.monthly_purchases, self.monthly_transformations, self.monthly_breakage,
-            self.opening_sides, self.laid_closing, deal=self.by_product,
-        )
+        flows = [self.settled_sales, self.monthly_purchases, self.monthly_transformations, self.monthly_breakage]
+        return pf.item_facts(flows, pf.stock_facts(self.opening_sides, self.laid_closing), self.by_product)
 
     @cached_property
     def base(self) -> DataFrame:

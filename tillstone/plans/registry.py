@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from tillstone.functions.relational import dedup_latest
 from tillstone.operators import access as ac
+from tillstone.operators import profit as pf
 from tillstone.operators import quality as dq
 from tillstone.operators import queue as qu
 from tillstone.operators import reconcile as rc
 from tillstone.operators import stock as sk
 from tillstone.plans import overlays as ov
-from tillstone.plans.job import Job
+from tillstone.plans.job import BUTCHER_DEPARTMENT, REFERENCE_BRANCH, Job
 from tillstone.plans.oracles import oracle
+from tillstone.plans.refresh import MonthlyFacts
 from tillstone.plans.session import run_folder, settled
 from tillstone.sources import landing, publish, sync
 from tillstone.sources.partitions import PartitionedTable, apply_read
@@ -210,6 +212,41 @@ def _sync_partitions(j: Job) -> DataFrame:
     return table.read()
 
 
+def _refreshed_base(j: Job) -> DataFrame:
+    """The item base kept by month: built without what arrives late, then refreshed with it.
+
+    Late are some sales and purchases, corrections of sales that were first delivered with other amounts, whole
+    transformations, positions and inventories, all of closed months.
+    """
+    spark = j.s.spark
+    kept = MonthlyFacts(spark, f"{run_folder(spark)}/monthly-{uuid.uuid4().hex[:12]}", j.start, j.as_of, ov.INTERCOMPANY)
+    day = lambda name: F.to_date(name)
+    late = {
+        "sales": (j.sales, day("issued_at").between("2001-02-10", "2001-04-20") & (F.col("id") % 7 == 3)),
+        "purchases": (j.purchases, day("issued_at").between("2001-03-01", "2001-03-31") & (F.col("invoice_number") % 5 == 0)),
+        "transformations": (j.transformations, day("transformed_at").between("2001-04-05", "2001-04-25")),
+        "daily": (j.daily, F.col("date").between("2001-03-15", "2001-05-10") & (F.col("product_code") % 3 == 0)),
+        "inventory": (j.inventory, F.col("reference_date").between("2001-05-01", "2001-05-05")),
+    }
+    wrong = day("issued_at").between("2001-06-01", "2001-06-20") & (F.col("id") % 11 == 1)
+    for name, (rows, delayed) in late.items():
+        rows = settled(rows, name)
+        first = rows.where(~F.coalesce(delayed, F.lit(False)))
+        if name == "sales":
+            first = first.withColumn("total", F.when(wrong, F.col("total") + 1).otherwise(F.col("total")).cast("decimal(18,2)"))
+            delayed = delayed | wrong
+        kept.load(name, first, "first")
+        late[name] = (rows, delayed)
+    kept.refresh()
+    for name, (rows, delayed) in late.items():
+        kept.load(name, rows.where(delayed), "late")
+    kept.refresh()
+    facts = kept.facts()
+    return pf.item_base(
+        j.settled_products, j.settled_prices, j.butcher_cost, pf.reference_cost_of(facts, REFERENCE_BRANCH), facts, BUTCHER_DEPARTMENT
+    )
+
+
 def _sync_counts(j: Job) -> DataFrame:
     state, counts = j.s.finance_state, []
     for step, (batch, scope) in enumerate(_finance_reads(j), 1):
@@ -613,6 +650,12 @@ QUERIES: dict[str, Query] = {
         f"opening_date:d opening_origin:s closing_date:d {_PROFIT}",
         "o_base",
     ),
+    "refreshed_item_base": Query(
+        _refreshed_base,
+        f"{_ITEM_MONTH} department:s section:s original_department:s entry_tax:n exit_tax:n sale_price:n "
+        f"opening_date:d opening_origin:s closing_date:d {_PROFIT}",
+        "o_base",
+    ),
     "simples_rate": Query(lambda j: j.rates, "month:d rate:r", "o_rates"),
     "item_measures": Query(
         lambda j: j.measures,
