@@ -48,14 +48,19 @@ def test_title_documents(spark):
     full = TITLE | {
         "Liquidacao": "2001-07-05T23:59:00", "Status": "Liquidado", "ValorBruto": 0.07, "Numero": " A-5\n", "Conta": "till", "Cancelada": True,
         "MeioDePagamento": "cheque",
-        "DadosDoTitulo": {"NumeroDoTitulo": "never", "Empresa": {"Nome": "We", "Inscricao": "77"}, "ClienteFornecedor": {"Nome": "They"}},
+        "Rateio": [{"Tipo": "Despesa", "Competencia": "2001-06", "PlanoDeContas": "Rent", "Valor": 0.07, "More": 1}],
+        "DadosDoTitulo": {"TituloId": "T", "Emissao": "2001-06-30T00:00:00", "Valor": 0.14, "NumeroDoTitulo": "never", "Empresa": {"Nome": "We", "Inscricao": "77"}, "ClienteFornecedor": {"Nome": "They"}},
     }
     numbered = TITLE | {"ParcelaId": "t-2", "Numero": "", "Liquidacao": "", "DadosDoTitulo": {"NumeroDoTitulo": "B6 \t"}, "Vencimento": ""}
     first, second = finance.flatten_titles(documents(spark, full, numbered)).orderBy("installment_id").collect()
-    assert first[:-1] == (
+    assert first[:14] == (
         "t-1", "Receita", date(2001, 7, 4), date(2001, 7, 5), "Liquidado", Decimal("0.07"), "A-5", "They", None, "We", "77", "till",
         "cheque", True,
     )
+    assert (first.title_id, first.title_number, first.issue_date, first.issue_month, first.title_value) == (
+        "T", "never", date(2001, 6, 30), date(2001, 6, 1), Decimal("0.14"),
+    )
+    assert [tuple(line) for line in first.lines] == [("Despesa", "2001-06", None, "Rent", Decimal("0.07"))] and second.lines is None
     assert (second.number, second.due_date, second.settled_date, second.value) == ("B6", None, None, None)
     assert json.loads(second.payload) == numbered
 
@@ -68,6 +73,8 @@ def test_title_documents(spark):
         None,
         TITLE | {"ValorBruto": 1234567890123.5},
         TITLE | {"ValorBruto": "much"},
+        TITLE | {"Rateio": [{"Valor": 1}, {"Valor": "much"}]},
+        TITLE | {"Rateio": "none"},
         {k: v for k, v in TITLE.items() if k != "ParcelaId"},
         TITLE | {"Tipo": None},
         {k: v for k, v in TITLE.items() if k != "Vencimento"},

@@ -124,6 +124,29 @@ def test_card_history_is_cut_before_the_group(spark, large):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(sale_date", plan)
 
 
+def test_documents_are_parsed_once_when_they_land(spark):
+    sources = Sources(spark, SMALL)
+    sources.title_document, sources.card_document  # noqa: B018 - landed before
+    for name in ("flatten_titles", "flatten_cards"):
+        assert physical(contract.queries()[name](spark, SMALL)).count("from_json(") == 1, name
+    readers = (
+        "stg_title_allocation", "stg_card_allocation", "title_rollup", "purchase_reconciliation", "history_mode", "expenses",
+        "card_reconciliation", "slip_reconciliation", "simples_rate",
+    )
+    for name in readers:
+        plan = physical(contract.queries()[name](spark, SMALL))
+        assert "from_json" not in plan and "get_json_object" not in plan and "payload" not in plan, name
+
+
+def test_months_of_titles_and_cards_are_pruned(spark):
+    sources = Sources(spark, SMALL)
+    sources.title_document, sources.card_document  # noqa: B018 - landed before
+    cards = physical(contract.queries()["card_reconciliation"](spark, SMALL))
+    assert re.search(r"PartitionFilters: \[[^\]]*sale_month#\d+ >= 2000-12-01", cards)
+    invoices = physical(contract.queries()["purchase_reconciliation"](spark, SMALL))
+    assert re.search(r"PartitionFilters: \[[^\]]*coalesce\(\(issue_month#\d+ >= 2001-05-01\), false\)", invoices)
+
+
 def test_a_queue_asks_for_its_titles_only(spark):
     sources = Sources(spark, SMALL)
     sources.title_document, sources.card_document  # noqa: B018 - landed before

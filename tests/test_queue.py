@@ -167,10 +167,10 @@ def _pending(spark):
 
 
 def _history(spark):
-    lines = lambda *plans: json.dumps({"Rateio": [{"PlanoDeContas": p, "CentroDeCusto": "c"} for p in plans]})
+    lines = lambda *plans: [(p, "c") for p in plans]
     return spark.createDataFrame(
-        [("Despesa", "1.1", lines("b", "a")), ("Despesa", "11", lines("b")), ("Receita", "11", lines("a", "a")), ("Despesa", "12", "{}")],
-        "type string, party_document string, payload string",
+        [("Despesa", "1.1", lines("b", "a")), ("Despesa", "11", lines("b")), ("Receita", "11", lines("a", "a")), ("Despesa", "12", None)],
+        "type string, party_document string, lines array<struct<PlanoDeContas:string, CentroDeCusto:string>>",
     )
 
 

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import json
 import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal as D
@@ -13,14 +12,16 @@ from tillstone.operators import reconcile as rc
 AS_OF = date(2001, 8, 31)
 TITLES = (
     "installment_id string, type string, number string, status string, settled_date date, due_date date, value decimal(14,2), "
-    "party_name string, party_document string, company string, company_tax_id string, cancelled boolean, seen_at date, payload string"
+    "party_name string, party_document string, company string, company_tax_id string, cancelled boolean, seen_at date, title_id string, "
+    "title_number string, issue_date date, issue_month date, title_value decimal(18,2), lines array<struct<PlanoDeContas:string>>"
 )
 
 
 def title(spark, *rows):
     base = dict(
         type="Receita", number=None, status="open", settled_date=None, due_date=AS_OF, value=D(100), party_name="P",
-        party_document=None, company="C", company_tax_id="1", cancelled=None, seen_at=AS_OF, payload="{}",
+        party_document=None, company="C", company_tax_id="1", cancelled=None, seen_at=AS_OF, title_id=None,
+        title_number=None, issue_date=None, issue_month=None, title_value=None, lines=None,
     )
     names = [f.split()[0] for f in TITLES.split(", ")]
     made = [dict(base, installment_id=f"t{i}", **r) if "installment_id" not in r else dict(base, **r) for i, r in enumerate(rows)]
@@ -81,9 +82,8 @@ def test_nearest_title_against_all_pairs(spark, tolerance):
 def invoice_titles(spark, *rows):
     made = []
     for i, (titles, number, value, issued, plan) in enumerate(rows):
-        doc = {"TituloId": titles, "NumeroDoTitulo": number, "Emissao": str(issued), "Valor": value}
-        payload = {"DadosDoTitulo": doc, "Rateio": [{"PlanoDeContas": plan}] if plan else None}
-        made.append(dict(type="Despesa", party_document="11.1", number=number, payload=json.dumps(payload), value=D(1)))
+        doc = dict(title_id=titles, title_number=number, issue_date=issued, issue_month=issued.replace(day=1), title_value=D(value))
+        made.append(dict(type="Despesa", party_document="11.1", number=number, lines=[(plan,)] if plan else None, value=D(1), **doc))
     return title(spark, *made)
 
 
@@ -111,6 +111,35 @@ def test_purchase_outcomes(spark):
     }
 
 
+def test_old_titles_count_where_an_invoice_or_a_new_title_has_their_number(spark):
+    """Cut to what the reconciliation can show, the rollup says of each key what it says uncut."""
+    rng = random.Random(11)
+    branches = spark.createDataFrame([(1, "1")], "branch_code int, tax_id string")
+    invoices = spark.createDataFrame([(1, AS_OF)], "branch_code int, entered_at date")
+    since, made = AS_OF - timedelta(days=120), []
+    for i in range(400):
+        issued = rng.choice([None, AS_OF - timedelta(days=rng.randint(0, 900))])
+        supplier, number = f"{rng.randint(1, 40)}.0", str(rng.randint(1, 12))
+        made += [
+            dict(
+                type="Despesa", party_document=supplier, number=number, title_id=rng.choice([f"T{i}"] * 9 + [None]), issue_date=issued,
+                issue_month=issued and issued.replace(day=1), title_value=D(i), party_name=rng.choice([None, "P"]), installment_id=f"{i}-{k}",
+            )
+            for k in range(rng.randint(1, 3))
+        ]
+    t = title(spark, *made)
+    wanted = spark.createDataFrame([(f"{s}0", str(n)) for s in range(1, 41, 3) for n in range(1, 9)], "supplier_digits string, invoice string")
+    asked = {tuple(r) for r in wanted.collect()}
+    whole = {(r.supplier_digits, r.invoice): r for r in rc.title_rollup(t, invoices, branches, AS_OF).collect()}
+    cut = {(r.supplier_digits, r.invoice): r for r in rc.title_rollup(t, invoices, branches, AS_OF, wanted=wanted, since=since).collect()}
+    shown = {k for k, r in whole.items() if k in asked or (r.issue_date and r.issue_date >= since)}
+    assert len(shown) > 60 and len(cut) < len(whole)
+    assert all(cut[k] == whole[k] for k in shown)
+    old = [k for k in shown if k in asked and whole[k].issue_date and whole[k].issue_date < since]
+    assert old
+    assert not [k for k in cut if k not in asked and cut[k].issue_date and cut[k].issue_date >= since and k not in shown]
+
+
 def test_titles_without_an_id_roll_up_into_one(spark):
     branches = spark.createDataFrame([(1, "1")], "branch_code int, tax_id string")
     invoices = spark.createDataFrame([(1, AS_OF)], "branch_code int, entered_at date")
@@ -127,11 +156,11 @@ def test_card_days_and_a_null_modality(spark):
         [(i, 4, D(10), D(1)) for i in (0, 5, 6, 7)] + [(5, 904, D(3), None), (5, 1, D(99), None)],
         "receipt_id int, form_code int, amount decimal(18,2), change decimal(18,2)",
     )
-    card = lambda days, modality, value: (at(days).date(), "1", modality, D(value), D(1), "k", None, False, '{"Tipo":"Receita"}')
+    card = lambda days, modality, value: (at(days).date(), "1", modality, D(value), D(1), "k", None, False, "Receita", at(days).date().replace(day=1))
     cards = spark.createDataFrame(
         [card(5, "Credit", 9), card(5, None, 50), card(5, "PIX qr", 3), card(6, "Credit", 5), card(40, "Credit", 5)],
         "sale_date date, company_tax_id string, modality string, gross_value decimal(14,2), fee decimal(14,2), card_id string, "
-        "reconciled boolean, cancelled boolean, payload string",
+        "reconciled boolean, cancelled boolean, type string, sale_month date",
     )
     found = {(AS_OF - r.date).days: r for r in rc.card_reconciliation(payments, receipts, branches, cards, AS_OF).collect()}
     assert {k: r.outcome for k, r in found.items()} == {

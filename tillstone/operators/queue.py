@@ -109,16 +109,15 @@ def installment_array(
 def history_mode(titles: DataFrame, suppliers: DataFrame | None = None) -> DataFrame:
     """Most frequent (plan, centre) in each supplier's past expense lines; ties by plan, then centre.
 
-    ``suppliers`` (supplier_document): those asked for.  Documents of others are neither parsed nor shuffled.
+    ``suppliers`` (supplier_document): those asked for.  Titles of others are not shuffled.
     """
-    line = "Rateio array<struct<PlanoDeContas:string, CentroDeCusto:string>>"
     spent = titles.where(F.col("type") == EXPENSE).select(
-        digits(F.col("party_document")).alias("supplier_document"), "payload"
+        digits(F.col("party_document")).alias("supplier_document"), "lines"
     )
     if suppliers is not None:
         spent = spent.join(suppliers.select("supplier_document").distinct(), "supplier_document", "left_semi")
     counted = (
-        spent.select("supplier_document", F.explode(F.from_json("payload", line)["Rateio"]).alias("line"))
+        spent.select("supplier_document", F.explode("lines").alias("line"))
         .groupBy(
             "supplier_document",
             F.col("line.PlanoDeContas").alias("account_plan"),

@@ -394,6 +394,21 @@ def posting_companies(invoices: DataFrame, branches: DataFrame, as_of: date, pos
     )
 
 
+def _titles_of(expense: DataFrame, wanted: DataFrame, since: date) -> DataFrame:
+    """Of expense installments those issued since the month of ``since``, and older ones of the suppliers of either: what can
+    make a title of the invoices ``wanted``, or share its number with a title issued since.
+
+    The month of issue is what titles are kept by, so the recent ones open recent partitions alone; of older ones only the
+    suppliers asked for go on. An installment without a title's id may belong to any, and goes on too.
+    """
+    lately = F.coalesce(F.col("issue_month") >= F.trunc(F.lit(since), "MM"), F.lit(False))
+    older = expense.where(~lately)
+    first = expense.where(lately).unionByName(older.where(F.col("title_id").isNull()))
+    suppliers = wanted.select("supplier_digits").union(first.select("supplier_digits")).distinct()
+    rest = older.where(F.col("title_id").isNotNull()).join(suppliers, "supplier_digits", "left_semi")
+    return first.unionByName(rest.select(expense.columns))
+
+
 def title_rollup(
     titles: DataFrame,
     invoices: DataFrame,
@@ -401,44 +416,46 @@ def title_rollup(
     as_of: date,
     posting_days: int = 30,
     posting: DataFrame | None = None,
+    wanted: DataFrame | None = None,
+    since: date | None = None,
 ) -> DataFrame:
     """Expense titles from their installments, then per (supplier, invoice) of the companies that post invoices.
 
-    ``posting``: the settled ``posting_companies``, if there is one.  Only the used JSON fields are parsed.  All aggregates combine map-side (sorted first, because the largest
-    of texts is no hash aggregate), so the group of titles without an id may be arbitrarily large.
+    ``posting``: the settled ``posting_companies``, if there is one.  With ``wanted`` (supplier_digits, invoice) and ``since``,
+    only the keys in ``wanted`` and those with a title issued since are sure to be there.  All aggregates combine
+    map-side (sorted first, because the largest of texts is no hash aggregate), so the group of titles without an id may be
+    arbitrarily large.  Installments of a title agree on its supplier, its number and its day of issue.
     """
-    parsed = titles.where((F.col("type") == EXPENSE) & ~F.coalesce("cancelled", F.lit(False))).withColumn(
-        "doc",
-        F.from_json(
-            "payload",
-            "DadosDoTitulo struct<TituloId:string, NumeroDoTitulo:string, Emissao:string, Valor:decimal(18,2)>, "
-            "Rateio array<struct<PlanoDeContas:string>>",
-        ),
-    )
-    goods = F.exists("doc.Rateio", lambda line: line["PlanoDeContas"].ilike(f"%{MERCHANDISE_PLAN}%"))
+    expense = titles.where((F.col("type") == EXPENSE) & ~F.coalesce("cancelled", F.lit(False))).select(
+        digits(F.col("party_document")).alias("supplier_digits"), "party_document", "title_id", "title_number", "number",
+        "party_name", "company", "company_tax_id", "issue_date", "issue_month", "title_value", "settled_date", "due_date",
+        F.coalesce(
+            F.exists("lines", lambda line: line["PlanoDeContas"].ilike(f"%{MERCHANDISE_PLAN}%")), F.lit(False)
+        ).alias("goods"),
+    )
+    if wanted is not None:
+        expense = _titles_of(expense, wanted, since)
     per_title = (
-        parsed.groupBy(F.col("doc.DadosDoTitulo.TituloId").alias("title_id"))
+        expense.groupBy("title_id")
         .agg(
             F.max("party_document").alias("party_document"),
-            F.max(F.coalesce("doc.DadosDoTitulo.NumeroDoTitulo", "number")).alias("number"),
+            F.max(F.coalesce("title_number", "number")).alias("number"),
             F.max("party_name").alias("supplier"),
             F.max("company").alias("company"),
             F.max("company_tax_id").alias("company_tax_id"),
-            F.max("doc.DadosDoTitulo.Emissao").alias("issued"),
-            F.max("doc.DadosDoTitulo.Valor").alias("value"),
-            F.count(F.lit(1)).alias("installments"),
+            F.max("issue_date").alias("issue_date"),
+            F.max("title_value").alias("value"),
             F.bool_and(F.col("settled_date").isNotNull()).alias("paid"),
             F.min(F.when(F.col("settled_date").isNull(), F.col("due_date"))).alias("next_due"),
-            F.bool_or(F.coalesce(goods, F.lit(False))).alias("merchandise"),
+            F.bool_or("goods").alias("merchandise"),
         )
         .select(
             digits(F.col("party_document")).alias("supplier_digits"),
             document_number(F.col("number")).alias("invoice"),
             digits(F.col("company_tax_id")).alias("company_digits"),
-            F.to_date(F.substring("issued", 1, 10)).alias("issue_date"),
-            "supplier", "company", "value", "paid", "next_due", "merchandise",
+            "issue_date", "supplier", "company", "value", "paid", "next_due", "merchandise",
         )
-    )
+    )
     if posting is None:
         posting = posting_companies(invoices, branches, as_of, posting_days)
     return (
@@ -487,14 +504,17 @@ def purchase_reconciliation(
             F.sum("total").alias("value"),
             F.count(F.lit(1)).alias("invoices"),
         )
-        .alias("l")
     )
-    booked = title_rollup(titles, invoices, branches, as_of, posting_days, posting).alias("f")
+    since = as_of - timedelta(days=read_days)
+    booked = title_rollup(titles, invoices, branches, as_of, posting_days, posting, posted, since)
+    named = titles.where((F.col("type") == EXPENSE) & F.col("party_document").isNotNull()).select(
+        digits(F.col("party_document")).alias("supplier_digits"), "party_name", "seen_at", "installment_id"
+    )
+    # A name is looked up for invoices that only the ERP has, and where titles have none.
+    asked = posted.select("supplier_digits").union(named.where(F.col("party_name").isNull()).select("supplier_digits"))
     names = (
         dedup_latest(
-            titles.where((F.col("type") == EXPENSE) & F.col("party_document").isNotNull()).select(
-                digits(F.col("party_document")).alias("supplier_digits"), "party_name", "seen_at", "installment_id"
-            ),
+            named.join(asked.distinct(), "supplier_digits", "left_semi"),
             ["supplier_digits"],
             [F.col("seen_at").desc_nulls_first(), F.col("installment_id").asc()],
         )
@@ -514,7 +534,7 @@ def purchase_reconciliation(
     )
     recent_goods = F.col("f.merchandise") & (F.col("f.issue_date") >= days_before(as_of, read_days))
     return (
-        posted.join(booked, key, "full")
+        posted.alias("l").join(booked.alias("f"), key, "full")
         .where(in_erp | recent_goods)
         .join(names, "supplier_digits", "left")
         .select(
@@ -581,8 +601,9 @@ def card_reconciliation(
     reported = (
         cards.where(
             (F.col("sale_date") >= since)  # a group key, so cutting before the group-by changes no group that is kept
+            & (F.col("sale_month") >= F.trunc(since, "MM"))  # what cards are kept by
             & ~F.coalesce("cancelled", F.lit(False))
-            & (F.coalesce(F.get_json_object("payload", "$.Tipo"), F.lit(INCOME)) == INCOME)
+            & (F.coalesce("type", F.lit(INCOME)) == INCOME)
         )
         .groupBy(F.col("sale_date").alias("date"), digits(F.col("company_tax_id")).alias("company"))
         .agg(

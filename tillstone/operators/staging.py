@@ -239,14 +239,7 @@ def stg_butcher_cost(feed: DataFrame) -> DataFrame:
     )
 
 
-# Field names of the finance system's installment documents.
-ALLOCATION_LINES = (
-    "Rateio array<struct<Tipo:string, Competencia:string, CentroDeCusto:string, "
-    "PlanoDeContas:string, Valor:decimal(18,2)>>"
-)
-TITLE_HEADER = "DadosDoTitulo struct<TituloId:string, NumeroDoTitulo:string, Emissao:string, Valor:decimal(18,2)>"
-
-
+# Field names of the finance system's allocation lines.
 def _allocation_columns() -> list:
     return [
         F.col("line.Tipo").alias("line_type"),
@@ -259,14 +252,13 @@ def _allocation_columns() -> list:
 
 def stg_title_allocation(titles: DataFrame) -> DataFrame:
     """One row per title installment and allocation line; an absent (or JSON null) array gives no rows."""
-    parsed = titles.withColumn("doc", F.from_json("payload", f"{TITLE_HEADER}, {ALLOCATION_LINES}"))
-    return parsed.withColumn("line", F.explode("doc.Rateio")).select(
+    return titles.withColumn("line", F.explode("lines")).select(
         "installment_id",
-        F.col("doc.DadosDoTitulo.TituloId").alias("title_id"),
+        "title_id",
         F.col("type").alias("installment_type"),
         "status",
         F.coalesce("cancelled", F.lit(False)).alias("cancelled"),
-        F.to_date(F.substring("doc.DadosDoTitulo.Emissao", 1, 10)).alias("issue_date"),
+        "issue_date",
         "due_date",
         "settled_date",
         "company_tax_id",
@@ -277,12 +269,11 @@ def stg_title_allocation(titles: DataFrame) -> DataFrame:
 
 def stg_card_allocation(cards: DataFrame) -> DataFrame:
     """One row per card installment and allocation line."""
-    parsed = cards.withColumn("doc", F.from_json("payload", f"Tipo string, Status string, {ALLOCATION_LINES}"))
-    return parsed.withColumn("line", F.explode("doc.Rateio")).select(
+    return cards.withColumn("line", F.explode("lines")).select(
         "installment_id",
         "card_id",
-        F.col("doc.Tipo").alias("installment_type"),
-        F.col("doc.Status").alias("status"),
+        F.col("type").alias("installment_type"),
+        "status",
         F.coalesce("cancelled", F.lit(False)).alias("cancelled"),
         "sale_date",
         "due_date",

@@ -97,11 +97,11 @@ class Job:
 
     @cached_property
     def titles(self) -> DataFrame:
-        return self.s.kept("titles", lambda: self.flattened_titles)
+        return self.s.kept("titles", lambda: self.flattened_titles, by="issue_month")
 
     @cached_property
     def cards(self) -> DataFrame:
-        return self.s.kept("cards", lambda: self.flattened_cards)
+        return self.s.kept("cards", lambda: self.flattened_cards, by="sale_month")
 
     @cached_property
     def title_allocations(self) -> DataFrame:

@@ -578,9 +578,9 @@ class Sources:
             raise AttributeError(name)
         return self.spark.table(self._view(name))
 
-    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table the platform stores between jobs: settled on first use."""
+    def kept(self, name: str, build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+        """A table the platform stores between jobs, in folders by one column: settled on first use."""
         view = f"{self._prefix}_{name}"
         if not self.spark.catalog.tableExists(view):
-            settled(build(), name).createOrReplaceTempView(view)
+            settled(build(), name, by).createOrReplaceTempView(view)
         return self.spark.table(view)

@@ -86,15 +86,19 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Compute a step once, as a table in the shared folder, and go on from the table.
 
     A lost executor then re-reads files instead of redoing everything upstream, later steps read only the columns
-    they need, and the planner knows the table's real size when it chooses join strategies.
+    they need, and the planner knows the table's real size when it chooses join strategies.  ``by``: the column whose values
+    get folders of their own, for readers of some of them.
     """
     folder = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    if by is None:
+        df.write.parquet(folder)
+    else:
+        df.hint("rebalance", by).write.partitionBy(by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)
 
 
 def dealt(df: DataFrame, key: str) -> DataFrame:

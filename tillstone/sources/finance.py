@@ -1,4 +1,7 @@
-"""Flattening of the finance system's installment documents into columns."""
+"""Flattening of the finance system's installment documents into columns.
+
+A document is parsed here, once, when it lands: whatever reads titles or cards later reads columns.
+"""
 
 from __future__ import annotations
 
@@ -11,18 +14,25 @@ from tillstone.functions.columns import stripped
 
 # Field names of the documents.
 _PARTY = "struct<Nome:string, Inscricao:string>"
+ALLOCATION_LINES = (
+    "array<struct<Tipo:string, Competencia:string, CentroDeCusto:string, PlanoDeContas:string, Valor:decimal(18,2)>>"
+)
 TITLE_DOCUMENT = f"""
     ParcelaId string, Tipo string, Vencimento string, Liquidacao string, Status string,
     ValorBruto decimal(14,2), Numero string, Conta string, MeioDePagamento string, Cancelada boolean,
-    DadosDoTitulo struct<NumeroDoTitulo:string, Empresa:{_PARTY}, ClienteFornecedor:{_PARTY}>
+    DadosDoTitulo struct<
+        TituloId:string, NumeroDoTitulo:string, Emissao:string, Valor:decimal(18,2), Empresa:{_PARTY},
+        ClienteFornecedor:{_PARTY}>,
+    Rateio {ALLOCATION_LINES}
 """
 CARD_DOCUMENT = f"""
-    ParcelaId string, Vencimento string, Liquidacao string, Modalidade string, Numero string,
+    ParcelaId string, Tipo string, Status string, Vencimento string, Liquidacao string, Modalidade string, Numero string,
     ValorBruto decimal(14,2), ValorLiquido decimal(14,2), Taxa decimal(14,2), Cancelada string,
     DadosDoCartao struct<
         CartaoId:string, DataDaVenda:string, Hora:string, Empresa:{_PARTY}, Adquirente:string, Bandeira:string,
         MeioDeCaptura:string, TotalDeParcelas:string, Cancelado:string, ConciliadoComPDV:string,
-        Vendas:array<struct<DataDaVenda:string, HoraDaVenda:string, NSU:string, CodigoAutorizacao:string>>>
+        Vendas:array<struct<DataDaVenda:string, HoraDaVenda:string, NSU:string, CodigoAutorizacao:string>>>,
+    Rateio {ALLOCATION_LINES}
 """
 
 
@@ -67,6 +77,12 @@ def flatten_titles(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.col("d.Conta").alias("account"),
         F.col("d.MeioDePagamento").alias("payment_means"),
         F.col("d.Cancelada").alias("cancelled"),
+        title["TituloId"].alias("title_id"),
+        title["NumeroDoTitulo"].alias("title_number"),
+        _day(title["Emissao"]).alias("issue_date"),
+        F.trunc(_day(title["Emissao"]), "MM").alias("issue_month"),
+        title["Valor"].alias("title_value"),
+        F.col("d.Rateio").alias("lines"),
         "payload",
         *keep,
     )
@@ -81,10 +97,14 @@ def flatten_cards(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     def filled(c: Column) -> Column:
         return F.nullif(c, F.lit(""))
 
+    sold_on = _day(F.coalesce(filled(card["DataDaVenda"]), sale["DataDaVenda"]))
     return d.select(
         F.col("d.ParcelaId").alias("installment_id"),
+        F.col("d.Tipo").alias("type"),
+        F.col("d.Status").alias("status"),
         card["CartaoId"].alias("card_id"),
-        _day(F.coalesce(filled(card["DataDaVenda"]), sale["DataDaVenda"])).alias("sale_date"),
+        sold_on.alias("sale_date"),
+        F.trunc(sold_on, "MM").alias("sale_month"),
         F.coalesce(filled(card["Hora"]), filled(sale["HoraDaVenda"])).alias("sale_time"),
         _day(F.col("d.Vencimento")).alias("due_date"),
         _day(F.col("d.Liquidacao")).alias("settled_date"),
@@ -106,6 +126,7 @@ def flatten_cards(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             | F.coalesce(_flag(card["Cancelado"]), F.lit(False))
         ).alias("cancelled"),
         _flag(card["ConciliadoComPDV"]).alias("reconciled"),
+        F.col("d.Rateio").alias("lines"),
         "payload",
         *keep,
     )
