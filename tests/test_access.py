@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -105,3 +106,45 @@ def test_quality_checks(spark):
     dq.require(dq.dq_unique(df, "id", "warn"))
     with pytest.raises(dq.CheckFailed, match="unique:id: 1"):
         dq.require(dq.publish_key_check(df))
+
+
+def deep(spark, count):
+    """Rows with NULLs and many ties in what they are ordered by."""
+    rng = random.Random(2)
+    kinds = [(i, rng.choice([None, 1.5, float("nan"), 2.5]), rng.choice([None, date(2001, 1, 1), date(2001, 5, 2)]), rng.choice(["a", "b", None])) for i in range(count)]
+    rng.shuffle(kinds)
+    return spark.createDataFrame(kinds, "id long, grade double, day date, name string").repartition(7)
+
+
+@pytest.mark.parametrize("order", [[], [("grade", "desc"), ("day", "asc")], [("day", "desc"), ("name", "desc"), ("grade", "asc")], [("id", "desc")]])
+def test_deep_pages_equal_the_whole_order(spark, monkeypatch, order):
+    monkeypatch.setattr(ac, "RANGES", 6)
+    df = deep(spark, 3000).cache()
+    keys = [ac._sorted(name, way == "asc") for name, way in order] + [F.col("id").asc()]
+    want = [r.id for r in df.orderBy(*keys).collect()]
+    for skip, top in [(0, 10), (55, 30), (1000, 25), (1499, 1), (2950, 200), (2999, 5), (3000, 5), (10_000, 5)]:
+        assert [r.id for r in ac.page_by_offset(df, order, top=top, skip=skip, gathered=60).collect()] == want[skip : skip + top], (skip, top)
+    df.unpersist()
+
+
+def test_times_as_borders(spark):
+    df = spark.range(900).select("id", F.timestamp_micros(F.col("id") % 300 * 1_500_001).alias("at"))
+    for kind in ("timestamp", "timestamp_ntz"):
+        page = ac.page_by_offset(df.withColumn("at", F.col("at").cast(kind)), [("at", "desc")], top=4, skip=601, gathered=50)
+        assert [r.id for r in page.collect()] == [399, 699, 98, 398]
+
+
+def test_ids_that_repeat_still_give_a_page(spark):
+    assert ac.page_by_offset(spark.range(400).select(F.lit(7).alias("id")), top=10, skip=300, gathered=50).count() == 10
+
+
+def test_a_page_five_million_rows_down_meets_in_no_task(spark):
+    df = spark.range(6_000_000).select((F.lit(6_000_000) - F.col("id")).alias("id"), (F.col("id") % 1000).alias("group"))
+    order = [("group", True), ("id", True)]
+    part, skip = ac._range_of_page(df, order, 5_000_000, 20)
+    assert skip + 20 <= ac.GATHERED and part.count() < 2 * ac.GATHERED + 6_000_000 // 20
+    page = ac.page_by_offset(df, [("group", "asc")], top=20, skip=5_000_000).collect()
+    # 6,000 rows a group; group 833 from row 4,998,000 on
+    assert [r.group for r in page] == [833] * 20
+    ids = sorted(6_000_000 - i for i in range(833, 6_000_000, 1000))
+    assert [r.id for r in page] == ids[2000:2020]

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import operator
 import re
+from bisect import bisect_right
 from collections.abc import Sequence
 from datetime import date, datetime
+from itertools import accumulate
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +26,8 @@ COMPARISONS = {
     "le": operator.le,
 }
 PAGE_SIZE = 20_000
-MAX_SKIP = 1_000_000  # rows before a page, at most
+GATHERED = 100_000  # rows up to the end of a page that may meet in one task
+RANGES, SAMPLED = 64, 16  # ranges that rows are counted by, and sampled rows per range
 PREVIEW_MAX = 2_000
 
 
@@ -98,21 +101,91 @@ def page_by_offset(
     top: int | None = None,
     skip: int = 0,
     page_size: int = PAGE_SIZE,
+    gathered: int = GATHERED,
 ) -> DataFrame:
-    """Rows ``skip`` … of an ordered result.  NULLs sort as in the served database; ``id`` settles ties.
+    """Rows ``skip`` … of an ordered result, at any depth.  NULLs sort as in the served database; ``id`` settles ties.
 
-    The rows up to the end of the page meet in one task, so ``skip`` has a limit; go further with ``page_by_key``.
+    A page that ends within the first ``gathered`` rows is a top-n.  For one further on, the rows are counted by ranges of the order, and only the range
+    that holds the page is read and sorted: see ``_range_of_page``.
     """
-    if not 0 <= skip <= MAX_SKIP:
-        raise InvalidRequest(f"skip must be 0 to {MAX_SKIP}: page by key instead")
-    keys = []
+    if skip < 0:
+        raise InvalidRequest("skip must not be negative")
+    wanted = []
     for name, direction in order:
         if direction.lower() not in ("asc", "desc"):
             raise InvalidRequest(f"unknown direction: {direction}")
-        c = column(df, name)
-        keys.append(c.asc_nulls_last() if direction.lower() == "asc" else c.desc_nulls_first())
+        column(df, name)
+        wanted.append((name, direction.lower() == "asc"))
+    wanted.append(("id", True))
     limit = page_size if top is None else min(top, page_size)
-    return df.orderBy(*keys, F.col("id").asc()).offset(skip).limit(limit)
+    if skip + limit > gathered:
+        df, skip = _range_of_page(df, wanted, skip, limit, gathered)
+    return df.orderBy(*[_sorted(*key) for key in wanted]).offset(skip).limit(limit)
+
+
+def _sorted(name: str, ascending: bool) -> Column:
+    c = F.col(f"`{name}`")
+    return c.asc_nulls_last() if ascending else c.desc_nulls_first()
+
+
+def _before(order: Sequence[tuple[str, bool]], border: Sequence[Any], df: DataFrame) -> Column:
+    """Whether a row comes before the border row, NULLs in their places."""
+    found = F.lit(False)
+    for (name, ascending), value in reversed(list(zip(order, border, strict=True))):
+        c = F.col(f"`{name}`")
+        if value is None:
+            less, same = (c.isNotNull() if ascending else F.lit(False)), c.isNull()
+        else:
+            at = F.lit(value).cast(df.schema[name].dataType)
+            less = F.coalesce(c < at, F.lit(False)) if ascending else F.coalesce(c > at, F.lit(True))
+            same = c.eqNullSafe(at)
+        found = less | (same & found)
+    return found
+
+
+def _range(order: Sequence[tuple[str, bool]], borders: Sequence, df: DataFrame, first: int = 0) -> Column:
+    """The number of borders that a row does not come before, by halving."""
+    if not borders:
+        return F.lit(first)
+    middle = len(borders) // 2
+    return F.when(_before(order, borders[middle], df), _range(order, borders[:middle], df, first)).otherwise(
+        _range(order, borders[middle + 1 :], df, first + middle + 1)
+    )
+
+
+def _range_of_page(
+    df: DataFrame, order: Sequence[tuple[str, bool]], skip: int, limit: int, gathered: int = GATHERED
+) -> tuple[DataFrame, int]:
+    """The part of ``df`` that holds the page, and how many of its rows come before the page.
+
+    Borders are taken from a sample of the rows; they bear on the sizes of the ranges, not on the result.  Rows are counted by
+    range with map-side combine, and the ranges of the page make the part to go on with, until what stands before the
+    page in it is small.  Each round reads the order's columns of the part; the driver gets the sample and ``RANGES`` counts.
+    """
+    # Times go to the driver and back as text, so that no clock's zone comes between.
+    kept = [F.col(f"`{n}`").cast("string") if isinstance(df.schema[n].dataType, T.DatetimeType) else F.col(f"`{n}`") for n, _ in order]
+    part, rows, tries = df, df.count(), 0
+    while skip + limit > gathered and tries < 5:
+        if skip >= rows:
+            return df.limit(0), 0
+        sample = part.sample(min(1.0, SAMPLED * RANGES / rows), seed=tries)
+        drawn = [tuple(r) for r in sample.orderBy(*[_sorted(*key) for key in order]).select(*kept).collect()]
+        borders = list(dict.fromkeys(drawn[SAMPLED::SAMPLED]))
+        counted = part.groupBy(_range(order, borders, df).alias("range")).count().collect()
+        sizes = dict.fromkeys(range(len(borders) + 1), 0) | {r["range"]: r["count"] for r in counted}
+        ends = list(accumulate(sizes[i] for i in range(len(borders) + 1)))
+        first = bisect_right(ends, skip)
+        last = min(bisect_right(ends, skip + limit - 1), len(borders))
+        held = ends[last] - (ends[first - 1] if first else 0)
+        if held == rows:  # nothing is cut off: other borders; never any, if most of the ids were the same
+            tries += 1
+            continue
+        if first:
+            part = part.where(~_before(order, borders[first - 1], df))
+        if last < len(borders):
+            part = part.where(_before(order, borders[last], df))
+        skip, rows = skip - (ends[first - 1] if first else 0), held
+    return part, skip
 
 
 def page_by_key(df: DataFrame, after: Any = None, top: int | None = None, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -886,6 +886,10 @@ STEPS |= {
               AND CAST(ordered_at AS DATE) <> DATE '2000-05-20' AND year(ordered_at) < 2001""",
     "o_page_by_offset": """
         SELECT * FROM {o_served} ORDER BY settled DESC NULLS FIRST, value ASC NULLS LAST, id LIMIT 150 OFFSET 70""",
+    "o_page_by_offset_deep": """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, row_number() OVER (ORDER BY settled DESC NULLS FIRST, value ASC NULLS LAST, id) - 1 AS place FROM {o_served})
+        WHERE place - (SELECT count(*) // 2 FROM {orders}) BETWEEN 0 AND 149""",
     "o_page_by_key": "SELECT * FROM {o_dept_sales} ORDER BY id LIMIT 20 OFFSET 20",
     "o_preview": """
         SELECT *, (SELECT count(*) > 200 FROM {o_served} WHERE status = 'P') AS truncated

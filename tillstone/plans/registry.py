@@ -822,6 +822,13 @@ QUERIES: dict[str, Query] = {
         _ORDER,
         "o_page_by_offset",
     ),
+    "page_by_offset_deep": Query(
+        lambda j: ac.page_by_offset(
+            _served_orders(j), [("settled", "desc"), ("value", "asc")], top=150, skip=j.s.orders.count() // 2, gathered=500
+        ),
+        _ORDER,
+        "o_page_by_offset_deep",
+    ),
     "page_by_key": Query(_page_by_key, "id:s department:s brand:s parts:i", "o_page_by_key"),
     "filtered_count": Query(
         lambda j: ac.filtered_count(_served_orders(j), ac.filter_compare(F.col("status"), "ne", "F")),
