@@ -56,7 +56,7 @@ def test_slip_outcomes(spark):
     }
 
 
-@pytest.mark.parametrize("tolerance", ["0.01", "0.05"])
+@pytest.mark.parametrize("tolerance", ["0.00", "0.01", "0.02", "0.05", "0.30"])
 def test_nearest_title_against_all_pairs(spark, tolerance):
     random.seed(int(D(tolerance) * 100))
     day = lambda: AS_OF + timedelta(days=random.randint(-50, 50))
@@ -79,6 +79,24 @@ def test_nearest_title_against_all_pairs(spark, tolerance):
     assert want and got == want
 
 
+def test_a_tolerance_of_fifty_equals_the_plain_join_and_triples_the_rows_at_most(spark):
+    rng = random.Random(50)
+    n, days = 3000, [AS_OF + timedelta(days=i) for i in range(-300, 300)]
+    t = spark.createDataFrame(
+        [(f"t{i}", "Receita", rng.choice([None, "", "x"]), "open", rng.choice(days), D(rng.randint(0, 200_000)) / 100 if i % 3 else D("77.00")) for i in range(n)],
+        "installment_id string, type string, number string, status string, due_date date, value decimal(14,2)",
+    )
+    s = slips(spark, *[(f"s{i}", rng.choice(days), D(rng.randint(0, 200_000)) / 100 if i % 3 else D("90.00"), None) for i in range(400)])
+    found = rc.slip_tolerance_match(s, t, D("50.00"), max_days=20)
+    near = (F.abs(s["value"] - t["value"]) <= 50) & (F.abs(F.datediff(s["due_at"], t["due_date"])) <= 20)
+    pairs = s.join(t.where("coalesce(number, '') = ''"), near)
+    best = pairs.groupBy("slip_number").agg(F.min(F.struct(F.abs(F.datediff("due_at", "due_date")).alias("d"), "installment_id")).alias("b"))
+    want = {r.slip_number: (r.b.d, r.b.installment_id) for r in best.collect()}
+    assert want and {r.slip_number: (r.days_apart, r.title_installment) for r in found.collect()} == want
+    both = rc._in_bands(t.select("value", "due_date", F.struct("installment_id", "status").alias("title")), s.select("value", F.col("due_at").alias("due_date")), 5000, D("0.01"))
+    assert both.count() < 1.5 * (n + 400)
+
+
 def invoice_titles(spark, *rows):
     made = []
     for i, (titles, number, value, issued, plan) in enumerate(rows):

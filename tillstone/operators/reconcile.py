@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 from datetime import date, timedelta
 from decimal import Decimal
+from heapq import heappop, heappush
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -262,34 +265,19 @@ def product_catalog(
 # -- slips × titles --------------------------------------------------------------------------------------------
 
 
-def slip_tolerance_match(
-    slips: DataFrame,
-    titles: DataFrame,
-    tolerance: Decimal = Decimal("0.01"),
-    max_days: int = 60,
-    cent: Decimal = Decimal("0.01"),
-) -> DataFrame:
-    """For each slip, the unnumbered income title within the value tolerance whose due date is nearest.
+def _nearest_by_value(titles: DataFrame, asked: DataFrame, steps: int, cent: Decimal) -> DataFrame:
+    """The nearest title per (value, due date) asked for, titles offered at every value within ``steps`` cents.
 
-    Equal distances go to the smaller title id.  No pairs are formed: titles are first reduced to one per
-    (value, due date), each is offered at every value within the tolerance, and per value one running pass over
-    the dates finds the last title on or before and the first on or after each date asked for.  A value shared by
-    a third of all slips and titles becomes one group of at most two rows per calendar day.
+    Per value one running pass over the dates finds the last title on or before and the first on or after each date
+    asked for.  A value shared by a third of all slips and titles becomes one group of at most two rows per calendar day.
     """
-    steps = int(tolerance / cent)
-    unnumbered = (
-        titles.where((F.col("type") == INCOME) & F.coalesce(F.col("number") == "", F.lit(True)))
-        .groupBy("value", "due_date")
-        .agg(F.min(F.struct("installment_id", "status")).alias("title"))
-    )
     offered = (
-        unnumbered.withColumn("step", F.explode(F.sequence(F.lit(-steps), F.lit(steps))))
+        titles.withColumn("step", F.explode(F.sequence(F.lit(-steps), F.lit(steps))))
         .select((F.col("value") + F.col("step") * F.lit(cent)).cast(MONEY).alias("value"), "due_date", "title")
         .groupBy("value", "due_date")
         .agg(F.min("title").alias("title"))
         .withColumn("title", F.struct("due_date", "title.installment_id", "title.status"))
     )
-    asked = slips.select(F.col("value").cast(MONEY).alias("value"), F.to_date("due_at").alias("due_date")).distinct()
     timeline = offered.withColumn("asked", F.lit(0)).unionByName(
         asked.withColumn("asked", F.lit(1)), allowMissingColumns=True
     )
@@ -307,11 +295,102 @@ def slip_tolerance_match(
             days.alias("days"),
             *[F.col(f"{side}.{field}").alias(field) for field in ("installment_id", "status", "due_date")],
         )
-        found = found.withColumn(side, F.when(days <= max_days, candidate))
-    best = found.select("value", "due_date", F.least("before", "after").alias("best")).where("best is not null")
+        found = found.withColumn(side, F.when(days.isNotNull(), candidate))
+    return found.select("value", "due_date", F.least("before", "after").alias("best"))
+
+
+BAND = 8
+
+
+def _sweep(rows: pd.DataFrame, width: int) -> pd.DataFrame:
+    """One band in the order of its values: the titles within ``width`` cents of the value asked for stand by their day, each
+    day with its ids in a heap.  Titles come in as the values rise, and go out when their day is looked at and they are too small."""
+    rows = rows.sort_values(["cents", "asked"], kind="stable")
+    titles = rows[rows["asked"] == 0]
+    coming = list(zip(titles["cents"], titles["day"], titles["installment_id"], titles["status"].where(titles["status"].notna(), None), strict=True))
+    days: list[int] = []
+    heaps: dict[int, list[tuple]] = {}
+    out, at = [], 0
+
+    def first(place: int, step: int, least: int) -> tuple | None:
+        """(day, id, status) of the nearest day from a place on that still has a title."""
+        while 0 <= place < len(days):
+            day = days[place]
+            heap = heaps[day]
+            while heap and heap[0][1] < least:
+                heappop(heap)
+            if heap:
+                return day, heap[0][0], heap[0][2]
+            del days[place], heaps[day]
+            place += min(step, 0)
+        return None
+
+    wanted = rows[rows["asked"] == 1]
+    for cents, day in zip(wanted["cents"], wanted["day"], strict=True):
+        while at < len(coming) and coming[at][0] <= cents + width:
+            value, due, name, status = coming[at]
+            at += 1
+            if due not in heaps:
+                insort(days, due)
+                heaps[due] = []
+            heappush(heaps[due], (name, value, status))
+        near = [first(bisect_left(days, day) - 1, -1, cents - width), first(bisect_left(days, day), 1, cents - width)]
+        best = min(((abs(due - day), name, status, due) for due, name, status in filter(None, near)), key=lambda t: t[:2], default=None)
+        if best is not None:
+            out.append((cents, day, *best))
+    return pd.DataFrame(out, columns=["cents", "day", "days", "installment_id", "status", "due"])
+
+
+def _in_bands(titles: DataFrame, asked: DataFrame, steps: int, cent: Decimal) -> DataFrame:
+    """Both sides by band of values, ``BAND`` times as wide as the tolerance; titles that near the next band stand there too."""
+    cents = F.round(F.col("value") / F.lit(cent)).cast("bigint")
+    dated = F.col("due_date").isNotNull() & F.col("value").isNotNull()
+    placed = titles.where(dated).select(
+        cents.alias("cents"), F.unix_date("due_date").alias("day"), F.col("title.installment_id").alias("installment_id"),
+        F.col("title.status").alias("status"), F.lit(0).alias("asked"),
+    )
+    wanted = asked.where(dated).select(cents.alias("cents"), F.unix_date("due_date").alias("day"), F.lit(1).alias("asked"))
+    band = lambda at: F.floor((F.col("cents") + at) / (BAND * steps))
+    offered = placed.withColumn("band", F.explode(F.sequence(band(-steps), band(steps))))
+    return offered.unionByName(wanted.withColumn("band", band(0)), allowMissingColumns=True)
+
+
+def _nearest_by_band(titles: DataFrame, asked: DataFrame, steps: int, cent: Decimal) -> DataFrame:
+    """The same for a wide tolerance: one ordered pass per band of values (``_sweep``).  A band has at most a row per cent and
+    calendar day, however often they occur."""
+    schema = "cents bigint, day int, days int, installment_id string, status string, due int"
+    found = _in_bands(titles, asked, steps, cent).groupBy("band").applyInPandas(lambda rows: _sweep(rows, steps), schema)
+    return found.select(
+        (F.col("cents") * F.lit(cent)).cast(MONEY).alias("value"),
+        F.date_from_unix_date("day").alias("due_date"),
+        F.struct("days", "installment_id", "status", F.date_from_unix_date("due").alias("due_date")).alias("best"),
+    )
+
+
+def slip_tolerance_match(
+    slips: DataFrame,
+    titles: DataFrame,
+    tolerance: Decimal = Decimal("0.01"),
+    max_days: int = 60,
+    cent: Decimal = Decimal("0.01"),
+) -> DataFrame:
+    """For each slip, the unnumbered income title within the value tolerance whose due date is nearest.
+
+    Equal distances go to the smaller title id.  No pairs are formed: both sides are first reduced to one row per
+    (value, due date).  For a tolerance of a cent titles are offered at each value; for wider ones in bands of values.
+    """
+    steps = int(tolerance / cent)
+    unnumbered = (
+        titles.where((F.col("type") == INCOME) & F.coalesce(F.col("number") == "", F.lit(True)))
+        .groupBy("value", "due_date")
+        .agg(F.min(F.struct("installment_id", "status")).alias("title"))
+    )
     asking = slips.select(
         "slip_number", F.col("value").cast(MONEY).alias("value"), F.to_date("due_at").alias("due_date")
     )
+    asked = asking.select("value", "due_date").distinct()
+    nearest = _nearest_by_value if steps <= 1 else _nearest_by_band
+    best = nearest(unnumbered, asked, steps, cent).where(F.col("best.days") <= max_days)
     return asking.join(best, ["value", "due_date"]).select(
         "slip_number",
         F.col("best.installment_id").alias("title_installment"),

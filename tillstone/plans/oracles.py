@@ -503,6 +503,14 @@ STEPS = {
         SELECT slip_number, title.id AS title_installment, title.due AS title_due_date, title.status AS title_status,
                title.days AS days_apart
         FROM nearest""",
+    "o_tolerance_wide": """
+        SELECT slip_number, t.id AS title_installment, t.due AS title_due_date, t.status AS title_status, t.days AS days_apart
+        FROM (
+            SELECT slip_number, min({'days': abs(due_date - due_at)::INT, 'id': installment_id, 'due': due_date,
+                                     'status': status}) AS t
+            FROM {slip} s JOIN (FROM {o_titles} WHERE type = 'Receita' AND length(coalesce(number, '')) = 0) b
+                 ON b.value >= s.value - 50 AND b.value <= s.value + 50 AND due_date >= due_at - 60 AND due_date <= due_at + 60
+            GROUP BY slip_number)""",
     # the title of each number, and then the first rule that holds
     "o_slips": f"""
         WITH numbered AS (

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -744,6 +745,11 @@ QUERIES: dict[str, Query] = {
         "slip_number:s title_installment:s title_due_date:d title_status:s days_apart:i",
         "o_tolerance",
     ),
+    "slip_tolerance_match_wide": Query(
+        lambda j: rc.slip_tolerance_match(j.s.slip, j.titles, Decimal("50.00")),
+        "slip_number:s title_installment:s title_due_date:d title_status:s days_apart:i",
+        "o_tolerance_wide",
+    ),
     "slip_reconciliation": Query(
         lambda j: j.slips,
         "id:s bank_number:s issue_date:d due_date:d value:n cancelled:b customer:s title_status:s title_settled:d "
