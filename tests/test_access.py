@@ -148,3 +148,20 @@ def test_a_page_five_million_rows_down_meets_in_no_task(spark):
     assert [r.group for r in page] == [833] * 20
     ids = sorted(6_000_000 - i for i in range(833, 6_000_000, 1000))
     assert [r.id for r in page] == ids[2000:2020]
+
+
+def test_checks_in_one_pass_equal_the_single_ones(spark):
+    rows = [(1, "a", None), (1, "a", None), (2, "", "x"), (3, None, "x"), (None, None, ""), (None, "null", "y"), (4, "a", "y")]
+    df = spark.createDataFrame(rows, "id int, name string, kind string").repartition(4)
+    single = dq.all_checks(
+        dq.dq_unique(df, "id"), dq.dq_not_null(df, "id", "warn"), dq.dq_unique_combo(df, ["name", "kind"]),
+        dq.dq_accepted_values(df, "kind", ["x"]), dq.dq_unique(df, "name", "warn"),
+    )
+    fused = dq.in_one_pass(
+        df, dq.Check("unique", ("id",)), dq.Check("not_null", ("id",), severity="warn"), dq.Check("unique_combo", ("name", "kind")),
+        dq.Check("accepted_values", ("kind",), ("x",)), dq.Check("unique", ("name",), severity="warn"),
+    )
+    assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, single.collect()))
+    assert [r.violations for r in dq.in_one_pass(df.limit(0), dq.Check("unique", ("id",)), dq.Check("not_null", ("id",))).collect()] == [0, 0]
+    plan = dq.in_one_pass(df, dq.Check("unique", ("id",)), dq.Check("unique_combo", ("name", "kind")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1 and plan.count("Exchange hashpartitioning") == 1

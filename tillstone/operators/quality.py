@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,55 @@ def dq_accepted_values(df: DataFrame, name: str, values: Sequence, severity: str
     return _result(unexpected, f"accepted_values:{name}", severity)
 
 
+@dataclass(frozen=True)
+class Check:
+    """One check of a table, for ``in_one_pass``: 'unique', 'not_null', 'unique_combo' or 'accepted_values'."""
+
+    kind: str
+    names: tuple[str, ...]
+    values: tuple = ()
+    severity: str = "error"
+
+    @property
+    def title(self) -> str:
+        return f"{self.kind}:{','.join(self.names)}"
+
+    def key(self) -> Column:
+        """What is counted of a row, as text; NULL if nothing is.  JSON tells NULL from '' and parts from one another."""
+        c, whole = F.col(self.names[0]), F.to_json(F.struct(*self.names))
+        return {
+            "unique": F.when(c.isNotNull(), whole),
+            "not_null": F.when(c.isNull(), F.lit("")),
+            "unique_combo": whole,
+            "accepted_values": F.when(~c.isin(*self.values), whole),
+        }[self.kind]
+
+    def violations(self, rows: Column) -> Column:
+        """What a key that ``rows`` rows have adds to the violations."""
+        return {
+            "unique": F.when(rows > 1, 1),
+            "not_null": rows,
+            "unique_combo": F.when(rows > 1, 1),
+            "accepted_values": F.lit(1),
+        }[self.kind]
+
+
+def in_one_pass(df: DataFrame, *checks: Check) -> DataFrame:
+    """Several checks of a table: one scan, and one grouping of the keys of all, combined before the shuffle.
+
+    The keys themselves are grouped, not hashes of them, so there are no collisions to look into.
+    """
+    keys = [F.struct(F.lit(i).alias("check"), check.key().alias("key")) for i, check in enumerate(checks)]
+    found = F.filter(F.array(*keys), lambda one: one["key"].isNotNull())
+    grouped = df.select(F.inline(found)).groupBy("check", "key").agg(F.count(F.lit(1)).alias("rows"))
+    sums = [
+        F.coalesce(F.sum(F.when(F.col("check") == i, check.violations(F.col("rows")))), F.lit(0)).cast("bigint").alias(str(i))
+        for i, check in enumerate(checks)
+    ]
+    said = F.array(*[F.struct(F.lit(c.title).alias("check"), F.lit(c.severity).alias("severity"), F.col(str(i)).alias("violations")) for i, c in enumerate(checks)])
+    return grouped.agg(*sums).select(F.inline(said))
+
+
 def all_checks(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

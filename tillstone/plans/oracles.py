@@ -926,6 +926,18 @@ STEPS |= {
         ("accepted_values:o_orderpriority", "warn",
          "SELECT count(DISTINCT o_orderpriority) FROM {orders} WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')"),
     ),
+    "o_dq_in_one_pass": _check_rows(
+        ("unique_combo:l_orderkey,l_linenumber", "error", _repeated("{lineitem}", "l_orderkey", "l_linenumber")),
+        ("unique:l_orderkey", "warn", _repeated("{lineitem}", "l_orderkey")),
+        ("not_null:l_partkey", "error", "SELECT count(*) FROM {lineitem} WHERE l_partkey IS NULL"),
+        ("accepted_values:l_returnflag", "error",
+         "SELECT count(DISTINCT l_returnflag) FROM {lineitem} WHERE l_returnflag NOT IN ('A', 'N')"),
+        ("unique:o_orderkey", "error", _repeated("{orders}", "o_orderkey")),
+        ("not_null:settled", "warn", "SELECT count(*) FROM {served_by_dates} WHERE settled IS NULL"),
+        ("unique_combo:o_custkey,settled", "warn", _repeated("{served_by_dates}", "o_custkey", "settled")),
+        ("accepted_values:o_orderpriority", "warn",
+         "SELECT count(DISTINCT o_orderpriority) FROM {orders} WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')"),
+    ),
     "o_dq_key": _check_rows(
         ("unique:o_orderkey", "error", _repeated("{orders}", "o_orderkey")),
         ("not_null:o_orderkey", "error", "SELECT count(*) FROM {orders} WHERE o_orderkey IS NULL"),

@@ -486,6 +486,10 @@ OVERLAYS = {
         SELECT CASE event_type WHEN 'view' THEN 'products' ELSE event_type END AS table_name, ts AS started_at, ts AS ended_at,
                event_id AS rows, CASE WHEN event_id % 5 = 0 THEN 'failed' END AS error
         FROM {events}""",
+    "served_by_dates": """
+        SELECT o_orderkey, o_custkey, o_orderpriority,
+               CASE WHEN o_orderkey % 6 <> 0 THEN CAST(o_orderdate AS DATE) + 20 END AS settled
+        FROM {orders}""",
     "landed_event": """
         SELECT event_id, CAST(floor(event_id / 500) AS BIGINT) AS page, user_id, event_type,
                CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, event_id % 211 = 0 AS lost

@@ -438,6 +438,25 @@ def _checks(j: Job) -> DataFrame:
     )
 
 
+def _checks_in_one_pass(j: Job) -> DataFrame:
+    s = j.s
+    lines = dq.in_one_pass(
+        s.lineitem,
+        dq.Check("unique_combo", ("l_orderkey", "l_linenumber")),
+        dq.Check("unique", ("l_orderkey",), severity="warn"),
+        dq.Check("not_null", ("l_partkey",)),
+        dq.Check("accepted_values", ("l_returnflag",), ("A", "N")),
+    )
+    orders = dq.in_one_pass(
+        s.served_by_dates,
+        dq.Check("unique", ("o_orderkey",)),
+        dq.Check("not_null", ("settled",), severity="warn"),
+        dq.Check("unique_combo", ("o_custkey", "settled"), severity="warn"),
+        dq.Check("accepted_values", ("o_orderpriority",), ("1-URGENT", "2-HIGH"), "warn"),
+    )
+    return dq.all_checks(lines, orders).withColumnRenamed("check", "check_name")
+
+
 # -- the registry ------------------------------------------------------------------------------------------------
 
 _ITEM_MONTH = "month:d branch_id:i product_code:i"
@@ -881,6 +900,7 @@ QUERIES: dict[str, Query] = {
         _CHECK,
         "o_dq_accepted",
     ),
+    "dq_in_one_pass": Query(_checks_in_one_pass, _CHECK, "o_dq_in_one_pass"),
     "publish_key_check": Query(
         lambda j: dq.all_checks(
             dq.publish_key_check(j.s.orders, "o_orderkey"),
