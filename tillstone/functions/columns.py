@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # The characters a text trim removes (ASCII and Latin-1 white space).
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
+# Fixed value: how a company tax id of 14 digits is written.
+TAX_ID_LAYOUT = (r"^(\d{2})(\d{3})(\d{3})(\d{4})(\d{2})$", "$1.$2.$3/$4-$5")
+
 MONEY = "decimal(18,2)"
 QUANTITY = "decimal(18,4)"
 
@@ -38,9 +41,7 @@ def blank_to_null(c: Column) -> Column:
 
 def tax_id_mask(c: Column) -> Column:
     """Company tax id as 00.000.000/0000-00.  Shorter input is zero-padded, longer input is cut to 14."""
-    return F.regexp_replace(
-        F.lpad(c, 14, "0"), r"^(\d{2})(\d{3})(\d{3})(\d{4})(\d{2})$", "$1.$2.$3/$4-$5"
-    )
+    return F.regexp_replace(F.lpad(c, 14, "0"), *TAX_ID_LAYOUT)
 
 
 def zero(c: Column, decimal_type: str = MONEY) -> Column:

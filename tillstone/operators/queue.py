@@ -38,6 +38,7 @@ DOCUMENT_TYPES = (
     "outros",
     "previsão",
 )
+# The account plan of sales, and the fields of a queued installment.
 SALES_PLAN = "Vendas de Mercadorias"
 INSTALLMENTS = "array<struct<numeroParcela:int, vencimento:string, valor:decimal(18,2), codigoDeBarras:string>>"
 

@@ -29,6 +29,7 @@ from tillstone.plans.oracles import oracle
 from tillstone.plans.refresh import MonthlyFacts
 from tillstone.plans.session import run_folder, settled
 from tillstone.sources import landing, publish, sync
+from tillstone.sources.pages import kept_by_run, land_new_pages_once, land_once, refresh_ledger
 from tillstone.sources.partitions import PartitionedTable, apply_read
 
 # -- serving -----------------------------------------------------------------------------------------------------
@@ -146,6 +147,38 @@ def _land_and_explode(j: Job) -> DataFrame:
     )
 
 
+def _land_replayed(j: Job) -> DataFrame:
+    """Pages dropped as files and landed by a stream; then the same files by a stream without its checkpoint, and a page
+    more than once in a batch."""
+    spark = j.s.spark
+    place = f"{run_folder(spark)}/replayed-{uuid.uuid4().hex[:12]}"
+    pages = settled(_pages(j).drop("page").withColumn("run", F.concat(F.lit("run-"), F.crc32("parameters") % 3)), "pages")
+    table = kept_by_run(spark, f"{place}/pages")
+    pages.where("run <> 'run-2'").write.json(f"{place}/in")
+    for mark in ("mark", "mark", "other-mark"):
+        land_new_pages_once(spark, f"{place}/in", table, f"{place}/{mark}").awaitTermination()
+    land_once(table, pages.union(pages))
+    item = "struct<id:bigint, user_id:bigint, event_type:string, k:bigint>"
+    number = F.get_json_object("parameters", "$.page").cast("bigint").alias("page")
+    return landing.explode_pages(table.read().select("*", number), "events", item, keep=["page"])
+
+
+def _refresh_by_ledger(j: Job) -> DataFrame:
+    """Responses of four runs; the ledger is brought up to date after two of them and after the rest."""
+    spark = j.s.spark
+    place = f"{run_folder(spark)}/ledger-{uuid.uuid4().hex[:12]}"
+    pages, ledger = kept_by_run(spark, f"{place}/pages"), kept_by_run(spark, f"{place}/done")
+    responses = j.s.detail_response.select(
+        F.concat(F.lit("run-"), F.get_json_object("parameters", "$.id").cast("bigint") % 4).alias("run"),
+        F.lit("details/").alias("endpoint"), "parameters", F.lit("2001-08-31").cast("timestamp_ntz").alias("extracted_at"), "payload",
+    )
+    for runs in (["run-0", "run-2"], ["run-1", "run-3"]):
+        land_once(pages, responses.where(F.col("run").isin(runs)))
+        refresh_ledger(ledger, pages, "id", "_http_error")
+    events = j.s.events.select(F.col("event_id").alias("id"), "event_type")
+    return landing.ids_not_done(events, "id", F.col("event_type").isin("view", "click"), ledger.read())
+
+
 def _balances(j: Job) -> DataFrame:
     """Each event as a balance response: a list, an object around a list, or an empty list."""
     line = F.format_string('[{"stock":%d,"item":%d}]', "user_id", "k")
@@ -207,9 +240,12 @@ def _sync_partitions(j: Job) -> DataFrame:
     state = j.s.finance_state.select("*", month)
     table.replace(state, [r[0] for r in state.select("month").distinct().collect()], "first load")
     reads = [(batch.select("*", month), scope) for batch, scope in _finance_reads(j)]
+    announced = j.s.finance_read.groupBy("read", "kind").agg(F.count(F.lit(1)).alias("total"))
     for step, (batch, scope) in enumerate([*reads, reads[-1]]):
         name = f"read {min(step, len(reads) - 1)}"
-        apply_read(table, batch, "id", scope, F.lit(j.as_of), [F.col("delivery").desc()], name)
+        named = announced.join(batch.select("read", "kind").distinct(), ["read", "kind"], "left_semi")
+        wrong = landing.completeness_by_window(batch, named, ["read", "kind"])
+        apply_read(table, batch, "id", scope, F.lit(j.as_of), [F.col("delivery").desc()], name, wrong)
     return table.read()
 
 
@@ -538,7 +574,14 @@ QUERIES: dict[str, Query] = {
         sql="""SELECT CAST(floor(event_id / 500) AS BIGINT) AS page, event_id AS id, user_id, event_type,
                       json_extract_string(props, '$.k') AS k FROM events""",
     ),
+    "land_pages_replayed": Query(
+        _land_replayed,
+        "page:i id:i user_id:i event_type:s k:i",
+        sql="""SELECT CAST(floor(event_id / 500) AS BIGINT) AS page, event_id AS id, user_id, event_type,
+                      json_extract_string(props, '$.k') AS k FROM events""",
+    ),
     "ids_to_refresh": Query(_refresh, "id:i", "o_refresh"),
+    "ids_to_refresh_by_ledger": Query(_refresh_by_ledger, "id:i", "o_refresh"),
     "balance_pairs": Query(
         _balances,
         "event_id:i stock:i item:i",

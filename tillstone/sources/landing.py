@@ -148,20 +148,32 @@ def balance_pairs(pages: DataFrame, first: str = "stock", second: str = "item")
     )
 
 
-def ids_to_refresh(
-    entities: DataFrame, entity_id: str, mutable: Column, extracted: DataFrame, parameter: str, error_key: str
-) -> DataFrame:
-    """Ids whose detail must be read again: still able to change, or never extracted without an error."""
-    done = (
+def ids_done(extracted: DataFrame, parameter: str, error_key: str, *keep: str) -> DataFrame:
+    """``id``: what each response was asked for, of those without an error; repeats allowed."""
+    return (
         extracted.where(F.get_json_object("payload", f"$.{error_key}").isNull())
-        .select(F.get_json_object("parameters", f"$.{parameter}").alias("_done"))
-        .where("_done is not null")
-        .distinct()
+        .select(*keep, F.get_json_object("parameters", f"$.{parameter}").alias("id"))
+        .where("id is not null")
     )
-    seen = entities.join(done, F.col(entity_id).cast("string") == F.col("_done"), "left")
+
+
+def ids_not_done(entities: DataFrame, entity_id: str, mutable: Column, done: DataFrame) -> DataFrame:
+    """Ids whose detail must be read again: still able to change, or not among ``done`` (a column ``id``).
+
+    Spark filters the larger side by a Bloom filter of the other before it shuffles where that pays.
+    """
+    found = done.select(F.col("id").alias("_done")).distinct()
+    seen = entities.join(found, F.col(entity_id).cast("string") == F.col("_done"), "left")
     return seen.where(F.coalesce(mutable, F.lit(False)) | F.col("_done").isNull()).select(entity_id)
 
 
+def ids_to_refresh(
+    entities: DataFrame, entity_id: str, mutable: Column, extracted: DataFrame, parameter: str, error_key: str
+) -> DataFrame:
+    """The same from all responses ever extracted; ``pages.refresh_ledger`` keeps what this parses anew each time."""
+    return ids_not_done(entities, entity_id, mutable, ids_done(extracted, parameter, error_key))
+
+
 # -- completeness ----------------------------------------------------------------------------------------------
 
 
