@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from difflib import SequenceMatcher
 from html import unescape
 
@@ -120,3 +121,49 @@ def test_a_site_of_mostly_shared_lines(spark):
     menu = "".join(f"<div>Place number {k} of a long menu</div>" for k in range(12))
     got = texts(spark, [(i, f"http://a.b/x/{i}", page(f"Tale {i}", menu)) for i in range(4)])
     assert got == {i: f"Tale {i} is told here at length, in words of its own" for i in range(4)}
+
+
+def test_long_tables_and_broken_tags_take_linear_time():
+    rng = random.Random(3)
+    a, b = ([rng.choice("ab") for _ in range(100_000)] for _ in range(2))
+    begun = time.monotonic()
+    common = sorted(extraction.shared(a, b))
+    part, rest = [a[i] for i in common], iter(b)
+    assert len(common) > 75_000 and all(x in rest for x in part)
+    for piece in ("<a ", '<a "', "<!", "<a '\" ", '<a ">"', "</", "<a b='", "<!--", "<x =\">"):
+        extraction.lines(piece * 60_000)
+    assert time.monotonic() - begun < 60
+
+
+def test_halving_gives_a_longest_one_too(monkeypatch):
+    rng = random.Random(4)
+    for few in (0, 16):
+        monkeypatch.setattr(extraction, "FEW", few)
+        for _ in range(60):
+            a, b = ([rng.choice("abc") for _ in range(rng.randrange(60))] for _ in range(2))
+            monkeypatch.setattr(extraction, "PAIRS", 10**9)
+            want = len(extraction.shared(a, b))
+            monkeypatch.setattr(extraction, "PAIRS", 1)
+            found = extraction.shared(a, b)
+            part, rest = [a[i] for i in sorted(found)], iter(b)
+            assert len(found) == want and all(x in rest for x in part)
+
+
+def test_texts_do_not_depend_on_the_partitions(spark, monkeypatch):
+    """A host with far more pages than a block, one large folder, copies, and hosts of one page."""
+    monkeypatch.setattr(extraction, "BLOCK", 16)
+    rng = random.Random(5)
+    rows = [(i, f"http://big.b/{rng.choice(['x', 'x', f'f{i % 40}'])}/{i // 2}", page(f"tale {i // 3}")) for i in range(400)]
+    rows += [(1000 + i, f"http://h{i}.b/1", page("lone")) for i in range(40)] + [(None, None, page("null"))] * 3
+    df = spark.createDataFrame(rows, PAGES)
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for count in ("2", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", count)
+            found.append(sorted(extraction.extracted(df.repartition(int(count))).collect(), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    own = sum(r.text == f"tale {r.page_id // 3} is told here at length, in words of its own" for r in found[0] if r.page_id is not None and r.page_id < 400)
+    assert own >= 395  # a page whose block has copies of it only keeps its lines
