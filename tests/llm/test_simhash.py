@@ -48,10 +48,25 @@ def test_empty_table_repeated_rows_and_missing_ids(spark):
 def test_one_of_each_group_stays(spark):
     docs = frame(spark, [(3, "a b"), (3, "a b"), (4, "a b"), (9, "other text"), (None, "a b")])
     kept = simhash.one_of_each(docs, simhash.near_duplicates(docs))
-    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "a b"), (3, "a b"), (9, "other text")]
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, "a b"), (9, "other text")]
     assert kept.columns == docs.columns
 
 
+def test_repeated_and_missing_ids_are_told_apart_by_their_texts(spark):
+    """A clean text under a repeated id stays, copies without an id go but for one, and reruns agree."""
+    first, second, third = ("alpha beta gamma delta " * 5, "one two three four five six", "some quite different words stand in this one")
+    rows = [(1, first), (1, second), (2, first), (2, second), (None, third), (None, third), (None, third + "!"), (None, first), (7, "seven"), (7, "seven")]
+    kept = []
+    for parts in (1, 5):
+        docs = frame(spark, rows).repartition(parts)
+        kept.append(sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs, simhash.near_duplicates(docs)).collect()), key=str))
+    assert kept[0] == kept[1]
+    texts = [t for _, t in kept[0]]
+    assert sorted(texts) == sorted({first, second, "seven"} | {t for t in texts if t.startswith(third)}) and len(texts) in (4, 5)
+    assert [i for i, t in kept[0] if t in (first, second, "seven")].count(1) == 2
+    assert sum(t == third for t in texts) <= 1
+
+
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b", 5, "x"), (2, "a b", 6, "y")], "doc_id long, text string, print int, least string")
     assert [(r.doc_id, r.component_id) for r in sorted(simhash.near_duplicates(df).collect())] == [(1, 1), (2, 1)]

@@ -159,8 +159,12 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     worded = counted.where(F.col("token") != F.lit(END))
     times = worded.groupBy("n").agg(F.count("*").alias("times")).orderBy(F.desc("n")).toArrow()
     words = max(_own(times["n"].to_numpy().astype(float), times["times"].to_numpy(), total), WORDS)
-    best = worded.orderBy(F.desc("n"), "token").limit(max(HEAD, words)).toArrow()
-    head = list(zip(best["token"].to_pylist(), best["n"].to_pylist(), strict=True))
+    # Whole levels of counts, so that nothing is sorted in one task; the few that are in turn are sorted here.
+    levels = np.cumsum(times["times"].to_numpy()) <= max(HEAD, words)
+    least = int(times["n"].to_numpy()[levels].min()) if levels.any() else 0
+    best = worded.where(F.col("n") >= least).toArrow() if least else worded.limit(0).toArrow()
+    head = sorted(zip(best["token"].to_pylist(), best["n"].to_pylist(), strict=True), key=lambda word: (-word[1], word[0]))
+    words = min(words, len(head))
     for token, n in [*head[:words], *[(bytes(row.token), row.n) for row in first]]:
         mine = rest[zlib.crc32(token[-2:]) % ENDINGS]
         mine[0] -= n

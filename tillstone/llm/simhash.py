@@ -284,7 +284,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
-    """(doc_id, print, component_id) per row of docs; component_id is the smallest doc_id reachable over links."""
+    """(doc_id, print, component_id, root) per row of docs; component_id is the smallest doc_id reachable over links, null if
+    none of those rows has one, and root a print that names the component in any case."""
     prints = settled(fingerprints(docs, id_column, text_column, k), "simhash")
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes.select("print"), distance), "simhash-links")
@@ -292,14 +293,34 @@ def near_duplicates(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(named, "root").select("print", "component_id")
-    return prints.join(known, "print").select("doc_id", "print", "component_id")
+    known = rooted.join(named, "root").select("print", "component_id", "root")
+    return prints.join(known, "print").select("doc_id", "print", "component_id", "root")
 
 
-def one_of_each(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Rows of docs whose doc_id names its component; of rows that repeat the doc_id, one. Rows without doc_id stay:
-    nothing tells them apart, so none is taken for a copy."""
-    keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keeper")).distinct()
-    kept = docs.join(keepers, docs[id_column].cast("long") == F.col("_keeper"), "left_semi")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != id_column]
-    return kept.dropDuplicates([id_column]).unionByName(docs.where(F.col(id_column).isNull())) if others else kept.distinct()
+def one_of_each(
+    docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE
+) -> DataFrame:
+    """One row of docs for each component: that with the smallest doc_id, null last, then the smallest print, then the smallest
+    hash of the text. ``found``: what ``near_duplicates`` gives for docs.
+
+    Where that doc_id is one row's, the id tells which; rows that share it, or have none, are told apart by their own prints,
+    which are computed once more for them alone.
+    """
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("f"))
+    first = settled(first.select("f.*"), "keepers")
+    named = first.where("not none").select("doc_id", "print")
+    times = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times"))
+    by_id, shared = (named.join(times.where(which), "doc_id", "left_semi") for which in ("times = 1", "times > 1"))
+    id_ = docs[id_column].cast("long")
+    kept = docs.join(by_id.select(F.col("doc_id").alias("_keeper")), id_ == F.col("_keeper"), "left_semi")
+
+    repeated = docs.join(shared.select(F.col("doc_id").alias("_id")).distinct(), id_ == F.col("_id"), "left_semi")
+    alike = repeated.unionByName(docs.where(id_.isNull())).withColumn("_row", F.monotonically_increasing_id())
+    alike = settled(alike, "shared-ids")
+    shared = shared.unionByName(first.where("none").select("doc_id", "print")).toDF("_id", "_print")
+    prints = fingerprints(alike, "_row", text_column, k).select(F.col("doc_id").alias("_row"), F.col("print").alias("_own"))
+    meant = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_print"))
+    told = alike.join(prints, "_row").join(shared, meant)
+    least = F.min(F.struct(F.xxhash64(text_column).alias("_hash"), *[F.col(f"`{c}`") for c in docs.columns])).alias("least")
+    rest = told.groupBy("_id", "_print").agg(least).select(*[F.col(f"least.`{c}`") for c in docs.columns])
+    return kept.unionByName(rest)
