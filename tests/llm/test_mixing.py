@@ -83,3 +83,14 @@ def test_by_position_is_sorted_across_partitions(spark):
     rows = mixing.by_position(mixing.mixed(frame(spark, docs))).collect()
     first = [r.mix_positions[0] if r.mix_positions else 2 for r in rows]
     assert first == sorted(first) and len(rows) == 500
+
+
+def test_more_buckets_give_the_same_mix(spark, monkeypatch):
+    """Ids that repeat, rows without an id, and as many digits as there are."""
+    docs = [(None if i % 3 == 0 else i // 2, f"w{i} " * (1 + i % 7), "en", f"s{i % 4}") for i in range(600)]
+    found = []
+    for rows in (4096, 1 / 16**6, 1 / 16**2):
+        monkeypatch.setattr(mixing, "IN_BUCKET", rows)
+        mix = mixing.mixed(frame(spark, docs)).collect()
+        found.append(sorted((str(r.doc_id), r.text, r.mix_taken, r.mix_positions) for r in mix))
+    assert found[0] == found[1] == found[2]

@@ -13,8 +13,10 @@ Curriculum
     long as words are due, the last one cut where the target ends. Copies are range-sorted by their time.
 
 How the work is dealt out
-    The running number of words within a source is not one window per source: documents fall into ``BUCKETS`` buckets by
-    MD5, buckets are summed first, and only documents of one source and bucket meet in a window.
+    The running number of words within a source is not one window per source: documents fall into buckets by the first digits of
+    their MD5, of about ``IN_BUCKET`` rows each, so many as the table needs; rows without an id by the hash of their
+    text. Buckets are summed first, then within the ``COARSE`` digits that they begin with, and only documents of one
+    source and bucket meet in a window.
 
 Defined results
     A null or wordless text has size 0 and is taken 0 words. Rows with a null id share one place in the order, as rows that
@@ -24,6 +26,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -34,7 +37,8 @@ from tillstone.plans.session import settled
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BUCKETS = 4096  # three hexadecimal digits
+COARSE = 3  # hexadecimal digits
+IN_BUCKET = 4096
 
 #: Weight at equally spaced times, one schedule for each of the WEIGHTS: falling, even, rising.
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
@@ -95,19 +99,32 @@ def mixed(
     counted), and the time of each copy taken."""
     own = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in RESULT}
     digest = F.coalesce(F.md5(F.col(id_column).cast("string")), F.lit(""))
+    tie = F.xxhash64(F.col(text_column))
+    more = math.ceil(math.log(max(1, docs.count() / IN_BUCKET / 16**COARSE), 16))
+    digits = COARSE + min(COARSE, more)
+    # In the order of digest and tie: rows without an id come first, by the tie's first digits with its sign turned.
+    placed = F.when(digest == "", F.substring(F.lpad(F.hex(tie.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), 1, digits))
     keyed = docs.select(
         *[F.col(f"`{c}`").alias(name) for c, name in own.items()],
         F.col(source_column).alias("_source"),
         digest.alias("_digest"),
-        F.substring(digest, 1, 3).alias("_bucket"),
-        F.xxhash64(F.col(text_column)).alias("_tie"),  # here, so that the order doesn't need the text
+        F.coalesce(F.concat(F.lit("!"), placed), F.substring(digest, 1, digits)).alias("_bucket"),
+        tie.alias("_tie"),  # here, so that the order doesn't need the text
         n_words(F.col(text_column)).alias("mix_size"),
     )
     sums = settled(keyed.groupBy("_source", "_bucket").agg(F.sum("mix_size").alias("words")), "mix-sizes")
     sizes = sums.groupBy(F.col("_source").alias("source")).agg(F.sum("words").alias("source_size"))
     aims = targets(sizes, weights, most)
-    earlier = W.partitionBy("_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select("_source", "_bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("_before"))
+    past = lambda *keys, order: F.coalesce(
+        F.sum("words").over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+    )
+    fine = sums.withColumn("_coarse", F.when(F.startswith(F.col("_bucket"), F.lit("!")), F.substring("_bucket", 1, COARSE + 1)).otherwise(F.substring("_bucket", 1, COARSE)))
+    coarse = fine.groupBy("_source", "_coarse").agg(F.sum("words").alias("words"))
+    coarse = coarse.select(F.col("_source").alias("_cs"), F.col("_coarse").alias("_cc"), past("_source", order="_coarse").alias("_far"))
+    fine = fine.select("_source", "_bucket", "_coarse", past("_source", "_coarse", order="_bucket").alias("_near"))
+    offsets = fine.join(coarse, F.col("_source").eqNullSafe(F.col("_cs")) & (F.col("_coarse") == F.col("_cc"))).select(
+        "_source", "_bucket", (F.col("_far") + F.col("_near")).alias("_before")
+    )
     offsets = offsets.join(aims, F.col("_source").eqNullSafe(F.col("source"))).select(
         F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), "_before", "source_size", "cycle", "target"
     )
