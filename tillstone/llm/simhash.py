@@ -311,6 +311,7 @@ def one_of_each(
     named = first.where("not none").select("doc_id", "print")
     times = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("times"))
     by_id, shared = (named.join(times.where(which), "doc_id", "left_semi") for which in ("times = 1", "times > 1"))
+    shared = settled(shared, "shared-keepers")  # few, as a rule: then the planner sees it, and docs is not shuffled for them
     id_ = docs[id_column].cast("long")
     kept = docs.join(by_id.select(F.col("doc_id").alias("_keeper")), id_ == F.col("_keeper"), "left_semi")
 
