@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import math
+import random
+
 import pytest
 from corpus import SMALL, table
 
@@ -95,3 +98,61 @@ def test_deep_paths_repeated_rows_and_empty_tables(spark):
 @pytest.mark.parametrize("segment,name", [("123", "*"), ("2024-01-02", "*"), ("12.html", "*.html"), ("deadbeef01", "*"), ("deadbeef", "deadbeef")])
 def test_forms(spark, segment, name):
     assert found(spark, [(1, f"http://a.b/{segment}")])[1].template == f"/{name}"
+
+
+def merged_by_hand(counted: dict[tuple[str, str], tuple[int, int]]) -> dict[tuple[str, str], str]:
+    """(host, template) -> branch, one level after the other from the leaves up."""
+    branch = {key: key[1] for key in counted}
+    for level in range(max(len(t.split("/")) for _, t in counted) - 1, 0, -1):
+        sums: dict = {}
+        for key, (labels, bad) in counted.items():
+            old = sums.get((key[0], branch[key]), (0, 0))
+            sums[key[0], branch[key]] = (old[0] + labels, old[1] + bad)
+        wild = {}
+        for host, name in sums:
+            parts = name.split("/")
+            if len(parts) > level and not parts[level].startswith("*"):
+                parts[level] = "*"
+            wild[host, name] = "/".join(parts)
+        into = {}
+        for key, (labels, bad) in sums.items():
+            group = [v for k, v in sums.items() if k[0] == key[0] and wild[k] == wild[key]]
+            every, all_bad = sum(v[0] for v in group), sum(v[1] for v in group)
+            rest = every - labels
+            into[key] = key[1]
+            if labels and rest:
+                pooled = all_bad / every
+                spread = math.sqrt(pooled * (1 - pooled) * (1 / labels + 1 / rest))
+                if abs(bad / labels - (all_bad - bad) / rest) <= urls.SIGNIFICANT * spread:
+                    into[key] = wild[key]
+        branch = {key: into[key[0], name] for key, name in branch.items()}
+    return branch
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_merging_like_by_hand(spark, seed):
+    rng = random.Random(seed)
+    counted = {}
+    for _ in range(150):
+        template = "".join("/" + rng.choice(["a", "b", "c", "*", "*.html"]) for _ in range(rng.randint(0, 4)))
+        labels = rng.choice([0, 0, 3, 20, 60])
+        counted[rng.choice(["h", "g"]), template] = (labels, rng.choice([0, labels, labels // 2, rng.randint(0, labels)]))
+    rows = [(h, f"p{i}", t, 1, n, bad) for i, ((h, t), (n, bad)) in enumerate(counted.items())]
+    paths = spark.createDataFrame(rows, "host string, path string, template string, n long, labels long, bad long")
+    found = urls.templates(paths).collect()
+    want = merged_by_hand(counted)
+    assert {(r.host, r.template): r.branch for r in found} == want
+    for r in found:
+        mine = [counted[k] for k, name in want.items() if k[0] == r.host and name == r.branch]
+        share = (sum(v[1] for v in mine) + 1) / (sum(v[0] for v in mine) + 2)
+        assert r.share == pytest.approx(share) and r.rejected == (share > urls.PURITY)
+
+
+def test_alike_sections_become_one_branch(spark):
+    """Nine sections whose print pages are all bad, and one without labels."""
+    sections = ["aaa", "bbb", "ccc", "ddd", "eee", "fff", "ggg", "hhh", "iii"]
+    rows = [("h", f"/{s}/1/print", f"/{s}/*/print", 20, 20, 20) for s in sections] + [("h", "/kkk/1/print", "/kkk/*/print", 20, 0, 0)]
+    paths = spark.createDataFrame(rows, "host string, path string, template string, n long, labels long, bad long")
+    found = {r.template: (r.branch, r.rejected) for r in urls.templates(paths).collect()}
+    assert {found[f"/{s}/*/print"] for s in sections} == {("/*/*/print", True)}
+    assert found["/kkk/*/print"] == ("/kkk/*/print", False)

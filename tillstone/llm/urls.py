@@ -8,7 +8,8 @@ Templates
     Each host has a tree of path segments, grown from the root one level at a time. A segment becomes a wildcard if its
     form says that it varies (numbers, dates, hexadecimal names; an ending like ``.html`` stays), or if its node has
     ``MANY`` children or more and it stands for less than ``RARE`` of the node's pages. Segments from ``DEPTH`` on are one.
-    Branches that differ in one literal segment are merged if their shares of bad labels don't differ significantly from
+    Then the tree is gone through once more, level by level from the leaves up: branches that differ in the literal segment of that
+    level alone are merged into one with a wildcard there, if their shares of bad labels don't differ significantly from
     those of the branches beside them (two-proportion test, ``SIGNIFICANT``); a branch without labels is not merged.
     A template is rejected if its smoothed share of bad labels, (bad + 1) / (labels + 2), exceeds ``PURITY``.
 
@@ -103,23 +104,38 @@ def _levels(paths: DataFrame) -> DataFrame:
     return paths
 
 
-def templates(paths: DataFrame, purity: float = PURITY) -> DataFrame:
-    """paths: (host, path, template, n, labels, bad). Returns (host, template, branch, share, rejected): the branch a
-    template was merged into, its smoothed share of bad labels, and whether that is too much."""
-    leaves = paths.groupBy("host", "template").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
-    # the last literal segment is what branches beside each other differ in
-    wild = F.regexp_replace("template", r"/[^/*][^/]*((/\*[^/]*)*)$", "/*$1")
-    leaves = leaves.withColumn("wild", wild)
-    beside = leaves.groupBy("host", "wild").agg(F.sum("labels").alias("all_labels"), F.sum("bad").alias("all_bad"))
-    both = leaves.join(beside, ["host", "wild"])
+def _merged(branches: DataFrame, level: int) -> DataFrame:
+    """branches: (host, branch, labels, bad). Adds into: the branch with a wildcard at a level, where those that differ
+    there alone are alike, else the branch itself."""
+    parts = F.split("branch", "/")
+    literal = (F.size(parts) > level) & ~F.startswith(F.get(parts, F.lit(level)), F.lit("*"))
+    wild = F.array_join(F.concat(F.slice(parts, 1, level), F.array(F.lit("*")), F.slice(parts, level + 2, 1 << 30)), "/")
+    named = branches.withColumn("wild", F.when(literal, wild).otherwise(F.col("branch")))
+    beside = named.groupBy("host", "wild").agg(F.sum("labels").alias("all_labels"), F.sum("bad").alias("all_bad"))
+    both = named.join(beside, ["host", "wild"])
     others = F.col("all_labels") - F.col("labels")
     pooled = F.col("all_bad") / F.col("all_labels")
     spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labels") + 1 / others))
     apart = F.abs(F.col("bad") / F.col("labels") - (F.col("all_bad") - F.col("bad")) / others)
     alike = F.when((F.col("labels") > 0) & (others > 0), apart <= SIGNIFICANT * spread).otherwise(F.lit(False))
-    merged = both.withColumn("branch", F.when(alike, F.col("wild")).otherwise(F.col("template")))
-    shares = merged.groupBy("host", "branch").agg(((F.sum("bad") + 1) / (F.sum("labels") + 2)).alias("share"))
-    judged = merged.select("host", "template", "branch").join(shares, ["host", "branch"])
+    return both.withColumn("into", F.when(alike, F.col("wild")).otherwise(F.col("branch"))).select(*branches.columns, "into")
+
+
+def templates(paths: DataFrame, purity: float = PURITY) -> DataFrame:
+    """paths: (host, path, template, n, labels, bad). Returns (host, template, branch, share, rejected): the branch a
+    template was merged into, its smoothed share of bad labels, and whether that is too much.
+
+    Branches are merged level by level from the leaves up; what was merged below meets as one branch above."""
+    leaves = paths.groupBy("host", "template").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
+    names = settled(leaves.withColumn("branch", F.col("template")), "url-branches")
+    deepest = names.agg(F.max(F.size(F.split("template", "/")))).first()[0] or 1
+    for level in range(deepest - 1, 0, -1):
+        branches = names.groupBy("host", "branch").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
+        into = _merged(branches, level).select("host", "branch", "into")
+        named = names.join(into, ["host", "branch"]).select("host", "template", "labels", "bad", F.col("into").alias("branch"))
+        names = settled(named, "url-branches")
+    shares = names.groupBy("host", "branch").agg(((F.sum("bad") + 1) / (F.sum("labels") + 2)).alias("share"))
+    judged = names.select("host", "template", "branch").join(shares, ["host", "branch"])
     return judged.withColumn("rejected", F.col("share") > purity)
 
 
