@@ -90,7 +90,8 @@ def test_words_in_groups_have_probabilities_of_their_own(spark, monkeypatch):
     head = [(f"w{i}".encode(), 2000 - i) for i in range(900)] + [(scoring.END, 10)]
     total = sum(n for _, n in head) + 1000
     words_ = scoring.Vocabulary(head, {3: (1000, 500)}, total, 1401)
-    covered = sum(n for t, n in head if words_.known[t][0] >= words_.classes or words_.known[t][0] <= scoring.WORDS)
+    number = {t: int(words_.numbers[i]) for t, i in words_.places.items()}
+    covered = sum(n for t, n in head if number[t] >= words_.classes or number[t] <= scoring.WORDS)
     assert covered >= scoring.COVERED * total and len(words_.noise) - words_.classes > 200
     network = scoring.Network(scoring.Network.start(words_.noise).weights, words_.classes)
     before = np.array([[0, 0], [len(words_.noise) - 1, 2]])

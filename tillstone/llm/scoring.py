@@ -33,6 +33,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -110,10 +111,13 @@ class Vocabulary:
         self.classes = first + -(-len(grouped) // self.size)
         number = {token: i for i, token in enumerate(own)}
         number |= {token: self.classes + i for i, (token, _) in enumerate(ranked[WORDS:words])}
-        #: number and log10(count + 1) of the tokens in the head
-        self.known = {t: (number[t] if t in number else self.ending(t), math.log10(n + 1)) for t, n in head}
-        self.counted = END in self.known
-        self.known.setdefault(END, (0, 0.0))
+        #: places of the tokens in the head, and by place their numbers and log10(count + 1)
+        counted = dict(head)
+        self.counted = END in counted
+        every = [*counted, *([] if self.counted else [END])]
+        self.places = {token: i for i, token in enumerate(every)}
+        self.numbers = np.array([number[t] if t in number else self.ending(t) for t in every])
+        self.logs = np.log10(np.array([counted.get(t, 0) for t in every], np.float64) + 1)
         #: log10 of a token's share of its class, without log10(count + 1)
         self.inside = np.zeros(self.classes)
         weight = np.full(self.classes, 0.5)
@@ -135,18 +139,13 @@ class Vocabulary:
         return 1 + WORDS + zlib.crc32(token[-2:]) % ENDINGS
 
     def of(self, sequence: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Number of each token, log10(count + 1) of each (nan if it isn't in the head), and the tokens that aren't."""
-        numbers, logs, rare = [], [], []
-        known, ending = self.known, self.ending
-        for token in sequence:
-            if (found := known.get(token)) is not None:
-                numbers.append(found[0])
-                logs.append(found[1])
-            else:
-                numbers.append(ending(token))
-                logs.append(math.nan)
-                rare.append(token)
-        return np.array(numbers), np.array(logs), rare
+        """Number and log10(count + 1) of each token, NaN for those outside the head, and these in order."""
+        at = np.fromiter(map(self.places.get, sequence, repeat(-1)), np.int64, len(sequence))
+        numbers, logs, outside = self.numbers[at], self.logs[at], np.flatnonzero(at < 0)
+        rare = [sequence[i] for i in outside.tolist()]
+        numbers[outside] = [self.ending(token) for token in rare]
+        logs[outside] = math.nan
+        return numbers, logs, rare
 
 
 def vocabulary(counted: DataFrame) -> Vocabulary:
@@ -172,20 +171,19 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(head + [(bytes(row.token), row.n) for row in first], {k: tuple(v) for k, v in rest.items()}, total, distinct)
 
 
-def _summed(rows: np.ndarray, vectors: np.ndarray, size: int) -> np.ndarray:
-    """The vectors added up by the row that each belongs to."""
-    wide = vectors.shape[1]
-    cells = rows[:, None] * wide + np.arange(wide)
-    return np.bincount(cells.ravel(), vectors.ravel(), size * wide).reshape(size, wide)
-
-
 def _step(weights: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], slopes: list[np.ndarray], count: int) -> None:
-    """One step on the rows that have slopes."""
-    met, which = np.unique(np.concatenate(rows), return_inverse=True)
-    slope = _summed(which, np.concatenate(slopes), len(met)) / count
-    more = squares[met] + slope**2
+    """One step on the rows that have slopes; those of a row are added up."""
+    which = np.concatenate(rows)
+    order = np.argsort(which, kind="stable")
+    which = which[order]
+    begin = np.flatnonzero(np.diff(which, prepend=-1))
+    met = which[begin]
+    slope = np.add.reduceat(np.concatenate(slopes)[order], begin)
+    slope /= count
+    more = squares[met] + slope * slope
     squares[met] = more
-    weights[met] += RATE * slope / np.sqrt(more + 1e-6)
+    more += 1e-6
+    weights[met] += RATE * slope / np.sqrt(more)
 
 
 class Network:
@@ -264,9 +262,13 @@ class Network:
             these = vectors[mine]
             out, false_out = self.out[real], self.out[drawn]
             up = (these * out).sum(1) + self.bias[real] - self._log[real]
-            down = these @ false_out.T + (self.bias[drawn] - self._log[drawn])
+            down = these @ false_out.T
+            down += self.bias[drawn] - self._log[drawn]
             up = 1 / (1 + np.exp(np.clip(up, -30, 30)))
-            down = -1 / (1 + np.exp(-np.clip(down, -30, 30)))
+            np.clip(down, -30, 30, out=down)
+            np.exp(np.negative(down, out=down), out=down)
+            down += 1
+            np.divide(-1, down, out=down)
             rows += [real, drawn]
             slopes += [np.concatenate([up[:, None] * these, up[:, None]], 1)]
             slopes += [np.concatenate([down.T @ these, down.sum(0)[:, None]], 1)]
