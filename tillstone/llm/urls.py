@@ -107,7 +107,7 @@ def _levels(paths: DataFrame) -> DataFrame:
 def _merged(branches: DataFrame, level: int) -> DataFrame:
     """branches: (host, branch, labels, bad). Adds into: the branch with a wildcard at a level, where those that differ
     there alone are alike, else the branch itself."""
-    parts = F.split("branch", "/")
+    parts = F.split("branch", "/", DEPTH + 1)  # what is one segment from DEPTH on stays one
     literal = (F.size(parts) > level) & ~F.startswith(F.get(parts, F.lit(level)), F.lit("*"))
     wild = F.array_join(F.concat(F.slice(parts, 1, level), F.array(F.lit("*")), F.slice(parts, level + 2, 1 << 30)), "/")
     named = branches.withColumn("wild", F.when(literal, wild).otherwise(F.col("branch")))
@@ -128,7 +128,7 @@ def templates(paths: DataFrame, purity: float = PURITY) -> DataFrame:
     Branches are merged level by level from the leaves up; what was merged below meets as one branch above."""
     leaves = paths.groupBy("host", "template").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
     names = settled(leaves.withColumn("branch", F.col("template")), "url-branches")
-    deepest = names.agg(F.max(F.size(F.split("template", "/")))).first()[0] or 1
+    deepest = names.agg(F.max(F.size(F.split("template", "/", DEPTH + 1)))).first()[0] or 1
     for level in range(deepest - 1, 0, -1):
         branches = names.groupBy("host", "branch").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
         into = _merged(branches, level).select("host", "branch", "into")
