@@ -110,3 +110,38 @@ def test_words_in_groups_have_probabilities_of_their_own(spark, monkeypatch):
     texts = [(i, " ".join(cycle[(i + k) % 12] for k in range(400))) for i in range(1500)]
     unseen = [r for r in scoring.scored(frame(spark, texts), scoring.is_held_out()).collect() if r.held_out]
     assert unseen and sum(r.score for r in unseen) > 0.6 * sum(r.base_score for r in unseen)
+
+
+def test_scores_are_the_two_level_softmax_by_hand(spark):
+    """Every token of every text: its class among all, its word among its group's, or its share of the rest of its class."""
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{int(1500 * rng.random() ** 2)}"
+    docs = frame(spark, [(i, " ".join(word() for _ in range(int(rng.integers(0, 90))))) for i in range(150)] + [(900, None)]).coalesce(1)
+    got = {r.doc_id: r.score for r in scoring.scored(docs, scoring.is_held_out()).collect()}
+    learnt = docs.select("doc_id", scoring.is_held_out().alias("held_out"), "text").where("not held_out")
+    counted = scoring.counts(learnt)
+    known, words_ = {bytes(r.token): r.n for r in counted.collect()}, scoring.vocabulary(counted)
+    network = scoring.Network(scoring.train(learnt, words_), words_.classes)
+    assert network.rows > network.classes + 50  # there are groups
+
+    def softmax(vector, low, high, at):
+        scores = (network.out[low:high] @ vector + network.bias[low:high]).astype(float)
+        return scores[at - low] - np.log(np.exp(scores - scores.max()).sum()) - scores.max()
+
+    for row in docs.collect():
+        total, before = 0.0, [0, 0]
+        for token in scoring.tokens(row.text):
+            at = words_.places.get(token)
+            number = int(words_.numbers[at]) if at is not None else words_.ending(token)
+            vector = network.into[before[0]] * network.place[0] + network.into[before[1]] * network.place[1]
+            if number >= network.classes:
+                group = (number - network.classes) // network.size
+                low = network.classes + group * network.size
+                total += softmax(vector, 0, network.classes, network.first + group)
+                total += softmax(vector, low, min(low + network.size, network.rows), number)
+            else:
+                total += softmax(vector, 0, network.classes, number)
+                if words_.endings <= number < network.first:
+                    total += math.log(10) * (math.log10(known.get(token, 0) + 1) + words_.inside[number])
+            before = [number, before[0]]
+        assert got[row.doc_id] == pytest.approx(total / math.log(10), rel=1e-4, abs=1e-3), row.doc_id
