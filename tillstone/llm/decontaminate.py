@@ -4,7 +4,7 @@ Texts are normalised: A-Z lower-cased, words are runs of letters, digits and any
 consecutive words of an item; an item of fewer words, but not none, is one window. Every document word inside an
 occurrence of a window is hit.
 
-The automaton of a shard of items (at most ``SHARD_WORDS`` words and one item; more items make more shards, one pass each)
+The automaton of a shard of items (at most ``SHARD_WORDS`` words and one item; more items make more shards, ``PER_PASS`` a pass)
 is broadcast, and documents stream past it without a shuffle. Stretches whose neighbouring words never follow each other
 in an item can't hold a match and are skipped by a bitmap; the automaton reads the others and tracks the longest match.
 
@@ -34,6 +34,7 @@ WINDOW = 13
 #: Contaminated from this share of hit words on: one word in 20.
 COVERAGE = 20
 SHARD_WORDS = 200_000
+PER_PASS = 4  # shards that a task holds at once; the corpus is written between passes only
 
 #: Letters and digits stay, A-Z become a-z, other ASCII parts words, bytes beyond ASCII stay.
 _NORMAL = np.array([b if chr(b).isalnum() or b > 127 else 32 for b in range(256)], np.uint8)
@@ -170,13 +171,20 @@ def matches(
     plain = T.StructType([T.StructField(str(i), f.dataType) for i, f in enumerate(frame.schema.fields)])
     added = T._parse_datatype_string("w long, s array<struct<start: long, end: long>>, i array<string>")
     schema = T.StructType(plain.fields + [T.StructField(str(len(own) + i), f.dataType) for i, f in enumerate(added.fields)])
-    for number in range(count):
-        mine = named.where(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == number)
-        rows = [(r.name, r.text.encode()) for r in mine.toLocalIterator()]
-        shard = spark.sparkContext.broadcast(cloudpickle.dumps(Shard(rows, n)))
-        before = len(own) if number else None
-        frame = frame.mapInArrow(lambda batches, shard=shard, before=before: _judge(batches, cloudpickle.loads(shard.value), at, before), schema)
-        if number + 1 < count:
+    for first in range(0, count, PER_PASS):
+        shards = []
+        for number in range(first, min(first + PER_PASS, count)):
+            mine = named.where(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == number)
+            rows = [(r.name, r.text.encode()) for r in mine.toLocalIterator()]
+            shards.append(spark.sparkContext.broadcast(cloudpickle.dumps(Shard(rows, n))))
+
+        def judged(batches: Iterator[pa.RecordBatch], shards=shards, before=len(own) if first else None) -> Iterator[pa.RecordBatch]:
+            for shard in shards:  # each goes on with what the one before has found
+                batches, before = _judge(batches, cloudpickle.loads(shard.value), at, before), len(own)
+            return batches
+
+        frame = frame.mapInArrow(judged, schema)
+        if first + PER_PASS < count:
             frame = settled(frame, "contamination")
     return frame.toDF(*own, *RESULT)
 
