@@ -161,9 +161,9 @@ def _verdicts(kind: int, anchor: np.ndarray, key: np.ndarray, place: np.ndarray)
 
 def _contexts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: tuple[list, list, list, list] = [], [], [], []
         keys = batch.column(0).to_pylist()
         for low, high, raw, offsets in slices(batch.column(1)):
+            out: tuple[list, list, list, list] = [], [], [], []
             words = Words.of(raw, offsets)
             whole = windows(words.hashes(), n)
             for row in range(low, high):
@@ -181,9 +181,9 @@ def _contexts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
                     for shard, begin, end in pieces:
                         for column, value in zip(out, (shard, keys[row], begin, b" ".join(part[begin:end])), strict=True):
                             column.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())], ["shard", "key", "start", "words"]
-        )
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())], ["shard", "key", "start", "words"]
+            )
 
 
 def _match(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -242,8 +242,8 @@ CUT = "cut_words long, cut_removed long, cut_sha256 string"
 def _cut(batches: Iterator[pa.RecordBatch], text: int, spans: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column, marks = batch.column(text), batch.column(spans)
-        texts, counts, removed, digests = [], [], [], []
         for low, high, raw, offsets in slices(column):
+            texts, counts, removed, digests = [], [], [], []
             words = Words.of(raw, offsets)
             for row in range(low, high):
                 first, last = words.first[row - low : row - low + 2]
@@ -260,10 +260,10 @@ def _cut(batches: Iterator[pa.RecordBatch], text: int, spans: int) -> Iterator[p
                 else:
                     edges = np.flatnonzero(np.diff(~cut, prepend=False, append=False)).reshape(-1, 2) + first
                     texts.append(" ".join(bytes(raw[words.start[a] : words.end[b - 1]]).decode() for a, b in edges))
-        arrays = [batch.column(i) for i in range(batch.num_columns) if i != spans]
-        arrays[text] = pa.array(texts, column.type)
-        arrays += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
-        yield pa.RecordBatch.from_arrays(arrays, [str(i) for i in range(len(arrays))])
+            arrays = [batch.column(i).slice(low, high - low) for i in range(batch.num_columns) if i != spans]
+            arrays[text] = pa.array(texts, column.type)
+            arrays += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, [str(i) for i in range(len(arrays))])
 
 
 def _pick(words: list[bytes], cut: np.ndarray) -> list[bytes]:
