@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from conftest import MIDDLE, SMALL
 from tillstone.functions.relational import dedup_latest
+from tillstone.plans.job import Job
 from tillstone.plans.overlays import Sources
 
 
@@ -138,6 +139,15 @@ def test_documents_are_parsed_once_when_they_land(spark):
         assert "from_json" not in plan and "get_json_object" not in plan and "payload" not in plan, name
 
 
+def test_documents_are_not_stored_again_with_their_columns(spark):
+    """Titles and cards are shuffled and kept without the documents, which lie where they landed."""
+    sources = Sources(spark, SMALL)
+    for columns in (Job(sources).titles, Job(sources).cards):
+        assert "payload" not in columns.columns and "lines" in columns.columns
+    for documents in (sources.title_document, sources.card_document):
+        assert documents.inputFiles() and all(".zstd." in f for f in documents.inputFiles())
+
+
 def test_months_of_titles_and_cards_are_pruned(spark):
     sources = Sources(spark, SMALL)
     sources.title_document, sources.card_document  # noqa: B018 - landed before
