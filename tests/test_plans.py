@@ -148,6 +148,15 @@ def test_documents_are_not_stored_again_with_their_columns(spark):
         assert documents.inputFiles() and all(".zstd." in f for f in documents.inputFiles())
 
 
+def test_stock_by_month_is_not_grouped(spark, large):
+    """Months are expanded last: an item's months are neither grouped, sorted nor shuffled."""
+    plan = physical(contract.queries()["opening_stock"](spark, SMALL))
+    assert "Generate explode" in plan and "Aggregate(keys=[month" not in plan
+    keys = physical(contract.queries()["active_keys"](spark, SMALL))
+    top = keys[: keys.index("Generate explode")]
+    assert "Exchange" not in top and "Aggregate" not in top
+
+
 def test_months_of_titles_and_cards_are_pruned(spark):
     sources = Sources(spark, SMALL)
     sources.title_document, sources.card_document  # noqa: B018 - landed before

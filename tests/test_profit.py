@@ -158,3 +158,26 @@ def test_rate_defaults_without_tax_or_sales(spark):
     )
     found = {r.month.month: r.rate for r in pf.simples_rate(calendar, lines, sales, "c", "simples", 2).collect()}
     assert found == {1: 0.05, 2: 0.04, 3: 0.04, 4: 0.04}
+
+
+def test_spans_of_stock_add_months_and_departments_without_sales(spark, rows):
+    key = "month date, branch_id int, product_code bigint"
+    day = lambda m: date(2001, m, 1)
+    fact = spark.createDataFrame([(day(2), 1, 10), (day(2), 1, 10), (day(9), 1, 11), (day(3), None, None)], key)
+    stocked = spark.createDataFrame(
+        [(1, 10, day(1), day(3)), (1, 10, day(3), day(4)), (1, 12, day(2), day(2)), (None, None, day(3), day(4))],
+        "branch_id int, product_code bigint, first date, last date",
+    )
+    keys = rows(pf.active_keys([fact, fact], stocked))
+    expected = [(day(m), 1, 10) for m in (1, 2, 3, 4)] + [(day(9), 1, 11), (day(2), 1, 12), (day(3), None, None), (day(4), None, None)]
+    assert sorted(keys, key=str) == sorted(expected, key=str)
+
+    sales = spark.createDataFrame([(day(2), 1, 10, 5, 6)], key + ", internal_net int, sold_net int")
+    sales = sales.withColumns({c: F.col(c).cast("decimal(18,4)") for c in ("internal_net", "sold_net")})
+    products = spark.createDataFrame([(10, "A"), (11, "B"), (12, "B")], "product_code bigint, department string")
+    by_month = ex.department_sales_of(sales, [fact, pf.active_keys([fact], stocked)], products, day(2), day(8))
+    by_span = ex.department_sales_of(sales, [fact], products, day(2), day(8), stocked)
+    assert rows(by_span) == rows(by_month)
+    assert {(r.month.month, r.branch_id, r.department): int(r.department_sales) for r in by_span.collect()} == {
+        (2, 1, "A"): 11, (3, 1, "A"): 0, (4, 1, "A"): 0, (2, 1, "B"): 0, (3, None, None): 0, (4, None, None): 0,
+    }

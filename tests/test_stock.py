@@ -127,3 +127,45 @@ def test_zero_cost_becomes_the_last_positive(spark, daily):
     probes = spark.createDataFrame([(1, 1, date(2001, 2, 5)), (9, 9, date(2001, 2, 5))], "branch_id int, product_code bigint, d date")
     found = {r.branch_id: r.asof_cost for r in sk.asof_cost(probes, "d", v).collect()}
     assert int(found[1]) == 8 and found[9] is None
+
+
+@pytest.fixture
+def odd_stock(spark, daily):
+    """Positions and inventories of a few items, with missing branches, products and days, and inventories after ``AS_OF``."""
+    from decimal import Decimal
+
+    pick = random.Random(3)
+    days = lambda n: date(2000, 12, 1) + timedelta(days=n)
+    items = [(b, p) for b in (1, 2, None) for p in (1, 2, 3, None)]
+    seen = {(b, p, days(pick.randrange(200))) for b, p in items for _ in range(pick.randrange(7))} | {(1, 1, None), (2, 3, None)}
+    v = sk.stock_validity(daily(*[(b, p, d, pick.choice([0, 5, 8]), pick.choice([None, 0, 3, 4])) for b, p, d in sorted(seen, key=str)]))
+    counts = [
+        (b, n, days(pick.randrange(7) + 31 * m), pick.random() < 0.9, pick.random() < 0.5, p, pick.choice([None, Decimal(0), Decimal(7)]), pick.random() < 0.7)
+        for n, (b, p, m) in enumerate((b, p, m) for b, p in items for m in range(9))
+    ]
+    return spark.createDataFrame(counts, INVENTORY), v
+
+
+def test_opening_by_spans_equals_both_sides_grouped_by_month(odd_stock, rows):
+    """The sides of every item and month stacked and grouped, as the item base does, against the spans."""
+    inventory, v = odd_stock
+    stacked = sk.opening_sides(inventory, v, START, AS_OF)
+    grouped = stacked.groupBy(*sk.ITEM_MONTH).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in sk.ITEM_MONTH])
+    expected = grouped.select(
+        *sk.ITEM_MONTH, *[c.alias(n) for n, c in sk.opening_columns().items()], "inventory_id", "position_quantity", "position_date"
+    )
+    found = sk.opening_stock(inventory, v, START, AS_OF)
+    assert found.columns == expected.columns and rows(found) == rows(expected)
+    assert found.where("origin = 'inventory' and position_quantity is not null").count() > 3
+    assert found.where((F.col("month") > AS_OF) & (F.col("origin") == "inventory")).count() > 0
+
+
+def test_stocked_spans_cover_the_months_with_stock(odd_stock, rows):
+    inventory, v = odd_stock
+    stocks = [sk.opening_stock(inventory, v, START, AS_OF), sk.closing_stock(v, START, AS_OF)]
+    expected = stocks[0].where("quantity <> 0").select(*sk.ITEM_MONTH).union(stocks[1].where("quantity <> 0").select(*sk.ITEM_MONTH)).distinct()
+    spans = sk.stocked_spans(inventory, v, START, AS_OF)
+    months = F.explode(F.expr("sequence(first, last, interval 1 month)")).alias("month")
+    found = spans.select("branch_id", "product_code", months).select(*sk.ITEM_MONTH).distinct()
+    assert rows(found) == rows(expected)
+    assert spans.count() < found.count()
