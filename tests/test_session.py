@@ -52,3 +52,11 @@ def test_the_clusters_own_setting_wins():
     both = {"spark.checkpoint.dir": "hdfs://a", session.FOLDER_SETTING: "s3a://c"}
     assert session.shared_folder(stub("yarn", **both)) == "hdfs://a"
     assert session.shared_folder(stub("local[2]")).endswith("/tillstone")
+
+
+def test_tables_by_a_column_are_written_without_a_shuffle(spark, rows):
+    """Each task writes a file per value, from the rows it has; a row without a value is kept too."""
+    made = spark.range(0, 400, 1, 4).selectExpr("id", "if(id % 8 = 0, null, date'2001-01-01' + cast(id % 3 as int)) as day")
+    kept = session.settled(made, "by-day", by="day")
+    assert len(kept.inputFiles()) == 4 * 4
+    assert kept.columns == made.columns and rows(kept) == rows(made)
