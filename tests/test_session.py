@@ -60,3 +60,14 @@ def test_tables_by_a_column_are_written_without_a_shuffle(spark, rows):
     kept = session.settled(made, "by-day", by="day")
     assert len(kept.inputFiles()) == 4 * 4
     assert kept.columns == made.columns and rows(kept) == rows(made)
+
+
+def test_tables_by_a_column_are_written_from_small_splits(spark, monkeypatch):
+    """What a task sorts is bounded, whatever the session reads at once; the session's own setting comes back."""
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(session, "SPLIT", 1 << 20)
+    made = spark.range(0, 2_000_000, 1, 1).selectExpr("id", "xxhash64(id) as noise", "date'2001-01-01' as day")
+    landed = session.settled(made, "landed", splits=True)
+    kept = session.settled(landed, "by-day", by="day")
+    assert len(landed.inputFiles()) == 1 and len(kept.inputFiles()) >= 4
+    assert kept.count() == 2_000_000 and spark.conf.get(name) == before
