@@ -8,7 +8,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tillstone.plans import session
+from tillstone.plans import job, overlays, session
 
 JOB = """
 import sys
@@ -71,3 +71,33 @@ def test_tables_by_a_column_are_written_from_small_splits(spark, monkeypatch):
     kept = session.settled(landed, "by-day", by="day")
     assert len(landed.inputFiles()) == 1 and len(kept.inputFiles()) >= 4
     assert kept.count() == 2_000_000 and spark.conf.get(name) == before
+
+
+def test_wide_steps_read_small_shuffle_partitions(spark, monkeypatch):
+    """What a task sorts after a shuffle is bounded, whatever the session reads at once; its own setting comes back."""
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    before = [spark.conf.get(name) for name in names]
+    monkeypatch.setattr(session, "SHUFFLED", 1 << 20)
+    made = spark.range(0, 1_000_000, 1, 1).selectExpr("id", "xxhash64(id) as noise")
+    dealt = lambda: made.repartition("id").sortWithinPartitions("id")
+    try:
+        spark.conf.set(names[0], "128m")
+        spark.conf.set(names[1], "false")
+        assert len(session.settled(dealt(), "narrow").inputFiles()) == 1
+        kept = session.settled(dealt(), "wide", wide=True)
+        assert spark.conf.get(names[0]) == "128m"
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    assert len(kept.inputFiles()) >= 4 and kept.agg({"id": "sum"}).first()[0] == 999_999 * 500_000
+
+
+def test_documents_and_invoices_are_wide_steps(spark, monkeypatch):
+    asked = {}
+    plain = session.settled
+    for module in (overlays, job):
+        monkeypatch.setattr(module, "settled", lambda df, name, *a, **k: asked.update({name: k.get("wide", False)}) or plain(df, name, *a, **k))
+    sources = overlays.Sources(spark, "/root/testdata/sf0.001")
+    sources._prefix += "_wide"
+    job.Job(sources).published_invoices  # noqa: B018 - landed and settled
+    assert asked["title_document"] and asked["invoices"]
