@@ -145,3 +145,19 @@ def test_scores_are_the_two_level_softmax_by_hand(spark):
                     total += math.log(10) * (math.log10(known.get(token, 0) + 1) + words_.inside[number])
             before = [number, before[0]]
         assert got[row.doc_id] == pytest.approx(total / math.log(10), rel=1e-4, abs=1e-3), row.doc_id
+
+
+def test_scores_are_worked_on_in_small_blocks(monkeypatch):
+    """Whatever the block, and however large the scores: the same as all at once."""
+    rng = np.random.default_rng(4)
+    network = scoring.Network.start(np.full(300, 1 / 300))
+    network.weights += rng.normal(0, 0.5, len(network.weights)).astype(np.float32)
+    before, which, chosen = rng.integers(0, 300, (70, 2)), rng.integers(0, 70, 500), rng.integers(0, 300, 500)
+    for scale in (1, 40):
+        network.out[:] *= scale
+        for low, high in ((0, 300), (100, 120)):
+            mine = np.clip(chosen, low, high - 1)
+            want = network.log_probabilities(before, low, high)[which, mine - low]
+            for hot in (1, 1000, 1 << 20):
+                monkeypatch.setattr(scoring, "HOT", hot)
+                assert network.of_contexts(before, which, mine, low, high) == pytest.approx(want, rel=1e-4, abs=1e-3)

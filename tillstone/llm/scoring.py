@@ -58,6 +58,8 @@ END = b""  # no word is empty
 #: Distinct tokens a task holds before it hands on its counts; tokens scored at once.
 HELD = 400_000
 SLICE = 1 << 18
+#: Scores worked on at once, few enough to stay in a core's cache.
+HOT = 1 << 17
 _FIXED = 1 << 24  # weights are summed as whole numbers, so that the order of sums doesn't matter
 
 
@@ -229,16 +231,19 @@ class Network:
         facing, bias = np.ascontiguousarray(self.out[low:high].T), self.bias[low:high]
         length = lambda rows: np.sqrt((rows**2).sum(1).max())
         small = length(vectors) * length(facing.T) + np.abs(bias).max() < 60  # no score overflows
+        vectors, facing = np.column_stack([vectors, np.ones(len(vectors), np.float32)]), np.vstack([facing, bias])
+        step = max(HOT // (high - low), 1)
+        held = np.empty((min(step, len(before)), high - low), np.float32)
         order = np.argsort(which, kind="stable")
-        edges = np.searchsorted(which[order], np.arange(0, len(before) + 2048, 2048))
-        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        edges = np.searchsorted(which[order], np.arange(0, len(before) + step, step))
+        for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if a == b:
                 continue
-            scores = vectors[i * 2048 : (i + 1) * 2048] @ facing
-            scores += bias
+            some = vectors[i * step : (i + 1) * step]
+            scores = np.matmul(some, facing, out=held[: len(some)])
             if not small:
                 scores -= scores.max(1, keepdims=True)
-            these, mine = order[a:b], which[order[a:b]] - i * 2048
+            these, mine = order[a:b], which[order[a:b]] - i * step
             own = scores[mine, chosen[these] - low]
             np.exp(scores, out=scores)
             out[these] = own - np.log(scores.sum(1))[mine]
