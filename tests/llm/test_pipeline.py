@@ -101,6 +101,13 @@ def test_filtering_stages_keep_columns_and_take_odd_tables(spark, tmp_path):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).columns[: len(docs.columns)] == docs.columns
 
 
+def test_a_task_runs_one_python_worker(spark):
+    """Workers of one task hold their memory at once, and stay with the executor when the next stage begins."""
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    plan = corpus_pipeline.decontamination(spark, docs, MIDDLE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_brute_force_agrees_with_itself():
     docs = {1: "a b c", 2: "x " + "a b c", 3: None}
     assert cut(docs, 3) == {1: ["a", "b", "c"], 2: ["x"], 3: []}
