@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import MIDDLE, frame, lower, table, token_counts, words
 
@@ -161,3 +162,37 @@ def test_scores_are_worked_on_in_small_blocks(monkeypatch):
             for hot in (1, 1000, 1 << 20):
                 monkeypatch.setattr(scoring, "HOT", hot)
                 assert network.of_contexts(before, which, mine, low, high) == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+def test_contexts_are_normalised_by_what_each_token_gives(monkeypatch):
+    """Exponentials are taken per token, not per context: kept, worked out by block, and in full where digits would be lost."""
+    rng = np.random.default_rng(6)
+    network = scoring.Network.start(np.full(300, 1 / 300))
+    network.weights += rng.normal(0, 0.5, len(network.weights)).astype(np.float32)
+    before = np.unique(rng.integers(0, 300, (900, 2)), axis=0)
+    which, chosen = rng.integers(0, len(before), 2000), rng.integers(0, 300, 2000)
+    taken, exp = [], np.exp
+    for scale, lost in ((1, False), (40, True)):
+        network.out[:] *= scale
+        want = network.log_probabilities(before)[which, chosen]
+        for kept in (1, 300 * 40, 300 * 300):
+            for hot in (1, 5000):
+                monkeypatch.setattr(scoring, "KEPT", kept)
+                monkeypatch.setattr(scoring, "HOT", hot)
+                network._hot = None
+                assert network.of_classes(before, which, chosen) == pytest.approx(want, rel=1e-4, abs=1e-3)
+                assert network.log_sums(before)[1].any() == (lost or kept < 300 * 299)
+    network.out[:] /= 40
+    network._hot = None
+    monkeypatch.setattr(scoring.np, "exp", lambda x, **more: (taken.append(x.size), exp(x, **more))[1])
+    network.of_classes(before, which, chosen)
+    assert 0 < sum(taken) <= 2 * 300 * 300 < len(before) * 300
+
+
+def test_words_are_cut_as_tokens_are():
+    texts = [None, "", "  a  B ", "\ta\x0b\x0c b\r\n", "x\x1cy\x85 z\u3000w\x00", " ", "É A", "a"]
+    for column in (pa.array(texts), pa.array(["left out", *texts]).slice(1), pa.array(texts, pa.large_string())):
+        found, count = scoring._words(column)
+        flat = iter(found.to_pylist())
+        assert [[*(next(flat) for _ in range(n)), scoring.END] for n in count.tolist()] == [scoring.tokens(t) for t in texts]
+    assert scoring._words(pa.array([], pa.string()))[1].tolist() == []

@@ -18,8 +18,8 @@ Network
     class or word over the tasks that met it.
 
 Scoring
-    Documents stream by. Each different context of a slice takes part in one matrix product over all classes, and for the
-    words of a group in one over the group; their log-sums normalise both levels exactly. Counts of the ``HEAD`` most frequent tokens are broadcast (or of the words, if they are more); rarer tokens
+    Documents stream by. Each different context of a slice is normalised over all classes, as sums of products of what its two
+    tokens give each class, and for the words of a group over the group by a matrix product; both are exact. Counts of the ``HEAD`` most frequent tokens are broadcast (or of the words, if they are more); rarer tokens
     are joined to the counts by a shuffle, since only their count is missing.
 
 Defined results
@@ -33,10 +33,10 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,11 +55,16 @@ RATE = 0.15
 CONTEXT = 2
 END = b""  # no word is empty
 
-#: Distinct tokens a task holds before it hands on its counts; tokens scored at once.
+#: Distinct tokens a task holds before it hands on its counts; tokens trained on and scored at once.
 HELD = 400_000
+CUT_AT_ONCE = 1024  # texts cut into words at once
 SLICE = 1 << 18
+SCORED_AT_ONCE = 1 << 19  # more than in training: a context's work is done once
 #: Scores worked on at once, few enough to stay in a core's cache.
 HOT = 1 << 17
+#: Shares kept of the most frequent tokens, for each place before; the least sum of products of shares that is trusted.
+KEPT = 1 << 22
+LEAST = 1e-20
 _FIXED = 1 << 24  # weights are summed as whole numbers, so that the order of sums doesn't matter
 
 
@@ -67,6 +72,16 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of some texts without the ends, and how many each text has."""
+    parted = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    every = parted.flatten().cast(pa.binary())
+    real = pc.binary_length(every).to_numpy(zero_copy_only=False) > 0  # white space at a text's rim leaves empty parts
+    edges = parted.offsets.to_numpy()
+    before = np.append(0, np.cumsum(real))
+    return every.filter(pa.array(real)), np.diff(before[edges - edges[0]])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter[bytes] = Counter()
 
@@ -118,6 +133,7 @@ class Vocabulary:
         self.counted = END in counted
         every = [*counted, *([] if self.counted else [END])]
         self.places = {token: i for i, token in enumerate(every)}
+        self.head, self.end = pa.array(every, pa.binary()), self.places[END]
         self.numbers = np.array([number[t] if t in number else self.ending(t) for t in every])
         self.logs = np.log10(np.array([counted.get(t, 0) for t in every], np.float64) + 1)
         #: log10 of a token's share of its class, without log10(count + 1)
@@ -140,13 +156,25 @@ class Vocabulary:
     def ending(token: bytes) -> int:
         return 1 + WORDS + zlib.crc32(token[-2:]) % ENDINGS
 
-    def of(self, sequence: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Number and log10(count + 1) of each token, NaN for those outside the head, and these in order."""
-        at = np.fromiter(map(self.places.get, sequence, repeat(-1)), np.int64, len(sequence))
-        numbers, logs, outside = self.numbers[at], self.logs[at], np.flatnonzero(at < 0)
-        rare = [sequence[i] for i in outside.tolist()]
-        numbers[outside] = [self.ending(token) for token in rare]
-        logs[outside] = math.nan
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "places"}  # tasks look up in the head
+
+    def looked_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """How many words each text has, their places in the head, or -1, and those outside in order."""
+        words, count = _words(texts)
+        at = pc.fill_null(pc.index_in(words, value_set=self.head), -1).to_numpy()
+        return count, at, words.filter(pa.array(at < 0))
+
+    def of(self, at: np.ndarray, outside: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Number and log10(count + 1) of each token, NaN for those outside the head, and these in order. at, outside: as
+        looked up, without the ends; first: where texts begin, each with its end."""
+        inner = np.ones(first[-1], bool)
+        inner[first[1:] - 1] = False
+        places = np.full(first[-1], self.end)
+        places[inner] = at
+        numbers, logs, rare, missing = self.numbers.take(places), self.logs.take(places), outside.to_pylist(), places < 0
+        numbers[missing] = [self.ending(token) for token in rare]
+        logs[missing] = math.nan
         return numbers, logs, rare
 
 
@@ -176,16 +204,22 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
 def _step(weights: np.ndarray, squares: np.ndarray, rows: list[np.ndarray], slopes: list[np.ndarray], count: int) -> None:
     """One step on the rows that have slopes; those of a row are added up."""
     which = np.concatenate(rows)
-    order = np.argsort(which, kind="stable")
-    which = which[order]
-    begin = np.flatnonzero(np.diff(which, prepend=-1))
+    bits = len(which).bit_length()
+    keys = np.sort((which << bits) + np.arange(len(which)))  # as a stable sort of which would have it
+    order, which = keys & ((1 << bits) - 1), keys >> bits
+    begin = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
     met = which[begin]
-    slope = np.add.reduceat(np.concatenate(slopes)[order], begin)
+    slope = np.add.reduceat(np.concatenate(slopes).take(order, 0), begin)
     slope /= count
-    more = squares[met] + slope * slope
+    more = squares.take(met, 0)
+    more += slope * slope
     squares[met] = more
     more += 1e-6
-    weights[met] += RATE * slope / np.sqrt(more)
+    np.sqrt(more, out=more)
+    slope *= RATE
+    slope /= more
+    slope += weights.take(met, 0)
+    weights[met] = slope
 
 
 class Network:
@@ -194,20 +228,21 @@ class Network:
     def __init__(self, weights: np.ndarray, classes: int) -> None:
         rows = (len(weights) - CONTEXT * DIMENSIONS) // (2 * DIMENSIONS + 1)
         self.weights, self.classes, self.rows = weights, classes, rows
-        #: per row: vector as context, vector as output, bias
-        self.table = weights[: rows * (2 * DIMENSIONS + 1)].reshape(rows, -1)
-        self.into, self.output = self.table[:, :DIMENSIONS], self.table[:, DIMENSIONS:]
+        #: per row: vector as context; vector as output with the bias. Each lies in one piece, so that rows are taken fast.
+        self.into = weights[: rows * DIMENSIONS].reshape(rows, -1)
+        self.output = weights[rows * DIMENSIONS : rows * (2 * DIMENSIONS + 1)].reshape(rows, -1)
         self.out, self.bias = self.output[:, :DIMENSIONS], self.output[:, DIMENSIONS]
         self.place = weights[rows * (2 * DIMENSIONS + 1) :].reshape(CONTEXT, DIMENSIONS)
         self.size = math.isqrt(max(rows - classes - 1, 0)) + 1
         self.first = classes - -(-(rows - classes) // self.size)  # the first group's class
-        self._noise = None
+        self._noise = self._hot = None
 
     @classmethod
     def start(cls, noise: np.ndarray) -> Network:
         rng, n = np.random.default_rng(5), len(noise)
-        table = np.concatenate([rng.normal(0, 0.1, (n, 2 * DIMENSIONS)), np.log(noise)[:, None]], 1)
-        parts = [table.ravel(), np.full(CONTEXT * DIMENSIONS, 1 / CONTEXT)]
+        vectors = rng.normal(0, 0.1, (n, 2 * DIMENSIONS))
+        output = np.concatenate([vectors[:, DIMENSIONS:], np.log(noise)[:, None]], 1)
+        parts = [vectors[:, :DIMENSIONS].ravel(), output.ravel(), np.full(CONTEXT * DIMENSIONS, 1 / CONTEXT)]
         return cls(np.concatenate(parts).astype(np.float32), n)
 
     def class_of(self, numbers: np.ndarray) -> np.ndarray:
@@ -215,7 +250,7 @@ class Network:
 
     def context(self, before: np.ndarray) -> np.ndarray:
         """One vector per row of before, the numbers of the tokens before (the nearest first)."""
-        return sum(self.into[before[:, i]] * self.place[i] for i in range(CONTEXT))
+        return sum(self.into.take(before[:, i], 0) * self.place[i] for i in range(CONTEXT))
 
     def log_probabilities(self, before: np.ndarray, low: int = 0, high: int | None = None) -> np.ndarray:
         """Natural logarithms of the probabilities of all classes (or of rows low to high - 1 among themselves),
@@ -249,6 +284,60 @@ class Network:
             out[these] = own - np.log(scores.sum(1))[mine]
         return out
 
+    def _shares(self, place: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What these rows as contexts at a place give to all classes, as factors of at most 1, and the logarithm over it.
+        The biases go with the last place."""
+        scores = (self.into.take(rows, 0) * self.place[place]) @ self.out[: self.classes].T
+        if place == CONTEXT - 1:
+            scores += self.bias[: self.classes]
+        most = scores.max(1)
+        scores -= most[:, None]
+        return np.exp(scores, out=scores), most
+
+    def log_sums(self, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logarithm of the sum over all classes, per row of before (two tokens, sorted), and whether it is left out. A
+        class's share is the product of those that both tokens give it, so exponentials are taken per token and not
+        per context. Shares of the first rows, the most frequent, are kept (the weights stay as they are from then on);
+        those of a rarer one are worked out once a block. Left out are contexts of two rarer tokens, for which nothing is
+        saved, and those whose tokens favour so different classes that digits are lost."""
+        if self._hot is None:
+            first = np.arange(min(KEPT // self.classes + 1, self.rows))
+            self._hot = len(first), [self._shares(i, first) for i in range(CONTEXT)]
+        hot, kept = self._hot
+        out, step = np.zeros(len(before), np.float32), max(HOT // self.classes, 1)
+        cold = before >= hot
+        left = cold.all(1)
+        for rarer in (None, *range(CONTEXT)):
+            mine = np.flatnonzero((cold == (np.arange(CONTEXT) == rarer)).all(1))
+            if rarer:
+                mine = mine[np.argsort(before[mine, rarer], kind="stable")]
+            for low in range(0, len(mine), step):
+                some = mine[low : low + step]
+                total, sides = np.zeros(len(some), np.float32), []
+                for i in range(CONTEXT):
+                    rows, (shares, most) = before[some, i], kept[i]
+                    if rarer == i:
+                        new = np.append(True, rows[1:] != rows[:-1])
+                        (shares, most), rows = self._shares(i, rows[new]), np.cumsum(new) - 1
+                    sides.append(shares.take(rows, 0))
+                    total += most[rows]
+                sums = np.einsum("ij,ij->i", *sides)
+                left[some] = lost = ~(sums > LEAST)
+                sums[lost] = 1
+                out[some] = total + np.log(sums)
+        return out, left
+
+    def of_classes(self, before: np.ndarray, which: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """The logarithm for each token's class: which says its row in before (sorted), chosen its class."""
+        sums, left = self.log_sums(before)
+        own = np.einsum("ij,ij->i", self.context(before).take(which, 0), self.out.take(chosen, 0)) + self.bias[chosen]
+        out = (own - sums[which]).astype(float)
+        mine = np.flatnonzero(left[which])
+        if len(mine):
+            place = np.cumsum(left) - 1
+            out[mine] = self.of_contexts(before[left], place[which[mine]], chosen[mine], 0, self.classes)
+        return out
+
     def learn(self, before: np.ndarray, numbers: np.ndarray, noise: np.ndarray, squares: np.ndarray, rng) -> None:
         """One step on a batch: real next classes against NOISE classes drawn for the batch, each as if drawn for all; and
         so the real next words in groups against words."""
@@ -256,34 +345,44 @@ class Network:
             self._noise, c = noise, self.classes
             self._drawn = [np.cumsum(noise[:c]), np.cumsum(noise[c:])]
             self._log = np.log(noise * NOISE).astype(np.float32)
-        vectors, back = self.context(before), np.zeros((len(before), DIMENSIONS), np.float32)
+        contexts = [before[:, i] for i in range(CONTEXT)]
+        into = [self.into.take(rows, 0) for rows in contexts]
+        vectors = np.ones((len(before), DIMENSIONS + 1), np.float32)  # the last column meets the bias
+        np.multiply(into[0], self.place[0], out=vectors[:, :-1])
+        for i in range(1, CONTEXT):
+            vectors[:, :-1] += into[i] * self.place[i]
+        back = np.zeros((len(before), DIMENSIONS), np.float32)
         rows, slopes = [], []
         grouped = np.flatnonzero(numbers >= self.classes)
-        for level, (mine, real) in enumerate(((slice(None), self.class_of(numbers)), (grouped, numbers[grouped]))):
+        for level, (mine, real) in enumerate(((None, self.class_of(numbers)), (grouped, numbers[grouped]))):
             if not len(real):
                 continue
             sums = self._drawn[level]
             drawn = np.minimum(sums.searchsorted(rng.random(NOISE) * sums[-1], "right"), len(sums) - 1) + level * self.classes
-            these = vectors[mine]
-            out, false_out = self.out[real], self.out[drawn]
-            up = (these * out).sum(1) + self.bias[real] - self._log[real]
+            these = vectors if mine is None else vectors.take(mine, 0)
+            out, false_out = self.output.take(real, 0), self.output.take(drawn, 0)
+            up = np.einsum("ij,ij->i", these, out) - self._log[real]
+            false_out[:, -1] -= self._log[drawn]
             down = these @ false_out.T
-            down += self.bias[drawn] - self._log[drawn]
             up = 1 / (1 + np.exp(np.clip(up, -30, 30)))
-            np.clip(down, -30, 30, out=down)
-            np.exp(np.negative(down, out=down), out=down)
+            # -1 / (1 + exp(-x)) as -(1 + tanh(x / 2)) / 2
+            down *= 0.5
+            np.tanh(down, out=down)
             down += 1
-            np.divide(-1, down, out=down)
+            down *= -0.5
+            up = up[:, None]
             rows += [real, drawn]
-            slopes += [np.concatenate([up[:, None] * these, up[:, None]], 1)]
-            slopes += [np.concatenate([down.T @ these, down.sum(0)[:, None]], 1)]
-            back[mine] += up[:, None] * out + down @ false_out
+            slopes += [up * these, down.T @ these]
+            more = down @ false_out[:, :-1]
+            more += up * out[:, :-1]
+            if mine is None:
+                back += more
+            else:
+                back[mine] += more
         held = Network(squares, self.classes)
-        contexts = [before[:, i] for i in range(CONTEXT)]
-        slope = np.stack([(back * self.into[rows_]).sum(0) for rows_ in contexts]) / len(numbers)
-        into = [back * self.place[i] for i in range(CONTEXT)]
+        slope = np.stack([np.einsum("ij,ij->j", back, rows_) for rows_ in into]) / len(numbers)
         _step(self.output, held.output, rows, slopes, len(numbers))
-        _step(self.into, held.into, contexts, into, len(numbers))
+        _step(self.into, held.into, contexts, [back * self.place[i] for i in range(CONTEXT)], len(numbers))
         held.place[:] += slope**2
         self.place[:] += RATE * slope / np.sqrt(held.place + 1e-6)
 
@@ -298,35 +397,40 @@ def _contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, list[list[bytes]]]]:
-    """(batch, first row, tokens of some texts): about SLICE tokens at a time, or one longer text."""
+def _texts(
+    batches: Iterator[pa.RecordBatch], column: int, vocabulary: Vocabulary, most: int
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+    """(some rows of a batch, where their texts begin, and ``Vocabulary.of`` their tokens): about so many tokens at a time,
+    or one longer text."""
     for batch in batches:
-        held, size, first = [], 0, 0
-        for row, text in enumerate(batch.column(column).to_pylist()):
-            held.append(tokens(text))
-            size += len(held[-1])
-            if size >= SLICE:
-                yield batch, first, held
-                held, size, first = [], 0, row + 1
-        if held:
-            yield batch, first, held
+        if not len(batch):
+            continue
+        found = [vocabulary.looked_up(batch.column(column).slice(i, CUT_AT_ONCE)) for i in range(0, len(batch), CUT_AT_ONCE)]
+        count, at, outside = (list(x) for x in zip(*found, strict=True))
+        count, at, outside, low, met = np.concatenate(count), np.concatenate(at), pa.concat_arrays(outside), 0, 0
+        begin, ended = np.append(0, np.cumsum(count)), np.append(0, np.cumsum(count + 1))
+        while low < len(batch):
+            high = min(int(np.searchsorted(ended, ended[low] + most)), len(batch))
+            some, first = at[begin[low] : begin[high]], ended[low : high + 1] - ended[low]
+            n = np.count_nonzero(some < 0)
+            yield batch.slice(low, high - low), first, *vocabulary.of(some, outside.slice(met, n), first)
+            low, met = high, met + n
 
 
 def _train(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     network, seen = Network(weights.copy(), vocabulary.classes), 0
     squares, rng = np.zeros_like(weights), np.random.default_rng(11)
-    for _, _, texts in _texts(batches, 0):
-        numbers, _, _ = vocabulary.of([token for text in texts for token in text])
-        before = _contexts(numbers, np.cumsum([0, *map(len, texts)]))
+    for _, first, numbers, _, _ in _texts(batches, 0, vocabulary, SLICE):
         order = rng.permutation(len(numbers))
+        before, numbers = _contexts(numbers, first).take(order, 0), numbers.take(order)
         for low in range(0, len(order), BATCH):
-            some = order[low : low + BATCH]
-            network.learn(before[some], numbers[some], vocabulary.noise, squares, rng)
+            network.learn(before[low : low + BATCH], numbers[low : low + BATCH], vocabulary.noise, squares, rng)
         seen += len(numbers)
     if seen:
-        met = np.flatnonzero((Network(squares, vocabulary.classes).table != 0).any(1))
+        moves = Network(squares, vocabulary.classes)
+        met = np.flatnonzero((moves.into != 0).any(1) | (moves.output != 0).any(1))
         place = np.append(network.place.ravel(), 0)
-        moved = np.concatenate([network.table[met], place[None]]).astype(np.float64) * _FIXED
+        moved = np.concatenate([np.concatenate([network.into[met], network.output[met]], 1), place[None]]).astype(np.float64) * _FIXED
         times = -(-seen >> 10)  # in thousands, so that the sums of very large corpora fit
         moved = np.rint(moved).astype(np.int64) * times
         columns = [np.append(met, network.rows), np.full(len(met) + 1, times), *moved.T]
@@ -352,7 +456,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, text_column: str = "text", r
             rows, mean = summed["i"].to_numpy(), np.stack([summed[c].to_numpy() for c in MOVED], 1) / _FIXED
             network = Network(weights.copy(), vocabulary.classes)
             last = rows == network.rows
-            network.table[rows[~last]] = mean[~last]
+            network.into[rows[~last]], network.output[rows[~last]] = mean[~last, :DIMENSIONS], mean[~last, DIMENSIONS:]
             network.place[:] = mean[last][0, :-1].reshape(CONTEXT, DIMENSIONS)
             weights = network.weights
         sent.unpersist()
@@ -363,16 +467,13 @@ def _score(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: n
     network, number = Network(weights, vocabulary.classes), 0
     task = TaskContext.get()
     start = (task.partitionId() if task else 0) << 40
-    for batch, low, texts in _texts(batches, 2):
-        flat = [token for text in texts for token in text]
-        first = np.cumsum([0, *map(len, texts)])
-        numbers, logs, rare = vocabulary.of(flat)
+    for batch, first, numbers, logs, rare in _texts(batches, 2, vocabulary, SCORED_AT_ONCE):
         before, classes = _contexts(numbers, first), network.class_of(numbers)
         contexts, which = np.unique(before[:, 0] * network.rows + before[:, 1], return_inverse=True)
         pairs = np.stack([contexts // network.rows, contexts % network.rows], 1)
-        chosen = network.of_contexts(pairs, which, classes, 0, network.classes)
+        chosen = network.of_classes(pairs, which, classes)
         grouped = np.flatnonzero(numbers >= network.classes)
-        grouped = grouped[np.argsort(classes[grouped], kind="stable")]
+        grouped = grouped[np.argsort(classes[grouped].astype(np.min_scalar_type(network.classes)), kind="stable")]
         for mine in np.split(grouped, np.flatnonzero(np.diff(classes[grouped])) + 1) if len(grouped) else ():
             group = network.classes + (int(classes[mine[0]]) - network.first) * network.size
             end = min(group + network.size, network.rows)
@@ -389,16 +490,16 @@ def _score(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights: n
             at += n
         count = np.diff(first)
         arrays = [
-            pa.array(start + number + np.arange(len(texts))),
-            batch.column(0).slice(low, len(texts)),
-            batch.column(1).slice(low, len(texts)),
+            pa.array(start + number + np.arange(len(batch))),
+            batch.column(0),
+            batch.column(1),
             pa.array(count),
             pa.array(count - gone - unknown_ends),
             pa.array(np.add.reduceat(logs, first[:-1]) + count * vocabulary.base),
             pa.array(np.add.reduceat(score, first[:-1])),
             pa.array(rest, pa.list_(pa.struct([("token", pa.binary()), ("times", pa.int64())]))),
         ]
-        number += len(texts)
+        number += len(batch)
         yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
 
