@@ -7,6 +7,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from conftest import SMALL
@@ -43,6 +44,16 @@ def test_items_by_month_are_neither_shuffled_nor_sorted_for_joins(plain):
     assert plan[: plan.index("Union")].count("ShuffledHashJoin") == 4
 
 
+def test_small_files_of_many_rows_are_not_broadcast(plain, tmp_path):
+    plain.range(100_000).withColumn("k", F.col("id") % 7).write.parquet(f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    plain.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 * size))
+    join = lambda: physical(plain.range(10_000_000).join(plain.read.parquet(f"{tmp_path}/t"), "id"))
+    assert "BroadcastHashJoin" in join()
+    Sources(plain, SMALL)
+    assert "BroadcastHashJoin" not in join()
+
+
 def test_products_are_dealt_into_more_parts_as_they_grow(spark):
     daily = Job(Sources(spark, SMALL)).daily
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
